@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gridspark.functions.lets import let
+
 # Error literals of the cell grid.
 ERROR_CODES = ["#NULL!", "#DIV/0!", "#VALUE!", "#REF!", "#NAME?", "#NUM!", "#N/A"]
 
@@ -118,11 +120,6 @@ def infer_time(c: Column) -> Column:
     return F.when(c.rlike(CLOCK_TEXT) & (hour < 24), clock).when(c.rlike(MINUTE_TEXT), minutes)
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _rounded_digits(s: Column) -> Column:
     """size * 10^(15 - e) rounded half-even, from the exact binary value.
 
@@ -149,7 +146,7 @@ def _rounded_digits(s: Column) -> Column:
 
     k = (F.lit(52) - F.floor(F.log2(s["size"]))).cast("int")
     sized = F.struct(s["size"].alias("size"), s["e"].alias("e"), k.alias("k"))
-    return _let(sized, lambda v: _let(parts(v), lambda q: _let(divide(q), round_up)))
+    return let(sized, lambda v: let(parts(v), lambda q: let(divide(q), round_up)))
 
 
 def safe_string(c: Column) -> Column:
@@ -175,9 +172,9 @@ def safe_string(c: Column) -> Column:
         return F.when(s["e"] >= -4, F.regexp_replace(point, tidy, "")).otherwise(small)
 
     e = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
-    exact = _let(
+    exact = let(
         F.struct(size.alias("size"), e.alias("e")),
-        lambda s: _let(F.struct(_rounded_digits(s).cast("string").alias("n"), s["e"].alias("e")), place),
+        lambda s: let(F.struct(_rounded_digits(s).cast("string").alias("n"), s["e"].alias("e")), place),
     )
     far = F.concat(
         F.regexp_replace(F.regexp_extract(F.format_string("%.15e", size), r"^(\d\.\d+)e", 1), tidy, ""),
