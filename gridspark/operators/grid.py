@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gridspark.functions import coords as C
 from gridspark.functions import scalars as S
-from gridspark.scale import running, salted_join, tile_join
+from gridspark.scale import TILE_ROWS, hot_keys, running, salted_join, spread, tile_join
 
 SHEET = ["book", "sheet"]
 VALUES = ["dtype", "v_num", "v_str", "v_ts", "v_bool", "err", "formula", "style_id"]
@@ -162,7 +162,9 @@ def decode_strings(cells: DataFrame, sst: DataFrame) -> DataFrame:
     """
     text = sst.select("book", F.col("idx").cast("bigint").alias("__idx"), F.replace("text", F.lit("x005F_"), F.lit("")).alias("__text"))
     keyed = cells.withColumn("__idx", F.when(F.col("dtype") == "s", F.col("v_num").cast("bigint")))
-    out = salted_join(keyed, text, ["book", "__idx"], "left")
+    # a book's strings grow with the data: salt the popular ones only
+    hot = hot_keys(keyed.filter(F.col("__idx").isNotNull()), ["book", "__idx"])
+    out = salted_join(keyed, text, ["book", "__idx"], "left", hot=hot)
     shared = F.col("__idx").isNotNull()
     return out.withColumns(
         {
@@ -197,7 +199,12 @@ def densify(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
             F.lit(1).alias("min_row"), F.lit(1).alias("min_col"),
             F.max("row").alias("max_row"), F.max("col").alias("max_col"),
         )
-    rows = bounds.withColumn("row", F.explode(F.sequence("min_row", "max_row")))
+    # first the row tiles of every sheet, spread over the tasks, then the rows and columns of each tile
+    low, high = F.floor(F.col("min_row") / TILE_ROWS), F.floor(F.col("max_row") / TILE_ROWS)
+    tiles = spread(bounds.withColumn("__tile", F.explode(F.sequence(low, high))), *SHEET, "__tile")
+    start = F.greatest(F.col("min_row"), (F.col("__tile") * TILE_ROWS).cast("int"))
+    end = F.least(F.col("max_row"), ((F.col("__tile") + 1) * TILE_ROWS - 1).cast("int"))
+    rows = tiles.withColumn("row", F.explode(F.sequence(start, end)))
     grid = rows.select(*SHEET, "row", F.explode(F.sequence("min_col", "max_col")).alias("col"))
     return grid.join(cells, [*SHEET, "row", "col"], "left")
 
@@ -348,7 +355,7 @@ def append_rows(cells: DataFrame, rows: DataFrame, order: list[str], block: Colu
     last = cells.groupBy(*SHEET).agg(F.max("row").alias("__last"))
     numbered = running(rows, SHEET, order, {"__n": ("row_number", None)}, block)
     new = (
-        numbered.join(last, SHEET, "left")
+        salted_join(numbered, last, SHEET, "left")
         .select(*SHEET, (F.coalesce("__last", F.lit(0)) + F.col("__n")).alias("row"), F.explode("values").alias("v"))
         .select(
             *SHEET,

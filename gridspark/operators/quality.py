@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.operators.rules import rule_cell_is
-from gridspark.scale import salted_join
+from gridspark.scale import hot_keys, salted_join
 
 
 def validate_bounds(c: Column, kind: str, operator: str, first, second=None, allow_blank: bool = True) -> Column:
@@ -27,7 +27,7 @@ def violations_of_list(df: DataFrame, column: str, allowed: DataFrame, values: s
     """Rows whose value is not in the column of allowed values."""
     keys = allowed.select(F.col(values).alias(column)).filter(F.col(column).isNotNull()).distinct()
     rows = df.filter(F.col(column).isNotNull()) if allow_blank else df
-    return salted_join(rows, keys, [column], "left_anti")
+    return salted_join(rows, keys, [column], "left_anti", hot=hot_keys(rows, [column]))
 
 
 def validate_length(c: Column, operator: str, first: int, second: int | None = None, allow_blank: bool = True) -> Column:

@@ -81,7 +81,7 @@ def drop_dup_cols(header: DataFrame) -> DataFrame:
 
 def label_cells(cells: DataFrame, header: DataFrame) -> DataFrame:
     """Body cells with the label of their column; columns without a label drop out."""
-    return cells.join(header, [*SHEET, "col"])
+    return salted_join(cells, header, [*SHEET, "col"], "inner")
 
 
 def drop_ragged_cols(cells: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def drop_ragged_cols(cells: DataFrame) -> DataFrame:
     per_col = cells.groupBy(*SHEET, "col").agg(F.count_if(text_of().isNotNull()).alias("__n"))
     rows = cells.groupBy(*SHEET, "row").agg(F.lit(1).alias("__one")).groupBy(*SHEET).agg(F.count(F.lit(1)).alias("__rows"))
     full = per_col.join(rows, SHEET).filter("__n = __rows").select(*SHEET, "col")
-    return cells.join(full, [*SHEET, "col"], "left_semi")
+    return salted_join(cells, full, [*SHEET, "col"], "left_semi")
 
 
 # --- columns and rows -----------------------------------------------------------
@@ -204,7 +204,7 @@ def band_join(facts: DataFrame, value: str, bands: DataFrame, keys: list[str] |
         "__tile", F.explode(F.sequence(F.floor(F.col("lower") / width), F.floor(F.col("upper") / width)))
     )
     placed = facts.withColumn("__tile", F.floor(F.col(value) / width))
-    hit = placed.join(tiled, [*keys, "__tile"])
+    hit = salted_join(placed, tiled, [*keys, "__tile"], "inner")
     return hit.filter(F.col(value).between(F.col("lower"), F.col("upper"))).drop("__tile")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions.scalars import ERROR_CODES
 from gridspark.operators import filters, stats
-from gridspark.scale import salted_join, tile_join, whole
+from gridspark.scale import HOT_ROWS, salted_join, tile_join, whole
 
 # Operator aliases.
 ALIASES = {
@@ -64,10 +64,11 @@ def rule_blank_error(c: Column, kind: str) -> Column:
 def rule_unique(df: DataFrame, column: str, name: str = "duplicate") -> DataFrame:
     """Flag rows whose value occurs more than once; blanks are never flagged.
 
-    Only the repeated values travel back, by a salted join.
+    Only the repeated values travel back; those that repeat most are salted.
     """
-    repeated = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    out = salted_join(df, repeated, [column], "left")
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    hot = counts.filter(F.col("__n") > HOT_ROWS).select(column)
+    out = salted_join(df, counts, [column], "left", hot=hot)
     return out.withColumn(name, F.col("__n").isNotNull()).drop("__n")
 
 

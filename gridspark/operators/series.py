@@ -32,7 +32,7 @@ def extract_series(cells: DataFrame, by: str = "col", titles: bool = True, x: in
         out = out.withColumn("x", (F.col(along) - start + 1).cast("double"))
     if titles:
         heads = cells.filter(F.col(along) == first).select(*SHEET, F.col(by).alias("series"), text_of().alias("title"))
-        out = out.join(heads, [*SHEET, "series"], "left")
+        out = salted_join(out, heads, [*SHEET, "series"], "left")
     else:
         out = out.withColumn("title", F.concat(F.lit("Series"), F.col("series")))
     return out.select(*SHEET, "series", "title", (F.col(along) - start).alias("idx"), "x", "y")

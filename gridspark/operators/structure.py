@@ -52,23 +52,24 @@ def move_range(
 ) -> DataFrame:
     """Move a rectangle on every sheet; moved cells replace what lies at their target.
 
-    One aggregation by target position decides who survives, so nothing is joined.
+    Only cells of the source and target rectangles are regrouped by position;
+    all others pass by untouched.
     """
-    inside = _within(bounds)
-    shift = lambda axis, d: F.when(inside, F.col(axis) + d).otherwise(F.col(axis))
-    moved = cells.withColumns({"__in": inside, "__r": shift("row", rows), "__c": shift("col", cols)})
+    c1, r1, c2, r2 = bounds
+    source, target = _within(bounds), _within((c1 + cols, r1 + rows, c2 + cols, r2 + rows))
+    near = cells.filter(source | target)
+    moved = near.withColumn("__in", source)
     if translate:
         from gridspark.operators.formulas import translate_formulas
 
-        hit = F.col("__in") & F.col("formula").isNotNull()
         moved = translate_formulas(
-            moved, "formula", F.when(hit, F.lit(rows)).otherwise(F.lit(0)), F.when(hit, F.lit(cols)).otherwise(F.lit(0))
+            moved, "formula", F.when(F.col("__in"), F.lit(rows)).otherwise(0), F.when(F.col("__in"), F.lit(cols)).otherwise(0)
         )
-    value = F.struct(*VALUES)
-    best = moved.groupBy(*SHEET, F.col("__r").alias("row"), F.col("__c").alias("col")).agg(
-        F.max_by(value, F.col("__in").cast("int")).alias("__v")
+    by = lambda d: F.when(F.col("__in"), F.lit(d)).otherwise(0)
+    best = moved.groupBy(*SHEET, (F.col("row") + by(rows)).alias("row"), (F.col("col") + by(cols)).alias("col")).agg(
+        F.max_by(F.struct(*VALUES), F.col("__in").cast("int")).alias("__v")
     )
-    return best.select(*SHEET, "row", "col", "__v.*")
+    return cells.filter(~(source | target)).unionByName(best.select(*SHEET, "row", "col", "__v.*"))
 
 
 def merge_cells(cells: DataFrame, merges: DataFrame) -> DataFrame:

@@ -15,19 +15,24 @@ ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 LONG_TEXT = 255
 
 
-def type_cells(raw: DataFrame, epoch: int = 1900) -> DataFrame:
+def type_cells(raw: DataFrame, epoch: int | Column = 1900) -> DataFrame:
     """Stored cells to typed columns.
 
     raw(…, t, v, formula, style_class): ``t`` is the stored type code (n, b, e,
     str, inlineStr, d; shared strings are decoded before), ``style_class`` the
-    class of the number format. Blank values stay empty.
+    class of the number format. Blank values stay empty. ``epoch`` may be a
+    column, for books of both date systems.
     """
-    v = F.when(F.trim("v") != "", F.col("v"))
     t = F.col("t")
+    text = t.isin("str", "inlineStr")
+    v = F.when(F.col("v") != "", F.when(text | (F.trim("v") != ""), F.col("v")))
     number = v.try_cast("double")
     dated = (t == "n") & F.col("style_class").isin("date", "datetime", "time")
     spanned = (t == "n") & (F.col("style_class") == "timedelta")
-    serial = S.from_serial(number, epoch)
+    if isinstance(epoch, int):
+        serial = S.from_serial(number, epoch)
+    else:
+        serial = F.when(epoch == 1904, S.from_serial(number, 1904)).otherwise(S.from_serial(number, 1900))
     iso = S.from_iso(v)
     typed = raw.withColumns({"__serial": F.when(dated, serial), "__iso": F.when(t == "d", iso)})
     date = F.coalesce(F.col("__serial.ts"), F.col("__iso.ts"), F.col("__iso.date").cast("timestamp_ntz"))
@@ -36,10 +41,10 @@ def type_cells(raw: DataFrame, epoch: int = 1900) -> DataFrame:
         {
             "dtype": F.when(F.col("formula").isNotNull(), "f")
             .when(dated | (t == "d"), "d")
-            .when(t.isin("str", "inlineStr"), "s")
+            .when(text, "s")
             .otherwise(t),
             "v_num": F.when((t == "n") & ~dated & ~spanned, number),
-            "v_str": F.when(t.isin("str", "inlineStr"), v),
+            "v_str": F.when(text, v),
             "v_bool": F.when(t == "b", v.try_cast("int") != 0),
             "v_ts": date,
             "time_ms": clock,
@@ -71,19 +76,23 @@ def bind_values(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns({"dtype": kind, column: F.when(~bad, cut), "rejected": bad})
 
 
-def merge_runs(runs: DataFrame, keys: list[str], position: str, block: Column) -> DataFrame:
+def merge_runs(runs: DataFrame, keys: list[str], position: str, block: Column, pieces: int = 100_000) -> DataFrame:
     """Adjacent text runs of one font joined into one; empty runs are dropped first.
 
-    runs(<keys>, <position>, font, text).
+    runs(<keys>, <position>, font, text). A run of more than ``pieces`` pieces
+    goes on in a further ``part``, so no group grows without bound.
     """
     kept = runs.filter(F.coalesce(F.col("text"), F.lit("")) != "")
     seen = running(kept, keys, [position], {"__before": ("lag", F.struct("font"))}, block)
     changed = (~F.col("__before.font").eqNullSafe(F.col("font")) | F.col("__before").isNull()).cast("int")
-    numbered = running(seen, keys, [position], {"run": ("sum", changed)}, block)
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(position).alias("at"), F.col("text").alias("text"))))
-    return numbered.groupBy(*keys, "run", "font").agg(
+    numbered = running(seen, keys, [position], {"run": ("sum", changed), "__n": ("row_number", None)}, block)
+    first = F.when(changed == 1, F.col("__n"))
+    placed = running(numbered, keys, [position], {"__first": ("last", first)}, block)
+    part = F.floor((F.col("__n") - F.col("__first")) / pieces).cast("int")
+    item = F.struct(F.col(position).alias("at"), F.col("text").alias("text"))
+    return placed.groupBy(*keys, "run", part.alias("part"), "font").agg(
         F.count(F.lit(1)).alias("pieces"),
-        F.array_join(F.transform(pieces, lambda p: p["text"]), "").alias("text"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda p: p["text"]), "").alias("text"),
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 TILE_ROWS = 4096
+HOT_ROWS = 1_000_000
 
 
 def block_of(column: str | Column, size: int = 1 << 18) -> Column:
@@ -90,21 +91,48 @@ def running(
     return rows.drop(*helpers)
 
 
+def hot_keys(facts: DataFrame, on: list[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys that hold more than ``rows`` facts: at most (number of facts / rows) of them."""
+    return facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows).select(*on)
+
+
 def salted_join(
-    facts: DataFrame, keyed: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+    facts: DataFrame,
+    keyed: DataFrame,
+    on: list[str],
+    how: str = "left",
+    salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Join facts to a table with one row per key, hot keys spread over ``salts`` tasks.
+    """Equi join with a keyed table, hot keys of the facts spread over ``salts`` tasks.
 
     The salt hashes the other fact columns, so a recomputed task salts alike.
+    By default every keyed row is repeated per salt, which suits small keyed
+    tables. For a keyed table that grows with the data pass ``hot`` (see
+    ``hot_keys``, its size is bounded): only those keys are salted and repeated.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salted join cannot be {how!r}")
     others = [c for c in facts.columns if c not in on] or list(on)
-    left = facts.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    right = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
+    last = F.lit(salts - 1)
+    left, right = facts, keyed
+    if hot is not None:
+        marked = F.broadcast(hot.select(*on).distinct().withColumn("__hot", F.lit(True)))
+        left, right = facts.join(marked, on, "left"), keyed.join(marked, on, "left")
+        salt = F.when(F.col("__hot"), salt).otherwise(F.lit(0))
+        last = F.when(F.col("__hot"), last).otherwise(F.lit(0))
+    left = left.withColumn("__salt", salt).drop("__hot")
+    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), last))).drop("__hot")
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows over all shuffle partitions by hash, kept apart even when they are few and tiny."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
+
+
 def tile_join(
     cells: DataFrame, ranges: DataFrame, how: str = "inner", tile: int = TILE_ROWS
 ) -> DataFrame:

@@ -227,3 +227,37 @@ def _(t):
     return t.lineitem.groupBy("l_returnflag").agg(
         F.round(F.sum(q * one["ogv1"]), 4).alias("a"), F.round(F.sum(q * one["ogv2"]), 4).alias("b"), F.round(F.sum(q * one["hgv_vot_factor"]), 4).alias("f"),
         F.count_if(F.year("l_shipdate") == one["model_year"]).alias("in_year"))
+
+
+def _sheets(t):
+    """Two parameter sheets per return flag, their numbers averages over the fact table."""
+    li = t.lineitem.withColumns({"y": F.year("l_shipdate"), "book": F.col("l_returnflag")})
+    num, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    one = lambda c, v, s: F.struct(F.lit(c).alias("col"), v.alias("v_num"), s.alias("v_str"))
+    per_year = li.groupBy("book", "y").agg(*[F.round(F.avg(F.when(F.col("l_linenumber") == i, F.col("l_quantity"))), 6).alias(f"q{i}") for i in range(1, 7)])
+    at = (F.col("y") - 1995).cast("int")
+    costs = per_year.select("book", F.lit("A1.3.15").alias("sheet"), (at + 26).alias("row"), F.inline(F.array(one(2, F.col("y").cast("double"), text), *[one(3 + i, F.col(f"q{i}"), text) for i in range(1, 7)])))
+    shares = per_year.select("book", F.lit("A1.3.9").alias("sheet"), (at + 26).alias("row"), F.inline(F.array(one(2, F.col("y").cast("double"), text), *[one(2 + i, F.col(f"q{i}"), text) for i in range(1, 4)])))
+    heads = li.select("book").distinct()
+    top = heads.select("book", F.lit("A1.3.9").alias("sheet"), F.lit(24).alias("row"), F.inline(F.array(one(3, num, F.lit("Cars")), one(5, num, F.lit("LGV")))))
+    low = heads.select("book", F.lit("A1.3.9").alias("sheet"), F.lit(25).alias("row"), F.inline(F.array(one(2, num, F.lit("Year")), one(3, num, F.lit("Petrol")), one(4, num, F.lit("Diesel")), one(5, num, F.lit("Electric")))))
+    cells = costs.unionByName(shares).unionByName(top).unionByName(low).withColumn("dtype", F.lit(None).cast("string"))
+    return G.as_cells(cells)
+
+
+_PER_YEAR = "WITH p AS (SELECT l_returnflag AS book, year(l_shipdate)::INT AS y, " + ", ".join(f"round(avg(CASE WHEN l_linenumber = {i} THEN l_quantity END), 6) AS q{i}" for i in range(1, 7)) + " FROM lineitem GROUP BY ALL) "
+
+
+@query(
+    "m34_run_sheet_spec",
+    _PER_YEAR + """, u AS (SELECT book, y, 'Work' AS a, 'Car' AS b, q1 AS v1, q2 AS v2, 3 AS k FROM p UNION ALL SELECT book, y, 'Non-work', 'Car', q3, q4, 2 FROM p UNION ALL SELECT book, y, 'Average', 'Car', q5, q6, 1 FROM p),
+       f AS (SELECT book, y, 'Cars' AS a, 'Petrol' AS b, q1 AS v, 1 AS k FROM p UNION ALL SELECT book, y, 'Cars', 'Diesel', q2, 2 FROM p UNION ALL SELECT book, y, 'LGV', 'Electric', q3, 3 FROM p)
+       SELECT 'nonfuel_cost_forecast' AS spec, book, row_number() OVER (PARTITION BY book ORDER BY k, y) AS row_no, y, a, b, v1, v2 FROM u UNION ALL SELECT 'fleet_share', book, row_number() OVER (PARTITION BY book ORDER BY k, y), y, a, b, v, NULL FROM f""",
+)
+def _(t):
+    from gridspark.plans.sheet_specs import run_sheet_spec
+
+    cells = _sheets(t)
+    c = run_sheet_spec(cells, "nonfuel_cost_forecast").select(F.lit("nonfuel_cost_forecast").alias("spec"), "book", "row_no", F.col("Year").alias("y"), F.col("Trip_Purpose").alias("a"), F.col("Vehicle_Type").alias("b"), F.col("Param_a1").alias("v1"), F.col("Param_b1").alias("v2"))
+    s = run_sheet_spec(cells, "fleet_share").select(F.lit("fleet_share").alias("spec"), "book", "row_no", F.col("Year").alias("y"), F.col("Mode").alias("a"), F.col("Fuel_Type").alias("b"), F.col("Value").alias("v1"), F.lit(None).cast("double").alias("v2"))
+    return c.unionByName(s)

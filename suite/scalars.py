@@ -264,7 +264,7 @@ def _(t):
 )
 def _(t):
     runs = t.conversations.select("conv_id", "turn", F.when(F.col("role") == "system", "user").otherwise(F.col("role")).alias("font"), "text")
-    return T.merge_runs(runs, ["conv_id"], "turn", block_of("turn", 4096))
+    return T.merge_runs(runs, ["conv_id"], "turn", block_of("turn", 4096)).drop("part")
 
 
 @query(
