@@ -169,7 +169,7 @@ def safe_string(c: Column) -> Column:
         point = F.concat(F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, d))
         tail = F.concat(F.substring(s["n"], 1, 1), F.lit("."), F.substring(s["n"], 2, 15))
         small = F.concat(F.regexp_replace(tail, tidy, ""), F.lit("e-0"), F.abs(s["e"]).cast("string"))
-        return F.when(s["e"] >= -4, F.regexp_replace(point, tidy, "")).otherwise(small)
+        return F.when(s["e"] >= -4, F.rtrim(F.rtrim(point, F.lit("0")), F.lit("."))).otherwise(small)
 
     e = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
     exact = let(
@@ -184,7 +184,7 @@ def safe_string(c: Column) -> Column:
         F.when(x.isNull(), "none")
         .when(F.isnan(x) | (size == F.lit(float("inf"))), "")
         .when((x == F.floor(x)) & (size < 1e16), x.cast("decimal(20,0)").cast("string"))
-        .when(size.between(1e-6, 1e16), F.concat(sign, exact))
+        .when((size >= 1e-6) & (size < 1e16), F.concat(sign, exact))
         .otherwise(F.concat(sign, far))
     )
 

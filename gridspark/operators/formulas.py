@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +17,22 @@ _TOKEN = "array<struct<value:string,type:string,subtype:string>>"
 def tokenize(c: Column) -> Column:
     """Array of (value, type, subtype), worked out in Arrow batches."""
 
-    @F.pandas_udf(_TOKEN)
-    def run(s: pd.Series) -> pd.Series:
-        name = ("value", "type", "subtype")
-        return s.map(lambda f: None if f is None else [dict(zip(name, t)) for t in formula_text.tokens(f)])
+    @F.arrow_udf(_TOKEN)
+    def run(formulas: pa.Array) -> pa.Array:
+        values, types, subtypes, ends = [], [], [], [0]
+        known: dict[str, list] = {}
+        for f in formulas.to_pylist():
+            found = known.get(f)
+            if found is None:
+                found = known[f] = formula_text.tokens(f)
+            for v, t, s in found:
+                values.append(v)
+                types.append(t)
+                subtypes.append(s)
+            ends.append(len(values))
+        text = lambda xs: pa.array(xs, pa.string())
+        items = pa.StructArray.from_arrays([text(values), text(types), text(subtypes)], ["value", "type", "subtype"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
 
     return run(c)
 
@@ -41,9 +53,10 @@ def formula_audit(tokens: DataFrame, known: DataFrame) -> DataFrame:
 def translate(formula: Column, rows: Column, cols: Column) -> Column:
     """Formula moved by rows and columns; NULL when a reference leaves the sheet."""
 
-    @F.pandas_udf("string")
-    def run(f: pd.Series, r: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else formula_text.shift_formula(x, int(a), int(b)) for x, a, b in zip(f, r, c)])
+    @F.arrow_udf("string")
+    def run(f: pa.Array, r: pa.Array, c: pa.Array) -> pa.Array:
+        moves = zip(f.to_pylist(), r.to_pylist(), c.to_pylist())
+        return pa.array([None if x is None else formula_text.shift_formula(x, a, b) for x, a, b in moves], pa.string())
 
     return run(formula, rows.cast("int"), cols.cast("int"))
 

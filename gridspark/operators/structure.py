@@ -108,12 +108,17 @@ def suppress_repeats(df: DataFrame, keys: list[str], levels: list[str], order: l
     return seen.withColumns(shown).drop("__up")
 
 
-def slice_cells(cells: DataFrame, key: str) -> DataFrame:
-    """``A1``, ``A2:C5``, ``A:D`` or ``4:10`` of every sheet."""
+def slice_test(key: str) -> Column:
+    """Whether a cell lies in ``A1``, ``A2:C5``, ``A:D`` or ``4:10``; the key is read once, at plan time."""
     b = C.range_bounds(F.lit(key))
     row_ok = F.coalesce(F.col("row").between(b["min_row"], b["max_row"]), F.lit(True))
     col_ok = F.coalesce(F.col("col").between(b["min_col"], b["max_col"]), F.lit(True))
-    return cells.filter(b.isNotNull() & row_ok & col_ok)
+    return b.isNotNull() & row_ok & col_ok
+
+
+def slice_cells(cells: DataFrame, key: str) -> DataFrame:
+    """The cells of a key, from every sheet."""
+    return cells.filter(slice_test(key))
 
 
 def iter_rows(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:

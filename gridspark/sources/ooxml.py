@@ -118,45 +118,57 @@ class Workbook:
 
     def raw_cells(self, member: str, strings: list[str], max_row: int | None = None) -> Iterator[tuple]:
         """(row, col, t, v, formula, si, style) as stored; places may be implied."""
-        row = col = 0
+        row, holder, space = 0, None, None
+        number: dict[str, int] = {}
         with self.zip.open(member) as f:
-            holder = None
             for event, el in ET.iterparse(f, ("start", "end")):
-                tag = local(el.tag)
+                tag = el.tag
                 if event == "start":
-                    if tag == "sheetData":
+                    if space is None:
+                        space = tag[: tag.index("}") + 1] if "}" in tag else ""
+                        rows, data = space + "row", space + "sheetData"
+                        cell, value, formula_tag, inline = (space + n for n in ("c", "v", "f", "is"))
+                    elif tag == data:
                         holder = el
-                    elif tag == "row":
-                        row = int(float(el.get("r"))) if el.get("r") else row + 1
-                        col = 0
-                        if max_row is not None and row > max_row:
-                            return
-                elif tag == "c" and holder is not None:
-                    ref = el.get("r")
-                    at, col = place(ref) if ref else (row, col + 1)
-                    t, style = el.get("t", "n"), int(el.get("s") or 0)
+                    continue
+                if tag == data:
+                    return
+                if tag != rows or holder is None:
+                    continue
+                row = int(float(el.get("r"))) if el.get("r") else row + 1
+                if max_row is not None and row > max_row:
+                    return
+                col, at = 0, row
+                for c in el:
+                    if c.tag != cell:
+                        continue
+                    ref = c.get("r")
+                    if ref:
+                        name = ref.rstrip("0123456789")
+                        col = number.get(name) or number.setdefault(name, place(ref)[1])
+                        at = int(ref[len(name) :])
+                    else:
+                        col += 1
+                    t = c.get("t", "n")
                     v = formula = si = None
-                    for part in el:
-                        name = local(part.tag)
-                        if name == "v":
+                    for part in c:
+                        if part.tag == value:
                             v = part.text
-                        elif name == "is":
+                        elif part.tag == inline:
                             v = text_of(part)
-                        elif name == "f":
+                        elif part.tag == formula_tag:
                             if part.get("t") == "shared":
                                 si = int(part.get("si"))
                             if part.text:
                                 formula = "=" + part.text
-                            elif part.get("t") != "shared":
+                            elif si is None:
                                 formula = "="
                     if t == "s" and v is not None:
                         t, v = "str", strings[int(v)]
                     if v is not None or formula is not None or si is not None:
-                        yield at, col, t, v, formula, si, style
-                elif tag == "row" and holder is not None:
-                    holder.clear()
-                elif tag == "sheetData":
-                    return
+                        yield at, col, t, v, formula, si, int(c.get("s") or 0)
+                row = at
+                holder.clear()
 
     def catalogue(self) -> Iterator[tuple]:
         for i, (name, state, kind, _) in enumerate(self.sheets):

@@ -18,7 +18,7 @@ from gridspark.functions import formula_text
 from gridspark.functions import scalars as S
 from gridspark.operators import typing as typing_ops
 from gridspark.operators.grid import CELLS, value_mode
-from gridspark.scale import running
+from gridspark.scale import running, spread
 from gridspark.sources import files, ooxml
 
 # File types that hold a readable workbook, and the row limit of a sheet.
@@ -251,6 +251,6 @@ def write_workbooks(
     part = F.floor((F.col("__n") - 1) / (max_rows - int(header)))
     name = F.when(part == 0, F.col("__key")).otherwise(F.concat("__key", F.lit("_"), part + 1))
     named = numbered.withColumn("__file", name)
-    placed = named.repartition("__file").sortWithinPartitions("__file", "__n").drop("__key", "__n")
+    placed = spread(named, "__file").sortWithinPartitions("__file", "__n").drop("__key", "__n")
     df.sparkSession.dataSource.register(WorkbookDataSource)
     placed.write.format("workbook").mode("append").options(path=path, sheet=sheet, header=str(header).lower()).save()

@@ -97,11 +97,10 @@ def _(t):
        UNION ALL SELECT 'E1', book, sheet, "row"::INT, col::INT, {TEXT} FROM cells WHERE "row" = 1 AND col = 5""",
 )
 def _(t):
-    cells, out = orders_cells(t), None
-    for key in ("A2:C5", "B:D", "4:10", "E1"):
-        part = texts(D.slice_cells(cells, key)).withColumn("key", F.lit(key))
-        out = part if out is None else out.unionByName(part)
-    return out
+    keys = ("A2:C5", "B:D", "4:10", "E1")
+    hits = F.inline(F.array(*[F.struct(F.lit(k).alias("key"), D.slice_test(k).alias("hit")) for k in keys]))
+    marked = orders_cells(t).select("*", hits).filter("hit")
+    return texts(marked, "key")
 
 
 @query(
