@@ -216,11 +216,15 @@ def populate(df: DataFrame, lists: dict[str, list]) -> DataFrame:
     return out
 
 
-def lookup_first(df: DataFrame, table: DataFrame, on: dict[str, str], values: list[str], order: str = "row_no", salted: bool = True) -> DataFrame:
+def lookup_first(df: DataFrame, table: DataFrame, on: dict[str, str], values: list[str], order: str = "row_no", bounded: DataFrame | None = None) -> DataFrame:
     """First matching row's values by ``order``, NULL without a match.
 
     ``on`` maps a column of df to a column of the table. The table is reduced to
     one row per key first; text keys are normalised on both sides.
+
+    When df is small by construction (class rows, not facts) pass the rows its
+    keys come from as ``bounded``: the table is then cut to the keys asked for,
+    and both ways are broadcast.
     """
     kinds = dict(table.dtypes)
     clean = lambda name, k: normalise(F.col(name)) if kinds[k] == "string" else F.col(name)
@@ -228,7 +232,10 @@ def lookup_first(df: DataFrame, table: DataFrame, on: dict[str, str], values: li
         *[clean(k, k).alias(f"__k{i}") for i, k in enumerate(on.values())], F.col(order).alias("__o"), *values
     )
     keys = [f"__k{i}" for i in range(len(on))]
+    asking = {f"__k{i}": clean(c, k) for i, (c, k) in enumerate(on.items())}
+    asked = df.withColumns(asking)
+    if bounded is not None:
+        keyed = keyed.join(F.broadcast(bounded.withColumns(asking).select(*keys)), keys, "left_semi")
     first = keyed.groupBy(*keys).agg(F.min_by(F.struct(*values), "__o").alias("__v"))
-    asked = df.withColumns({f"__k{i}": clean(c, k) for i, (c, k) in enumerate(on.items())})
-    joined = salted_join(asked, first, keys, "left") if salted else asked.join(first, keys, "left")
+    joined = asked.join(F.broadcast(first), keys, "left") if bounded is not None else salted_join(asked, first, keys, "left")
     return joined.select(*df.columns, *[F.col(f"__v.{v}").alias(v) for v in values])

@@ -121,7 +121,7 @@ def vot_interim(p: DataFrame, vot_vehicle: DataFrame) -> DataFrame:
     rows = class_rows(p, VOT_INTERIM_CLASSES, ["AUC", "Vehicle_Type", "Journey_Purpose"], periods=True)
     found = lookup_first(
         rows, vot_vehicle, {"Vehicle_Type": "Mode", "Journey_Purpose": "Journey_Purpose", "Time_Period": "Time_Period"},
-        ["Market_Price_Value_of_Time_Per_Vehicle"], salted=False,
+        ["Market_Price_Value_of_Time_Per_Vehicle"], bounded=rows,
     )
     divisor = F.when(F.col("Journey_Purpose") == "Work", F.col("tax_correction")).otherwise(F.lit(1.0))
     return found.withColumn("Value_of_Time_Per_Vehicle", F.col("Market_Price_Value_of_Time_Per_Vehicle") / divisor).drop(
@@ -131,18 +131,20 @@ def vot_interim(p: DataFrame, vot_vehicle: DataFrame) -> DataFrame:
 
 def _shares(p: DataFrame, travel_share: DataFrame) -> DataFrame:
     """Per scenario the goods-van shares of work and non-work trips in its model period."""
-    asked = p.withColumns({"__m": F.lit("LGV"), "__w": F.lit("Work (freight)"), "__n": F.lit("Non-Work")})
-    for key, name in (("__w", "work_share"), ("__n", "nonwork_share")):
-        asked = lookup_first(
-            asked, travel_share, {key: "Journey_Purpose", "__m": "Mode", "model_tp": "Time_Period"},
-            ["Percentage_of_Vehicle_Trips"], salted=False,
-        ).withColumnRenamed("Percentage_of_Vehicle_Trips", name)
-    return asked.select("scenario", "work_share", "nonwork_share")
+    van = travel_share.filter(normalise(F.col("Mode")) == "LGV").withColumn("model_tp", normalise(F.col("Time_Period")))
+    purpose = normalise(F.col("Journey_Purpose"))
+    first = lambda name: F.min_by("Percentage_of_Vehicle_Trips", F.when(purpose == name, F.col("row_no")))
+    asked = p.select("scenario", "model_tp")
+    now = van.join(F.broadcast(asked.select("model_tp")), "model_tp", "left_semi").groupBy("model_tp").agg(
+        first("Work (freight)").alias("work_share"), first("Non-Work").alias("nonwork_share")
+    )
+    # at most one row per period asked for
+    return asked.join(F.broadcast(now), "model_tp", "left").drop("model_tp")
 
 
 def vot_final(p: DataFrame, interim: DataFrame, travel_share: DataFrame) -> DataFrame:
     """Value of time per assignment class: vans weighted by share, heavy goods by class mix."""
-    weighted = interim.join(_shares(p, travel_share), "scenario")
+    weighted = interim.join(F.broadcast(_shares(p, travel_share)), "scenario")
     purpose, kind = F.col("Journey_Purpose"), F.col("Vehicle_Type")
     weight = (
         F.when(purpose == "Work (freight)", F.col("work_share") / 100)
@@ -157,14 +159,16 @@ def vot_final(p: DataFrame, interim: DataFrame, travel_share: DataFrame) -> Data
     return out.withColumn("VOT_pence_per_sec", F.col("Value_of_Time_Per_Vehicle") / 36)
 
 
-def avg_speed(assignment: DataFrame, p: DataFrame) -> DataFrame:
+def avg_speed(assignment: DataFrame, p: DataFrame, classes: list[str] | None = None) -> DataFrame:
     """Network speed per scenario and class: vehicle-km over vehicle-hours of the asked iteration.
 
     assignment(AUC, iteration, veh_km, veh_hours) may be of any size; it is
-    reduced per class and iteration before it meets the parameters.
+    reduced per class and iteration before it meets the parameters, and cut to
+    the known classes and the iterations asked for.
     """
-    per = assignment.groupBy("AUC", "iteration").agg(F.sum("veh_km").alias("__km"), F.sum("veh_hours").alias("__h"))
-    speed = p.select("scenario", F.col("conv_iter").alias("iteration")).join(per, "iteration")
+    known = assignment.filter(F.col("AUC").isin(classes)) if classes else assignment
+    per = known.groupBy("AUC", "iteration").agg(F.sum("veh_km").alias("__km"), F.sum("veh_hours").alias("__h"))
+    speed = per.join(F.broadcast(p.select("scenario", F.col("conv_iter").alias("iteration"))), "iteration")
     return speed.select("scenario", "AUC", F.try_divide("__km", "__h").alias("net_speed"))
 
 
@@ -179,17 +183,18 @@ def nonfuel_cost(a1: Column, b1: Column, v: Column) -> Column:
 def voc_parameters(p: DataFrame, fuel_work: DataFrame, fuel_nonwork: DataFrame, nonfuel: DataFrame, nonfuel_forecast: DataFrame) -> DataFrame:
     """The nine operating-cost rows of every scenario with their fuel and non-fuel parameters."""
     rows = class_rows(p, VOC_INTERIM_CLASSES, ["AUC", "Vehicle_Type", "Trip_Purpose", "Fuel_Type", "Override_Avg_Net_Speed_kph"])
+    rows = rows.withColumn("__avg", F.lit("Average"))
     work = F.col("Trip_Purpose") == "Work"
     four, two = ["Param_a", "Param_b", "Param_c", "Param_d"], ["Param_a1", "Param_b1"]
 
     def renamed(df: DataFrame, names: list[str], tag: str) -> DataFrame:
         return df.withColumnsRenamed({n: f"__{tag}_{n}" for n in names})
 
-    out = lookup_first(rows.withColumn("__avg", F.lit("Average")), fuel_work, {"model_year": "Year", "Vehicle_Type": "Vehicle_Type", "__avg": "Fuel_Type"}, four, salted=False)
-    out = renamed(out, four, "w").drop("__avg")
-    out = renamed(lookup_first(out, fuel_nonwork, {"model_year": "Year", "Vehicle_Type": "Vehicle_Type"}, four, salted=False), four, "n")
-    out = renamed(lookup_first(out, nonfuel, {"Vehicle_Type": "Vehicle_Type", "Trip_Purpose": "Trip_Purpose", "Fuel_Type": "Fuel_Type"}, two, salted=False), two, "g")
-    out = renamed(lookup_first(out, nonfuel_forecast, {"Vehicle_Type": "Vehicle_Type", "Trip_Purpose": "Trip_Purpose", "model_year": "Year"}, two, salted=False), two, "c")
+    out = lookup_first(rows, fuel_work, {"model_year": "Year", "Vehicle_Type": "Vehicle_Type", "__avg": "Fuel_Type"}, four, bounded=rows)
+    out = renamed(out, four, "w")
+    out = renamed(lookup_first(out, fuel_nonwork, {"model_year": "Year", "Vehicle_Type": "Vehicle_Type"}, four, bounded=rows), four, "n")
+    out = renamed(lookup_first(out, nonfuel, {"Vehicle_Type": "Vehicle_Type", "Trip_Purpose": "Trip_Purpose", "Fuel_Type": "Fuel_Type"}, two, bounded=rows), two, "g")
+    out = renamed(lookup_first(out, nonfuel_forecast, {"Vehicle_Type": "Vehicle_Type", "Trip_Purpose": "Trip_Purpose", "model_year": "Year"}, two, bounded=rows), two, "c")
     made = {n: F.when(work, F.col(f"__w_{n}")).otherwise(F.col(f"__n_{n}")) for n in four}
     made |= {
         n: F.when(F.col("Trip_Purpose") == "Non-Work", F.lit(0.0))
@@ -198,7 +203,7 @@ def voc_parameters(p: DataFrame, fuel_work: DataFrame, fuel_nonwork: DataFrame,
         for n in two
     }
     helpers = [f"__{t}_{n}" for t in "wn" for n in four] + [f"__{t}_{n}" for t in "gc" for n in two]
-    return out.withColumns(made).drop(*helpers)
+    return out.withColumns(made).drop("__avg", *helpers)
 
 
 def voc_interim(parameters: DataFrame, speeds: DataFrame | None = None) -> DataFrame:
@@ -206,7 +211,7 @@ def voc_interim(parameters: DataFrame, speeds: DataFrame | None = None) -> DataF
     own = F.lit(None).cast("double")
     rows = parameters
     if speeds is not None:
-        rows, own = parameters.join(speeds, ["scenario", "AUC"], "left"), F.col("net_speed")
+        rows, own = parameters.join(F.broadcast(speeds), ["scenario", "AUC"], "left"), F.col("net_speed")
     used = F.when(F.col("override_speed"), F.col("Override_Avg_Net_Speed_kph")).otherwise(own)
     v = F.col("Used_Avg_Speed")
     return rows.withColumn("Used_Avg_Speed", used).withColumns(
@@ -219,11 +224,11 @@ def voc_interim(parameters: DataFrame, speeds: DataFrame | None = None) -> DataF
 
 def voc_final(p: DataFrame, interim: DataFrame, travel_share: DataFrame, fleet_share: DataFrame) -> DataFrame:
     """Operating cost per assignment class, vans by purpose and electric share, heavy goods by class mix."""
+    asked = p.withColumns({"__m": F.lit("LGV"), "__f": F.lit("Electric")})
     electric = lookup_first(
-        p.withColumns({"__m": F.lit("LGV"), "__f": F.lit("Electric")}), fleet_share,
-        {"model_year": "Year", "__m": "Mode", "__f": "Fuel_Type"}, ["Value"], salted=False,
+        asked, fleet_share, {"model_year": "Year", "__m": "Mode", "__f": "Fuel_Type"}, ["Value"], bounded=asked
     ).select("scenario", F.col("Value").alias("electric"))
-    rows = interim.join(_shares(p, travel_share), "scenario").join(electric, "scenario")
+    rows = interim.join(F.broadcast(_shares(p, travel_share)), "scenario").join(F.broadcast(electric), "scenario")
     purpose = F.when(F.col("Trip_Purpose") == "Work", F.col("work_share")).otherwise(F.col("nonwork_share"))
     fuel = F.when(F.col("Fuel_Type") == "Electric", F.col("electric")).otherwise(1 - F.col("electric"))
     weight = (
@@ -241,7 +246,7 @@ def voc_final(p: DataFrame, interim: DataFrame, travel_share: DataFrame, fleet_s
 def impedance(vot: DataFrame, voc: DataFrame) -> DataFrame:
     """Coefficients per class: DIST, TIME and TOLL, as one row per scenario and class."""
     now = vot.filter(F.col("Time_Period") == F.col("model_tp"))
-    both = now.join(voc, ["scenario", "AUC"])
+    both = now.join(F.broadcast(voc), ["scenario", "AUC"])
     vot_s = F.col("VOT_pence_per_sec")
     return both.select(
         "scenario", "AUC", F.try_divide(F.col("VOC_pence_per_m"), vot_s).alias("DIST"), F.lit(1.0).alias("TIME"),
@@ -286,9 +291,9 @@ def pair_attributes(pairs: DataFrame, p: DataFrame, occupancy: DataFrame, vot_wo
     asked = p.select("scenario", "model_year", "model_tp").withColumn(
         "AUC", F.explode(F.array(*[F.lit(c) for c in [*CAR_CLASSES, "AVG", "*"]]))
     )
-    found = lookup_first(asked, occupancy, {"AUC": "AUC", "model_tp": "Time_Period"}, ["Occupancy_Per_Trip"], salted=False)
-    found = lookup_first(found, vot_work, {"model_year": "Year"}, ["Car_driver"], salted=False)
-    found = lookup_first(found, vot_other, {"model_year": "Year"}, ["Commuting", "Other"], salted=False)
+    found = lookup_first(asked, occupancy, {"AUC": "AUC", "model_tp": "Time_Period"}, ["Occupancy_Per_Trip"], bounded=asked)
+    found = lookup_first(found, vot_work, {"model_year": "Year"}, ["Car_driver"], bounded=asked)
+    found = lookup_first(found, vot_other, {"model_year": "Year"}, ["Commuting", "Other"], bounded=asked)
     value = F.when(F.col("AUC") == "CB", F.col("Car_driver")).when(F.col("AUC") == "CC", F.col("Commuting")).otherwise(F.col("Other"))
     small = found.select("scenario", F.col("AUC").alias("__auc"), F.col("Occupancy_Per_Trip").alias("OCC"), value.alias("VOT"))
     known = F.coalesce(F.col("AUC").isin([*CAR_CLASSES, "AVG"]), F.lit(False))

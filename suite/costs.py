@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridspark.plans import costs as X
+from gridspark.session import cut_lineage
 from suite.common import SUPPLIER_SQL, supplier_cells, texts
 from suite.registry import query
 
@@ -17,53 +18,71 @@ def pick(values, index):
 
 
 class Book:
-    """Parameter tables with the published shapes, every value an average over the fact table."""
+    """Parameter tables with the published shapes, every value an average over the fact table.
+
+    The facts are read once: sums at the finest grain any table needs (at most
+    a few ten thousand groups) are checkpointed, and every table adds them up.
+    """
+
+    GRAIN = ["l_linenumber", "dow", "y", "l_linestatus", "s6", "p3"]
 
     def __init__(self, t):
-        self.li = t.lineitem.withColumns({
-            "y": F.year("l_shipdate"), "dow": F.dayofweek("l_shipdate"), "vt": F.col("l_linenumber") % 4,
-            "s3": F.col("l_suppkey") % 3, "p3": F.col("l_partkey") % 3,
-        })
+        grouped = t.lineitem.groupBy(
+            "l_linenumber", F.dayofweek("l_shipdate").alias("dow"), F.year("l_shipdate").alias("y"), "l_linestatus",
+            (F.col("l_suppkey") % 6).alias("s6"), (F.col("l_partkey") % 3).alias("p3"),
+        )
+        sums = grouped.agg(
+            F.sum("l_extendedprice").alias("price"), F.sum("l_quantity").alias("quantity"), F.sum("l_discount").alias("discount"),
+            F.sum("l_tax").alias("tax"), F.count(F.lit(1)).alias("n"))
+        self.li = cut_lineage(sums).withColumns({"vt": F.col("l_linenumber") % 4, "s3": F.col("s6") % 3})
         self.period = F.replace(pick(X.PERIODS, F.col("dow") - 1), F.lit("-"), F.lit(" – "))
 
+    @staticmethod
+    def avg(column):
+        return F.sum(column) / F.sum("n")
+
+    @staticmethod
+    def share(test):
+        return F.sum(F.when(test, F.col("n")).otherwise(0)) / F.sum("n")
+
     def vot_vehicle(self):
-        a = self.li.groupBy("l_linenumber", "dow").agg(F.round(F.avg("l_extendedprice") / 1000, 6).alias("Market_Price_Value_of_Time_Per_Vehicle"))
+        a = self.li.groupBy("l_linenumber", "dow").agg(F.round(self.avg("price") / 1000, 6).alias("Market_Price_Value_of_Time_Per_Vehicle"))
         k = F.col("l_linenumber") - 1
         return a.select((F.col("l_linenumber") * 10 + F.col("dow")).alias("row_no"), pick([r[1] for r in X.VOT_INTERIM_CLASSES], k).alias("Mode"),
                         pick([r[2] for r in X.VOT_INTERIM_CLASSES], k).alias("Journey_Purpose"), self.period.alias("Time_Period"), "Market_Price_Value_of_Time_Per_Vehicle")
 
     def travel_share(self):
-        share = lambda s: F.round(F.lit(100.0) * F.count_if(F.col("l_linestatus") == s) / F.count(F.lit(1)), 6)
-        a = self.li.groupBy("dow").agg(share("F").alias("w"), share("O").alias("n"))
+        percent = lambda s: F.round(self.share(F.col("l_linestatus") == s) * 100, 6)
+        a = self.li.groupBy("dow").agg(percent("F").alias("w"), percent("O").alias("n"))
         one = lambda i, p, c: F.struct(F.lit(i).alias("row_no"), F.lit(p).alias("Journey_Purpose"), F.col(c).alias("Percentage_of_Vehicle_Trips"))
         return a.select(F.lit("LGV").alias("Mode"), self.period.alias("Time_Period"), F.inline(F.array(one(1, "Work (freight)", "w"), one(2, "Non - Work", "n"))))
 
     def fuel(self, key, factor):
         a = self.li.groupBy("y", "vt", key).agg(
-            F.round(F.avg("l_extendedprice") / 1000 * factor, 6).alias("Param_a"), F.round(F.avg("l_quantity"), 6).alias("Param_b"),
-            F.round(F.avg("l_discount"), 6).alias("Param_c"), F.round(F.avg("l_tax") / 100, 8).alias("Param_d"))
+            F.round(self.avg("price") / 1000 * factor, 6).alias("Param_a"), F.round(self.avg("quantity"), 6).alias("Param_b"),
+            F.round(self.avg("discount"), 6).alias("Param_c"), F.round(self.avg("tax") / 100, 8).alias("Param_d"))
         return a.select((F.col("vt") * 10 + F.col(key)).alias("row_no"), F.col("y").alias("Year"), pick(_VT, F.col("vt")).alias("Vehicle_Type"),
                         pick(_FUEL, F.col(key)).alias("Fuel_Type"), "Param_a", "Param_b", "Param_c", "Param_d")
 
     def nonfuel(self):
-        fuel = F.when(F.col("vt") != 1, "All").when(F.col("l_suppkey") % 2 == 0, "Non-electric").otherwise("Electric")
+        fuel = F.when(F.col("vt") != 1, "All").when(F.col("s6") % 2 == 0, "Non-electric").otherwise("Electric")
         a = self.li.groupBy(pick(_VT, F.col("vt")).alias("Vehicle_Type"), F.when(F.col("l_linestatus") == "F", "Work").otherwise("Non-Work").alias("Trip_Purpose"), fuel.alias("Fuel_Type"))
-        return a.agg(F.lit(1).alias("row_no"), F.round(F.avg("l_quantity"), 6).alias("Param_a1"), F.round(F.avg("l_extendedprice") / 100, 6).alias("Param_b1"))
+        return a.agg(F.lit(1).alias("row_no"), F.round(self.avg("quantity"), 6).alias("Param_a1"), F.round(self.avg("price") / 100, 6).alias("Param_b1"))
 
     def nonfuel_forecast(self):
         a = self.li.groupBy(F.col("y").alias("Year"), pick(["Work", "Non-work", "Average"], F.col("s3")).alias("Trip_Purpose"))
-        return a.agg(F.lit(1).alias("row_no"), F.lit("Car").alias("Vehicle_Type"), F.round(F.avg("l_quantity") / 2, 6).alias("Param_a1"), F.round(F.avg("l_extendedprice") / 200, 6).alias("Param_b1"))
+        return a.agg(F.lit(1).alias("row_no"), F.lit("Car").alias("Vehicle_Type"), F.round(self.avg("quantity") / 2, 6).alias("Param_a1"), F.round(self.avg("price") / 200, 6).alias("Param_b1"))
 
     def fleet_share(self):
-        a = self.li.groupBy(F.col("y").alias("Year")).agg(F.round(F.avg((F.col("s3") == 0).cast("double")), 6).alias("Value"))
+        a = self.li.groupBy(F.col("y").alias("Year")).agg(F.round(self.share(F.col("s3") == 0), 6).alias("Value"))
         return a.select(F.lit(1).alias("row_no"), "Year", F.lit("LGV").alias("Mode"), F.lit("Electric").alias("Fuel_Type"), "Value")
 
     def occupancy(self):
-        a = self.li.groupBy("vt", "dow").agg(F.round(1 + F.avg("l_discount"), 6).alias("Occupancy_Per_Trip"))
+        a = self.li.groupBy("vt", "dow").agg(F.round(1 + self.avg("discount"), 6).alias("Occupancy_Per_Trip"))
         return a.select(F.col("vt").alias("row_no"), pick(["CB", "CC", "CO", "AVG"], F.col("vt")).alias("AUC"), self.period.alias("Time_Period"), "Occupancy_Per_Trip")
 
     def vot_year(self):
-        a = self.li.groupBy(F.col("y").alias("Year")).agg(F.round(F.avg("l_extendedprice") / 1000, 6).alias("Car_driver"), F.round(F.avg("l_quantity"), 6).alias("Commuting"), F.round(F.avg("l_tax") * 100, 6).alias("Other"))
+        a = self.li.groupBy(F.col("y").alias("Year")).agg(F.round(self.avg("price") / 1000, 6).alias("Car_driver"), F.round(self.avg("quantity"), 6).alias("Commuting"), F.round(self.avg("tax") * 100, 6).alias("Other"))
         return a.withColumn("row_no", F.lit(1))
 
     def voc_parameters(self, p):

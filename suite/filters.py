@@ -180,7 +180,9 @@ _LIST = ["5-LOW", "1-URGENT", "3-MEDIUM"]
 def _(t):
     o = t.orders.select("o_orderkey", "o_orderpriority", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_totalprice")).alias("price"))
     keys = [{"column": "o_orderpriority", "custom": _LIST}, {"column": "price", "descending": True}, {"column": "o_orderkey"}]
-    blocks = [F.col("__k0"), F.floor(F.when(F.col("__k1") < 1e300, F.col("__k1")).otherwise(1e15) / 1000)]
+    priced = F.col("__k1") < 1e300
+    # unpriced orders come last and are told apart by their key alone, so the key blocks them
+    blocks = [F.col("__k0"), F.floor(F.when(priced, F.col("__k1")).otherwise(1e15) / 1000), F.when(priced, 0).otherwise(F.floor(F.col("__k2") / (1 << 18)))]
     return L.sort_rank(o, keys, blocks).select("o_orderkey", "rank")
 
 

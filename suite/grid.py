@@ -209,9 +209,9 @@ def _(t):
 
 @query(
     "a16_provenance",
-    SUPPLIER_SQL + f"""SELECT book, max(CASE WHEN sheet = 'n0' AND "row" = 1 AND col = 2 THEN {TEXT} END) AS version,
-       max(CASE WHEN sheet = 'n1' AND "row" = 2 AND col = 4 THEN {TEXT} END) AS tax_correction,
-       max(CASE WHEN sheet = 'n2' AND "row" = 2 AND col = 1 THEN {TEXT} END) AS price_year FROM cells GROUP BY book""",
+    CUSTOMER_SQL + f"""SELECT book, max(CASE WHEN sheet = 'BUILDING' AND "row" = 1 AND col = 2 THEN {TEXT} END) AS version,
+       max(CASE WHEN sheet = 'MACHINERY' AND "row" = 2 AND col = 4 THEN {TEXT} END) AS tax_correction,
+       max(CASE WHEN sheet = 'FURNITURE' AND "row" = 2 AND col = 1 THEN {TEXT} END) AS price_year FROM cells GROUP BY book""",
 )
 def _(t):
-    return G.provenance(supplier_cells(t), {"version": ("n0", 1, 2), "tax_correction": ("n1", 2, 4), "price_year": ("n2", 2, 1)})
+    return G.provenance(customer_cells(t), {"version": ("BUILDING", 1, 2), "tax_correction": ("MACHINERY", 2, 4), "price_year": ("FURNITURE", 2, 1)})

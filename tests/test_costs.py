@@ -61,7 +61,7 @@ def test_network_speed_replaces_the_default(spark, tables):
     p = X.params(spark, {"override_speed": False})
     trips = spark.createDataFrame([("CB", 2, 100.0, 2.0), ("CB", 2, 30.0, 0.6), ("CB", 1, 5.0, 5.0)], "AUC string, iteration int, veh_km double, veh_hours double")
     pars = X.voc_parameters(p, tables["work"], tables["nonwork"], tables["nonfuel"], tables["forecast"])
-    row = X.voc_interim(pars, X.avg_speed(trips, p)).filter("AUC = 'CB'").first()
+    row = X.voc_interim(pars, X.avg_speed(trips, p, X.IMPEDANCE_CLASSES)).filter("AUC = 'CB'").first()
     assert row["Used_Avg_Speed"] == 50.0 and row["VOC_f"] == pytest.approx(65 / 50 + 1)
 
 
