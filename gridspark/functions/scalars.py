@@ -120,33 +120,37 @@ def infer_time(c: Column) -> Column:
     return F.when(c.rlike(CLOCK_TEXT) & (hour < 24), clock).when(c.rlike(MINUTE_TEXT), minutes)
 
 
+# Fixed value: splits a double into two halves whose products are exact.
+_SPLIT = 134217729.0
+
+
 def _rounded_digits(s: Column) -> Column:
-    """size * 10^(15 - e) rounded half-even, from the exact binary value.
+    """size * 10^(15 - e) rounded half-even, from the exact value of the double.
 
-    size = whole / 2^k exactly, so the digits are whole * 10^d / 2^k.
+    The product is taken with its rounding error (both factors split into exact
+    halves), so the digit that decides is the true one. 10^0 … 10^21 are exact.
     """
+    tens = F.array(*[F.lit(10.0**i) for i in range(22)])
 
-    def power_of_two(k: Column) -> Column:
-        half = F.floor(k / 2).cast("int")
-        bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n).cast("decimal(19,0)")
-        return bit(half) * bit(k - half)
-
-    def parts(s: Column) -> Column:
-        whole = (s["size"] * F.pow(F.lit(2.0), s["k"])).cast("bigint").cast("decimal(20,0)")
-        ten = F.concat(F.lit("1"), F.repeat(F.lit("0"), F.lit(15) - s["e"])).cast("decimal(22,0)")
-        return F.struct((whole * ten).cast("decimal(38,0)").alias("n"), power_of_two(s["k"]).cast("decimal(38,0)").alias("two"))
+    def factors(v: Column) -> Column:
+        x, t = v["x"], v["t"]
+        cx, ct = x * _SPLIT, t * _SPLIT
+        return F.struct((x * t).alias("p"), x.alias("x"), (cx - (cx - x)).alias("xh"), t.alias("t"), (ct - (ct - t)).alias("th"))
 
-    def divide(q: Column) -> Column:
-        low = F.call_function("div", q["n"], q["two"])
-        return F.struct(low.alias("low"), ((q["n"] % q["two"]) * 2).alias("rest"), q["two"].alias("two"))
+    def product(v: Column) -> Column:
+        p, xh, th = v["p"], v["xh"], v["th"]
+        xl, tl = v["x"] - xh, v["t"] - th
+        error = ((xh * th - p) + xh * tl + xl * th) + xl * tl
+        base = F.floor(p)
+        return F.struct(base.alias("base"), ((p - base.cast("double")) + error + 0.5).alias("up"))
 
-    def round_up(r: Column) -> Column:
-        up = (r["rest"] > r["two"]) | ((r["rest"] == r["two"]) & (r["low"] % 2 == 1))
-        return r["low"] + up.cast("int")
+    def digits(v: Column) -> Column:
+        n = v["base"] + F.floor(v["up"])
+        tie = (F.floor(v["up"]).cast("double") == v["up"]) & (n % 2 == 1)
+        return F.when(tie, n - 1).otherwise(n)
 
-    k = (F.lit(52) - F.floor(F.log2(s["size"]))).cast("int")
-    sized = F.struct(s["size"].alias("size"), s["e"].alias("e"), k.alias("k"))
-    return let(sized, lambda v: let(parts(v), lambda q: let(divide(q), round_up)))
+    given = F.struct(s["size"].alias("x"), F.element_at(tens, F.lit(16) - s["e"]).alias("t"))
+    return let(given, lambda a: let(factors(a), lambda b: let(product(b), digits)))
 
 
 def safe_string(c: Column) -> Column:
@@ -171,9 +175,16 @@ def safe_string(c: Column) -> Column:
         small = F.concat(F.regexp_replace(tail, tidy, ""), F.lit("e-0"), F.abs(s["e"]).cast("string"))
         return F.when(s["e"] >= -4, F.rtrim(F.rtrim(point, F.lit("0")), F.lit("."))).otherwise(small)
 
-    e = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
+    # decimal exponent, put right where the logarithm is off by one
+    guess = F.floor(F.log10(size)).cast("int")
+    tens = F.array(*[F.lit(float(f"1e{i}")) for i in range(-7, 18)])
+
+    def exponent(g: Column) -> Column:
+        off = F.when(size < F.element_at(tens, g + 8), -1).when(size >= F.element_at(tens, g + 9), 1).otherwise(0)
+        return F.struct(size.alias("size"), (g + off).alias("e"))
+
     exact = let(
-        F.struct(size.alias("size"), e.alias("e")),
+        let(guess, exponent),
         lambda s: let(F.struct(_rounded_digits(s).cast("string").alias("n"), s["e"].alias("e")), place),
     )
     far = F.concat(
