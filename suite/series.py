@@ -127,7 +127,8 @@ _HOURLY = """WITH p AS (SELECT event_type AS series, (epoch(date_trunc('hour', t
        SELECT series, x, y AS gap, coalesce(y, 0) AS zero, round(coalesce(y, ly + (x - lx) * (ry - ly) / (rx - lx)), 6) AS span FROM w""",
 )
 def _(t):
-    hour = F.floor(F.unix_seconds(F.date_trunc("hour", "ts").cast("timestamp")) / 3600)
+    # hours since 1970 from the wall clock, whatever the session's zone
+    hour = (F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour("ts")).cast("bigint")
     p = t.events.filter("event_id % 3 = 0").groupBy(F.col("event_type").alias("series"), hour.alias("x")).agg(F.round(F.sum("value"), 2).alias("y"))
     span = K.fill_blanks(p, ["series"], "span").withColumnRenamed("y", "span")
     zero = K.fill_blanks(p, ["series"], "zero").withColumnRenamed("y", "zero")
