@@ -272,9 +272,6 @@ def from_iso(c: Column) -> Column:
     has_day, has_clock = day != "", clock != ""
     is_span = ~has_day & ~has_clock & c.rlike(r"^PT\d+(\.\d+)?[HMS]")
 
-    def bit(i: int) -> Column:
-        return F.coalesce(F.split(clock, "[:.]").getItem(i).try_cast("bigint"), F.lit(0))
-
     fraction = F.coalesce(F.rpad(F.get(F.split(clock, r"\."), F.lit(1)), 6, "0").try_cast("bigint"), F.lit(0))
     parts = F.split(F.element_at(F.split(clock, r"\."), 1), ":")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridspark.operators import grid as G
 from gridspark.operators import reshape as M
 from gridspark.plans import costs as X
-from suite.common import CUSTOMER_SQL, SUPPLIER_SQL, customer_cells, supplier_cells
+from suite.common import SUPPLIER_SQL, customer_cells, supplier_cells
 from suite.registry import query
 
 

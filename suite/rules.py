@@ -6,11 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from gridspark.functions.scalars import short_text
 from gridspark.operators import grid as G
 from gridspark.operators import quality as Q
 from gridspark.operators import rules as R
-from suite.common import CUSTOMER_SQL, SUPPLIER_BODY_SQL, SUPPLIER_SQL, TEXT, customer_cells, supplier_cells, texts
+from suite.common import SUPPLIER_SQL, TEXT, customer_cells, supplier_cells, texts
 from suite.registry import query
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridspark.operators import grid as G
 from gridspark.operators import structure as D
 from gridspark.scale import block_of
 from suite.common import (
