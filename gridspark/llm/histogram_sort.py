@@ -139,7 +139,7 @@ def _blocks(found: dict) -> Column:
 
 
 def shard_by_bytes(
-    df: DataFrame, shards: int = 16, tolerance: float = 0.02, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, shards: int = 16, tolerance: float = 0.005, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """All rows and columns of ``df`` with ``size``, ``text_crc32``, ``shard`` and ``slot``.
 

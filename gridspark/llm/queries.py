@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import table
+from gridspark.llm.common import cut, table
+from gridspark.llm.fixity import audit, lay_out
 from gridspark.llm.histogram_sort import shard_by_bytes
+from gridspark.llm.mixing import mix
+from gridspark.llm.packing import pack
 from gridspark.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +61,60 @@ def op8_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op5_mixing", r"""
+WITH sized AS (SELECT row_number() OVER () AS n, doc_id, source, md5(coalesce(text, '')) AS mark,
+       CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+ src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+       CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM sized GROUP BY source),
+ ranked AS (SELECT *, sum(2 * source_size) OVER r - 2 * source_size AS filled, sum(w) OVER () - sum(w) OVER r + w AS open_w,
+       sum(source_size) OVER () AS whole, 2 * source_size / w AS ratio
+       FROM src WINDOW r AS (ORDER BY 2 * source_size / w, source NULLS LAST)),
+ level AS (SELECT min_by((1.5::DOUBLE * whole - filled) / open_w, ratio) AS lv FROM ranked
+       WHERE 2 * source_size > w * ((1.5::DOUBLE * whole - filled) / open_w)),
+ goal AS (SELECT source, source_size, CAST(least(CAST(2 * source_size AS DOUBLE), w * coalesce(lv, 'infinity'::DOUBLE)) AS DOUBLE) AS target FROM src, level),
+ streams AS (SELECT s.*, source_size, target, floor(target) AS stop,
+       sum(size) OVER (PARTITION BY s.source ORDER BY md5('0|' || coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || mark), doc_id, n ROWS UNBOUNDED PRECEDING) AS end0,
+       source_size + sum(size) OVER (PARTITION BY s.source ORDER BY md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || mark), doc_id, n ROWS UNBOUNDED PRECEDING) AS end1
+       FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, CAST(greatest(0, least(end0, stop) - (end0 - size)) + greatest(0, least(end1, stop) - (end1 - size)) AS BIGINT) AS taken
+FROM streams
+""")
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed, docs = mix(table(spark, folder, "documents"))
+    taken = mixed.groupBy("row").agg(F.sum("tokens").alias("taken"))
+    return docs.join(taken, "row", "left").select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+    )
+
+
+@query("op6_fixity", r"""
+WITH rec AS (SELECT page_id, CAST(floor(page_id / 512) AS BIGINT) AS file, coalesce(html, '') AS body,
+       'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+       || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head FROM pages),
+ made AS (SELECT page_id, file, head || strlen(body) || repeat(chr(13) || chr(10), 2) || body || repeat(chr(13) || chr(10), 2) AS record,
+       head || strlen('#' || substr(body, 2)) || repeat(chr(13) || chr(10), 2) || '#' || substr(body, 2) || repeat(chr(13) || chr(10), 2) AS hurt FROM rec),
+ laid AS (SELECT *, row_number() OVER f - 1 AS nth, coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, sha256(record) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+       FROM made WINDOW f AS (PARTITION BY file ORDER BY page_id, sha256(record))),
+ told AS (SELECT *, page_id % 97 = 11 OR (file % 13 = 5 AND nth >= 400) AS gone, page_id % 97 = 3 AS changed FROM laid)
+SELECT file, CAST(pos AS BIGINT) AS "offset", CASE WHEN gone THEN 'missing' ELSE 'altered' END AS kind, sha256(record) AS want,
+       CASE WHEN NOT gone THEN sha256(hurt) END AS have FROM told WHERE gone OR (changed AND record <> hurt)
+""")
+def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """The archive of all pages against a replica with altered and lost records and files cut short."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    archive = cut(lay_out(pages))
+    hurt = F.when(F.col("page_id") % 97 == 3, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    copies = lay_out(pages.withColumn("html", hurt)).select("id", "file", "nth", F.col("length").alias("held"), F.col("digest").alias("hash"))
+    replica = cut(
+        archive.join(copies, ["id", "file", "nth"])
+        .filter(~((F.col("id") % 97 == 11) | ((F.col("file") % 13 == 5) & (F.col("nth") >= 400))))
+        .select("file", "offset", F.col("held").alias("length"), F.col("hash").alias("digest"))
+    )
+    return audit(archive.select("file", "offset", "length", "digest"), replica)
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"))
