@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.llm import quality
 from gridspark.llm.common import cut, table
 from gridspark.llm.fixity import audit, lay_out
 from gridspark.llm.histogram_sort import shard_by_bytes
@@ -118,3 +119,13 @@ def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_packing")
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
+
+
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    judged = docs.select("doc_id", quality.judge(F.col("text"), model).alias("q"))
+    return judged.select(
+        "doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_words", "n_lines")]
+    )
