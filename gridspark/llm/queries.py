@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import quality, toxicity
+from gridspark.llm import main_text, quality, toxicity
 from gridspark.llm.common import cut, table
 from gridspark.llm.fixity import audit, lay_out
 from gridspark.llm.histogram_sort import shard_by_bytes
@@ -137,3 +137,9 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, folder, "labels"))
     scored = docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages, main_text.train(pages))
