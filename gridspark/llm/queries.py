@@ -14,6 +14,7 @@ from gridspark.llm.histogram_sort import shard_by_bytes
 from gridspark.llm.mixing import mix
 from gridspark.llm.packing import pack
 from gridspark.llm.url_filter import url_verdicts
+from gridspark.llm.vector_dups import link_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -143,3 +144,8 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return main_text.extract(pages, main_text.train(pages))
+
+
+@query("op3_embedding_dups")
+def op3_embedding_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return link_vectors(table(spark, folder, "embeddings"))
