@@ -28,14 +28,12 @@ def word_count(column: str) -> Column:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint whose reader no longer knows how its rows were dealt.
+    """Reliable checkpoint in the shared folder.
 
-    Joins on it therefore exchange both sides, which lets adaptive execution
-    split the partitions of hot keys.
+    Under adaptive execution its reader does not know how the rows were dealt, so a join
+    on it exchanges both sides and can split the partitions of hot keys.
     """
-    saved = cut_lineage(df)
-    kept = [F.when(F.lit(True) | F.col(c).isNull(), F.col(c)).alias(c) for c in saved.columns]
-    return saved.select(*kept)
+    return cut_lineage(df)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ from gridspark.llm.fixity import audit, lay_out
 from gridspark.llm.histogram_sort import shard_by_bytes
 from gridspark.llm.mixing import mix
 from gridspark.llm.packing import pack
+from gridspark.llm.text_dups import text_classes
 from gridspark.llm.url_filter import url_verdicts
 from gridspark.llm.vector_dups import link_vectors
 
@@ -149,3 +150,8 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_embedding_dups")
 def op3_embedding_dups(spark: SparkSession, folder: str) -> DataFrame:
     return link_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op2_minhash_dups")
+def op2_minhash_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return text_classes(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
