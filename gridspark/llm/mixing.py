@@ -158,6 +158,25 @@ def mix(
     )
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes half of their words or more, all columns, in the order of the schedule."""
+    mixed, known = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
+    passes = mixed.groupBy("row", "epoch").agg(F.sum("tokens").alias("tokens"), F.min("position").alias("position"))
+    takes = known.join(passes, "row").filter(2 * F.col("tokens") >= F.col("size"))
+    takes = takes.groupBy("row", F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("source").alias("__source")).agg(
+        F.collect_list("position").alias("__positions")  # one per pass
+    )
+    # rows equal in id, text and source each have a place of their own in the mix, one of them stands for all
+    key = ["__id", "__mark", "__source"]
+    takes = cut(takes.groupBy(*key).agg(F.flatten(F.collect_list("__positions")).alias("__positions"), F.count(F.lit(1)).alias("__rows")))
+    marked = docs.withColumn("__own", F.md5(text_of(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__mark")) & F.col(source_col).eqNullSafe(F.col("__source"))
+    single = marked.join(takes.filter("__rows = 1"), same)
+    repeated = marked.join(takes.filter("__rows > 1"), same).dropDuplicates(key)
+    chosen = single.unionByName(repeated).select(*docs.columns, F.explode("__positions").alias("__position"))
+    return chosen.repartitionByRange("__position").sortWithinPartitions("__position").drop("__position")
+
+
 def _block_rows(found: list[dict]) -> int:
     """Rows of an order block: a 512th of all, between 256 and BLOCK_ROWS."""
     return min(BLOCK_ROWS, max(256, sum(s["rows"] for s in found) // 512))

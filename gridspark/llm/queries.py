@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,3 +156,6 @@ def op3_embedding_dups(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_minhash_dups")
 def op2_minhash_dups(spark: SparkSession, folder: str) -> DataFrame:
     return text_classes(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
