@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import cut, slices
+
 SAMPLE = 5000
 CANDIDATES = 3000
 TERMS = 400
@@ -41,6 +43,7 @@ LEXICONS = {
     "es": "idiota imbécil estúpido basura escoria payaso patético asqueroso tonto cabrón",
 }
 LEXICON = {k: frozenset(v.split()) for k, v in LEXICONS.items()}
+INSULTS = {w: 5.0 for lexicon in LEXICON.values() for w in sorted(lexicon)}  # weight of evidence without any label
 PERSON = frozenset("you your youre du dein tu ton ta tes eres usted".split())
 
 
@@ -76,7 +79,7 @@ class Spotter:
         met, weights = self.met, self.weights
         if len(met) > 500_000:  # bounds memory only: forgotten words are looked up again
             met.clear()
-        for w in set(words) - met.keys():
+        for w in [w for w in set(words) if w not in met]:
             met[w] = max((t for t in terms_of(w) if t in weights), key=weights.__getitem__, default=None)
         out: dict[str, int] = {}
         for t in filter(None, map(met.__getitem__, words)):
@@ -140,7 +143,7 @@ def _tree(votes: np.ndarray, post: np.ndarray) -> list[int]:
     return parent
 
 
-def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, dict]:
+def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, dict]:
     """Posterior of toxic for each row, and the estimated accuracies and dependencies."""
     post = np.where(given == 1, 0.9, 0.1)
     category = votes.astype(np.int64) + 1
@@ -156,7 +159,9 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple
             c1 = p1.reshape(3, 3) / p1.reshape(3, 3).sum(1, keepdims=True)
             c0 = p0.reshape(3, 3) / p0.reshape(3, 3).sum(1, keepdims=True)
             score = score + np.log(c1.ravel() / c0.ravel())[col]
-        post = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        before, post = post, 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        if np.abs(post - before).max() < 1e-4:
+            break
     voted = votes != 0
     agree = ((votes == 1) * post[:, None] + (votes == -1) * (1 - post)[:, None]).sum(0)
     return post, {"accuracy": (agree / np.maximum(voted.sum(0), 1)).tolist(), "parent": parent, "label_accuracy": float(right)}
@@ -203,29 +208,44 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.filter(F.col("__id").isNotNull() & ~held_out("__id"))
     chosen = [known.filter(F.col("toxic") == g).orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE) for g in (0, 1)]
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "__id")  # 2 * SAMPLE rows
+    sample = cut(texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "__id"))  # 2 * SAMPLE rows
 
     size = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(size) < 2:
-        known_words = {w: 5.0 for lexicon in LEXICON.values() for w in lexicon}
-        return {"terms": known_words, "signals": [-4.0, 2.0, 1.0, 1.0, 1.0, 0.5, 0.5, 0.0], "single": {}, "report": {}}
-
-    @F.arrow_udf("struct<n:int,terms:map<string,int>>")
-    def counted(column: pa.Array) -> pa.Array:
-        out = []
-        for t in column.to_pylist():
-            words = words_of(t)
-            out.append({"n": len(words), "terms": list(term_counts(words).items())})
-        return pa.array(out, pa.struct([("n", pa.int32()), ("terms", pa.map_(pa.string(), pa.int32()))]))
+        return {"terms": INSULTS, "signals": [-4.0, 2.0, 1.0, 1.0, 1.0, 0.5, 0.5, 0.0], "single": {}, "report": {}}
+
+    def count(batches):
+        """Rows and words of toxic documents with a term, and how often it is said in toxic and other ones."""
+        found: dict[str, list[int]] = {"": [0, 0, 0, 0]}  # the empty term counts all words
+
+        def report():
+            columns = list(zip(*found.values(), strict=True))
+            batch = pa.RecordBatch.from_arrays([pa.array(list(found)), *(pa.array(c, pa.int64()) for c in columns)], ["term", "rows", "among", "t", "c"])
+            found.clear()
+            found[""] = [0, 0, 0, 0]
+            return batch
+
+        for batch in slices(batches, "text"):
+            for is_toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                for t, k in [*term_counts(words).items(), ("", len(words))]:
+                    sums = found.setdefault(t, [0, 0, 0, 0])
+                    if is_toxic:
+                        sums[0] += 1
+                        sums[1] += len(words)
+                        sums[2] += k
+                    else:
+                        sums[3] += k
+                if len(found) > 300_000:
+                    yield report()
+        yield report()
 
     toxic = F.col("toxic") == 1
-    told = sample.select("toxic", counted("text").alias("c")).select("toxic", "c.n", "c.terms")
-    spoken = told.groupBy("toxic").agg(F.sum("n").alias("n")).collect()
-    tokens = {r.toxic: max(1, r.n) for r in spoken}
-    counts = told.select("toxic", "n", F.explode("terms").alias("term", "k")).groupBy("term").agg(
-        F.sum(F.when(toxic, 1).otherwise(0)).alias("rows"), F.sum(F.when(toxic, F.col("n")).otherwise(0)).alias("among"),
-        F.sum(F.when(toxic, F.col("k")).otherwise(0)).alias("t"), F.sum(F.when(toxic, 0).otherwise(F.col("k"))).alias("c"),
-    )
+    counts = sample.select("toxic", "text").mapInArrow(count, "term string, rows long, among long, t long, c long")
+    counts = cut(counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("rows", "among", "t", "c")]))
+    spoken = counts.filter("term = ''").first()
+    tokens = {1: max(1, spoken.t), 0: max(1, spoken.c)}
+    counts = counts.filter("term <> '' and t > 0")
     rate = F.log((F.col("t") / F.col("among")) / ((F.col("c") + 0.5) / tokens[0]))
     wide = (F.col("t") / tokens[1]) / ((F.col("c") + 0.5) / tokens[0])
     telling = counts.filter((F.col("rows") >= max(5, size[1] // 500)) & (rate >= 2) & (wide >= 4))
@@ -239,7 +259,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         )
 
     rows = [r.h for r in sample.filter(toxic).select(held("text").alias("h")).collect()]  # SAMPLE rows
-    terms = {t: candidates[t] for t in choose_terms(rows, candidates)}
+    picked = {t: candidates[t] for t in choose_terms(rows, candidates)}
+    terms = picked | {w: v for w, v in INSULTS.items() if w not in picked}
     noticed = frozenset().union(PERSON, *LEXICON.values())
 
     @F.arrow_udf("struct<hits:map<string,int>,n:int,text:string>")
@@ -254,7 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.select("__id", "toxic", spotted("text").alias("s")).select("__id", "toxic", "s.*").collect()  # 2 * SAMPLE rows
     rows.sort(key=lambda r: (r["__id"], r.toxic, r.n, r.text))
     given = np.array([r.toxic for r in rows])
-    voters = list(terms)[:24]
+    voters = list(picked)[:24]
     votes = np.array([
         votes_of(r.text, words_of(r.text) + ["x"] * max(0, r.n - len(words_of(r.text))), r.hits, voters, terms) for r in rows
     ], np.int8)
