@@ -56,12 +56,6 @@ DAY_MS = 86_400_000
 _LAST_DAY = {1900: 2958465, 1904: 2957003}
 _FIRST_DAY = {1900: -693593, 1904: -695055}
 
-# Patterns of numeric, percentage and time text.
-NUMBER_TEXT = r"^-?(\d|\d+\.\d*|\.\d+|[1-9]\d+\.?\d*)([Ee][-+]?\d+)?$"
-PERCENT_TEXT = r"^(-?[0-9]*\.?[0-9]*\s?)%$"
-CLOCK_TEXT = r"^([01]?[0-9]{2}):([0-5][0-9])(?::([0-5][0-9]))?$"
-MINUTE_TEXT = r"^([0-5][0-9]):([0-5][0-9])\.(\d{1,6})"
-
 # Display units of a value axis.
 DISPLAY_UNITS = {
     "hundreds": 1e2,
@@ -91,10 +85,33 @@ def cast_number(c: Column) -> Column:
     )
 
 
+def _digits(c: Column) -> Column:
+    """Whether a text holds nothing but the digits 0 to 9 (an empty one does)."""
+    return F.translate(c, "0123456789", "") == ""
+
+
+def _plain_number(c: Column) -> Column:
+    """Digits with at most one point among them."""
+    return _digits(F.concat(F.substring_index(c, ".", 1), F.substring(c, F.instr(c, ".") + 1, F.length(c))))
+
+
 def infer_numeric(c: Column) -> Column:
-    """Typed-in number text -> struct(i BIGINT, d DOUBLE); both NULL when not numeric."""
-    ok = c.rlike(NUMBER_TEXT)
-    whole = c.rlike(r"^-?\d+$")
+    """Typed-in number text -> struct(i BIGINT, d DOUBLE); both NULL when not numeric.
+
+    A sign, then digits that may hold one point, then perhaps ``e`` with a signed whole number. Without a
+    point a number does not start with 0, unless it is a single digit.
+    """
+    size = F.regexp_replace(F.lower(c), "^-", "")
+    at = F.instr(size, "e")
+    mantissa = F.when(at > 0, F.substring(size, F.lit(1), at - 1)).otherwise(size)
+    power = F.substring(size, at + 1, F.length(size))
+    power = F.when(F.left(power, F.lit(1)).isin("+", "-"), F.substring(power, F.lit(2), F.length(power))).otherwise(power)
+    pointed = mantissa.contains(".")
+    stands = F.when(pointed, _plain_number(mantissa) & (F.length(mantissa) > 1)).otherwise(
+        _digits(mantissa) & (mantissa != "") & ((F.length(mantissa) == 1) | ~mantissa.startswith("0"))
+    )
+    ok = stands & ((at == 0) | (_digits(power) & (power != "")))
+    whole = ~pointed & (at == 0)
     return F.struct(
         F.when(ok & whole, c.try_cast("bigint")).alias("i"),
         F.when(ok & ~whole, c.try_cast("double")).alias("d"),
@@ -102,22 +119,32 @@ def infer_numeric(c: Column) -> Column:
 
 
 def infer_percent(c: Column) -> Column:
-    """``12.5%`` -> 0.125."""
-    number = F.trim(F.regexp_extract(c, PERCENT_TEXT, 1))
-    return number.try_cast("double") / 100
+    """``12.5%`` -> 0.125. One blank may stand before the sign."""
+    body = F.substring(c, F.lit(1), F.length(c) - 1)
+    body = F.when(F.right(body, F.lit(1)).isin(" ", "\t", "\n", "\r", "\f", "\x0b"), F.substring(body, F.lit(1), F.length(body) - 1)).otherwise(body)
+    size = F.when(body.startswith("-"), F.substring(body, F.lit(2), F.length(body))).otherwise(body)
+    return F.when(c.endswith("%") & _plain_number(size), body.try_cast("double") / 100)
 
 
 def infer_time(c: Column) -> Column:
     """``H:M``, ``H:M:S`` or ``M:S.f`` -> microseconds of the day."""
+    parts = F.split(c, ":")
+    hour, minute, second = (F.get(parts, F.lit(i)) for i in range(3))
+
+    def sixty(p: Column) -> Column:
+        return _digits(p) & (F.length(p) == 2) & (p.try_cast("int") < 60)
 
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(c, pattern, i).try_cast("bigint")
+    # an hour may be written with a third digit in front, 0 or 1
+    hours = _digits(hour) & ((F.length(hour) == 2) | ((F.length(hour) == 3) & (F.left(hour, F.lit(1)) <= "1"))) & (hour.try_cast("int") < 24)
+    clocked = hours & sixty(minute) & ((F.size(parts) == 2) | ((F.size(parts) == 3) & sixty(second)))
+    clock = (hour.try_cast("bigint") * 3600 + minute.try_cast("bigint") * 60 + F.coalesce(second.try_cast("bigint"), F.lit(0))) * 1_000_000
 
-    hour = part(CLOCK_TEXT, 1)
-    clock = (hour * 3600 + part(CLOCK_TEXT, 2) * 60 + F.coalesce(part(CLOCK_TEXT, 3), F.lit(0))) * 1_000_000
-    fraction = F.rpad(F.regexp_extract(c, MINUTE_TEXT, 3), 6, "0").try_cast("bigint")
-    minutes = (part(MINUTE_TEXT, 1) * 60 + part(MINUTE_TEXT, 2)) * 1_000_000 + fraction
-    return F.when(c.rlike(CLOCK_TEXT) & (hour < 24), clock).when(c.rlike(MINUTE_TEXT), minutes)
+    lead, rest = F.substring(c, 1, 2), F.substring(c, 4, 2)
+    after = F.substring(c, 7, 6)
+    fraction = F.left(after, F.length(after) - F.length(F.ltrim(after, F.lit("0123456789"))))
+    minuted = sixty(lead) & sixty(rest) & (F.substring(c, 3, 1) == ":") & (F.substring(c, 6, 1) == ".") & (fraction != "")
+    minutes = (lead.try_cast("bigint") * 60 + rest.try_cast("bigint")) * 1_000_000 + F.rpad(fraction, 6, "0").try_cast("bigint")
+    return F.when(clocked, clock).when(minuted, minutes)
 
 
 # Fixed value: splits a double into two halves whose products are exact.
@@ -302,20 +329,34 @@ def to_iso(c: Column) -> Column:
 
 # --- number formats ----------------------------------------------------------
 
-# What a format may hide (quoted text, brackets but elapsed-time ones) and elapsed time.
-_HIDDEN = r'".*?"|\[(?!hh?\]|mm?\]|ss?\])[^\]]*\]'
-_ELAPSED = r"(?i)\[(hh?|mm?|ss?)\]"
-_DATE_MARK = r"(?<![_\\])[dmhysDMHYS]"
+# Format parts that show elapsed time, and the letters of dates and times.
+ELAPSED = ["[h]", "[hh]", "[m]", "[mm]", "[s]", "[ss]"]
+DATE_LETTERS = "dmhys"
+
+
+def _visible(section: Column) -> Column:
+    """A format section without quoted text, bracketed parts, and characters after ``_`` or a backslash."""
+    quoted = F.split(section, '"')
+    # every second piece stands in quotes, but for a last one whose quote never closes
+    shown = F.array_join(F.filter(quoted, lambda p, i: (i % 2 == 0) | (i == F.size(quoted) - 1)), "")
+    closed = lambda p: F.when(p.contains("]"), F.substring(p, F.instr(p, "]") + 1, F.length(p))).otherwise(F.concat(F.lit("["), p))
+    open_ = F.array_join(F.transform(F.split(shown, r"\["), lambda p, i: F.when(i == 0, p).otherwise(closed(p))), "")
+    escaped = F.split(F.translate(open_, "\\", "_"), "_")
+    return F.array_join(F.transform(escaped, lambda p, i: F.when(i == 0, p).otherwise(F.substring(p, F.lit(2), F.length(p)))), "")
 
 
 def classify_format(c: Column) -> Column:
     """Format code -> date, time, datetime, timedelta or number."""
-    first = F.substring_index(c, ";", 1)
-    dated = F.regexp_replace(first, _HIDDEN, "").rlike(_DATE_MARK)
-    has_date, has_time = c.rlike("[dy]"), c.rlike("[hs]")
+    first = F.lower(F.substring_index(c, ";", 1))
+    elapsed = F.lit(False)
+    for mark in ELAPSED:
+        elapsed = elapsed | first.contains(mark)
+    visible = _visible(first)
+    dated = F.length(F.translate(visible, DATE_LETTERS, "")) < F.length(visible)
+    has_date, has_time = c.contains("d") | c.contains("y"), c.contains("h") | c.contains("s")
     return (
         F.when(c.isNull(), "number")
-        .when(first.rlike(_ELAPSED), "timedelta")
+        .when(elapsed, "timedelta")
         .when(~dated, "number")
         .when(has_date & has_time, "datetime")
         .when(has_date, "date")

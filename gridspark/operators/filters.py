@@ -136,9 +136,11 @@ def classify_filter(specs: DataFrame) -> DataFrame:
     """
     v = F.col("val")
     plain = F.regexp_replace(v, r"~[~*?]", "_")
-    contains = plain.rlike(r"^\*[^*?]*\*$")
-    starts = plain.rlike(r"^[^*?]*\*$")
-    ends = plain.rlike(r"^\*[^*?]*$")
+    stars = F.length(plain) - F.length(F.replace(plain, F.lit("*"), F.lit("")))
+    only = ~plain.contains("?")
+    ends = only & (stars == 1) & plain.startswith("*")
+    starts = only & (stars == 1) & plain.endswith("*")
+    contains = only & (stars == 2) & plain.startswith("*") & plain.endswith("*")
     number = v.try_cast("double").isNotNull()
     kind = F.when(v == " ", "blank").when(number, "number").otherwise("text")
     test = F.when(ends, "endswith").when(starts, "startswith").when(contains, "contains").otherwise("wildcard")
