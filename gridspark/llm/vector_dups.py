@@ -80,10 +80,14 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
         while len(wave):
             met = links[wave] & free_columns
             columns = np.flatnonzero(met.any(0))
+            if not len(columns):
+                break
             edges += zip(wave[met[:, columns].argmax(0)].tolist(), columns.tolist(), strict=True)
             free_columns[columns] = False
             back = links[:, columns] & free_rows[:, None]
             wave = np.flatnonzero(back.any(1))
+            if not len(wave):
+                break
             edges += zip(wave.tolist(), columns[back[wave].argmax(1)].tolist(), strict=True)
             free_rows[wave] = False
     return edges
