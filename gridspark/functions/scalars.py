@@ -234,6 +234,17 @@ def short_text(c: Column) -> Column:
     )
 
 
+def clock_text(ms: Column) -> Column:
+    """Milliseconds as ``HH:MM:SS``, with three decimals if there are any; hours may pass 24."""
+    size = F.abs(ms)
+    sign = F.when(ms < 0, "-").otherwise("")
+    two = lambda v: F.lpad(v.cast("string"), 2, "0")
+    hours = F.floor(size / 3_600_000)
+    hour = F.when(hours < 10, two(hours)).otherwise(hours.cast("string"))
+    part = F.when(size % 1000 != 0, F.concat(F.lit("."), F.lpad((size % 1000).cast("string"), 3, "0"))).otherwise("")
+    return F.concat(sign, hour, F.lit(":"), two(F.floor(size / 60_000) % 60), F.lit(":"), two(F.floor(size / 1000) % 60), part)
+
+
 def display_unit(c: Column, unit: str | float) -> Column:
     """Scale by a named or custom display unit."""
     return c / F.lit(DISPLAY_UNITS[unit] if isinstance(unit, str) else float(unit))
@@ -338,7 +349,8 @@ def _visible(section: Column) -> Column:
     """A format section without quoted text, bracketed parts, and characters after ``_`` or a backslash."""
     quoted = F.split(section, '"')
     # every second piece stands in quotes, but for a last one whose quote never closes
-    shown = F.array_join(F.filter(quoted, lambda p, i: (i % 2 == 0) | (i == F.size(quoted) - 1)), "")
+    last = lambda p, i: F.when(i == F.size(quoted) - 1, F.concat(F.lit('"'), p)).otherwise(F.lit(""))
+    shown = F.array_join(F.transform(quoted, lambda p, i: F.when(i % 2 == 0, p).otherwise(last(p, i))), "")
     closed = lambda p: F.when(p.contains("]"), F.substring(p, F.instr(p, "]") + 1, F.length(p))).otherwise(F.concat(F.lit("["), p))
     open_ = F.array_join(F.transform(F.split(shown, r"\["), lambda p, i: F.when(i == 0, p).otherwise(closed(p))), "")
     escaped = F.split(F.translate(open_, "\\", "_"), "_")

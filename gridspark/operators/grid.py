@@ -1,6 +1,8 @@
 """The cells table and everything that moves between it and ordinary tables.
 
-cells(book, sheet, row, col, dtype, v_num, v_str, v_ts, v_bool, err, formula, style_id)
+cells(book, sheet, row, col, dtype, v_num, v_str, v_ts, v_bool, time_ms, span_ms, err, formula, style_id)
+
+Times of day and durations are milliseconds.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from gridspark.functions import scalars as S
 from gridspark.scale import TILE_ROWS, hot_keys, running, salted_join, spread, tile_join
 
 SHEET = ["book", "sheet"]
-VALUES = ["dtype", "v_num", "v_str", "v_ts", "v_bool", "err", "formula", "style_id"]
+VALUES = ["dtype", "v_num", "v_str", "v_ts", "v_bool", "time_ms", "span_ms", "err", "formula", "style_id"]
 CELLS = SHEET + ["row", "col"] + VALUES
 
 _NULLS = {
@@ -23,6 +25,8 @@ _NULLS = {
     "v_str": "string",
     "v_ts": "timestamp_ntz",
     "v_bool": "boolean",
+    "time_ms": "bigint",
+    "span_ms": "bigint",
     "err": "string",
     "formula": "string",
     "style_id": "int",
@@ -122,6 +126,8 @@ def filled() -> Column:
         | F.col("v_str").isNotNull()
         | F.col("v_ts").isNotNull()
         | F.col("v_bool").isNotNull()
+        | F.col("time_ms").isNotNull()
+        | F.col("span_ms").isNotNull()
         | F.col("err").isNotNull()
         | F.col("formula").isNotNull(),
         F.lit(False),
@@ -136,6 +142,8 @@ def text_of(prefix: str = "") -> Column:
         S.short_text(c("v_num")),
         S.to_iso(c("v_ts")),
         F.when(c("v_bool"), F.lit("TRUE")).when(~c("v_bool"), F.lit("FALSE")),
+        S.clock_text(c("time_ms")),
+        S.clock_text(c("span_ms")),
         c("err"),
     )
 
@@ -145,7 +153,7 @@ def value_mode(cells: DataFrame, data_only: bool) -> DataFrame:
     if data_only:
         return cells.withColumn("formula", F.lit(None).cast("string"))
     has = F.col("formula").isNotNull()
-    blank = {n: F.when(~has, F.col(n)) for n in ("v_num", "v_ts", "v_bool", "err")}
+    blank = {n: F.when(~has, F.col(n)) for n in ("v_num", "v_ts", "v_bool", "time_ms", "span_ms", "err")}
     return cells.withColumns(
         {
             **blank,
@@ -324,11 +332,17 @@ def bind_annotations(cells: DataFrame, annotations: DataFrame, merges: DataFrame
     """Comments and links bound to cells.
 
     annotations(book, sheet, ref, kind, text). A ranged link covers every cell of
-    its range; a link on a covered cell of a merge moves to the merge's anchor.
+    its range (of whole rows or columns: as far as the sheet is used); a link on a covered cell of a
+    merge moves to the merge's anchor.
     """
+    corners = cells.select(*SHEET, "row", "col").unionByName(merges.select(*SHEET, F.col("max_row").alias("row"), F.col("max_col").alias("col")))
+    used = corners.groupBy(*SHEET).agg(F.max("row").alias("__rows"), F.max("col").alias("__cols"))
+    b = lambda side, other: F.coalesce(F.col(f"b.{side}"), other).cast("int").alias(side)
     ranged = (
-        annotations.withColumn("b", C.range_bounds(F.col("ref")))
-        .select(*SHEET, "kind", "text", "b.*")
+        annotations.withColumn("b", C.range_bounds(F.col("ref"))).filter("b is not null").join(used, SHEET)
+        .select(
+            *SHEET, "kind", "text", b("min_col", F.lit(1)), b("min_row", F.lit(1)), b("max_col", F.col("__cols")), b("max_row", F.col("__rows"))
+        ).filter("max_row >= min_row and max_col >= min_col")
         .select(*SHEET, "kind", "text", F.explode(F.sequence("min_row", "max_row")).alias("row"), "min_col", "max_col")
         .select(*SHEET, "kind", "text", "row", F.explode(F.sequence("min_col", "max_col")).alias("col"))
     )
@@ -382,7 +396,10 @@ def dict_row(values: dict[str | int, Column]) -> Column:
 
 
 def _row_item(col: Column, value: Column) -> Column:
-    number = value.try_cast("double")
+    """Numbers stay numbers and texts stay texts, also those that read as a number (``007``)."""
+    kind = F.typeof(value)
+    numeric = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double") | kind.startswith("decimal")
+    number = F.when(numeric, value.cast("string").try_cast("double"))
     return F.struct(
         col.cast("int").alias("col"),
         number.alias("v_num"),
@@ -416,8 +433,11 @@ def save_param_table(df: DataFrame, name: str, comment: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def provenance(cells: DataFrame, spots: dict[str, tuple[str, int, int]]) -> DataFrame:
-    """One row per book of single-cell values: name -> (sheet, row, col), as text."""
+def provenance(cells: DataFrame, spots: dict[str, tuple[str, int, int]], path: str | None = None, version: str | None = None) -> DataFrame:
+    """One row per book of single-cell values: name -> (sheet, row, col), as text.
+
+    Also says where the books lie (``path``), what read them (``version``), who and when.
+    """
     keep = None
     for sheet, row, col in spots.values():
         one = (F.col("sheet") == sheet) & (F.col("row") == row) & (F.col("col") == col)
@@ -426,4 +446,7 @@ def provenance(cells: DataFrame, spots: dict[str, tuple[str, int, int]]) -> Data
     for name, (sheet, row, col) in spots.items():
         one = (F.col("sheet") == sheet) & (F.col("row") == row) & (F.col("col") == col)
         picks.append(F.max(F.when(one, text_of())).alias(name))
-    return cells.filter(keep).groupBy("book").agg(*picks)
+    return cells.filter(keep).groupBy("book").agg(*picks).withColumns({
+        "path": F.lit(path).cast("string"), "version": F.lit(version).cast("string"),
+        "loaded_by": F.current_user(), "loaded_at": F.current_timestamp(),
+    })

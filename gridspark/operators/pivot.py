@@ -116,24 +116,24 @@ def show_running(agg: DataFrame, field: str, value: str, within: list[str], name
     return agg.withColumn(name, F.sum(value).over(w))
 
 
-def _totals(value: str, row: str, column: str) -> tuple[Column, Column, Column]:
+def _totals(agg: DataFrame, value: str, row: str, column: str) -> tuple[Column, Column, Column]:
     return (
         F.sum(value).over(Window.partitionBy(row)),
         F.sum(value).over(Window.partitionBy(column)),
-        F.sum(value).over(Window.partitionBy()),
+        whole(agg, s=F.sum(value))["s"],
     )
 
 
 def show_share(agg: DataFrame, row: str, column: str, value: str) -> DataFrame:
     """Share of the row, of the column and of the whole."""
-    r, c, g = _totals(value, row, column)
+    r, c, g = _totals(agg, value, row, column)
     v = F.col(value)
     return agg.withColumns({"of_row": F.try_divide(v, r), "of_column": F.try_divide(v, c), "of_total": F.try_divide(v, g)})
 
 
 def show_index(agg: DataFrame, row: str, column: str, value: str, name: str = "index") -> DataFrame:
     """value * grand total / (row total * column total)."""
-    r, c, g = _totals(value, row, column)
+    r, c, g = _totals(agg, value, row, column)
     return agg.withColumn(name, F.try_divide(F.col(value) * g, r * c))
 
 

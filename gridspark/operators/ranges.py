@@ -11,13 +11,16 @@ from gridspark.functions import coords as C
 SET_TILE = 256
 
 
-def expand_ranges(df: DataFrame, column: str, by: str = "row") -> DataFrame:
+def expand_ranges(df: DataFrame, column: str, by: str = "row", max_row: int = C.MAX_SHEET_ROW, max_col: int = C.MAX_COLUMN) -> DataFrame:
     """Range text (several ranges split by blanks) to its distinct cells with their place in the walk.
 
-    ``by`` walks rows or columns first; ``at`` is the position within the range.
+    ``by`` walks rows or columns first; ``at`` is the position within the range. Whole columns and
+    rows reach to ``max_row`` and ``max_col``.
     """
     one = df.withColumn("__part", F.explode(F.split(F.trim(F.col(column)), r"\s+")))
     b = one.withColumn("__b", C.range_bounds(F.col("__part"))).filter(F.col("__b").isNotNull())
+    ends = {"min_col": 1, "min_row": 1, "max_col": max_col, "max_row": max_row}
+    b = b.withColumn("__b", F.struct(*[F.coalesce(F.col(f"__b.{k}"), F.lit(v)).alias(k) for k, v in ends.items()]))
     r = F.col("__b")
     rows = b.withColumn("row", F.explode(F.sequence(r["min_row"], r["max_row"])))
     cells = rows.withColumn("col", F.explode(F.sequence(r["min_col"], r["max_col"])))

@@ -193,19 +193,26 @@ def parse_bands(c: Column) -> Column:
     )
 
 
-def band_join(facts: DataFrame, value: str, bands: DataFrame, keys: list[str] | None = None, width: int = 1000) -> DataFrame:
+def band_join(facts: DataFrame, value: str, bands: DataFrame, keys: list[str] | None = None, width: int = 1000, how: str = "left") -> DataFrame:
     """Facts with the band their value falls in: bands(<keys>, lower, upper, …), bounds inclusive.
 
-    Bands are cut to tiles of ``width``, so this is an equi join however many
-    bands there are; facts without a band drop out.
+    An upper bound of 999999 is open. Bands are cut to tiles of ``width``, so this is an equi join however many
+    bands there are; the bands that reach one tile travel together. Facts without a band have NULLs, or drop
+    out of an ``inner`` join.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"band join cannot be {how!r}")
     keys = keys or []
     tiled = bands.withColumn(
         "__tile", F.explode(F.sequence(F.floor(F.col("lower") / width), F.floor(F.col("upper") / width)))
     )
-    placed = facts.withColumn("__tile", F.floor(F.col(value) / width))
-    hit = salted_join(placed, tiled, [*keys, "__tile"], "inner")
-    return hit.filter(F.col(value).between(F.col("lower"), F.col("upper"))).drop("__tile")
+    others = [c for c in bands.columns if c not in keys]
+    together = tiled.groupBy(*keys, "__tile").agg(F.collect_list(F.struct(*others)).alias("__bands"))
+    placed = facts.withColumn("__tile", F.floor(F.least(F.col(value), F.lit(OPEN_TOP)) / width))
+    hit = salted_join(placed, together, [*keys, "__tile"], how)
+    v = F.col(value)
+    fits = F.filter("__bands", lambda b: (v >= b["lower"]) & ((v <= b["upper"]) | (b["upper"] >= OPEN_TOP)))
+    return hit.select(*facts.columns, (F.explode_outer if how == "left" else F.explode)(fits).alias("__band")).select(*facts.columns, "__band.*")
 
 
 def populate(df: DataFrame, lists: dict[str, list]) -> DataFrame:

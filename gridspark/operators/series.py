@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.grid import SHEET, text_of
-from gridspark.scale import salted_join
+from gridspark.scale import salted_join, whole
 
 
 def extract_series(cells: DataFrame, by: str = "col", titles: bool = True, x: int | None = None, first: int = 1) -> DataFrame:
     """Series of every sheet: one per column (or row), as (book, sheet, series, title, idx, x, y).
 
-    The first cell of a series may be its title; line ``x`` holds the x values.
+    The first cell of a series may be its title; line ``x`` holds the x values, numbers or texts
+    (``x_text`` has either as text).
     """
     along = "row" if by == "col" else "col"
     start = first + int(titles)
@@ -26,16 +27,18 @@ def extract_series(cells: DataFrame, by: str = "col", titles: bool = True, x: in
     y = points if x is None else points.filter(F.col(by) != x)
     out = y.select(*SHEET, F.col(by).alias("series"), along, F.col("v_num").alias("y"))
     if x is not None:
-        xs = points.filter(F.col(by) == x).select(*keys, F.col("v_num").alias("x"))
+        line = cells.filter((F.col(by) == x) & (F.col(along) >= start))
+        xs = line.select(*keys, F.col("v_num").alias("x"), text_of().alias("x_text"))
         out = out.join(xs, keys, "left")
     else:
-        out = out.withColumn("x", (F.col(along) - start + 1).cast("double"))
+        place = F.col(along) - start + 1
+        out = out.withColumns({"x": place.cast("double"), "x_text": place.cast("string")})
     if titles:
         heads = cells.filter(F.col(along) == first).select(*SHEET, F.col(by).alias("series"), text_of().alias("title"))
         out = salted_join(out, heads, [*SHEET, "series"], "left")
     else:
         out = out.withColumn("title", F.concat(F.lit("Series"), F.col("series")))
-    return out.select(*SHEET, "series", "title", (F.col(along) - start).alias("idx"), "x", "y")
+    return out.select(*SHEET, "series", "title", (F.col(along) - start).alias("idx"), "x", "x_text", "y")
 
 
 def stack_series(points: DataFrame) -> DataFrame:
@@ -149,7 +152,7 @@ def trend_extend(points: DataFrame, keys: list[str], forward: float = 0, backwar
     ends = points.groupBy(*keys).agg(F.min("x").cast("double").alias("lo"), F.max("x").cast("double").alias("hi"))
 
     def beyond(edge: Column, units: float, sign: int) -> Column:
-        n = int(units / step)
+        n = int(units / step + 1e-9)  # 0.3 holds three steps of 0.1
         return F.array(*[edge + F.lit(float(sign * i * step)) for i in range(1, n + 1)]).cast("array<double>")
 
     xs = F.explode(F.concat(beyond(F.col("lo"), backward, -1), beyond(F.col("hi"), forward, 1)))
@@ -211,14 +214,14 @@ def fill_blanks(points: DataFrame, keys: list[str], how: str, step: int = 1) ->
 def project_pie(agg: DataFrame, value: str, kind: str, split=None, order: str | None = None, item: str | None = None) -> DataFrame:
     """Which slices move to the second plot: ``second`` flag by pos, val, percent or cust."""
     v = F.col(value)
-    whole = Window.partitionBy()
     if kind == "pos":
-        last = F.row_number().over(whole.orderBy(F.col(order).desc()))
-        second = last <= split
+        # the last ``split`` slices: from the least of the greatest positions on
+        tail = agg.select(F.col(order).alias("__o")).orderBy(F.desc("__o")).limit(int(split))
+        second = F.col(order) >= whole(tail, o=F.min("__o"))["o"]
     elif kind == "val":
         second = v < F.lit(split)
     elif kind == "percent":
-        second = v * 100 < F.sum(v).over(whole) * F.lit(split)
+        second = v * 100 < whole(agg, s=F.sum(v))["s"] * F.lit(split)
     elif kind == "cust":
         second = F.col(item).isin(split)
     else:

@@ -82,8 +82,16 @@ def merge_cells(cells: DataFrame, merges: DataFrame) -> DataFrame:
     return kept.unionByName(missing, allowMissingColumns=True)
 
 
-def unmerge_cells(cells: DataFrame, merges: DataFrame) -> DataFrame:
-    """Drop the covered cells of merged ranges, keep their anchors."""
+def unmerge_cells(cells: DataFrame, merges: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Drop the covered cells of merged ranges, keep their anchors.
+
+    With the ranges merged so far as ``known``, a range that is not among them fails the job.
+    """
+    if known is not None:
+        place = [*SHEET, "min_col", "min_row", "max_col", "max_row"]
+        checked = merges.join(known.select(*place, F.lit(True).alias("__known")).distinct(), place, "left")
+        text = F.concat(F.lit("not merged: "), F.col("sheet"), F.lit("!"), C.coord(F.col("min_col"), F.col("min_row")), F.lit(":"), C.coord(F.col("max_col"), F.col("max_row")))
+        merges = checked.withColumn("min_row", F.when(F.col("__known"), F.col("min_row")).otherwise(F.raise_error(text).cast("int"))).drop("__known")
     covered = tile_join(cells, merges).filter(
         (F.col("row") != F.col("r_min_row")) | (F.col("col") != F.col("r_min_col"))
     )
@@ -152,8 +160,8 @@ def outline(cells: DataFrame, groups: DataFrame, axis: str = "row") -> DataFrame
         *SHEET, "level", "hidden",
         F.col("start").alias(span[0]), F.col("end").alias(span[1]), F.lit(1).alias(span[2]), F.lit(wide).alias(span[3]),
     )
-    hit = tile_join(cells, ranges, "left")
-    return hit.groupBy(*cells.columns).agg(
-        F.coalesce(F.max("r_level"), F.lit(0)).alias("level"),
-        F.coalesce(F.max("r_hidden"), F.lit(False)).alias("hidden"),
-    )
+    # levels belong to lines, of which there are far fewer than cells
+    lines = cells.select(*SHEET, axis).distinct().withColumn("col" if axis == "row" else "row", F.lit(1))
+    found = tile_join(lines, ranges).groupBy(*SHEET, axis).agg(F.max("r_level").alias("level"), F.max("r_hidden").alias("hidden"))
+    placed = cells.join(found, [*SHEET, axis], "left").select(*cells.columns, "level", "hidden")
+    return placed.withColumns({"level": F.coalesce("level", F.lit(0)), "hidden": F.coalesce("hidden", F.lit(False))})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridspark.functions import scalars as S
-from gridspark.scale import running
+from gridspark.scale import hot_keys, running, salted_join
 
 MAX_TEXT = 32767
 # Control characters a sheet cannot hold.
@@ -55,17 +55,22 @@ def type_cells(raw: DataFrame, epoch: int | Column = 1900) -> DataFrame:
 
 
 def classify_cells(cells: DataFrame, code: Column) -> DataFrame:
-    """Format class per cell, worked out once per style and joined back by style id."""
-    styles = cells.select("style_id").distinct().withColumn("class", S.classify_format(code))
-    return cells.join(styles, "style_id", "left")
+    """Format class per cell, worked out once per style of a book; one style may hold most cells.
+
+    Cells without a ``book`` are of one book.
+    """
+    keys = [k for k in ("book", "style_id") if k in cells.columns]
+    styles = cells.select(*keys).distinct().withColumn("class", S.classify_format(code))
+    return salted_join(cells, styles, keys, "left", hot=hot_keys(cells, keys))
 
 
 def bind_values(df: DataFrame, column: str) -> DataFrame:
     """Type of text on its way into a sheet: formula, error or text.
 
-    Text is cut at 32,767 characters; text with control characters is rejected
-    (value NULL, flag set) instead of failing the job.
+    Text is cut at 32,767 characters, which ``cut`` tells; text with control
+    characters is rejected (value NULL, flag set) instead of failing the job.
     """
+    long = F.coalesce(F.length(F.col(column)) > MAX_TEXT, F.lit(False))
     cut = F.substring(F.col(column), 1, MAX_TEXT)
     bad = F.coalesce(cut.rlike(ILLEGAL), F.lit(False))
     kind = (
@@ -73,7 +78,7 @@ def bind_values(df: DataFrame, column: str) -> DataFrame:
         .when(S.error_code(cut).isNotNull(), "e")
         .otherwise("s")
     )
-    return df.withColumns({"dtype": kind, column: F.when(~bad, cut), "rejected": bad})
+    return df.withColumns({"dtype": kind, column: F.when(~bad, cut), "rejected": bad, "cut": long})
 
 
 def merge_runs(runs: DataFrame, keys: list[str], position: str, block: Column, pieces: int = 100_000) -> DataFrame:
@@ -147,8 +152,18 @@ def profile_cells(cells: DataFrame) -> DataFrame:
 
 
 def dedupe_names(df: DataFrame, keys: list[str], name: str, order: list[str], block: Column) -> DataFrame:
-    """Later case-insensitive duplicates of a name get the next integer as suffix."""
-    folded = df.withColumn("__low", F.lower(name))
-    n = running(folded, [*keys, "__low"], order, {"__n": ("row_number", None)}, block)
-    suffix = F.when(F.col("__n") > 1, (F.col("__n") - 1).cast("string")).otherwise(F.lit(""))
-    return n.withColumn("title", F.concat(name, suffix)).drop("__low", "__n")
+    """Unique titles: later duplicates of a name, whatever their case, are numbered on.
+
+    A name is a stem and a number (``Sheet12``, none counts as 0). The first of equal names stays; the others
+    get their stem with the numbers above the highest one that the stem has in use.
+    """
+    low = F.lower(F.col(name))
+    digits = F.regexp_extract(low, "([0-9]{0,15})$", 1)
+    parts = {"__low": low, "__stem": F.left(low, F.length(low) - F.length(digits)), "__no": F.coalesce(digits.try_cast("bigint"), F.lit(0))}
+    seen = running(df.withColumns(parts), [*keys, "__low"], order, {"__n": ("row_number", None)}, block)
+    again = running(seen, [*keys, "__stem"], order, {"__k": ("sum", (F.col("__n") > 1).cast("bigint"))}, block)
+    stem = [*keys, "__stem"]
+    highest = seen.groupBy(*stem).agg(F.max("__no").alias("__high"))
+    placed = salted_join(again, highest, stem, "inner", hot=hot_keys(seen, stem))
+    numbered = F.concat(F.left(F.col(name), F.length("__stem")), (F.col("__high") + F.col("__k")).cast("string"))
+    return placed.withColumn("title", F.when(F.col("__n") > 1, numbered).otherwise(F.col(name))).drop(*parts, "__n", "__k", "__high")

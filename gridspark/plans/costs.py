@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions.scalars import normalise
+from gridspark.scale import whole
 from gridspark.operators.reshape import band_join, lookup_first, recode
 
 # Time periods, and the class rows of each derived table.
@@ -107,7 +108,7 @@ def discount_factor(schedule: DataFrame, rates: list[str], horizon: int, base_ye
 
     spine = schedule.sparkSession.range(0, horizon + 1).select(F.col("id").cast("int").alias("n"))
     bands = schedule.select(F.col("Lower_Bound").alias("lower"), F.least("Upper_Bound", F.lit(horizon)).alias("upper"), *rates).filter("lower <= upper")
-    yearly = band_join(spine, "n", bands, width=100)
+    yearly = band_join(spine, "n", bands, width=100, how="inner")
     so_far = Window.partitionBy().orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     factors = [
         F.exp(-F.sum(F.when(F.col("n") > 0, F.log1p(F.col(r))).otherwise(0.0)).over(so_far)).alias(f"factor_{i}")
@@ -302,10 +303,11 @@ def pair_attributes(pairs: DataFrame, p: DataFrame, occupancy: DataFrame, vot_wo
 
 
 def mode_attributes(modes: DataFrame, interim: DataFrame, code: str = "CODE") -> DataFrame:
-    """Cost parameters of the car classes; other modes get NULL."""
+    """Cost parameters of the car classes in every scenario; other modes get NULL."""
     names = ["Param_a", "Param_b", "Param_c", "Param_d", "Param_a1", "Param_b1"]
-    cars = interim.filter(F.col("AUC").isin(CAR_CLASSES)).select(F.col("AUC").alias(code), *names)
-    return modes.join(F.broadcast(cars), code, "left")
+    cars = interim.filter(F.col("AUC").isin(CAR_CLASSES)).select("scenario", F.col("AUC").alias(code), *names)
+    scenarios = whole(interim, s=F.sort_array(F.collect_set("scenario")))["s"]
+    return modes.withColumn("scenario", F.explode(scenarios)).join(F.broadcast(cars), ["scenario", code], "left")
 
 
 def apply_scenarios(cells: DataFrame, scenarios: list[str], overrides: DataFrame) -> DataFrame:

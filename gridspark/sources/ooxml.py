@@ -253,7 +253,7 @@ _PARTS = {
     f'<Relationship Id="rId2" Type="{_OFFICE}/styles" Target="styles.xml"/></Relationships>',
     "xl/styles.xml": f'<styleSheet xmlns="{_MAIN}"><numFmts count="1"><numFmt numFmtId="164" formatCode="yyyy-mm-dd h:mm:ss"/></numFmts><fonts count="1"><font/></fonts>'
     '<fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs>'
-    '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="164" applyNumberFormat="1"/></cellXfs></styleSheet>',
+    '<cellXfs count="3"><xf numFmtId="0"/><xf numFmtId="164" applyNumberFormat="1"/><xf numFmtId="46" applyNumberFormat="1"/></cellXfs></styleSheet>',
 }
 
 
@@ -261,6 +261,7 @@ def _escape(text: str) -> str:
     return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
 
 
+MAX_TEXT = 32767
 _ILLEGAL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
 
 
@@ -291,7 +292,11 @@ def cell_xml(ref: str, value) -> str:
         days = gap.days - 1 if 0 < gap.days <= 60 else gap.days
         serial = days + (gap.seconds + gap.microseconds / 1e6) / 86400
         return f'<c r="{ref}" s="1" t="n"><v>{serial:.16g}</v></c>'
-    text = str(value)[:32767]
+    if isinstance(value, dt.timedelta):
+        return f'<c r="{ref}" s="2" t="n"><v>{value / dt.timedelta(days=1):.16g}</v></c>'
+    text = str(value)
+    if len(text) > MAX_TEXT:
+        raise ValueError(f"cell {ref} would hold {len(text)} characters, more than {MAX_TEXT}")
     if _ILLEGAL.search(text):
         raise ValueError(f"control characters in cell {ref}")
     if len(text) > 1 and text[0] == "=":

@@ -7,8 +7,13 @@ and streams the wanted members as Arrow batches. Typing is done on the JVM side.
 
 from __future__ import annotations
 
+import re
+import zipfile
 from collections.abc import Iterator
+from urllib.parse import unquote
+from xml.etree import ElementTree
 
+from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +26,9 @@ from gridspark.operators.grid import CELLS, value_mode
 from gridspark.scale import running, spread
 from gridspark.sources import files, ooxml
 
-# File types that hold a readable workbook, and the row limit of a sheet.
+# File types that hold a readable workbook (as a glob, whatever the case), and the row limit of a sheet.
 EXTENSIONS = ("xlsx", "xlsm", "xltx", "xltm")
+ANY_WORKBOOK = "*.[xX][lL][sStT][xXmM]"
 MAX_ROWS = 1048576
 BATCH = 20000
 
@@ -49,13 +55,29 @@ def _list_files(spark: SparkSession, path: str) -> DataFrame:
     last = path.rstrip("/").rsplit("/", 1)[-1]
     if "." in last and "*" not in last and last.rsplit(".", 1)[-1].lower() not in EXTENSIONS:
         raise ValueError(f"not a workbook: {path} (one of {', '.join(EXTENSIONS)})")
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join(EXTENSIONS) + "}")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", ANY_WORKBOOK)
     # only path and length: the content column is never read on the JVM side
     return reader.option("recursiveFileLookup", "true").load(path).select("path")
 
 
-def _scan(spark: SparkSession, path: str, ddl: str, rows_of) -> DataFrame:
-    """``rows_of(book name, Workbook)`` yields tuples in the order of ``ddl``."""
+def book_name(uri: str, root: str) -> str:
+    """Path of a file below the folder that is scanned, so equal names in two folders are two books.
+
+    ``root`` may hold wildcards: what follows its last folder without one counts.
+    """
+    bare = lambda u: re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", u)
+    steps = bare(root).rstrip("/").split("/")
+    fixed = "/".join(steps[: next((i for i, s in enumerate(steps) if re.search(r"[*?\[{]", s)), len(steps))])
+    path = unquote(bare(uri))
+    inside = path[path.find(fixed) + len(fixed) :] if fixed and fixed in path else path
+    return inside.lstrip("/") or path.rsplit("/", 1)[-1]
+
+
+def _scan(spark: SparkSession, path: str, ddl: str, rows_of, broken=None) -> DataFrame:
+    """``rows_of(book name, Workbook)`` yields tuples in the order of ``ddl``.
+
+    ``broken(book name, reason)`` gives the row of a file that is no readable workbook; without it the job fails.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -70,13 +92,18 @@ def _scan(spark: SparkSession, path: str, ddl: str, rows_of) -> DataFrame:
         rows: list[tuple] = []
         for b in batches:
             for uri in b.column(0).to_pylist():
-                name = uri.rsplit("/", 1)[-1]
-                with files.open_file(uri) as handle:
-                    for r in rows_of(name, ooxml.Workbook(handle)):
-                        rows.append(r)
-                        if len(rows) >= BATCH:
-                            yield batch(rows)
-                            rows = []
+                name = book_name(uri, path)
+                try:
+                    with files.open_file(uri) as handle:
+                        for r in rows_of(name, ooxml.Workbook(handle)):
+                            rows.append(r)
+                            if len(rows) >= BATCH:
+                                yield batch(rows)
+                                rows = []
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
+                    if broken is None:
+                        raise
+                    rows.append(broken(name, f"unreadable: {type(e).__name__}: {e}"))
         if rows:
             yield batch(rows)
 
@@ -101,7 +128,10 @@ def scan_raw(spark: SparkSession, path: str, sheets: list[str] | None = None, ma
                 fmt = formats[style] if style < len(formats) else 0
                 yield book, sheet, row, col, t, v, formula, si, style, fmt, custom.get(fmt), wb.epoch
 
-    return _scan(spark, path, _RAW, rows_of)
+    def broken(book: str, reason: str) -> tuple:
+        return book, None, None, None, "e", reason, None, None, None, None, None, None
+
+    return _scan(spark, path, _RAW, rows_of, broken)
 
 
 def scan_workbooks(
@@ -110,7 +140,8 @@ def scan_workbooks(
     """A folder of workbooks as typed cells, with cached values or with formulas in their place.
 
     Shared formulas are spelled out while their sheet streams by, which saves
-    reading the files again for a join.
+    reading the files again for a join. A file that cannot be read gives one row without
+    a sheet, its reason in ``err``.
     """
     raw = scan_raw(spark, path, sheets, max_row)
     code = F.coalesce("format_code", S.format_code(F.col("format_id")))
@@ -122,7 +153,7 @@ def scan_workbooks(
 
 def scan_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Sheets of every workbook in order, with their state."""
-    return _scan(spark, path, _CATALOGUE, lambda book, wb: ((book, *r) for r in wb.catalogue()))
+    return _scan(spark, path, _CATALOGUE, lambda book, wb: ((book, *r) for r in wb.catalogue()), lambda book, reason: (book, None, None, "unreadable", reason))
 
 
 def scan_properties(spark: SparkSession, path: str) -> DataFrame:
@@ -162,12 +193,12 @@ def scan_external(spark: SparkSession, path: str) -> DataFrame:
 
 
 class _Committed(WriterCommitMessage):
-    def __init__(self, moves: list[tuple[str, str]], rows: int):
-        self.moves, self.rows = moves, rows
+    def __init__(self, rows: int):
+        self.rows = rows
 
 
 class WorkbookWriter(DataSourceArrowWriter):
-    """Each task writes its files under attempt names; the commit gives them their own."""
+    """Each task writes a file under an attempt name and gives it its own name once it is whole."""
 
     def __init__(self, options, schema):
         self.folder = options["path"].rstrip("/")
@@ -183,42 +214,42 @@ class WorkbookWriter(DataSourceArrowWriter):
         fs, folder = files.filesystem(self.folder)
         fs.create_dir(folder, recursive=True)
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
-        moves, rows, current, sheet, handle = [], 0, None, None, None
+        rows, current, sheet, handle, temp = 0, None, None, None, None
 
         def finish():
             if sheet is not None:
                 sheet.close()
                 handle.close()
-
-        for b in batches:
-            names = b.column(b.schema.get_field_index("__file")).to_pylist()
-            columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in self.columns]
-            for name, values in zip(names, zip(*columns)):
-                if name != current:
-                    finish()
-                    current = name
-                    temp, final = f"{folder}/_{attempt}-{name}.part", f"{folder}/{name}.xlsx"
-                    moves.append((temp, final))
-                    handle = fs.open_output_stream(temp)
-                    sheet = ooxml.SheetWriter(handle, self.title)
-                    if self.header:
-                        sheet.append(self.columns)
-                sheet.append(values)
-                rows += 1
-        finish()
-        return _Committed(moves, rows)
+                fs.move(temp, f"{folder}/{current}.xlsx")  # a task that runs again writes the same file again
+
+        try:
+            for b in batches:
+                names = b.column(b.schema.get_field_index("__file")).to_pylist()
+                columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in self.columns]
+                for name, values in zip(names, zip(*columns)):
+                    if name != current:
+                        finish()
+                        current, temp = name, f"{folder}/_{attempt}-{name}.part"
+                        handle = fs.open_output_stream(temp)
+                        sheet = ooxml.SheetWriter(handle, self.title)
+                        if self.header:
+                            sheet.append(self.columns)
+                    sheet.append(values)
+                    rows += 1
+            finish()
+        except BaseException:
+            if handle is not None:
+                handle.close()
+                if fs.get_file_info(temp).type == FileType.File:
+                    fs.delete_file(temp)
+            raise
+        return _Committed(rows)
 
     def commit(self, messages):
-        fs, _ = files.filesystem(self.folder)
-        for m in messages:
-            for temp, final in m.moves if m else []:
-                fs.move(temp, final)
+        """Files have their names already."""
 
     def abort(self, messages):
-        fs, _ = files.filesystem(self.folder)
-        for m in messages:
-            for temp, _ in m.moves if m else []:
-                fs.delete_file(temp)
+        """Whole files of finished tasks stay, as in an append that is run again."""
 
 
 class WorkbookDataSource(DataSource):
@@ -237,19 +268,21 @@ def write_workbooks(
 ) -> None:
     """One workbook per value of ``by``, rows in ``order``.
 
-    A sheet holds 1,048,576 rows, so a larger key goes on in ``<key>_2``,
-    ``<key>_3`` …: rows are numbered by a blocked scan and every file is a task
-    of bounded size. Zoned timestamps are refused, blanks leave no cell.
+    A sheet holds 1,048,576 rows, so a larger key goes on in ``<key>~2``,
+    ``<key>~3`` …: rows are numbered by a blocked scan and every file is a task
+    of bounded size. In a key ``~`` is written ``~~`` and ``/`` is written ``~s``; NULL is ``~null``. So no
+    two keys share a file. Zoned timestamps and texts a cell cannot hold are refused, blanks leave no cell.
     """
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampType):
             raise TypeError(f"column {f.name}: sheets hold no time zones")
-        if not isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType)):
+        if not isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType, T.DayTimeIntervalType)):
             raise ValueError(f"column {f.name}: cannot convert {f.dataType.simpleString()}")
-    key = F.coalesce(F.col(by).cast("string"), F.lit("blank"))
+    text = F.col(by).cast("string")
+    key = F.coalesce(F.replace(F.replace(text, F.lit("~"), F.lit("~~")), F.lit("/"), F.lit("~s")), F.lit("~null"))
     numbered = running(df.withColumn("__key", key), ["__key"], order, {"__n": ("row_number", None)}, block)
     part = F.floor((F.col("__n") - 1) / (max_rows - int(header)))
-    name = F.when(part == 0, F.col("__key")).otherwise(F.concat("__key", F.lit("_"), part + 1))
+    name = F.when(part == 0, F.col("__key")).otherwise(F.concat("__key", F.lit("~"), part + 1))
     named = numbered.withColumn("__file", name)
     placed = spread(named, "__file").sortWithinPartitions("__file", "__n").drop("__key", "__n")
     df.sparkSession.dataSource.register(WorkbookDataSource)

@@ -229,12 +229,13 @@ def _(t):
 
 @query(
     "m30_mode_attributes",
-    ctes() + """, c AS (SELECT c_custkey, ['CB', 'CC', 'CO', 'LGV', 'BUS'][c_nationkey % 5 + 1] AS code FROM customer) SELECT c_custkey, code AS "CODE", round(a, 6) AS a, round(d, 8) AS d, round(a1, 6) AS a1, round(b1, 6) AS b1 FROM c LEFT JOIN (SELECT * FROM par WHERE auc IN ('CB', 'CC', 'CO')) ON auc = code""",
+    ctes() + """, c AS (SELECT c_custkey, ['CB', 'CC', 'CO', 'LGV', 'BUS'][c_nationkey % 5 + 1] AS code FROM customer) SELECT c_custkey, code AS "CODE", round(a, 6) AS a, round(d, 8) AS d, round(a1, 6) AS a1, round(b1, 6) AS b1, sc FROM c CROSS JOIN (VALUES ('early'), ('late')) s(sc) LEFT JOIN (SELECT * FROM par WHERE auc IN ('CB', 'CC', 'CO')) ON auc = code""",
 )
 def _(t):
     modes = t.customer.select("c_custkey", pick(["CB", "CC", "CO", "LGV", "BUS"], F.col("c_nationkey") % 5).alias("CODE"))
-    out = X.mode_attributes(modes, Book(t).voc_parameters(X.params(t.spark, BASE)))
-    return out.select("c_custkey", "CODE", F.round("Param_a", 6).alias("a"), F.round("Param_d", 8).alias("d"), F.round("Param_a1", 6).alias("a1"), F.round("Param_b1", 6).alias("b1"))
+    both = X.params(t.spark, {**BASE, "scenario": "early"}, {**BASE, "scenario": "late"})
+    out = X.mode_attributes(modes, Book(t).voc_parameters(both)).withColumn("sc", F.col("scenario"))
+    return out.select("c_custkey", "CODE", "sc", F.round("Param_a", 6).alias("a"), F.round("Param_d", 8).alias("d"), F.round("Param_a1", 6).alias("a1"), F.round("Param_b1", 6).alias("b1"))
 
 
 @query(

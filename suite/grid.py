@@ -142,6 +142,7 @@ def _(t):
     "a11_bind_annotations",
     SUPPLIER_SQL
     + f""", hits AS (SELECT *, 'link' AS kind, 'https://example.com/' || sheet AS note FROM cells WHERE "row" = 2 AND col IN (1, 4)
+          UNION ALL SELECT *, 'link', 'whole column' FROM cells WHERE (col = 3 AND "row" <> 2) OR (col = 1 AND "row" = 2)
           UNION ALL SELECT *, 'comment', 'top of ' || sheet FROM cells WHERE "row" = 1 AND col = 1)
        SELECT book, sheet, "row"::INT AS "row", col::INT AS col, kind, note, {TEXT} AS text FROM hits""",
 )
@@ -150,6 +151,7 @@ def _(t):
     sheets = cells.select("book", "sheet").distinct()
     notes = sheets.select("book", "sheet", F.explode(F.array(
         F.struct(F.lit("B2:D2").alias("ref"), F.lit("link").alias("kind"), F.concat(F.lit("https://example.com/"), "sheet").alias("text")),
+        F.struct(F.lit("C:C").alias("ref"), F.lit("link").alias("kind"), F.lit("whole column").alias("text")),
         F.struct(F.lit("A1").alias("ref"), F.lit("comment").alias("kind"), F.concat(F.lit("top of "), "sheet").alias("text")),
     )).alias("a")).select("book", "sheet", "a.*")
     merges = sheets.select("book", "sheet", F.lit(1).alias("min_col"), F.lit(2).alias("min_row"),
@@ -179,19 +181,20 @@ def _(t):
     + f""", n AS (SELECT 'n' || c_nationkey AS sheet, c_custkey, c_name, c_acctbal,
               row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i FROM customer),
          last AS (SELECT sheet, max("row") AS m FROM cells GROUP BY sheet)
-       SELECT 'sup' AS book, sheet, "row"::INT AS "row", col::INT AS col, {TEXT} AS text FROM cells
-       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 1, c_custkey::VARCHAR FROM n LEFT JOIN last ON n.sheet = last.sheet
-       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 2, c_name FROM n LEFT JOIN last ON n.sheet = last.sheet
-       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 4, CASE WHEN c_acctbal = floor(c_acctbal) THEN c_acctbal::BIGINT::VARCHAR ELSE c_acctbal::VARCHAR END FROM n LEFT JOIN last ON n.sheet = last.sheet""",
+       SELECT 'sup' AS book, sheet, "row"::INT AS "row", col::INT AS col, {TEXT} AS text, dtype FROM cells
+       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 3, lpad(c_custkey::VARCHAR, 7, '0'), 's' FROM n LEFT JOIN last ON n.sheet = last.sheet WHERE c_custkey % 2 = 1
+       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 1, c_custkey::VARCHAR, 'n' FROM n LEFT JOIN last ON n.sheet = last.sheet
+       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 2, c_name, 's' FROM n LEFT JOIN last ON n.sheet = last.sheet
+       UNION ALL SELECT 'sup', n.sheet, (coalesce(m, 0) + i)::INT, 4, CASE WHEN c_acctbal = floor(c_acctbal) THEN c_acctbal::BIGINT::VARCHAR ELSE c_acctbal::VARCHAR END, 'n' FROM n LEFT JOIN last ON n.sheet = last.sheet""",
 )
 def _(t):
     c = t.customer
     rows = c.select(
         F.lit("sup").alias("book"), F.concat(F.lit("n"), F.col("c_nationkey")).alias("sheet"), "c_custkey",
-        F.when(F.col("c_custkey") % 2 == 0, G.dict_row({"A": F.col("c_custkey").cast("string"), 2: F.col("c_name"), "D": F.col("c_acctbal").cast("string")}))
-        .otherwise(G.list_row(F.col("c_custkey").cast("string"), F.col("c_name"), F.lit(None).cast("string"), F.col("c_acctbal").cast("string"))).alias("values"),
+        F.when(F.col("c_custkey") % 2 == 0, G.dict_row({"A": F.col("c_custkey"), 2: F.col("c_name"), "D": F.col("c_acctbal")}))
+        .otherwise(G.list_row(F.col("c_custkey"), F.col("c_name"), F.lpad(F.col("c_custkey").cast("string"), 7, "0"), F.col("c_acctbal"))).alias("values"),
     )
-    return texts(G.append_rows(supplier_cells(t), rows, ["c_custkey"], block_of("c_custkey")))
+    return texts(G.append_rows(supplier_cells(t), rows, ["c_custkey"], block_of("c_custkey")), "dtype")
 
 
 @query(
@@ -204,14 +207,18 @@ def _(t):
         F.col("p_partkey").alias("Part Key"), F.concat(F.lit(" "), "p_name").alias("Part Name"),
         F.col("p_size").alias("Size (cm)"), F.col("p_retailprice").alias("Retail Price"),
     )
-    return G.param_table(named, ["Part Key"], block_of("Part Key"))
+    made = G.param_table(named, ["Part Key"], block_of("Part Key"))
+    return G.save_param_table(made, "gridspark_parts", "parts by key")
 
 
 @query(
     "a16_provenance",
     CUSTOMER_SQL + f"""SELECT book, max(CASE WHEN sheet = 'BUILDING' AND "row" = 1 AND col = 2 THEN {TEXT} END) AS version,
        max(CASE WHEN sheet = 'MACHINERY' AND "row" = 2 AND col = 4 THEN {TEXT} END) AS tax_correction,
-       max(CASE WHEN sheet = 'FURNITURE' AND "row" = 2 AND col = 1 THEN {TEXT} END) AS price_year FROM cells GROUP BY book""",
+       max(CASE WHEN sheet = 'FURNITURE' AND "row" = 2 AND col = 1 THEN {TEXT} END) AS price_year, 'lake/crm' AS path, '2024.1' AS reader, true AS signed FROM cells GROUP BY book""",
 )
 def _(t):
-    return G.provenance(customer_cells(t), {"version": ("BUILDING", 1, 2), "tax_correction": ("MACHINERY", 2, 4), "price_year": ("FURNITURE", 2, 1)})
+    spots = {"version_": ("BUILDING", 1, 2), "tax_correction": ("MACHINERY", 2, 4), "price_year": ("FURNITURE", 2, 1)}
+    told = G.provenance(customer_cells(t), spots, "lake/crm", "2024.1")
+    signed = (F.col("loaded_by") != "") & F.col("loaded_at").isNotNull()
+    return told.select("book", F.col("version_").alias("version"), "tax_correction", "price_year", "path", F.col("version").alias("reader"), signed.alias("signed"))

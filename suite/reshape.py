@@ -86,12 +86,13 @@ def _(t):
 
 @query(
     "m7_pivot_mean",
-    """SELECT year(l_shipdate)::INT AS y, l_returnflag, round(avg(CASE WHEN l_linenumber = 1 THEN l_quantity END), 6) AS p1, round(avg(CASE WHEN l_linenumber = 2 THEN l_quantity END), 6) AS p2, round(avg(CASE WHEN l_linenumber = 3 THEN l_quantity END), 6) AS p3 FROM lineitem GROUP BY ALL""",
+    """SELECT year(l_shipdate)::INT AS y, l_returnflag, round(avg(CASE WHEN l_linenumber = 1 THEN l_quantity END), 6) AS p1, round(avg(CASE WHEN l_linenumber = 2 THEN l_quantity END), 6) AS p2, round(avg(CASE WHEN l_linenumber = 3 THEN l_quantity END), 6) AS p3, round(avg(CASE WHEN l_linenumber = 4 THEN l_quantity END), 6) AS p4,
+       round(avg(CASE WHEN l_linenumber = 5 THEN l_quantity END), 6) AS p5, round(avg(CASE WHEN l_linenumber = 6 THEN l_quantity END), 6) AS p6, round(avg(CASE WHEN l_linenumber = 7 THEN l_quantity END), 6) AS p7 FROM lineitem GROUP BY ALL""",
 )
 def _(t):
     long = t.lineitem.select(F.year("l_shipdate").alias("y"), "l_returnflag", F.concat(F.lit("p"), "l_linenumber").alias("p"), "l_quantity")
-    wide = M.pivot_mean(long, ["y", "l_returnflag"], "p", ["p1", "p2", "p3"], "l_quantity")
-    return wide.select("y", "l_returnflag", *[F.round(c, 6).alias(c) for c in ("p1", "p2", "p3")])
+    wide = M.pivot_mean(long, ["y", "l_returnflag"], "p", [f"p{i}" for i in range(1, 8)], "l_quantity")
+    return wide.select("y", "l_returnflag", *[F.round(f"p{i}", 6).alias(f"p{i}") for i in range(1, 8)])
 
 
 _KEYS = "nullif(l_returnflag, 'N') AS flag, l_linestatus AS status"
@@ -114,13 +115,13 @@ def _(t):
 
 @query(
     "m9_natural_outer",
-    """SELECT k, coalesce(a, 0)::BIGINT AS a, coalesce(b, 0)::BIGINT AS b, coalesce(c, 0)::BIGINT AS c, coalesce(d, 0)::DOUBLE AS d FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderkey % 5 < 4)
+    """SELECT k, coalesce(a, 0)::BIGINT AS a, coalesce(b, 0)::BIGINT AS b, coalesce(c, 0)::BIGINT AS c, coalesce(d, 0)::DOUBLE AS d FROM (SELECT DISTINCT o_custkey AS k FROM orders)
        LEFT JOIN (SELECT o_custkey AS k, count(*) AS a FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1) USING (k) LEFT JOIN (SELECT o_custkey AS k, count(*) AS b FROM orders WHERE o_orderkey % 5 = 1 GROUP BY 1) USING (k)
-       LEFT JOIN (SELECT o_custkey AS k, count(*) AS c FROM orders WHERE o_orderkey % 5 = 2 GROUP BY 1) USING (k) LEFT JOIN (SELECT o_custkey AS k, max(o_totalprice) AS d FROM orders WHERE o_orderkey % 5 = 3 GROUP BY 1) USING (k)""",
+       LEFT JOIN (SELECT o_custkey AS k, count(*) AS c FROM orders WHERE o_orderkey % 5 = 2 GROUP BY 1) USING (k) LEFT JOIN (SELECT o_custkey AS k, max(o_totalprice) AS d FROM orders WHERE o_orderkey % 5 > 2 GROUP BY 1) USING (k)""",
 )
 def _(t):
     o = t.orders.withColumn("k", F.col("o_custkey"))
-    part = lambda i, agg: o.filter(F.col("o_orderkey") % 5 == i).groupBy("k").agg(agg)
+    part = lambda i, agg: o.filter(F.least(F.col("o_orderkey") % 5, F.lit(3)) == i).groupBy("k").agg(agg)
     n = F.count(F.lit(1))
     return M.natural_outer([part(0, n.alias("a")), part(1, n.alias("b")), part(2, n.alias("c")), part(3, F.max("o_totalprice").alias("d"))], ["a", "b", "c", "d"])
 
@@ -173,22 +174,26 @@ _BANDS = ["0-10", "11-25", "26-40", "41 and over"]
 
 @query(
     "m15_band_join",
-    """SELECT l_returnflag, CASE WHEN l_quantity <= 10 THEN '0-10' WHEN l_quantity <= 25 THEN '11-25' WHEN l_quantity <= 40 THEN '26-40' ELSE '41 and over' END AS band, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY ALL""",
+    """SELECT l_returnflag, CASE WHEN q <= 10 THEN '0-10' WHEN q BETWEEN 11 AND 25 THEN '11-25' WHEN q BETWEEN 26 AND 40 THEN '26-40' WHEN q >= 41 THEN '41 and over' END AS band, count(*) AS n, sum(q) AS q
+       FROM (SELECT l_returnflag, CASE l_linenumber WHEN 1 THEN l_quantity + 0.5 WHEN 2 THEN l_quantity * 100000 ELSE l_quantity END AS q FROM lineitem) GROUP BY ALL""",
 )
 def _(t):
     bands = t.spark.range(1).select(F.explode(F.array(*[F.lit(b) for b in _BANDS])).alias("band")).select("band", M.parse_bands(F.col("band")).alias("b")).select("band", "b.*")
-    return M.band_join(t.lineitem.select("l_returnflag", "l_quantity"), "l_quantity", bands).groupBy("l_returnflag", "band").agg(rows(), F.sum("l_quantity").alias("q"))
+    n, v = F.col("l_linenumber"), F.col("l_quantity")
+    q = F.when(n == 1, v + 0.5).when(n == 2, v * 100_000).otherwise(v)  # some between two bands, some beyond the last bound
+    return M.band_join(t.lineitem.select("l_returnflag", q.alias("q")), "q", bands).groupBy("l_returnflag", "band").agg(rows(), F.sum("q").alias("q"))
 
 
 @query(
     "m16_discount_factor",
-    """SELECT o_orderkey, round(o_totalprice * pow(1.035, -least(n, 3)) * pow(1.03, -greatest(n - 3, 0)), 4) AS present, round(pow(1.015, -least(n, 3)) * pow(1.0129, -greatest(n - 3, 0)), 9) AS health FROM (SELECT *, year(o_orderdate) - 1995 AS n FROM orders)""",
+    """SELECT o_orderkey, CASE WHEN n >= 0 THEN round(o_totalprice * pow(1.035, -least(n, 3)) * pow(1.03, -greatest(n - 3, 0)), 4) END AS present, CASE WHEN n >= 0 THEN round(pow(1.015, -least(n, 3)) * pow(1.0129, -greatest(n - 3, 0)), 9) END AS health FROM (SELECT *, year(o_orderdate) - 1997 AS n FROM orders)""",
 )
 def _(t):
     one = lambda a, b, r, h: F.struct(F.lit(a).alias("Lower_Bound"), F.lit(b).alias("Upper_Bound"), F.lit(r).alias("std"), F.lit(h).alias("health"))
     schedule = t.spark.range(1).select(F.inline(F.array(one(0, 3, 0.035, 0.015), one(4, M.OPEN_TOP, 0.03, 0.0129))))
-    factors = X.discount_factor(schedule, ["std", "health"], 30, 1995)
-    joined = t.orders.withColumn("year", F.year("o_orderdate")).join(F.broadcast(factors), "year")
+    last = t.orders.agg(F.max(F.year("o_orderdate"))).first()[0] or 1997
+    factors = X.discount_factor(schedule, ["std", "health"], max(0, last - 1997), 1997)
+    joined = t.orders.withColumn("year", F.year("o_orderdate")).join(F.broadcast(factors), "year", "left")  # a year before the base has no factor
     return joined.select("o_orderkey", F.round(F.col("o_totalprice") * F.col("factor_0"), 4).alias("present"), F.round("factor_1", 9).alias("health"))
 
 

@@ -200,7 +200,7 @@ def _(t):
     "b13_bind_values",
     """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'f' WHEN doc_id % 11 = 1 THEN 'e' WHEN doc_id % 11 = 3 THEN 's' ELSE 's' END AS dtype,
        CASE WHEN doc_id % 11 = 0 THEN '=' || left(text, 32766) WHEN doc_id % 11 = 1 THEN '#REF!' WHEN doc_id % 11 = 2 THEN NULL WHEN doc_id % 11 = 3 THEN '=' ELSE left(text, 32767) END AS value,
-       CASE WHEN doc_id % 11 = 2 THEN true ELSE regexp_matches(left(text, 32767), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]') AND doc_id % 11 NOT IN (1, 3) END AS rejected FROM documents""",
+       CASE WHEN doc_id % 11 = 2 THEN true ELSE regexp_matches(left(text, 32767), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]') AND doc_id % 11 NOT IN (1, 3) END AS rejected, doc_id % 11 NOT IN (1, 3) AND length(text) + (doc_id % 11 IN (0, 2))::INT > 32767 AS cut FROM documents""",
 )
 def _(t):
     k = F.col("doc_id") % 11
@@ -306,10 +306,14 @@ def _(t):
 
 @query(
     "b24_dedupe_names",
-    """SELECT p_brand AS book, p_partkey, p_name || CASE WHEN n > 1 THEN (n - 1)::VARCHAR ELSE '' END AS title
-       FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, lower(p_name) ORDER BY p_partkey) AS n FROM part)""",
+    """WITH a AS (SELECT p_brand AS book, p_partkey, CASE p_partkey % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name || '2' ELSE p_name END AS name FROM part),
+       b AS (SELECT *, regexp_extract(lower(name), '([0-9]{0,15})$', 1) AS d, row_number() OVER (PARTITION BY book, lower(name) ORDER BY p_partkey) AS n FROM a),
+       c AS (SELECT *, left(name, length(name) - length(d)) AS stem FROM b),
+       e AS (SELECT *, max(coalesce(try_cast(d AS BIGINT), 0)) OVER (PARTITION BY book, lower(stem)) AS high, sum((n > 1)::INT) OVER (PARTITION BY book, lower(stem) ORDER BY p_partkey ROWS UNBOUNDED PRECEDING) AS k FROM c)
+       SELECT book, p_partkey, CASE WHEN n > 1 THEN stem || (high + k)::BIGINT ELSE name END AS title FROM e""",
 )
 def _(t):
-    mixed = F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.col("p_name"))
+    k = F.col("p_partkey") % 4
+    mixed = F.when(k == 0, F.upper("p_name")).when(k == 1, F.concat("p_name", F.lit("2"))).otherwise(F.col("p_name"))
     named = t.part.select(F.col("p_brand").alias("book"), "p_partkey", mixed.alias("name"))
     return T.dedupe_names(named, ["book"], "name", ["p_partkey"], block_of("p_partkey")).select("book", "p_partkey", "title")

@@ -24,13 +24,13 @@ def rounded(df, n, *cols):
 @query(
     "k1_extract_series",
     SUPPLIER_SQL + """, v AS (SELECT * FROM cells WHERE "row" >= 2 AND v_num IS NOT NULL), h AS (SELECT * FROM cells WHERE "row" = 1)
-       SELECT 'col' AS walk, v.sheet, v.col::INT AS series, h.v_str AS title, (v."row" - 2)::INT AS idx, x.v_num AS x, v.v_num AS y FROM v JOIN h ON h.sheet = v.sheet AND h.col = v.col
-         LEFT JOIN (SELECT * FROM v WHERE col = 1) x ON x.sheet = v.sheet AND x."row" = v."row" WHERE v.col <> 1
-       UNION ALL SELECT 'row', sheet, "row"::INT, 'Series' || "row", (col - 1)::INT, col::DOUBLE, v_num FROM v""",
+       SELECT 'col' AS walk, v.sheet, v.col::INT AS series, h.v_str AS title, (v."row" - 2)::INT AS idx, x.v_num AS x, x.t AS x_text, v.v_num AS y FROM v JOIN h ON h.sheet = v.sheet AND h.col = v.col
+         LEFT JOIN (SELECT *, coalesce(v_str, v_num::BIGINT::VARCHAR) AS t FROM cells WHERE "row" >= 2 AND col = 2) x ON x.sheet = v.sheet AND x."row" = v."row" WHERE v.col <> 2
+       UNION ALL SELECT 'row', sheet, "row"::INT, 'Series' || "row", (col - 1)::INT, col::DOUBLE, col::VARCHAR, v_num FROM v""",
 )
 def _(t):
     cells = supplier_cells(t)
-    a = K.extract_series(cells, "col", titles=True, x=1).withColumn("walk", F.lit("col"))
+    a = K.extract_series(cells, "col", titles=True, x=2).withColumn("walk", F.lit("col"))
     b = K.extract_series(cells, "row", titles=False).withColumn("walk", F.lit("row"))
     return a.unionByName(b).drop("book")
 
@@ -94,10 +94,13 @@ def _(t):
 @query(
     "k8_trend_extend",
     _EV + """, f AS (SELECT series, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, min(x) AS lo, max(x) AS hi FROM p GROUP BY 1)
-       SELECT series, (hi + d)::DOUBLE AS x, round(a + b * (hi + d), 6) AS y FROM f, (VALUES (1), (2), (3)) v(d) UNION ALL SELECT series, (lo - d)::DOUBLE, round(a + b * (lo - d), 6) FROM f, (VALUES (1), (2)) v(d)""",
+       SELECT series, (hi + d)::DOUBLE AS x, round(a + b * (hi + d), 6) AS y FROM f, (VALUES (1), (2), (3)) v(d) UNION ALL SELECT series, (lo - d)::DOUBLE, round(a + b * (lo - d), 6) FROM f, (VALUES (1), (2)) v(d)
+       UNION ALL SELECT series || ' fine', round(hi + d, 6), round(a + b * (hi + d), 6) FROM f, (VALUES (0.1), (0.2), (0.3)) v(d)""",
 )
 def _(t):
-    return rounded(K.trend_extend(daily(t), ["series"], forward=3, backward=2), 6, "y")
+    coarse = K.trend_extend(daily(t), ["series"], forward=3, backward=2)
+    fine = K.trend_extend(daily(t), ["series"], forward=0.3, step=0.1).withColumn("series", F.concat("series", F.lit(" fine")))
+    return rounded(coarse.unionByName(fine), 6, "x", "y")
 
 
 @query(
@@ -116,7 +119,7 @@ def _(t):
     return p.groupBy("series", "y", "fixed_low", "pct_high", "sd_low", "se_high", "cust_low").agg(F.count(F.lit(1)).alias("k"))
 
 
-_HOURLY = """WITH p AS (SELECT event_type AS series, (epoch(date_trunc('hour', ts)) // 3600)::BIGINT AS x, round(sum(value), 2) AS y FROM events WHERE event_id % 3 = 0 GROUP BY ALL),
+_HOURLY = """WITH p AS (SELECT event_type AS series, (epoch(date_trunc('hour', ts)) // 3600)::BIGINT AS x, round(sum(value), 2) AS y FROM events GROUP BY ALL),
   g AS (SELECT series, unnest(range(lo, hi + 1)) AS x FROM (SELECT series, min(x) AS lo, max(x) AS hi FROM p GROUP BY 1)), f AS (SELECT g.series, g.x, p.y FROM g LEFT JOIN p ON p.series = g.series AND p.x = g.x) """
 
 
@@ -129,7 +132,7 @@ _HOURLY = """WITH p AS (SELECT event_type AS series, (epoch(date_trunc('hour', t
 def _(t):
     # hours since 1970 from the wall clock, whatever the session's zone
     hour = (F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour("ts")).cast("bigint")
-    p = t.events.filter("event_id % 3 = 0").groupBy(F.col("event_type").alias("series"), hour.alias("x")).agg(F.round(F.sum("value"), 2).alias("y"))
+    p = t.events.groupBy(F.col("event_type").alias("series"), hour.alias("x")).agg(F.round(F.sum("value"), 2).alias("y"))
     span = K.fill_blanks(p, ["series"], "span").withColumnRenamed("y", "span")
     zero = K.fill_blanks(p, ["series"], "zero").withColumnRenamed("y", "zero")
     gap = K.fill_blanks(p, ["series"], "gap").withColumnRenamed("y", "gap")

@@ -65,7 +65,7 @@ def _(t):
 )
 def _(t):
     cells = part_cells(t)
-    return texts(D.unmerge_cells(cells, _merges(cells)))
+    return texts(D.unmerge_cells(cells, _merges(cells), _merges(cells)))
 
 
 @query(

@@ -14,9 +14,11 @@ from suite.common import TEXT, cells_sql
 from suite.registry import query
 
 _BOOK_SQL = cells_sql(
-    "(SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderdate, o_custkey % 40 AS part, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS price, '=B2*' || o_orderkey AS twice FROM orders)",
+    "(SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, o_orderdate, o_custkey % 40 AS part, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS price, '=B2*' || o_orderkey AS twice FROM orders)",
     "part || '.xlsx'", "'data'", "o_orderkey", {"o_orderkey": "n", "price": "n", "o_orderpriority": "s", "o_orderdate": "d", "twice": "s"},
 )
+# how long an order has waited, as a duration cell beyond the other columns
+_WAIT = "lpad((o_custkey % 90)::VARCHAR, 2, '0') || ':' || lpad((o_orderkey % 60)::VARCHAR, 2, '0') || ':00'"
 
 
 def written(t) -> str:
@@ -25,16 +27,18 @@ def written(t) -> str:
     o = t.orders
     rows = o.select(
         "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice")).alias("price"), "o_orderpriority", "o_orderdate",
-        F.concat(F.lit("=B2*"), "o_orderkey").alias("twice"), (F.col("o_custkey") % 40).alias("part"),
+        F.concat(F.lit("=B2*"), "o_orderkey").alias("twice"),
+        F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 90).cast("int"), (F.col("o_orderkey") % 60).cast("int")).alias("waited"), (F.col("o_custkey") % 40).alias("part"),
     )
     W.write_workbooks(rows, folder, "part", ["o_orderkey"], block_of("o_orderkey"), sheet="data")
     return folder
 
 
-@query("a1_scan_workbooks", _BOOK_SQL + f"""SELECT book, sheet, "row"::INT AS "row", col::INT AS col, dtype, {TEXT} AS text FROM cells WHERE col < 5""")
+@query("a1_scan_workbooks", _BOOK_SQL + f"""SELECT book, sheet, "row"::INT AS "row", col::INT AS col, dtype, {TEXT} AS text FROM cells WHERE col < 5
+    UNION ALL SELECT book, sheet, r, 6, 'n', {_WAIT} FROM src UNION ALL SELECT DISTINCT book, sheet, 1, 6, 's', 'waited' FROM src""")
 def _(t):
     cells = W.scan_workbooks(t.spark, written(t))
-    return cells.filter("col < 5").select("book", "sheet", "row", "col", "dtype", G.text_of().alias("text"))
+    return cells.filter("col <> 5 and col < 7").select("book", "sheet", "row", "col", "dtype", G.text_of().alias("text"))
 
 
 @query(
@@ -64,7 +68,7 @@ def _(t):
 
 @query(
     "a12_write_workbooks",
-    "SELECT o_orderkey::VARCHAR AS id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS day, o_orderpriority AS priority, (o_custkey % 40) || CASE WHEN rn > 99 THEN '_' || ((rn - 1) // 99 + 1) ELSE '' END || '.xlsx' AS book FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) AS rn FROM orders)",
+    "SELECT o_orderkey::VARCHAR AS id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS day, o_orderpriority AS priority, (o_custkey % 40) || CASE WHEN rn > 99 THEN '~' || ((rn - 1) // 99 + 1) ELSE '' END || '.xlsx' AS book FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) AS rn FROM orders)",
 )
 def _(t):
     folder = f"{shared_folder(t.spark)}/split-{uuid.uuid4().hex}"

@@ -21,7 +21,7 @@ def spark():
 @pytest.fixture(scope="session")
 def make_cells(spark):
     """Cells from {(sheet, "B2"): value}, one book."""
-    from gridspark.operators.grid import CELLS
+    from gridspark.operators.grid import CELLS, as_cells
     from gridspark.sources.ooxml import place
 
     schema = (
@@ -36,6 +36,6 @@ def make_cells(spark):
             num = float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else None
             text = v if isinstance(v, str) else None
             rows.append((book, sheet, row, col, "n" if num is not None else "s", num, text, None, None, None, None, None))
-        return spark.createDataFrame(rows, schema).select(*CELLS)
+        return as_cells(spark.createDataFrame(rows, schema)).select(*CELLS)
 
     return make

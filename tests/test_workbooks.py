@@ -88,7 +88,7 @@ def test_write_splits_large_keys_and_reads_back(spark, tmp_path):
     W.write_workbooks(rows, str(tmp_path / "out"), "k", ["id"], block_of("id", 64), max_rows=101)
     cells = W.scan_workbooks(spark, str(tmp_path / "out"), data_only=True)
     back = G.read_range(cells, None, "A:E", header=True, names=["id", "k", "x", "t", "even"])
-    assert {r["book"]: r["count"] for r in back.groupBy("book").count().collect()} == {"hot.xlsx": 100, "hot_2.xlsx": 100, "cold.xlsx": 50}
+    assert {r["book"]: r["count"] for r in back.groupBy("book").count().collect()} == {"hot.xlsx": 100, "hot~2.xlsx": 100, "cold.xlsx": 50}
     got = {int(r["id"]): r for r in back.collect()}
     assert float(got[100]["x"]) == pytest.approx(100 / 7, rel=1e-15) and got[3]["t"] == "a<b & 'c'" and got[3]["even"] == "FALSE"
     assert got[99]["row"] == 101 and got[100]["row"] == 2
@@ -100,3 +100,42 @@ def test_zoned_timestamps_and_odd_types_are_refused(spark, tmp_path):
         W.write_workbooks(spark.range(1).withColumn("t", F.current_timestamp()), str(tmp_path), "id", ["id"], block_of("id"))
     with pytest.raises(ValueError, match="cannot convert"):
         W.write_workbooks(spark.range(1).withColumn("t", F.array(F.lit(1))), str(tmp_path), "id", ["id"], block_of("id"))
+
+
+def test_times_and_durations_are_kept(spark, archive, tmp_path):
+    book = tmp_path / "book.xlsx"
+    with zipfile.ZipFile(book) as z:
+        parts = {n: z.read(n).decode() for n in z.namelist()}
+    parts["xl/styles.xml"] = parts["xl/styles.xml"].replace('<xf numFmtId="46"/>', '<xf numFmtId="46"/><xf numFmtId="21"/>')
+    parts["xl/worksheets/sheet1.xml"] = parts["xl/worksheets/sheet1.xml"].replace("<v>1.5</v>", "<v>1.5</v></c><c s=\"3\"><v>0.5</v>")
+    with zipfile.ZipFile(book, "w") as z:
+        for name, body in parts.items():
+            z.writestr(name, body)
+    cells = W.scan_workbooks(spark, archive, data_only=True)
+    c = at(cells.withColumn("text", G.text_of()).filter(G.filled()))
+    assert c[1, 4]["time_ms"] == 43_200_000 and c[1, 4]["text"] == "12:00:00"
+    assert c[4, 5]["span_ms"] == 108_000_000 and c[4, 5]["text"] == "30:00:00"
+
+
+def test_books_are_named_by_path_and_any_case_is_read(spark, archive, tmp_path):
+    (tmp_path / "a b").mkdir()
+    data = (tmp_path / "book.xlsx").read_bytes()
+    (tmp_path / "a b" / "book.xlsx").write_bytes(data)
+    (tmp_path / "UP.XLSX").write_bytes(data)
+    (tmp_path / "torn.xlsx").write_bytes(data[: len(data) // 2])
+    cells = W.scan_workbooks(spark, archive)
+    n = {r["book"]: r["count"] for r in cells.groupBy("book").count().collect()}
+    assert set(n) == {"book.xlsx", "a b/book.xlsx", "UP.XLSX", "torn.xlsx"} and n["a b/book.xlsx"] == n["UP.XLSX"] == n["book.xlsx"]
+    assert n["torn.xlsx"] == 1 and cells.filter("book = 'torn.xlsx'").first()["err"].startswith("unreadable")
+    assert W.scan_catalogue(spark, archive).filter("state = 'unreadable'").count() == 1
+
+
+def test_keys_never_share_a_file_and_long_texts_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(["a"] * 5 + ["a~2"] * 2 + [None, "~null", "x/y"])], "id int, k string")
+    W.write_workbooks(rows, str(tmp_path / "out"), "k", ["id"], block_of("id"), max_rows=4)
+    names = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert names == sorted(["a.xlsx", "a~2.xlsx", "a~~2.xlsx", "~null.xlsx", "~~null.xlsx", "x~sy.xlsx"])
+    long = spark.range(1).select("id", F.repeat(F.lit("x"), 40_000).alias("t"))
+    with pytest.raises(Exception, match="40000 characters"):
+        W.write_workbooks(long, str(tmp_path / "no"), "id", ["id"], block_of("id"))
+    assert not list((tmp_path / "no").iterdir())
