@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.lets import let
@@ -151,82 +151,99 @@ def infer_time(c: Column) -> Column:
 _SPLIT = 134217729.0
 
 
-def _rounded_digits(s: Column) -> Column:
-    """size * 10^(15 - e) rounded half-even, from the exact value of the double.
+def _digit_steps() -> list:
+    """Steps to the 16 significant digits of ``x``; each names values worked out from those before it.
 
-    The product is taken with its rounding error (both factors split into exact
-    halves), so the digit that decides is the true one. 10^0 … 10^21 are exact.
+    size * 10^(15 - e) is rounded half-even from the exact value of the double: the product is taken with its
+    rounding error (both factors split into exact halves), so the digit that decides is the true one. Values
+    outside 1e-6 to 1e16 give NULLs. 10^0 to 10^21 are exact.
     """
-    tens = F.array(*[F.lit(10.0**i) for i in range(22)])
+    exact = F.array(*[F.lit(10.0**i) for i in range(22)])
+    tens = F.array(*[F.lit(float(f"1e{i}")) for i in range(-7, 18)])
 
-    def factors(v: Column) -> Column:
-        x, t = v["x"], v["t"]
-        cx, ct = x * _SPLIT, t * _SPLIT
-        return F.struct((x * t).alias("p"), x.alias("x"), (cx - (cx - x)).alias("xh"), t.alias("t"), (ct - (ct - t)).alias("th"))
+    def exponent(v) -> dict:
+        # the logarithm may be off by one
+        below, above = (F.try_element_at(tens, v("guess") + i) for i in (8, 9))
+        return {"e": v("guess") + F.when(v("size") < below, -1).when(v("size") >= above, 1).otherwise(0)}
 
-    def product(v: Column) -> Column:
-        p, xh, th = v["p"], v["xh"], v["th"]
-        xl, tl = v["x"] - xh, v["t"] - th
-        error = ((xh * th - p) + xh * tl + xl * th) + xl * tl
-        base = F.floor(p)
-        return F.struct(base.alias("base"), ((p - base.cast("double")) + error + 0.5).alias("up"))
+    def halves(v) -> dict:
+        split = lambda c: c * _SPLIT - (c * _SPLIT - c)
+        return {"p": v("size") * v("t"), "xh": split(v("size")), "th": split(v("t"))}
 
-    def digits(v: Column) -> Column:
-        n = v["base"] + F.floor(v["up"])
-        tie = (F.floor(v["up"]).cast("double") == v["up"]) & (n % 2 == 1)
-        return F.when(tie, n - 1).otherwise(n)
+    def product(v) -> dict:
+        xh, th, p = v("xh"), v("th"), v("p")
+        xl, tl = v("size") - xh, v("t") - th
+        error = ((xh * th - p) + xh * tl + xl * th) + xl * tl
+        return {"base": F.floor(p), "up": ((p - F.floor(p).cast("double")) + error + 0.5)}
 
-    given = F.struct(s["size"].alias("x"), F.element_at(tens, F.lit(16) - s["e"]).alias("t"))
-    return let(given, lambda a: let(factors(a), lambda b: let(product(b), digits)))
+    def digits(v) -> dict:
+        n = v("base") + F.floor(v("up"))
+        tie = (F.floor(v("up")).cast("double") == v("up")) & (n % 2 == 1)
+        return {"n": F.when(tie, n - 1).otherwise(n).cast("string")}
 
+    return [
+        lambda v: {"size": F.abs(v("x"))},
+        lambda v: {"guess": F.when((v("size") >= 1e-6) & (v("size") < 1e16), F.floor(F.log10(v("size"))).cast("int"))},
+        exponent,
+        lambda v: {"t": F.try_element_at(exact, F.lit(16) - v("e"))},
+        halves, product, digits,
+    ]
 
-def safe_string(c: Column) -> Column:
-    """Number as text with 16 significant digits; NaN and infinities empty; NULL ``none``.
 
-    Digits come from the exact binary value, as C's ``%.16g`` takes them, not
-    from the shortest text that reads back; beyond 1e16 and below 1e-6 from the latter.
-    """
-    x = c.cast("double")
-    size = F.abs(x)
+def _sixteen(v) -> Column:
+    """Text of ``x`` from the values of ``_digit_steps``."""
+    x, size, e, n = v("x"), v("size"), v("e"), v("n")
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     tidy = r"\.?0+$"
-    sci = F.format_string("%.15e", x)
-
-    def place(s: Column) -> Column:
-        # 16 or 17 digits with the point d places from the right
-        d = F.lit(15) - s["e"]
-        padded = F.lpad(s["n"], F.greatest(F.length(s["n"]), d + 1), F.lit("0"))
-        cut = F.length(padded) - d
-        point = F.concat(F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, d))
-        tail = F.concat(F.substring(s["n"], 1, 1), F.lit("."), F.substring(s["n"], 2, 15))
-        small = F.concat(F.regexp_replace(tail, tidy, ""), F.lit("e-0"), F.abs(s["e"]).cast("string"))
-        return F.when(s["e"] >= -4, F.rtrim(F.rtrim(point, F.lit("0")), F.lit("."))).otherwise(small)
-
-    # decimal exponent, put right where the logarithm is off by one
-    guess = F.floor(F.log10(size)).cast("int")
-    tens = F.array(*[F.lit(float(f"1e{i}")) for i in range(-7, 18)])
-
-    def exponent(g: Column) -> Column:
-        off = F.when(size < F.element_at(tens, g + 8), -1).when(size >= F.element_at(tens, g + 9), 1).otherwise(0)
-        return F.struct(size.alias("size"), (g + off).alias("e"))
-
-    exact = let(
-        let(guess, exponent),
-        lambda s: let(F.struct(_rounded_digits(s).cast("string").alias("n"), s["e"].alias("e")), place),
-    )
+    # 16 or 17 digits with the point d places from the right
+    d = F.lit(15) - e
+    padded = F.lpad(n, F.greatest(F.length(n), d + 1), F.lit("0"))
+    cut = F.length(padded) - d
+    point = F.concat(F.substring(padded, F.lit(1), cut), F.lit("."), F.substring(padded, cut + 1, d))
+    tail = F.concat(F.substring(n, 1, 1), F.lit("."), F.substring(n, 2, 15))
+    small = F.concat(F.regexp_replace(tail, tidy, ""), F.lit("e-0"), F.abs(e).cast("string"))
+    near = F.when(e >= -4, F.rtrim(F.rtrim(point, F.lit("0")), F.lit("."))).otherwise(small)
     far = F.concat(
         F.regexp_replace(F.regexp_extract(F.format_string("%.15e", size), r"^(\d\.\d+)e", 1), tidy, ""),
-        F.regexp_extract(sci, r"(e[+-]\d+)$", 1),
+        F.regexp_extract(F.format_string("%.15e", x), r"(e[+-]\d+)$", 1),
     )
     return (
         F.when(x.isNull(), "none")
         .when(F.isnan(x) | (size == F.lit(float("inf"))), "")
         .when((x == F.floor(x)) & (size < 1e16), x.cast("decimal(20,0)").cast("string"))
-        .when((size >= 1e-6) & (size < 1e16), F.concat(sign, exact))
+        .when(e.isNotNull(), F.concat(sign, near))
         .otherwise(F.concat(sign, far))
     )
 
 
+def safe_string(c: Column) -> Column:
+    """Number as text with 16 significant digits; NaN and infinities empty; NULL ``none``.
+
+    Digits come from the exact binary value, as C's ``%.16g`` takes them, not
+    from the shortest text that reads back; beyond 1e16 and below 1e-6 from the latter.
+    For whole tables ``safe_strings`` is faster.
+    """
+
+    def go(values: dict[str, Column], steps: list) -> Column:
+        if not steps:
+            return _sixteen(values.__getitem__)
+        made = F.struct(*[x.alias(k) for k, x in {**values, **steps[0](values.__getitem__)}.items()])
+        names = [*values, *steps[0](values.__getitem__)]
+        return let(made, lambda s: go({k: s[k] for k in names}, steps[1:]))
+
+    return let(F.struct(c.cast("double").alias("x")), lambda s: go({"x": s["x"]}, _digit_steps()))
+
+
+def safe_strings(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``safe_string`` of several columns, every step a projection of its own: generated code throughout."""
+    out = df.withColumns({f"__{n}_x": c.cast("double") for n, c in columns.items()})
+    made = {f"__{n}_x" for n in columns}
+    for step in _digit_steps():
+        new = {f"__{n}_{k}": x for n in columns for k, x in step(lambda k, n=n: F.col(f"__{n}_{k}")).items()}
+        out, made = out.withColumns(new), made | set(new)
+    return out.withColumns({n: _sixteen(lambda k, n=n: F.col(f"__{n}_{k}")) for n in columns}).drop(*made)
+
+
 def short_text(c: Column) -> Column:
     """Number as the shortest text that reads back; whole numbers without a point."""
     return F.when((c == F.floor(c)) & (F.abs(c) < 1e15), c.cast("bigint").cast("string")).otherwise(

@@ -15,12 +15,15 @@ from gridspark.scale import running, whole
 VALUE_BLOCKS = 4096
 
 
-def ranked_values(df: DataFrame, value: Column) -> DataFrame:
-    """Distinct values ``v`` with their count ``n`` and the rows up to and including them ``cum``."""
-    counts = df.select(value.cast("double").alias("v")).filter("v is not null").groupBy("v").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    ends = whole(df.select(value.cast("double").alias("v")), lo=F.min("v"), hi=F.max("v"))
+def value_counts(df: DataFrame, value: Column) -> DataFrame:
+    """Distinct values ``v`` with their count ``n``: one pass, from which all order statistics are taken."""
+    rows = df.select(value.cast("double").alias("v")).filter("v is not null")
+    return rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ranked_values(counts: DataFrame) -> DataFrame:
+    """``value_counts`` with the rows up to and including each value, ``cum``."""
+    ends = whole(counts, lo=F.min("v"), hi=F.max("v"))
     lo, hi = ends["lo"], ends["hi"]
     above = F.col("v") - lo
     even = F.coalesce(F.floor(F.try_divide(above, hi - lo) * VALUE_BLOCKS), F.lit(0))
@@ -33,21 +36,22 @@ def _at(position: Column) -> Column:
     return F.max(F.when((F.col("cum") >= position) & (F.col("cum") - F.col("n") < position), F.col("v")))
 
 
-def nth_value(df: DataFrame, value: Column, position: Column) -> Column:
+def nth_value(counts: DataFrame, position: Column) -> Column:
     """Value at 1-based ``position`` in ascending order."""
-    return ranked_values(df, value).agg(_at(position)).scalar()
+    return ranked_values(counts).agg(_at(position)).scalar()
 
 
 def percentiles(df: DataFrame, value: Column, fractions: list[float]) -> Column:
     """Exact percentiles with linear interpolation, as a struct p0, p1, …"""
-    n = df.agg(F.count(value)).scalar()
+    counts = value_counts(df, value)
+    n = whole(counts, n=F.sum("n"))["n"]
     fields = []
     for i, p in enumerate(fractions):
         position = (n - 1) * F.lit(float(p))
         low = F.floor(position)
         a, b = _at(low + 1), _at(F.ceil(position) + 1)
         fields.append((a + (b - a) * (position - low)).alias(f"p{i}"))
-    return ranked_values(df, value).agg(F.struct(*fields)).scalar()
+    return ranked_values(counts).agg(F.struct(*fields)).scalar()
 
 
 def thresholds(df: DataFrame, column: str, stops: list[tuple[str, float | str | None]]) -> list[Column]:
@@ -56,9 +60,9 @@ def thresholds(df: DataFrame, column: str, stops: list[tuple[str, float | str |
     Kinds: num, min, max, percent (of the span), percentile, formula (SQL text).
     """
     c = F.col(column)
-    ends = whole(df, lo=F.min(c).cast("double"), hi=F.max(c).cast("double"))
     wanted = [float(v) / 100 for k, v in stops if k == "percentile"]
     exact = percentiles(df, c, wanted) if wanted else None
+    ends = whole(value_counts(df, c), lo=F.min("v"), hi=F.max("v")) if wanted else whole(df, lo=F.min(c).cast("double"), hi=F.max(c).cast("double"))
     out, i = [], 0
     for kind, v in stops:
         if kind == "num":
@@ -89,6 +93,7 @@ def top_threshold(df: DataFrame, column: str, n: int, percent: bool = False, bot
         best = df.select(c.alias("v")).filter("v is not null")
         best = best.orderBy(F.col("v") if bottom else F.col("v").desc()).limit(n)
         return best.agg(F.max("v") if bottom else F.min("v")).scalar()
-    count = df.agg(F.count(c)).scalar()
+    counts = value_counts(df, c)
+    count = whole(counts, n=F.sum("n"))["n"]
     take = F.greatest(F.lit(1), F.floor(count * F.lit(n) / 100))
-    return nth_value(df, c, take if bottom else count - take + 1)
+    return nth_value(counts, take if bottom else count - take + 1)
