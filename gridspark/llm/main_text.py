@@ -332,7 +332,9 @@ def train(pages: DataFrame | None = None, id_col: str = "page_id", html_col: str
     if pages is not None:
         body = F.col(html_col).cast("string")
         some = pages.select(F.col(id_col).alias("id"), body.alias("html")).filter(F.length("html") <= SAMPLE_CHARS)
-        some = some.withColumn("pick", F.xxhash64("id", "html")).orderBy("pick").limit(SAMPLE).collect()
+        some = some.withColumn("pick", F.xxhash64("id", "html"))
+        picks = [r.pick for r in some.select("pick").orderBy("pick").limit(SAMPLE).collect()]
+        some = some.filter(F.col("pick") <= max(picks)).dropDuplicates(["pick"]).collect() if picks else []  # SAMPLE rows
         for r in sorted(some, key=lambda r: r.pick):
             page = Page(r.html)
             if mark_semantic(page):
