@@ -227,15 +227,18 @@ def _custom_place(c: Column, listed: list[str]) -> Column:
     return F.when(place > 0, place).when(c.isNotNull(), F.lit(len(listed) + 1))
 
 
+def _key(k: dict) -> Column:
+    c = F.col(k["column"])
+    if k.get("custom"):
+        return _custom_place(c, k["custom"])
+    return F.lower(c) if k.get("text") and not k.get("case_sensitive") else c
+
+
 def sort_keys(keys: list[dict]) -> list[Column]:
     """Sort keys ``{column, descending, custom, case_sensitive}``; blanks last either way."""
     out = []
     for k in keys:
-        c = F.col(k["column"])
-        if k.get("custom"):
-            c = _custom_place(c, k["custom"])
-        elif k.get("text") and not k.get("case_sensitive"):
-            c = F.lower(c)
+        c = _key(k)
         out.append(c.desc_nulls_last() if k.get("descending") else c.asc_nulls_last())
     return out
 
@@ -245,18 +248,15 @@ def sort_state(df: DataFrame, keys: list[dict]) -> DataFrame:
 
 
 def sort_rank(df: DataFrame, keys: list[dict], block: list[Column], name: str = "rank") -> DataFrame:
-    """Position of every row under numeric or custom-list keys, without a global sort window.
+    """Position of every row under the keys of ``sort_keys``, each in its own type, without a global sort window.
 
-    ``block`` lists coarse forms of the leading keys over columns ``__k0``, ``__k1``, …
+    ``block`` lists coarse forms of the leading keys, over columns ``__k0``, ``__k1``, …, that ascend
+    along the sort (so of a descending key the negative).
     """
-    cols, flags = {}, []
-    for i, k in enumerate(keys):
-        c = _custom_place(F.col(k["column"]), k["custom"]) if k.get("custom") else F.col(k["column"])
-        c = c.cast("double")
-        cols[f"__k{i}"] = F.coalesce(-c if k.get("descending") else c, F.lit(float("inf")))
-        flags.append(f"__k{i}")
-    ranked = running(df.withColumns(cols), [], flags, {name: ("row_number", None)}, F.struct(*[b.alias(f"b{i}") for i, b in enumerate(block)]))
-    return ranked.drop(*flags)
+    cols = {f"__k{i}": _key(k) for i, k in enumerate(keys)}
+    by = [F.col(c).desc_nulls_last() if k.get("descending") else F.col(c).asc_nulls_last() for c, k in zip(cols, keys, strict=True)]
+    blocks = F.struct(*[b.alias(f"b{i}") for i, b in enumerate(block)])
+    return running(df.withColumns(cols), [], list(cols), {name: ("row_number", None)}, blocks, by).drop(*cols)
 
 
 def auto_filter(df: DataFrame, tests: list[Column], sort: list[dict] | None = None) -> DataFrame:

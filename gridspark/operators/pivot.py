@@ -240,8 +240,10 @@ def top_by_measure(agg: DataFrame, value: str, kind: str, amount: float, bottom:
         sign = F.lit(1 if bottom else -1)
         counts = agg.filter(c.isNotNull()).groupBy((c * sign).alias("v")).agg(F.sum(c).alias("s"))
         ends = whole(counts, lo=F.min("v"), hi=F.max("v"))
-        block = F.coalesce(F.floor(F.try_divide(F.col("v") - ends["lo"], ends["hi"] - ends["lo"]) * 4096), F.lit(0))
-        scan = running(counts, [], ["v"], {"cum": ("sum", F.col("s"))}, block)
+        above = F.col("v") - ends["lo"]
+        even = F.coalesce(F.floor(F.try_divide(above, ends["hi"] - ends["lo"]) * 4096), F.lit(0))
+        fine = F.when(above > 0, F.floor(F.log2(above) * 256)).otherwise(F.lit(-1_000_000))  # where one value lies far off
+        scan = running(counts, [], ["v"], {"cum": ("sum", F.col("s"))}, F.struct(even.alias("a"), fine.alias("b")))
         # the first value, walking from the best, at which the target is reached; all when it never is
         reached = scan.filter(F.col("cum") >= target).agg(F.min("v")).scalar()
         edge = F.coalesce(reached, ends["hi"]) * sign

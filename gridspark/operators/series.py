@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.grid import SHEET, text_of
-from gridspark.scale import salted_join, whole
+from gridspark.scale import block_of, running, salted_join, spread, whole
+
+GRID_TILE = 4096
 
 
 def extract_series(cells: DataFrame, by: str = "col", titles: bool = True, x: int | None = None, first: int = 1) -> DataFrame:
@@ -140,10 +142,18 @@ def poly_at(coef: Column, x: Column) -> Column:
     return F.aggregate(F.reverse(coef), F.lit(0.0), lambda acc, c: acc * x + c)
 
 
-def moving_avg(points: DataFrame, keys: list[str], period: int) -> DataFrame:
-    """Average of the last ``period`` points; undefined before there are that many."""
-    w = Window.partitionBy(*keys).orderBy("x").rowsBetween(-(period - 1), 0)
-    return points.withColumn("ma", F.when(F.count(F.lit(1)).over(w) == period, F.avg("y").over(w)))
+def moving_avg(points: DataFrame, keys: list[str], period: int, block: Column | None = None, size: int = 1 << 16) -> DataFrame:
+    """Average of the last ``period`` points; undefined before there are that many.
+
+    Points are numbered along ``x`` by a blocked scan and cut into pieces of ``size``; each piece also sees the
+    ``period`` - 1 points before it, so a long series is many tasks.
+    """
+    numbered = running(points, keys, ["x"], {"__n": ("row_number", None)}, block if block is not None else block_of("x"))
+    own, ahead = F.floor((F.col("__n") - 1) / size), F.floor((F.col("__n") + period - 2) / size)
+    cut = numbered.withColumn("__piece", F.explode(F.sequence(own, ahead))).withColumn("__own", F.col("__piece") == own)
+    w = Window.partitionBy(*keys, "__piece").orderBy("__n").rowsBetween(-(period - 1), 0)
+    seen = cut.withColumn("ma", F.when(F.col("__n") >= period, F.avg("y").over(w)))
+    return seen.filter("__own").drop("__n", "__piece", "__own")
 
 
 def trend_extend(points: DataFrame, keys: list[str], forward: float = 0, backward: float = 0, step: float = 1) -> DataFrame:
@@ -193,7 +203,13 @@ def fill_blanks(points: DataFrame, keys: list[str], how: str, step: int = 1) ->
     straight line between the known neighbours.
     """
     ends = points.groupBy(*keys).agg(F.min("x").alias("__lo"), F.max("x").alias("__hi"))
-    grid = ends.select(*keys, F.explode(F.sequence("__lo", "__hi", F.lit(step).cast("bigint"))).alias("x"))
+    # first the tiles of a series, spread over the tasks, then the places of each tile
+    tile = F.lit(GRID_TILE * step)
+    count = F.floor((F.col("__hi") - F.col("__lo")) / tile)
+    tiles = spread(ends.withColumn("__tile", F.explode(F.sequence(F.lit(0).cast("bigint"), count))), *keys, "__tile")
+    first = F.col("__lo") + F.col("__tile") * tile
+    places = F.sequence(first, F.least(F.col("__hi"), first + tile - step), F.lit(step).cast("bigint"))
+    grid = tiles.select(*keys, F.explode(places).alias("x"))
     full = grid.join(points.select(*keys, "x", "y"), [*keys, "x"], "left")
     if how == "gap":
         return full
@@ -202,10 +218,9 @@ def fill_blanks(points: DataFrame, keys: list[str], how: str, step: int = 1) ->
     if how != "span":
         raise ValueError(f"unknown blank handling {how!r}")
     known = F.when(F.col("y").isNotNull(), F.struct(F.col("x").alias("x"), F.col("y").alias("y")))
-    order = Window.partitionBy(*keys).orderBy("x")
-    left = F.last(known, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first(known, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    both = full.withColumns({"__l": left, "__r": right})
+    blocks = block_of("x", GRID_TILE * step)
+    lefts = running(full, keys, ["x"], {"__l": ("last", known)}, blocks).withColumn("__back", -F.col("x"))
+    both = running(lefts, keys, ["__back"], {"__r": ("last", known)}, -blocks).drop("__back")
     slope = (F.col("__r.y") - F.col("__l.y")) / (F.col("__r.x") - F.col("__l.x"))
     line = F.col("__l.y") + (F.col("x") - F.col("__l.x")) * slope
     return both.withColumn("y", F.coalesce("y", line)).drop("__l", "__r")

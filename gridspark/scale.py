@@ -30,9 +30,12 @@ def running(
     order: list[str],
     outputs: dict[str, tuple[str, Column | None]],
     block: Column,
+    by: list[Column] | None = None,
 ) -> DataFrame:
     """Ordered scan of each ``keys`` group in ascending ``order``.
 
+    Row numbers and sums may follow other sort expressions, ``by``.
+
     ``outputs`` maps a new column to ``(kind, value)`` where kind is
     ``row_number``, ``sum`` (running, inclusive), ``last`` (latest non-null so
     far, inclusive) or ``lag`` (value of the row before). ``block`` must not
@@ -73,7 +76,7 @@ def running(
     carry = summary.select(*keys, "__blk", *carried)
 
     rows = blocked.join(carry, [*keys, "__blk"])
-    inside = Window.partitionBy(*keys, "__blk").orderBy(*order)
+    inside = Window.partitionBy(*keys, "__blk").orderBy(*(by or order))
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     for n, (kind, _) in outputs.items():
         v, c = F.col(f"__v_{n}"), F.col(f"__c_{n}")

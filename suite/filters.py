@@ -175,15 +175,26 @@ _LIST = ["5-LOW", "1-URGENT", "3-MEDIUM"]
 
 @query(
     "f12_sort_state",
-    """SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice END DESC NULLS LAST, o_orderkey) AS rank FROM orders""",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice END DESC NULLS LAST, o_orderkey) AS rank FROM orders
+       UNION ALL SELECT c_custkey, -row_number() OVER (ORDER BY lower(s) DESC NULLS LAST, n, c_custkey) FROM
+         (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN lower(c_mktsegment) WHEN 1 THEN c_mktsegment END AS s, CASE WHEN c_custkey % 2 = 0 THEN lower(c_name) ELSE c_name END AS n FROM customer)""",
 )
 def _(t):
     o = t.orders.select("o_orderkey", "o_orderpriority", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_totalprice")).alias("price"))
     keys = [{"column": "o_orderpriority", "custom": _LIST}, {"column": "price", "descending": True}, {"column": "o_orderkey"}]
-    priced = F.col("__k1") < 1e300
+    price = F.col("__k1")
     # unpriced orders come last and are told apart by their key alone, so the key blocks them
-    blocks = [F.col("__k0"), F.floor(F.when(priced, F.col("__k1")).otherwise(1e15) / 1000), F.when(priced, 0).otherwise(F.floor(F.col("__k2") / (1 << 18)))]
-    return L.sort_rank(o, keys, blocks).select("o_orderkey", "rank")
+    blocks = [F.col("__k0"), F.coalesce(F.floor(-price / 1000), F.lit(1 << 60)), F.when(price.isNotNull(), 0).otherwise(F.floor(F.col("__k2") / (1 << 18)))]
+    numbers = L.sort_rank(o, keys, blocks).select("o_orderkey", "rank")
+    kind, even = F.col("c_custkey") % 3, F.col("c_custkey") % 2 == 0
+    people = t.customer.select(
+        "c_custkey", F.when(kind == 0, F.lower("c_mktsegment")).when(kind == 1, F.col("c_mktsegment")).alias("s"),
+        F.when(even, F.lower("c_name")).otherwise(F.col("c_name")).alias("n"),
+    )
+    words = [{"column": "s", "text": True, "descending": True}, {"column": "n", "text": True, "case_sensitive": True}, {"column": "c_custkey"}]
+    blocks = [F.coalesce(-F.ascii("__k0"), F.lit(0)), F.ascii("__k1")]
+    texts = L.sort_rank(people, words, blocks).select(F.col("c_custkey").alias("o_orderkey"), (-F.col("rank")).alias("rank"))
+    return numbers.unionByName(texts)
 
 
 @query(
