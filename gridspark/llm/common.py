@@ -36,6 +36,12 @@ def cut(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def settled(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``cut``, read in tasks of about ``rows`` rows: small results do not spread over many tiny files."""
+    saved = cut(df)
+    return saved.coalesce(saved.count() // rows + 8)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that the texts of one slice hold about ``chars`` bytes, a single text at least."""
     for batch in batches:

@@ -13,9 +13,11 @@ documents. Only frequent shingles therefore need counting. They are counted over
 documents: every chunk of documents reports the shingles that are frequent in it, so
 that a count lacks at most one document per chunk, or ``SLACK`` of the documents.
 
-Buckets are never expanded into all pairs. Each bucket links its members to its smallest one;
-only members that this leaves in different classes are compared with each other, as far as the
-sizes and the triangle inequality of the Jaccard distance leave a link possible.
+Buckets are never expanded into all pairs. Each bucket links its members to its smallest one.
+Members that this leaves in different classes are compared with each other: in buckets of
+up to ``SMALL`` texts as pairs, as far as their sizes and the triangle inequality of the
+Jaccard distance leave a link possible; in larger ones in tiles, where a product of hashed
+shingle counts bounds all similarities from above and only pairs it leaves open are verified.
 
 Edge cases: equal texts are one class however short; a null text is a class of its own; texts of
 fewer than five words are one shingle, texts without words have none and only equal ones
@@ -29,13 +31,15 @@ import hashlib
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import cut, slices
+from gridspark.llm.common import cut, settled, slices
 from gridspark.llm.components import components
+from gridspark.llm.vector_dups import forest
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -45,6 +49,7 @@ CHUNK_DOCS, SLACK = 2048, 1 / 512
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 TABLE = 1 << 16
 GROUP = 256
+SMALL, TILE_TEXTS, TILE_SHINGLES = 64, 1024, 2_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -194,17 +199,86 @@ def _signed(df: DataFrame, weights: Weights) -> DataFrame:
     return df.mapInArrow(sign, "id long, mark binary, size double, bands array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, weights: Weights) -> DataFrame:
-    """``(a, b, similarity)`` of the pairs ``(a, b)`` of nodes, smaller ``b``.
+def similar_pairs(a: list[tuple], b: list[tuple], asked: np.ndarray, threshold: float, cells: int = 4_000_000) -> list[tuple[int, int]]:
+    """Pairs (i, j) with ``asked[i, j]`` and a similarity of at least ``threshold``.
 
-    The texts ``a`` meet ``b`` in groups of about ``GROUP``; the text of a hot ``b`` is sent once to each of its groups.
+    The roots of the weights of the shingles are summed in hashed bins. The product of two texts is then at least
+    their common weight (a root of a product is no less than the smaller factor), so it bounds the similarity from above.
     """
-    pairs = cut(pairs)
-    many = cut(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups")))
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = asked.join(nodes.select("node", F.col("mark").alias("own")), "node")
+    bins = 1 << max(8, int(16 * max(len(h) for h, _ in (*a, *b)) - 1).bit_length())
+    step = max(1, cells // bins)
+
+    def spread(sets: list[tuple]) -> np.ndarray:
+        out = np.zeros((len(sets), bins), np.float32)
+        for i, (hashes, weights) in enumerate(sets):
+            np.add.at(out[i], (hashes & np.uint64(bins - 1)).astype(np.int64), np.sqrt(weights))
+        return out
+
+    total_a, total_b = (np.array([float(w.sum()) for _, w in x]) for x in (a, b))
+    found = []
+    for j in range(0, len(b), step):
+        right = spread(b[j : j + step])
+        for i in range(0, len(a), step):
+            wanted = asked[i : i + step, j : j + step]
+            if not wanted.any():
+                continue
+            both = total_a[i : i + step, None], total_b[None, j : j + step]
+            common = np.minimum((spread(a[i : i + step]) @ right.T) * 1.00001, np.minimum(*both))
+            open_ = wanted & (common >= (threshold - 1e-6) * (both[0] + both[1] - common))
+            for x, y in zip(*np.nonzero(open_), strict=True):
+                if similarity(a[i + x], b[j + y]) >= threshold:
+                    found.append((int(i + x), int(j + y)))
+    return found
+
+
+def _texts(asked: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, text)`` of the nodes asked for."""
+    asked = asked.distinct().join(nodes.select("node", F.col("mark").alias("own")), "node")
     texts = docs.join(asked, F.col("id") == F.col("node")).filter(F.unhex(F.md5("text")) == F.col("own")).select("node", "text")
-    texts = cut(texts.dropDuplicates(["node"]))
+    return cut(texts.dropDuplicates(["node"]))
+
+
+def _tiled(members: DataFrame, texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between members of one bucket that are of different parts.
+
+    ``members`` has ``bucket, band, node, part, bands, slices``. A pair is looked at in the first band it shares.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("slices"))
+    dealt = members.join(texts, "node").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))
+    )
+    dealt = dealt.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node")
+        left, right = pdf[pdf.own == pdf["first"]], pdf[pdf.own == pdf["second"]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        same = pdf["first"].iloc[0] == pdf["second"].iloc[0]
+        sets = [[(h, weights(h, c)) for h, c in shingles(x.text.tolist())] for x in ((left,) if same else (left, right))]
+        asked = left.part.to_numpy()[:, None] != right.part.to_numpy()[None, :]
+        if same:
+            asked &= np.triu(np.ones(asked.shape, bool), 1)
+        one, two = (np.stack([np.asarray(v, np.int64) for v in x.bands]) for x in (left, right))
+        for earlier in range(int(pdf.band.iloc[0])):
+            asked &= one[:, earlier][:, None] != two[:, earlier][None, :]
+        pairs = similar_pairs(sets[0], sets[-1], asked, threshold)
+        links = np.zeros(asked.shape, bool)
+        links[tuple(np.array(pairs, np.int64).reshape(-1, 2).T)] = True
+        ij = np.array(forest(links), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": left.node.to_numpy()[ij[:, 0]], "b": right.node.to_numpy()[ij[:, 1]]})
+
+    columns = ["bucket", "first", "second", "own", "band", "node", "part", "bands", "text"]
+    return dealt.select(*columns).groupBy("bucket", "first", "second").applyInPandas(compare, "a long, b long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """``(a, b, similarity)`` of the pairs ``(a, b)`` of nodes.
+
+    The texts ``a`` meet ``b`` in groups of about ``GROUP``; the text of a hot ``b`` is sent once to each of its groups.
+    """
+    pairs = settled(pairs)
+    many = settled(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups")))
     dealt = pairs.join(many, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("groups")).alias("group"))
     members = dealt.join(texts.withColumnRenamed("node", "a"), "a").select("b", "group", "a", "text")
     hubs = texts.join(many.withColumnRenamed("b", "node"), "node").select(
@@ -244,35 +318,41 @@ def text_classes(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc
         F.min("id").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
     nodes = cut(copies)
-    banded = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
     hub = F.min(F.struct("node", "size")).alias("hub")
     buckets = banded.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = cut(buckets.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size")))
-    inside = cut(banded.join(buckets, "bucket"))  # members of buckets with more than one text
+    buckets = settled(buckets.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size")))
+    inside = settled(banded.join(buckets, "bucket"))  # members of buckets with more than one text
+    texts = _texts(inside.select("node"), docs, nodes)
 
     near = F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - F.lit(1e-9)
     stars = inside.filter((F.col("node") != F.col("hub")) & near).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    measured = cut(_verified(stars, docs, nodes, weights))
+    measured = settled(_verified(stars, texts, weights))
     links = measured.filter(F.col("similarity") >= threshold).select("a", "b")
     first = components(links)
 
     # members of one bucket that are still apart
-    placed = inside.join(cut(first), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    placed = placed.join(cut(measured.select(F.col("a").alias("node"), F.col("b").alias("hub"), "similarity")), ["node", "hub"], "left")
-    placed = cut(placed)
-    split = placed.groupBy("bucket").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("bucket")
-    rest = cut(placed.join(cut(split), "bucket").filter(F.col("node") != F.col("hub")).select("bucket", "node", "part", "size", "similarity"))
-    other = rest.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("node", "part", "size", "similarity")])
+    placed = inside.join(settled(first), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    placed = placed.join(measured.select(F.col("a").alias("node"), F.col("b").alias("hub"), "similarity"), ["node", "hub"], "left")
+    placed = settled(placed)
+    split = placed.groupBy("bucket").agg(
+        F.min("part").alias("p0"), F.max("part").alias("p1"), F.count(F.lit(1)).alias("members"),
+        F.greatest(F.ceil(F.count(F.lit(1)) / TILE_TEXTS), F.ceil(F.sum("size") / TILE_SHINGLES)).alias("slices"),
+    ).filter("p0 <> p1").select("bucket", "members", "slices")
+    rest = settled(placed.join(settled(split), "bucket").filter(F.col("node") != F.col("hub")))
+    few = rest.filter(F.col("members") <= SMALL).select("bucket", "node", "part", "size", "similarity")
+    other = few.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("node", "part", "size", "similarity")])
     possible = (
-        (rest["node"] < other["node2"]) & (rest["part"] != other["part2"])
+        (few["node"] < other["node2"]) & (few["part"] != other["part2"])
         & (F.least("size", "size2") >= threshold * F.greatest("size", "size2") - F.lit(1e-9))
         & F.coalesce(F.abs(F.col("similarity") - F.col("similarity2")) <= 1 - threshold + 1e-9, F.lit(True))
     )
-    more = rest.join(other, (rest["bucket"] == other["bucket"]) & possible).select(F.col("node2").alias("a"), F.col("node").alias("b")).distinct()
-    more = cut(more)
-    if not more.isEmpty():
-        found = _verified(more, docs, nodes, weights).filter(F.col("similarity") >= threshold).select("a", "b")
-        first = components(links.unionByName(found))
+    more = few.join(other, (few["bucket"] == other["bucket"]) & possible).select(F.col("node2").alias("a"), F.col("node").alias("b")).distinct()
+    found = _verified(more, texts, weights).filter(F.col("similarity") >= threshold).select("a", "b")
+    many = settled(rest.filter(F.col("members") > SMALL).join(nodes.select("node", "bands"), "node").select("bucket", "band", "node", "part", "bands", "slices"))
+    if not many.isEmpty():
+        found = found.unionByName(_tiled(many, texts, weights, threshold))
+    first = components(links.unionByName(settled(found)))
 
     known = nodes.select("mark", "node").join(first, "node", "left").select("mark", F.coalesce("component", "node").alias("class"))
     told = rows.select("id", "mark").join(cut(known), "mark", "left")
