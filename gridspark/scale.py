@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 SALTS = 16
 TILE_ROWS = 4096
 HOT_ROWS = 1_000_000
+HOT_KEYS = 4096
 
 
 def block_of(column: str | Column, size: int = 1 << 18) -> Column:
@@ -95,8 +96,10 @@ def running(
 
 
 def hot_keys(facts: DataFrame, on: list[str], rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than ``rows`` facts: at most (number of facts / rows) of them."""
-    return facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows).select(*on)
+    """Keys that hold more than ``rows`` facts, and more than one in ``HOT_KEYS`` of all: so at most ``HOT_KEYS`` of them."""
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    least = F.greatest(F.lit(rows), F.floor(whole(counts, n=F.sum("__n"))["n"] / HOT_KEYS))
+    return counts.filter(F.col("__n") > least).select(*on)
 
 
 def salted_join(

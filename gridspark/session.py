@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="gridspark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # a folder of our own goes with the process
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
