@@ -216,6 +216,77 @@ class Workbook:
                 for c in children(child(self.xml(target), "commentList"), "comment"):
                     yield "comment", c.get("ref"), None, text_of(child(c, "text")), None, None
 
+    def declared(self, member: str) -> Iterator[tuple]:
+        """(kind, ref, name, operator, first, second, idx, level, on): what a sheet declares about its cells.
+
+        Kinds: ``outline_row``, ``outline_col``, ``array``, ``data_table``, ``filter``, ``sort``, ``validation``,
+        ``rule`` and ``scenario``; the fields that a kind lacks are None.
+        """
+        yes = lambda el, name: el.get(name, "0") in ("1", "true", "on")
+        row = 0
+        with self.zip.open(member) as f:
+            for _, el in ET.iterparse(f):
+                tag = local(el.tag)
+                if tag == "row":
+                    row = int(float(el.get("r"))) if el.get("r") else row + 1
+                    if el.get("outlineLevel") or yes(el, "hidden"):
+                        yield "outline_row", None, None, None, str(row), str(row), None, int(el.get("outlineLevel") or 0), yes(el, "hidden")
+                    for c in el:
+                        formula = child(c, "f")
+                        if formula is not None and formula.get("t") in ("array", "dataTable"):
+                            kind = "array" if formula.get("t") == "array" else "data_table"
+                            inputs = formula.get("r1"), formula.get("r2")
+                            text = "=" + formula.text if formula.text else None
+                            yield kind, formula.get("ref"), c.get("r"), text, *inputs, None, None, yes(formula, "dtr")
+                    el.clear()
+                elif tag == "col" and (el.get("outlineLevel") or yes(el, "hidden")):
+                    yield "outline_col", None, None, None, el.get("min"), el.get("max"), None, int(el.get("outlineLevel") or 0), yes(el, "hidden")
+                elif tag == "autoFilter":
+                    yield from self._filters(el)
+                elif tag == "dataValidation":
+                    first, second = (child(el, n) for n in ("formula1", "formula2"))
+                    texts = [None if x is None else x.text for x in (first, second)]
+                    yield "validation", el.get("sqref"), el.get("type", "none"), el.get("operator", "between"), *texts, None, None, yes(el, "allowBlank")
+                elif tag == "conditionalFormatting":
+                    for r in children(el, "cfRule"):
+                        told = [x.text for x in children(r, "formula")] + [r.get("text"), r.get("rank")]
+                        told = [x for x in told if x is not None] + [None, None]
+                        yield "rule", el.get("sqref"), r.get("type"), r.get("operator"), told[0], told[1], int(r.get("priority") or 0), None, yes(r, "stopIfTrue")
+                elif tag == "scenario":
+                    for i, c in enumerate(children(el, "inputCells")):
+                        yield "scenario", c.get("r"), el.get("name"), None, c.get("val"), None, i, None, yes(c, "deleted")
+
+    @staticmethod
+    def _filters(el) -> Iterator[tuple]:
+        ref = el.get("ref")
+        for column in children(el, "filterColumn"):
+            at = int(column.get("colId"))
+            for spec in column:
+                kind = local(spec.tag)
+                if kind == "filters":
+                    if spec.get("blank") in ("1", "true"):
+                        yield "filter", ref, "value", "equal", None, None, at, None, False
+                    for v in spec:
+                        if local(v.tag) == "filter":
+                            yield "filter", ref, "value", "equal", v.get("val"), None, at, None, False
+                        else:
+                            parts = [v.get(n) for n in ("year", "month", "day", "hour", "minute", "second")]
+                            yield "filter", ref, "date", v.get("dateTimeGrouping"), "-".join(p for p in parts if p), None, at, None, False
+                elif kind == "customFilters":
+                    both = spec.get("and", "0") in ("1", "true")
+                    for v in spec:
+                        yield "filter", ref, "custom", v.get("operator", "equal"), v.get("val"), None, at, None, both
+                elif kind == "top10":
+                    yield "filter", ref, "top10", "percent" if spec.get("percent") in ("1", "true") else "count", spec.get("val"), spec.get("filterVal"), at, None, spec.get("top", "1") in ("1", "true")
+                elif kind == "dynamicFilter":
+                    yield "filter", ref, "dynamic", spec.get("type"), spec.get("val"), spec.get("maxVal"), at, None, False
+                elif kind == "iconFilter":
+                    yield "filter", ref, "icon", spec.get("iconSet"), spec.get("iconId"), None, at, None, False
+        sort = child(el, "sortState")
+        if sort is not None:
+            for i, c in enumerate(children(sort, "sortCondition")):
+                yield "sort", c.get("ref"), c.get("sortBy", "value"), None, c.get("customList"), None, i, None, c.get("descending", "0") in ("1", "true")
+
     def external_cells(self) -> Iterator[tuple]:
         """(book, sheet, row, col, t, v) cached from linked workbooks."""
         for kind, target in self.book_rels.values():

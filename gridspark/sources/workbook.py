@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from gridspark.functions import coords as C
 from gridspark.functions import formula_text
 from gridspark.functions import scalars as S
 from gridspark.operators import typing as typing_ops
@@ -40,6 +41,7 @@ _CATALOGUE = "book string, sheet string, idx int, state string, kind string"
 _PROPERTIES = "book string, kind string, name string, value string"
 _NAMES = "book string, name string, scope string, target string"
 _PARTS = "book string, sheet string, kind string, ref string, name string, text string, header_rows int, totals_rows int"
+_DECLARED = "book string, sheet string, kind string, ref string, name string, operator string, first string, second string, idx int, level int, on_ string"
 _EXTERNAL = "book string, sheet string, row int, col int, t string, v string, linked_from string"
 
 
@@ -177,6 +179,46 @@ def scan_parts(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, _PARTS, rows_of)
 
 
+def scan_declared(spark: SparkSession, path: str) -> DataFrame:
+    """What sheets declare: filters and sorts, validations, conditional rules, scenarios, outlines, array formulas.
+
+    One row per item: (book, sheet, kind, ref, name, operator, first, second, idx, level, on). ``scan_outlines``,
+    ``scan_overrides`` and ``scan_ranges`` give them the shape that ``outline``, ``apply_scenarios`` and
+    ``rules_for_cells`` take.
+    """
+
+    def rows_of(book: str, wb) -> Iterator[tuple]:
+        for sheet, member in wb.worksheets(None):
+            for *item, on in wb.declared(member):
+                yield (book, sheet, *item, str(on).lower())
+
+    raw = _scan(spark, path, _DECLARED, rows_of)
+    return raw.withColumn("on", F.col("on_").cast("boolean")).drop("on_")
+
+
+def scan_outlines(declared: DataFrame, axis: str = "row") -> DataFrame:
+    """Outline groups (book, sheet, start, end, level, hidden) of rows or columns."""
+    lines = declared.filter(F.col("kind") == f"outline_{axis}")
+    return lines.select("book", "sheet", F.col("first").cast("int").alias("start"), F.col("second").cast("int").alias("end"), "level", F.col("on").alias("hidden"))
+
+
+def scan_overrides(declared: DataFrame) -> DataFrame:
+    """Scenario inputs (scenario, book, sheet, row, col, val)."""
+    at = C.range_bounds(F.col("ref"))
+    return declared.filter((F.col("kind") == "scenario") & ~F.col("on")).select(
+        F.col("name").alias("scenario"), "book", "sheet", at["min_row"].alias("row"), at["min_col"].alias("col"), F.col("first").alias("val")
+    )
+
+
+def scan_ranges(declared: DataFrame, kind: str) -> DataFrame:
+    """Rules or validations per range: (book, sheet, rule_id, bounds, name, operator, first, second, on)."""
+    items = declared.filter(F.col("kind") == kind).withColumn("rule_id", F.xxhash64("ref", "name", "operator", "first", "second", "idx"))
+    one = items.withColumn("__b", F.explode(F.transform(F.split(F.trim("ref"), r"\s+"), C.range_bounds)))
+    ends = {"min_col": 1, "min_row": 1, "max_col": C.MAX_COLUMN, "max_row": C.MAX_SHEET_ROW}
+    bounds = [F.coalesce(F.col(f"__b.{k}"), F.lit(v)).alias(k) for k, v in ends.items()]
+    return one.select("book", "sheet", "rule_id", *bounds, "name", "operator", "first", "second", "idx", "on")
+
+
 def scan_external(spark: SparkSession, path: str) -> DataFrame:
     """Cells cached from linked workbooks; ``book`` is the linked file."""
 

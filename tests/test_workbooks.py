@@ -139,3 +139,50 @@ def test_keys_never_share_a_file_and_long_texts_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="40000 characters"):
         W.write_workbooks(long, str(tmp_path / "no"), "id", ["id"], block_of("id"))
     assert not list((tmp_path / "no").iterdir())
+
+
+DECLARED = """<cols><col min="2" max="3" outlineLevel="1" hidden="1"/></cols><sheetData>
+  <row r="1"><c r="A1"><v>1</v></c><c r="B1"><v>2</v></c></row>
+  <row r="2" outlineLevel="1"><c r="A2"><v>3</v></c></row><row r="3" outlineLevel="2" hidden="1"><c r="A3"><f t="array" ref="A3:A4">B1:B2*2</f><v>4</v></c></row>
+  <row r="5"><c r="B5"><f t="dataTable" ref="B5:C6" dt2D="1" dtr="1" r1="A1" r2="B1"/><v>5</v></c></row></sheetData>
+  <autoFilter ref="A1:B5"><filterColumn colId="0"><filters><filter val="x"/><dateGroupItem year="2024" month="5" dateTimeGrouping="month"/></filters></filterColumn>
+  <filterColumn colId="1"><customFilters and="1"><customFilter operator="greaterThan" val="3"/><customFilter operator="lessThan" val="9"/></customFilters></filterColumn>
+  <sortState ref="A2:B5"><sortCondition ref="B2:B5" descending="1"/></sortState></autoFilter>
+  <scenarios><scenario name="high"><inputCells r="B1" val="20"/><inputCells r="A1" val="text"/></scenario></scenarios>
+  <conditionalFormatting sqref="A1:A2 C:C"><cfRule type="cellIs" priority="1" operator="greaterThan" stopIfTrue="1"><formula>2</formula></cfRule></conditionalFormatting>
+  <dataValidations><dataValidation type="whole" operator="between" allowBlank="1" sqref="A1:A9"><formula1>1</formula1><formula2>9</formula2></dataValidation></dataValidations>"""
+
+
+def test_declared_specs_feed_the_operators(spark, archive, tmp_path):
+    from gridspark.operators import rules as R
+    from gridspark.operators import structure as D
+    from gridspark.plans import costs as X
+
+    book = tmp_path / "book.xlsx"
+    with zipfile.ZipFile(book) as z:
+        parts = {n: z.read(n).decode() for n in z.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = f'<worksheet {MAIN} xmlns:r="{OFFICE}">{DECLARED}</worksheet>'
+    with zipfile.ZipFile(book, "w") as z:
+        for name, body in parts.items():
+            z.writestr(name, body)
+    found = W.scan_declared(spark, archive).filter("sheet = 'one'").cache()
+    cells = W.scan_workbooks(spark, archive, data_only=True, sheets=["one"])
+
+    rows = D.outline(cells, W.scan_outlines(found))
+    assert {(r.row, r.level, r.hidden) for r in rows.collect()} == {(1, 0, False), (2, 1, False), (3, 2, True), (5, 0, False)}
+    assert [(r.start, r.end, r.hidden) for r in W.scan_outlines(found, "col").collect()] == [(2, 3, True)]
+
+    changed = X.apply_scenarios(cells, ["base", "high"], W.scan_overrides(found)).filter("overridden").collect()
+    assert {(r.scenario, r.row, r.col, r.v_num, r.v_str) for r in changed} == {("high", 1, 2, 20.0, None), ("high", 1, 1, None, "text")}
+
+    hit = R.rules_for_cells(cells, W.scan_ranges(found, "rule").select("book", "sheet", "rule_id", "min_col", "min_row", "max_col", "max_row"))
+    assert {(r.row, r.col) for r in hit.collect()} == {(1, 1), (2, 1)}
+    check = W.scan_ranges(found, "validation").first()
+    assert (check["name"], check["operator"], check["first"], check["second"], check["on"], check["max_row"]) == ("whole", "between", "1", "9", True, 9)
+
+    filters = {(r["name"], r["operator"], r["first"], r["idx"], r["on"]) for r in found.filter("kind = 'filter'").collect()}
+    assert filters == {("value", "equal", "x", 0, False), ("date", "month", "2024-5", 0, False), ("custom", "greaterThan", "3", 1, True), ("custom", "lessThan", "9", 1, True)}
+    assert [(r["ref"], r["on"]) for r in found.filter("kind = 'sort'").collect()] == [("B2:B5", True)]
+    made = {r["kind"]: r for r in found.filter("kind in ('array', 'data_table')").collect()}
+    assert made["array"]["operator"] == "=B1:B2*2" and made["array"]["ref"] == "A3:A4"
+    assert (made["data_table"]["first"], made["data_table"]["second"], made["data_table"]["on"]) == ("A1", "B1", True)
