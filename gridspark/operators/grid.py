@@ -427,9 +427,10 @@ def param_table(df: DataFrame, order: list[str], block: Column) -> DataFrame:
     return running(df, [], order, {"row_no": ("row_number", None)}, block).select(*out)
 
 
-def save_param_table(df: DataFrame, name: str, comment: str) -> DataFrame:
-    """Replace the saved table and return it. Pass the result of ``param_table``."""
-    df.write.mode("overwrite").option("comment", comment).saveAsTable(name)
+def save_param_table(df: DataFrame, name: str, comment: str, path: str | None = None) -> DataFrame:
+    """Replace the saved table and return it. Pass the result of ``param_table``; with a path the files lie there."""
+    place = {"path": path} if path else {}
+    df.write.mode("overwrite").options(comment=comment, **place).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridspark.operators import grid as G
+from gridspark.session import shared_folder
 from gridspark.scale import block_of
 from suite.common import (
     CUSTOMER_SQL, ORDERS_SQL, SUPPLIER_SQL, TEXT, customer_cells, orders_cells, supplier_cells, texts,
@@ -208,7 +211,8 @@ def _(t):
         F.col("p_size").alias("Size (cm)"), F.col("p_retailprice").alias("Retail Price"),
     )
     made = G.param_table(named, ["Part Key"], block_of("Part Key"))
-    return G.save_param_table(made, "gridspark_parts", "parts by key")
+    own = uuid.uuid4().hex
+    return G.save_param_table(made, f"gridspark_parts_{own}", "parts by key", f"{shared_folder(t.spark)}/parts-{own}")
 
 
 @query(
