@@ -111,9 +111,9 @@ def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
     archive = cut(lay_out(pages))
     hurt = F.when(F.col("page_id") % 97 == 3, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
     copies = lay_out(pages.withColumn("html", hurt)).select("id", "file", "nth", F.col("length").alias("held"), F.col("digest").alias("hash"))
+    lost = (F.col("id") % 97 == 11) | ((F.col("file") % 13 == 5) & (F.col("nth") >= 400))
     replica = cut(
-        archive.join(copies, ["id", "file", "nth"])
-        .filter(~((F.col("id") % 97 == 11) | ((F.col("file") % 13 == 5) & (F.col("nth") >= 400))))
+        archive.join(copies.drop("id"), ["file", "nth"]).filter(~F.coalesce(lost, F.lit(False)))
         .select("file", "offset", F.col("held").alias("length"), F.col("hash").alias("digest"))
     )
     return audit(archive.select("file", "offset", "length", "digest"), replica)
