@@ -345,9 +345,20 @@ def letters(col: int) -> str:
 
 
 def cell_xml(ref: str, value) -> str:
-    """One stored cell; text in place, timestamps as serial numbers, formulas without ``=``."""
+    """One stored cell; text in place, timestamps as serial numbers, formulas without ``=``.
+
+    A dictionary of ``formula`` and ``value`` is a formula with the value it had last.
+    """
     import datetime as dt
 
+    if isinstance(value, dict):
+        formula, cached = value["formula"], value["value"]
+        if formula is None:
+            return cell_xml(ref, cached) if cached is not None else ""
+        kind = ' t="str"' if isinstance(cached, str) else ' t="b"' if isinstance(cached, bool) else ""
+        shown = "" if cached is None else _escape(cached) if isinstance(cached, str) else f"{cached:.16g}" if isinstance(cached, float) else str(int(cached))
+        return f'<c r="{ref}"{kind}><f>{_escape(formula.removeprefix("="))}</f><v>{shown}</v></c>'
+
     if isinstance(value, bool):
         return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'
     if isinstance(value, (int, float)):

@@ -313,11 +313,13 @@ def write_workbooks(
     A sheet holds 1,048,576 rows, so a larger key goes on in ``<key>~2``,
     ``<key>~3`` …: rows are numbered by a blocked scan and every file is a task
     of bounded size. In a key ``~`` is written ``~~`` and ``/`` is written ``~s``; NULL is ``~null``. So no
-    two keys share a file. Zoned timestamps and texts a cell cannot hold are refused, blanks leave no cell.
+    two keys share a file. A struct of ``formula`` and ``value`` is written as a formula with its cached value. Zoned timestamps and texts a cell cannot hold are refused, blanks leave no cell.
     """
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampType):
             raise TypeError(f"column {f.name}: sheets hold no time zones")
+        if isinstance(f.dataType, T.StructType) and f.dataType.names == ["formula", "value"]:
+            continue
         if not isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType, T.DayTimeIntervalType)):
             raise ValueError(f"column {f.name}: cannot convert {f.dataType.simpleString()}")
     text = F.col(by).cast("string")

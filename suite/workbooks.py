@@ -27,7 +27,7 @@ def written(t) -> str:
     o = t.orders
     rows = o.select(
         "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice")).alias("price"), "o_orderpriority", "o_orderdate",
-        F.concat(F.lit("=B2*"), "o_orderkey").alias("twice"),
+        F.struct(F.concat(F.lit("=B2*"), "o_orderkey").alias("formula"), F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice") * 2).alias("value")).alias("twice"),
         F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 90).cast("int"), (F.col("o_orderkey") % 60).cast("int")).alias("waited"), (F.col("o_custkey") % 40).alias("part"),
     )
     W.write_workbooks(rows, folder, "part", ["o_orderkey"], block_of("o_orderkey"), sheet="data")
@@ -43,14 +43,15 @@ def _(t):
 
 @query(
     "a2_value_mode",
-    _BOOK_SQL + """SELECT 'formula' AS mode, book, count(*) AS n, max(v_str) AS top FROM cells WHERE col = 5 GROUP BY book UNION ALL SELECT 'value', book, 1, 'twice' FROM (SELECT DISTINCT book FROM cells)""",
+    _BOOK_SQL + """SELECT 'formula' AS mode, book, count(*) AS n, max(v_str) AS top, NULL::DOUBLE AS total FROM cells WHERE col = 5 GROUP BY book
+       UNION ALL SELECT 'value', part || '.xlsx', 1 + count(price), 'twice', round(sum(price * 2), 2) FROM src GROUP BY part""",
 )
 def _(t):
     folder = written(t)
     out = None
     for mode, only in (("formula", False), ("value", True)):
-        cells = W.scan_workbooks(t.spark, folder, data_only=only).filter((F.col("col") == 5) & F.col("v_str").isNotNull())
-        part = cells.groupBy("book").agg(F.count(F.lit(1)).alias("n"), F.max("v_str").alias("top")).withColumn("mode", F.lit(mode))
+        cells = W.scan_workbooks(t.spark, folder, data_only=only).filter((F.col("col") == 5) & G.text_of().isNotNull())
+        part = cells.groupBy("book").agg(F.count(F.lit(1)).alias("n"), F.max("v_str").alias("top"), F.round(F.sum("v_num"), 2).alias("total")).withColumn("mode", F.lit(mode))
         out = part if out is None else out.unionByName(part)
     return out
 
