@@ -42,7 +42,20 @@ def settled(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return saved.coalesce(saved.count() // rows + 8)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def text_chunks(column: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
+    """Texts of an Arrow array as lists of about ``chars`` bytes, a single text at least; only one list is held at a time."""
+    start, held = 0, 0
+    for i, s in enumerate(column):
+        size = len(s.as_buffer()) if s.is_valid else 0
+        if i > start and held + size > chars:
+            yield column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += size
+    if len(column) > start:
+        yield column.slice(start).to_pylist()
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that the texts of one slice hold about ``chars`` bytes, a single text at least."""
     for batch in batches:
         if not batch.num_rows:

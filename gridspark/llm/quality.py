@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import text_chunks
+
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 CONTENT_SHARE = 0.5
 TRAIN_DOCS, TRAIN_LINES = 1000, 100
-CHUNK_CHARS = 2_000_000
 
 WORD_SPACE, SYMBOL, UPPER, LOWER, DIGIT, PIPE, BANG, STOP, NEWLINE = (1 << i for i in range(9))
 KNOWN = 0x250  # code points told apart; all others are neither case nor digit
@@ -230,17 +231,6 @@ def fit_field(bits: list[np.ndarray], good: list[int], steps: int = 80) -> dict:
     return {"weights": w.tolist(), "moves": moves.tolist()}
 
 
-def _chunks(texts: list, chars: int = CHUNK_CHARS):
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and held + len(t or "") > chars:
-            yield texts[start:i]
-            start, held = i, 0
-        held += len(t or "")
-    if texts:
-        yield texts[start:]
-
-
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Field fitted on at most ``2 * TRAIN_DOCS`` labelled documents."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.min("quality").alias("good"))
@@ -252,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     @F.arrow_udf("array<int>")
     def features(column: pa.Array) -> pa.Array:
         out = []
-        for part in _chunks(column.to_pylist()):
+        for part in text_chunks(column):
             _, bits, _, first = measure(part)
             out += [b.tolist() if len(b) <= TRAIN_LINES else None for b in np.split(bits, first[1:])]
         return pa.array(out, pa.list_(pa.int32()))
@@ -276,7 +266,7 @@ def judge(text: Column, model: dict, share: float = CONTENT_SHARE) -> Column:
     @F.arrow_udf(VERDICT)
     def verdict(column: pa.Array) -> pa.Array:
         parts: dict[str, list] = {}
-        for texts in _chunks(column.to_pylist()):
+        for texts in text_chunks(column):
             counts, bits, line_words, first = measure(texts)
             kinds, at = np.unique(bits, return_inverse=True)
             label = viterbi((unpack(kinds) @ weights)[at], first, moves)

@@ -49,7 +49,7 @@ CHUNK_DOCS, SLACK = 2048, 1 / 512
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 TABLE = 1 << 16
 GROUP = 256
-SMALL, TILE_TEXTS, TILE_SHINGLES = 64, 1024, 2_000_000
+SMALL, TILE_TEXTS, TILE_SHINGLES = 64, 1024, 1_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -199,7 +199,7 @@ def _signed(df: DataFrame, weights: Weights) -> DataFrame:
     return df.mapInArrow(sign, "id long, mark binary, size double, bands array<long>")
 
 
-def similar_pairs(a: list[tuple], b: list[tuple], asked: np.ndarray, threshold: float, cells: int = 4_000_000) -> list[tuple[int, int]]:
+def similar_pairs(a: list[tuple], b: list[tuple], asked: np.ndarray, threshold: float, cells: int = 1_000_000) -> list[tuple[int, int]]:
     """Pairs (i, j) with ``asked[i, j]`` and a similarity of at least ``threshold``.
 
     The roots of the weights of the shingles are summed in hashed bins. The product of two texts is then at least
@@ -211,7 +211,7 @@ def similar_pairs(a: list[tuple], b: list[tuple], asked: np.ndarray, threshold:
     def spread(sets: list[tuple]) -> np.ndarray:
         out = np.zeros((len(sets), bins), np.float32)
         for i, (hashes, weights) in enumerate(sets):
-            np.add.at(out[i], (hashes & np.uint64(bins - 1)).astype(np.int64), np.sqrt(weights))
+            out[i] = np.bincount((hashes & np.uint64(bins - 1)).astype(np.int64), np.sqrt(weights), bins)
         return out
 
     total_a, total_b = (np.array([float(w.sum()) for _, w in x]) for x in (a, b))

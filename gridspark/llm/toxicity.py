@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import cut, slices
+from gridspark.llm.common import cut, slices, text_chunks
 
 SAMPLE = 5000
 CANDIDATES = 3000
@@ -77,7 +78,7 @@ class Spotter:
 
     def __call__(self, words: list[str]) -> dict[str, int]:
         met, weights = self.met, self.weights
-        if len(met) > 500_000:  # bounds memory only: forgotten words are looked up again
+        if len(met) > 150_000:  # bounds memory only: forgotten words are looked up again
             met.clear()
         for w in [w for w in set(words) if w not in met]:
             met[w] = max((t for t in terms_of(w) if t in weights), key=weights.__getitem__, default=None)
@@ -236,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                         sums[2] += k
                     else:
                         sums[3] += k
-                if len(found) > 300_000:
+                if len(found) > 100_000:
                     yield report()
         yield report()
 
@@ -255,7 +256,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     @F.arrow_udf("map<string,int>")
     def held(column: pa.Array) -> pa.Array:
         return pa.array(
-            [[(t, k) for t, k in term_counts(words_of(x)).items() if t in candidates] for x in column.to_pylist()], pa.map_(pa.string(), pa.int32())
+            [[(t, k) for t, k in term_counts(words_of(x)).items() if t in candidates] for x in chain.from_iterable(text_chunks(column))], pa.map_(pa.string(), pa.int32())
         )
 
     rows = [r.h for r in sample.filter(toxic).select(held("text").alias("h")).collect()]  # SAMPLE rows
@@ -266,7 +267,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     @F.arrow_udf("struct<hits:map<string,int>,n:int,text:string>")
     def spotted(column: pa.Array) -> pa.Array:
         spot, out = Spotter(terms), []
-        for t in column.to_pylist():
+        for t in chain.from_iterable(text_chunks(column)):
             words = words_of(t)
             brief = " ".join(sorted(noticed.intersection(words))) + "!" * min(3, (t or "").count("!"))
             out.append({"hits": list(spot(words).items()), "n": len(words), "text": brief})
@@ -299,7 +300,7 @@ def score(text: Column, model: dict) -> Column:
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
         spot, out = Spotter(terms), []
-        for t in column.to_pylist():
+        for t in chain.from_iterable(text_chunks(column)):
             words = words_of(t)
             hits = spot(words)
             z = sum(a * b for a, b in zip(level, signals(hits, len(words), terms), strict=True)) + sum(single.get(t, 0.0) for t in hits)
