@@ -9,9 +9,9 @@ links make classes.
 
 Inverse document frequency: shingles in up to one document of ``RARE`` weigh 1; beyond, the
 weight falls with the logarithm of the frequency to ``LEAST_IDF`` for a shingle of all
-documents. Only frequent shingles therefore need counting. They are counted over all
-documents: every chunk of documents reports the shingles that are frequent in it, so
-that a count lacks at most one document per chunk, or ``SLACK`` of the documents.
+documents. Only frequent shingles therefore need counting. Every chunk of documents reports
+the shingles in more than ``SLACK`` of it; what these reports leave possible is then counted
+exactly over all documents, so the weights do not depend on how the rows are dealt.
 
 Buckets are never expanded into all pairs. Each bucket links its members to its smallest one.
 Members that this leaves in different classes are compared with each other: in buckets of
@@ -150,32 +150,46 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def frequent_shingles(texts: DataFrame) -> dict[int, float]:
     """Inverse document frequency of every shingle in more than one document of ``RARE``.
 
-    At most (shingles of a mean document / ``RARE``) entries, whatever the number of documents.
+    At most (shingles of a mean document / ``RARE``) entries, whatever the number of documents. The reports of the
+    chunks lack at most ``SLACK`` of the documents, so at most (shingles of a mean document / (``RARE`` - ``SLACK``))
+    shingles are counted again.
     """
 
-    def count(batches):
-        parts, docs = [], 0
+    def often(parts):
+        found, n = np.unique(np.concatenate(parts), return_counts=True)
+        kept = n > int(SLACK * len(parts))
+        return pa.RecordBatch.from_arrays([pa.array(found[kept].view(np.int64)), pa.array(n[kept])], ["shingle", "docs"])
+
+    def report(batches):
+        parts = []
+        for batch in slices(batches, "text"):
+            parts += [hashes for hashes, _ in shingles(batch.column(0).to_pylist())]
+            while len(parts) >= CHUNK_DOCS:  # half stays, so that no short chunk is left at the end of a task
+                yield often(parts[: CHUNK_DOCS // 2])
+                del parts[: CHUNK_DOCS // 2]
+        if parts:
+            yield often(parts)
 
-        def report():
-            found, n = np.unique(np.concatenate(parts), return_counts=True)
-            often = n >= max(2, SLACK * docs)
-            return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often])], ["shingle", "docs"])
+    total = texts.count()
+    reported = texts.mapInArrow(report, "shingle long, docs long").groupBy("shingle").agg(F.sum("docs").alias("docs"))
+    possible = reported.filter(F.col("docs") > (RARE - SLACK) * total).select("shingle").toArrow().column(0).to_numpy()
+    asked = np.sort(possible.astype(np.int64).view(np.uint64))
+    if not len(asked):
+        return {}
 
+    def count(batches):
+        docs = np.zeros(len(asked), np.int64)
         for batch in slices(batches, "text"):
             for hashes, _ in shingles(batch.column(0).to_pylist()):
-                parts.append(hashes)
-                docs += 1
-            if docs >= CHUNK_DOCS:
-                yield report()
-                parts, docs = [], 0
-        if docs:
-            yield report()
+                at = np.minimum(np.searchsorted(asked, hashes), len(asked) - 1)
+                docs[at[asked[at] == hashes]] += 1
+        met = np.flatnonzero(docs)
+        yield pa.RecordBatch.from_arrays([pa.array(asked[met].view(np.int64)), pa.array(docs[met])], ["shingle", "docs"])
 
-    total = texts.count()
     counted = texts.mapInArrow(count, "shingle long, docs long").groupBy("shingle").agg(F.sum("docs").alias("docs"))
-    often = counted.filter(F.col("docs") > RARE * total).collect()
+    frequent = counted.filter(F.col("docs") > RARE * total).collect()
     fall = (1 - LEAST_IDF) / np.log(1 / RARE)
-    return {r.shingle & 0xFFFFFFFFFFFFFFFF: float(1 - fall * np.log(r.docs / (RARE * total))) for r in often}
+    return {r.shingle & 0xFFFFFFFFFFFFFFFF: float(1 - fall * np.log(r.docs / (RARE * total))) for r in frequent}
 
 
 def _signed(df: DataFrame, weights: Weights) -> DataFrame:

@@ -91,6 +91,28 @@ def test_text_classes_against_all_pairs(spark, seed, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in got if got[i].kept)
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 400])
+def test_document_frequencies_are_exact(spark, partitions):
+    r = random.Random(partitions)
+    parts = [[f"w{k}x{i}" for i in range(8)] for k in range(12)]
+    texts = []
+    for i in range(5000):
+        words = [f"u{i}y{j}" for j in range(6)]
+        for k, part in enumerate(parts):
+            if r.random() < 0.005 + k * 0.002:
+                words += part
+        texts.append(" ".join(words))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string").repartition(partitions, "i")
+    counts = defaultdict(int)
+    for hashes, _ in text_dups.shingles(texts):
+        for h in hashes.tolist():
+            counts[h] += 1
+    fall = (1 - text_dups.LEAST_IDF) / np.log(1 / text_dups.RARE)
+    least = text_dups.RARE * len(texts)
+    want = {h: float(1 - fall * np.log(n / least)) for h, n in counts.items() if n > least}
+    assert text_dups.frequent_shingles(df.select("text")) == want
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     r = random.Random(7)
     word = [f"w{i}" for i in range(3000)]
