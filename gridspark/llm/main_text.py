@@ -58,6 +58,7 @@ HINTS = {
 HINT_OF = {w: k for k, words in HINTS.items() for w in words.split()}
 OPEN_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|data-y)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?(?=[\s/>]|$)""", re.I)
+TAG_REST = re.compile(r"""(?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+))?+)*+>""")  # attributes up to the end of the tag
 SPLIT = re.compile(r"[^a-z0-9]+")
 SPACES = re.compile(r"\s+")
 
@@ -86,7 +87,7 @@ class Page:
         pieces: list[str] = []
         linked = in_link = 0
         at, n = 0, len(s)
-        last_quote = max(s.rfind('"'), s.rfind("'"))
+        quoted = True
 
         def flush() -> None:
             nonlocal linked
@@ -125,15 +126,12 @@ class Page:
                 say("<")
                 at = lt + 1
                 continue
-            end = s.find(">", tag.end())
+            rest = TAG_REST.match(s, tag.end()) if quoted else None
+            if not rest:  # no > outside of quotes up to the end of the page: from here on the first > ends a tag
+                quoted = False
+            end = rest.end() - 1 if rest else s.find(">", tag.end())
             if end < 0:
                 break
-            while lt < last_quote and end >= 0 and (s.count('"', lt, end) % 2):  # a > within a quoted value
-                quote = s.find('"', end)
-                later = s.find(">", quote) if quote >= 0 else -1
-                if later < 0:
-                    break
-                end = later
             name, closing, attributes = tag[1].lower(), s[lt + 1] == "/", s[tag.end() : end]
             at = end + 1
             if name in RAW:

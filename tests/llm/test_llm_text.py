@@ -203,6 +203,17 @@ def test_reading_broken_pages():
     assert runs('<p a="' * 5000) is not None
 
 
+def test_quotes_of_attributes():
+    assert runs("""<p>a<img alt='15" screen'>b</p><p title="x">c</p><p>d</p>""") == ["ab", "c", "d"]
+    assert runs("""<p>a<a href="x"">b</a></p><p title="y">c</p><p>d</p>""") == ["ab", "c", "d"]
+    assert runs("""<p title='a > "b' id=x>c</p><p title="it's > d">e</p>""") == ["c", "e"]
+    assert runs("""<p>a<b x=5">b</b></p><p class="y">c</p>""") == ["ab", "c"]
+    assert runs("""<p title="a>b</p><p>c</p>""") == ["b", "c"]
+    page = main_text.Page("""<div title='9" >' class="footer">x</div>""")
+    assert "hint foot" in page.features[1]
+    assert runs("""<p a=">" """ * 50_000) is not None
+
+
 def test_extract_rows(spark, page_model):
     rows = [(1, "u", main_text.LABELLED[0], "clash"), (None, None, None, None), (2, "v", "", ""), (2, "v", "", ""), (3, "w", "<p>" + "word. " * 60_000, "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
