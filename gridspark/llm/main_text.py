@@ -11,7 +11,8 @@ most ``SAMPLE`` pages of the table whose ``<article>`` or ``<main>`` tells their
 
 Edge cases: null and empty pages, and pages without markup or content, give what text the
 model keeps, an empty one at least; broken markup (unclosed tags, quotes, comments) is
-read to the end of the page; equal rows give equal results. Only the named columns are read.
+read to the end of the page; formulas, preformatted text and fallback text are text like any
+other; equal rows give equal results. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,9 +33,11 @@ SAMPLE_CHARS = 100_000  # longer pages are not trained on
 # Elements of HTML by their role in parsing.
 BLOCKS = frozenset(
     "html body div p ul ol li dl dt dd table caption thead tbody tfoot tr td th section article main aside header footer nav form "
-    "fieldset figure figcaption blockquote pre h1 h2 h3 h4 h5 h6 hr address details summary dialog menu center search hgroup".split()
+    "fieldset figure figcaption blockquote pre h1 h2 h3 h4 h5 h6 hr address details summary dialog menu center search hgroup xmp".split()
 )
-RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object canvas select datalist head".split())
+RAW = frozenset("script style title textarea xmp".split())
+FALLBACK = frozenset("noscript object canvas template select datalist iframe noembed noframes".split())  # parts of a paragraph, if it is open
+SPACED = frozenset("br option optgroup text mtd".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -88,6 +92,12 @@ class Page:
         linked = in_link = 0
         at, n = 0, len(s)
         quoted = True
+        last_end: dict[str, int] = {}  # where the last end tag of an element stands
+
+        def ended(name: str, at: int) -> bool:
+            if name not in last_end:
+                last_end[name] = max((m.start() for m in re.finditer(rf"</{name}(?=[\s/>])", s, re.I)), default=-1)
+            return last_end[name] >= at
 
         def flush() -> None:
             nonlocal linked
@@ -134,48 +144,63 @@ class Page:
                 break
             name, closing, attributes = tag[1].lower(), s[lt + 1] == "/", s[tag.end() : end]
             at = end + 1
-            if name in RAW:
-                if closing:
+            if name in RAW and not closing:
+                stop = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|$)", re.I).search(s, at) if ended(name, at) else None
+                if stop and name == "xmp":
+                    self._open(stack, name, attributes, flush)
+                    pieces.append(s[at : stop.start()])
+                    flush()
+                    stack.pop()
+                if stop:
+                    at = stop.end()
                     continue
-                if attributes.endswith("/") and name in ("svg", "math", "object"):
+                if name in ("script", "style"):  # without an end tag they go on to the end of the page
+                    at = n
                     continue
-                stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(s, at)
-                if name == "head" and not stop:
-                    stop = re.compile(r"<body\b", re.I).search(s, at)
-                    at = stop.start() if stop else at
-                else:
-                    at = stop.end() if stop else n
-                continue
-            if name == "br":
+            if name in SPACED:
                 pieces.append(" ")
                 continue
             if name == "a":
                 in_link = 0 if closing else 1
                 continue
-            if name not in BLOCKS:
+            if name not in BLOCKS and name not in FALLBACK:
                 continue
-            flush()
+            if name in FALLBACK and not closing:
+                if not ended(name, at):
+                    continue
+                empty = re.compile(rf"(?:\s|<(?!/?{name}\b)[^<>]*>)*+</{name}(?=[\s/>])[^<>]*>", re.I).match(s, at)
+                if empty:  # without text it does not part a text run
+                    at = empty.end()
+                    continue
             if closing:
+                flush()
                 for depth in range(len(stack) - 1, 0, -1):
                     if self.tags[stack[depth]] == name:
                         del stack[depth:]
-                        in_link = 0
+                        in_link = in_link if name in FALLBACK else 0
                         break
                 continue
             if name in VOID:
+                flush()
                 continue
+            self._open(stack, name, attributes, flush)
+        flush()
+
+    def _open(self, stack: list[int], name: str, attributes: str, flush: Callable[[], None]) -> None:
+        """A new node of an element, below those that it leaves open."""
+        flush()
+        if name not in FALLBACK:
             while len(stack) > 1 and self.tags[stack[-1]] == "p":  # a block ends an open paragraph
                 stack.pop()
-            if name in CLOSES:
-                for depth in range(len(stack) - 1, 0, -1):
-                    above = self.tags[stack[depth]]
-                    if above in CLOSES[name]:
-                        del stack[depth:]
-                        break
-                    if above in BORDERS.get(name, {"table"}):
-                        break
-            stack.append(self._add(stack[-1], *self._element(name, attributes, self.given[stack[-1]])))
-        flush()
+        if name in CLOSES:
+            for depth in range(len(stack) - 1, 0, -1):
+                above = self.tags[stack[depth]]
+                if above in CLOSES[name]:
+                    del stack[depth:]
+                    break
+                if above in BORDERS.get(name, {"table"}):
+                    break
+        stack.append(self._add(stack[-1], *self._element(name, attributes, self.given[stack[-1]])))
 
     def _element(self, name: str, attributes: str, given: int | None) -> tuple:
         found = [f"tag {name}"]
@@ -250,6 +275,9 @@ LABELLED = [
     f'<body data-y="0"><div class="post" data-y="1"><p>{WORDS}.</p><p>{WORDS}.</p><figure><figcaption>{WORDS}</figcaption></figure></div>'
     f'<div class="promo"><p>{WORDS}.</p></div><aside><p>{WORDS}.</p></aside><div role="alert"><p>{WORDS}.</p></div><dialog><p>{WORDS}.</p></dialog></body>',
     f'<body><p data-y="1">{WORDS}.</p><p data-y="1">{WORDS}. {WORDS}.</p><h2 data-y="1">More</h2><p data-y="1">{WORDS}.</p><footer data-y="0"><p>{WORDS}.</p></footer></body>',
+    f'<body data-y="0"><noscript><p>{WORDS}.</p></noscript><iframe>{WORDS}.</iframe><select><option>One</option><option>Two</option></select><div class="text" data-y="1">'
+    f'<p>{WORDS}.</p><xmp>{WORDS}</xmp><object>{WORDS}.</object><noscript><p>{WORDS}.</p></noscript><p>{WORDS} <canvas>{WORDS}</canvas></p><template><p>{WORDS}.</p></template>'
+    f'<svg><text>{WORDS}</text></svg><select data-y="0"><option>One</option><option>Two</option></select></div><datalist><option>{WORDS}</option></datalist></body>',
     f'<body><div data-y="1"><p>{WORDS}.</p><p>{WORDS}.</p></div><div hidden data-y="0"><p>{WORDS}.</p></div><div data-y="0"><a>Terms</a> <a>Privacy</a></div></body>',
 ]
 
@@ -272,7 +300,7 @@ def _labels(page: Page) -> list[int | None]:
     return out
 
 
-OUTSIDE = frozenset("nav aside footer header form dialog menu search".split())
+OUTSIDE = frozenset("nav aside footer header form dialog menu search select datalist".split())
 
 
 def mark_semantic(page: Page) -> bool:

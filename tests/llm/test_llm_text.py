@@ -214,6 +214,27 @@ def test_quotes_of_attributes():
     assert runs("""<p a=">" """ * 50_000) is not None
 
 
+def test_formulas_and_fallback_text_are_read(page_model):
+    assert runs("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><xmp>a <b> &amp;</xmp><p>z") == ["so x=2 holds", "a <b> &amp;", "z"]
+    for name in ("object", "noscript", "canvas", "template"):
+        assert runs(f"<p>a</p><{name}><p>b</p></{name}><p>c</p>") == ["a", "b", "c"]
+        assert runs(f"<p>a</p><{name}><p>b</p>") == ["a", "b"]
+    for name in ("select", "svg", "title", "textarea", "xmp"):
+        assert runs(f"<p>a</p><{name}><p>b</p>") == ["a", "b"]
+    assert runs("<select><option>a<option>b</select><svg/>c") == ["a b", "c"]
+    assert runs("<p>a</p><script>b</script ><style>c</style><title>d</title><textarea>e</textarea><p>f") == ["a", "f"]
+    assert runs("<p>a <img><noscript><img src=x></noscript><svg><title>t</title><path/></svg>b<hr>c<hr>d") == ["a b", "c", "d"]
+    assert len(main_text.Page("<p>a<hr>b<hr>c").parent) == 5
+    assert runs("<object>" * 20_000 + "a" + "</object>" * 20_000) == ["a"]
+    assert len(runs("<p>a<title>" * 20_000)) == 20_000
+    words = main_text.WORDS
+    article = f"<p>{words}.</p><noscript><p>{words}, fallback.</p></noscript><xmp>{words} kept</xmp><p>{words} <math><mi>y</mi></math>.</p>"
+    page = main_text.Page(f"<body><nav><a>Home</a></nav><article>{article}</article><footer>© Site</footer></body>")
+    p, _ = main_text.marginals(page, page_model["unary"], page_model["pair"])
+    kept = [t for t, q in zip(page.text, p, strict=True) if t and q >= 0.5]
+    assert kept == [f"{words}.", f"{words}, fallback.", f"{words} kept", f"{words} y."]
+
+
 def test_extract_rows(spark, page_model):
     rows = [(1, "u", main_text.LABELLED[0], "clash"), (None, None, None, None), (2, "v", "", ""), (2, "v", "", ""), (3, "w", "<p>" + "word. " * 60_000, "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
