@@ -210,7 +210,8 @@ def fill_blanks(points: DataFrame, keys: list[str], how: str, step: int = 1) ->
     first = F.col("__lo") + F.col("__tile") * tile
     places = F.sequence(first, F.least(F.col("__hi"), first + tile - step), F.lit(step).cast("bigint"))
     grid = tiles.select(*keys, F.explode(places).alias("x"))
-    full = grid.join(points.select(*keys, "x", "y"), [*keys, "x"], "left")
+    place = F.struct(*keys, "x").alias("__at")  # never null, so a null series meets its points
+    full = grid.withColumn("__at", place).join(points.select(place, "y"), "__at", "left").drop("__at")
     if how == "gap":
         return full
     if how == "zero":

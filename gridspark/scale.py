@@ -42,10 +42,11 @@ def running(
     far, inclusive) or ``lag`` (value of the row before). ``block`` must not
     decrease along ``order``; it bounds the rows one task sorts. Blocks are
     first summarised (partial aggregation), the summaries are scanned, and each
-    block then continues from what came before it. Keys must not be null.
+    block then continues from what came before it. Null keys are a group, and rows
+    of a null block come first: keys and block meet as one struct, which is never null.
     """
     names = list(outputs)
-    blocked = df.withColumn("__blk", block)
+    blocked = df.withColumn("__blk", F.struct(*keys, block.alias("__blk")))
     for n, (_, value) in outputs.items():
         if value is not None:
             blocked = blocked.withColumn(f"__v_{n}", value)
@@ -64,9 +65,10 @@ def running(
             parts.append(F.max_by(F.struct(v.alias("v")), position).alias(f"__p_{n}"))
         else:
             raise ValueError(f"unknown scan kind {kind!r}")
-    summary = blocked.groupBy(*keys, "__blk").agg(*parts)
+    summary = blocked.groupBy("__blk").agg(*parts)
 
-    earlier = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    group = [F.col("__blk")[k] for k in keys]
+    earlier = Window.partitionBy(*group).orderBy(F.col("__blk")["__blk"]).rowsBetween(Window.unboundedPreceding, -1)
     carried = []
     for n, (kind, _) in outputs.items():
         p = F.col(f"__p_{n}")
@@ -74,10 +76,10 @@ def running(
             carried.append(F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(f"__c_{n}"))
         else:
             carried.append(F.last(p, ignorenulls=True).over(earlier).alias(f"__c_{n}"))
-    carry = summary.select(*keys, "__blk", *carried)
+    carry = summary.select("__blk", *carried)
 
-    rows = blocked.join(carry, [*keys, "__blk"])
-    inside = Window.partitionBy(*keys, "__blk").orderBy(*(by or order))
+    rows = blocked.join(carry, "__blk")
+    inside = Window.partitionBy("__blk").orderBy(*(by or order))
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     for n, (kind, _) in outputs.items():
         v, c = F.col(f"__v_{n}"), F.col(f"__c_{n}")

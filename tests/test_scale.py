@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridspark import scale
-from gridspark.operators import stats
+from gridspark.operators import series, stats
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,26 @@ def test_running_without_keys(skewed):
     assert {r["i"]: r["n"] for r in out.collect()} == {i: i + 1 for i, _, _ in rows}
 
 
+def test_running_keeps_null_keys_and_places(spark):
+    rows = [(k, x, float(x or 0)) for k in ("a", None) for x in (None, None, 1, 2, 70, 71, 200)]
+    df = spark.createDataFrame(rows, "k string, x long, v double")
+    out = scale.running(df, ["k"], ["x"], {"n": ("row_number", None), "s": ("sum", F.col("v")), "up": ("lag", F.col("v"))}, scale.block_of("x", 64))
+    got = sorted(((r["k"] or "", r["n"], r["x"], r["s"], r["up"]) for r in out.collect()), key=lambda r: r[:2])
+    want = [(1, None, 0.0, None), (2, None, 0.0, 0.0), (3, 1, 1.0, 0.0), (4, 2, 3.0, 1.0), (5, 70, 73.0, 2.0), (6, 71, 144.0, 70.0), (7, 200, 344.0, 71.0)]
+    assert got == [(k, *w) for k in ("", "a") for w in want]
+
+
+def test_series_without_a_name_or_place(spark):
+    rows = [(k, x, float(i)) for k in ("a", None) for i, x in enumerate((None, 1, 2, 4, 8))]
+    points = spark.createDataFrame(rows, "series string, x long, y double")
+    got = series.moving_avg(points, ["series"], 2, scale.block_of("x", 2), 2).collect()
+    want = [(k, x, ma) for k in ("", "a") for x, ma in ((-1, None), (1, 0.5), (2, 1.5), (4, 2.5), (8, 3.5))]
+    assert sorted(((r["series"] or "", -1 if r["x"] is None else r["x"], r["ma"]) for r in got), key=lambda r: r[:2]) == want
+    for how, third in (("gap", None), ("zero", 0.0), ("span", 2.5)):
+        got = series.fill_blanks(points, ["series"], how).filter("x <= 4").collect()
+        assert sorted((r["series"] or "", r["x"], r["y"]) for r in got) == [(k, x, y) for k in ("", "a") for x, y in ((1, 1.0), (2, 2.0), (3, third), (4, 3.0))]
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot", [False, True])
 def test_salted_join_is_the_plain_join(skewed, spark, how, hot):
