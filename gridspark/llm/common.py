@@ -69,3 +69,22 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 2_000_00
                 start, held = i, 0
             held += s
         yield batch.slice(start)
+
+
+TERM_PIECE = 1 << 20
+
+
+def term_bytes(kept: str) -> bytes:
+    """Translation table for UTF-8 bytes: ASCII characters ``kept`` and all bytes beyond ASCII stay, A to Z in lower case, others become spaces."""
+    keep = set(kept.encode())
+    return bytes(b if b >= 128 else 32 if b not in keep else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def term_pieces(text: bytes, table: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in order, a piece of the text at a time; no term is cut."""
+    left = b""
+    for at in range(0, len(text), TERM_PIECE):
+        plain = left + text[at : at + TERM_PIECE].translate(table)
+        end = len(plain) if at + TERM_PIECE >= len(text) else plain.rfind(b" ") + 1
+        yield plain[:end].split()
+        left = plain[end:]
