@@ -8,10 +8,12 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import main_text, quality, toxicity
+from gridspark.llm import bpe, main_text, quality, toxicity
 from gridspark.llm.common import cut, table
+from gridspark.llm.divergence import audit_sources
 from gridspark.llm.fixity import audit, lay_out
 from gridspark.llm.histogram_sort import shard_by_bytes
+from gridspark.llm.lexical import best_documents
 from gridspark.llm.mixing import mix
 from gridspark.llm.packing import pack
 from gridspark.llm.text_dups import text_classes
@@ -158,4 +160,56 @@ def op2_minhash_dups(spark: SparkSession, folder: str) -> DataFrame:
     return text_classes(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
 
 
+@query("op11_lexical_search", r"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id,
+       regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+ q AS (SELECT row_number() OVER () AS item, item_id,
+       unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+ asked AS (SELECT item, item_id, term, count(*) AS times FROM q GROUP BY ALL),
+ total AS (SELECT count(*) FILTER (len(words) > 0) AS n, CAST(sum(len(words)) AS BIGINT) AS l FROM d),
+ t AS (SELECT doc, doc_id, len(words) AS n, unnest(words) AS term FROM d),
+ tf AS (SELECT doc, doc_id, n, term, count(*) AS tf FROM t SEMI JOIN asked USING (term) GROUP BY ALL),
+ w AS (SELECT term, CAST(floor(1000 * ln((2 * max(total.n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, total GROUP BY term),
+ worth AS (SELECT doc, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * tf.n * total.n) // total.l))) AS worth FROM tf JOIN w USING (term), total),
+ s AS (SELECT item, item_id, doc, doc_id, CAST(sum(times * worth) AS BIGINT) AS score FROM asked JOIN worth USING (term) GROUP BY ALL),
+ r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
+""")
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_divergence_audit", r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+       regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+ t AS (SELECT doc, lang, source, unnest(words) AS term FROM d),
+ tf AS (SELECT doc, lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+ kept AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS whole FROM tf GROUP BY ALL HAVING count(*) >= 3),
+ l AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(whole) AS n FROM kept GROUP BY lang),
+ cnt AS (SELECT lang, source, term, CAST(sum(n) AS HUGEINT) AS c FROM tf SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+ gn AS (SELECT lang, source, sum(c) AS n FROM cnt GROUP BY ALL),
+ g AS (SELECT x.lang, x.source, coalesce(gn.n, 0) AS n, coalesce(l.v, 0) AS v, l.n AS ln FROM (SELECT DISTINCT lang, source FROM d) x
+       LEFT JOIN gn USING (lang, source) LEFT JOIN l ON x.lang = l.lang),
+ p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + (1000000000 * (coalesce(c, 0) + 1)) // (g.n + g.v) AS p, 1 + (1000000000 * (k.whole + 1)) // (g.ln + g.v) AS q
+       FROM g JOIN kept k ON g.lang = k.lang LEFT JOIN cnt ON cnt.lang = g.lang AND cnt.source = g.source AND cnt.term = k.term),
+ gaps AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+ pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(gaps.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN gaps ON gaps.lang = a.lang AND gaps.source = a.source AND gaps.item = b.source),
+ term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE c > 0 AND p > q),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM (FROM pair UNION ALL FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INT) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+""")
+def op12_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_sources(table(spark, folder, "documents"))
+
+
+@query("op13_bpe_codec")
+def op13_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = bpe.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
