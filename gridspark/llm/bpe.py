@@ -4,7 +4,7 @@ A merge is decided by what stands to its right, but only so far: how far is comp
 merge list (``lookahead``). A boundary between two tokens of a prefix that lies at least
 so many symbols before the prefix's end is a boundary of every continuation, so the tokens
 before it are emitted at once and what follows is encoded on its own. A text is walked in
-slices; only the open word's last symbols, fewer than ``WINDOW``, are carried on.
+slices; only the open word's last symbols, a window of them and the lookahead, are carried on.
 Decoding is a state machine over token ids that holds the bytes of an unfinished character at most.
 
 The tokenizer is a JSON file of the public ``tokenizers`` format: byte-level BPE whose words end in a
@@ -132,6 +132,7 @@ class Codec:
         self.rules = {(number[a], number[b]): 512 + r for r, (a, b) in enumerate(merges)}
         self.ids = [vocab[name] for name in names]
         self.size = [len(name.removesuffix(suffix)) for name in names]
+        self.window = max(WINDOW, max(self.size) + 1)  # always room for a token
         self.special = {a["content"]: a["id"] for a in t["added_tokens"]}
         self.tokens = {i: s for s, i in (vocab | self.special).items()}
         of = {c: b for b, c in letters.items()}
@@ -165,7 +166,7 @@ class Codec:
 
     def whole_word(self, word: str) -> list[int]:
         data = word.encode()
-        if len(data) > WINDOW + self.lookahead:
+        if len(data) > self.window + self.lookahead:
             return WordStream(self).push(word, last=True)
         return [self.ids[t] for t in self.merge(data, True)] if data else []
 
@@ -178,10 +179,10 @@ class WordStream:
 
     def push(self, piece: str, last: bool = False) -> list[int]:
         c, out, data = self.codec, [], self.held + piece.encode()
-        while len(data) > WINDOW + c.lookahead:
+        while len(data) > c.window + c.lookahead:
             at = 0
-            for t in c.merge(data[: WINDOW + c.lookahead], False):
-                if at + c.size[t] >= WINDOW:  # no longer more than the lookahead before the end of the window
+            for t in c.merge(data[: c.window + c.lookahead], False):
+                if at + c.size[t] >= c.window:  # no longer more than the lookahead before the end of the window
                     break
                 out.append(c.ids[t])
                 at += c.size[t]
@@ -380,13 +381,16 @@ def _mapped(df: DataFrame, path: str, column: str, fields: list[tuple[str, T.Dat
     spec = _shipped(df, path)
     names = [n for n, _, _ in fields]
     kept = [c for c in df.columns if c not in names]
-    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("__in"))
+    given_name = "given"
+    while given_name in kept:
+        given_name += "_"
+    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias(given_name))
     schema = T.StructType([*[df.schema[c] for c in kept], *[T.StructField(n, t) for n, t, _ in fields]])
 
     def run(batches):
         codec = codec_of(spec.value)
         for batch in batches:
-            got = list(values(codec, batch.column("__in")))
+            got = list(values(codec, batch.column(len(kept))))
             new = [pa.array([g[k] for g in got], t) for k, (_, _, t) in enumerate(fields)]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(kept))], *new], [*kept, *names])
 

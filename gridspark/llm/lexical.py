@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gridspark.llm.common import cut, term_bytes, term_pieces, text_chunks, text_of
 
@@ -265,7 +266,7 @@ def _search(vectors: DataFrame, items: Items, docs: int, terms: int, k: int, lea
     schema = T.StructType([
         T.StructField("item", T.IntegerType()), T.StructField("item_id", item_type), T.StructField("doc_id", id_type), T.StructField("score", T.LongType()),
     ])
-    shipped = vectors.sparkSession.sparkContext.broadcast((items, least))
+    shipped, name_kind = vectors.sparkSession.sparkContext.broadcast((items, least)), to_arrow_type(item_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search, kind = None, None
@@ -278,7 +279,7 @@ def _search(vectors: DataFrame, items: Items, docs: int, terms: int, k: int, lea
             rows = [(i, search.items.ids[i], d, -s) for i, best in enumerate(search.best) for s, _, d in best]
             if rows:
                 item, names, found, scores = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array(names), pa.array(found, kind), pa.array(scores, pa.int64())], ["item", "item_id", "doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array(names, name_kind), pa.array(found, kind), pa.array(scores, pa.int64())], ["item", "item_id", "doc_id", "score"])
 
     return vectors.mapInArrow(run, schema)
 
