@@ -53,8 +53,8 @@ BUILTIN_FORMATS = {
 # Epochs, and the days from the 1900 epoch to the last and first representable day.
 EPOCHS = {1900: "1899-12-30", 1904: "1904-01-01"}
 DAY_MS = 86_400_000
-_LAST_DAY = {1900: 2958465, 1904: 2957003}
-_FIRST_DAY = {1900: -693593, 1904: -695055}
+_LAST_DAY, _FIRST_DAY = 2958465, -693593
+_LATER = 1462  # days between the epochs
 
 # Display units of a value axis.
 DISPLAY_UNITS = {
@@ -270,30 +270,23 @@ def display_unit(c: Column, unit: str | float) -> Column:
 # --- serial dates ------------------------------------------------------------
 
 
-def _epoch(epoch: int) -> Column:
-    return F.expr(f"timestamp_ntz'{EPOCHS[epoch]} 00:00:00'")
-
-
-def _at(epoch: int, ms: Column) -> Column:
-    return _epoch(epoch) + F.make_dt_interval(secs=(ms / 1000).cast("decimal(18,6)"))
-
-
-def from_serial(c: Column, epoch: int = 1900) -> Column:
+def from_serial(c: Column, epoch: int | Column = 1900) -> Column:
     """Serial number -> struct(ts, time_ms, err).
 
     Values in [0, 1) are a time of day unless their fraction rounds up to a full
     day. In the 1900 epoch serials below 60 sit one day later, because that
     calendar counts a 29 February 1900. Serials off the calendar give ``#VALUE!``.
     """
+    late = epoch == 1904 if isinstance(epoch, Column) else F.lit(epoch == 1904)
     day = F.floor(c)
     ms = F.bround((c - day) * DAY_MS).cast("bigint")
     clock = (c >= 0) & (c < 1) & (ms < DAY_MS)
-    if epoch == 1900:
-        day = F.when((c > 0) & (c < 60), day + 1).otherwise(day)
+    day = day + F.when(late, _LATER).when((c > 0) & (c < 60), 1).otherwise(0)  # both calendars counted from the earlier epoch
     total = day * DAY_MS + ms
-    off = (total < _FIRST_DAY[epoch] * DAY_MS) | (total >= (_LAST_DAY[epoch] + 1) * DAY_MS)
+    off = (total < _FIRST_DAY * DAY_MS) | (total >= (_LAST_DAY + 1) * DAY_MS)
+    start = F.expr(f"timestamp_ntz'{EPOCHS[1900]} 00:00:00'")
     return F.struct(
-        F.when(~clock & ~off, _at(epoch, total)).alias("ts"),
+        F.when(~clock & ~off, F.timestamp_add("MILLISECOND", total, start)).alias("ts"),
         F.when(clock, ms).alias("time_ms"),
         F.when(~clock & off, F.lit("#VALUE!")).alias("err"),
     )
@@ -315,10 +308,22 @@ def to_serial(c: Column, epoch: int = 1900) -> Column:
     return days + seconds / 86400.0
 
 
+def iso_parts(c: Column) -> tuple[Column, Column]:
+    """Day and clock of ISO-8601 text, each empty where it is missing."""
+    day = F.regexp_extract(c, r"^(\d{4}-\d{2}-\d{2})", 1)
+    return day, F.regexp_extract(c, r"^(?:\d{4}-\d{2}-\d{2})?T?(\d{2}:\d{2}(?::\d{2}(?:\.\d{1,3})?)?)", 1)
+
+
+def clock_ms(clock: Column) -> Column:
+    """Milliseconds of a clock as ``iso_parts`` gives it; NULL from 24 hours on."""
+    number = lambda at, n: F.coalesce(F.substring(clock, at, n).try_cast("bigint"), F.lit(0))
+    part = F.coalesce(F.rpad(F.substring(clock, 10, 3), 3, "0").try_cast("bigint"), F.lit(0))
+    return F.when(number(1, 2) < 24, ((number(1, 2) * 60 + number(4, 2)) * 60 + number(7, 2)) * 1000 + part)
+
+
 def from_iso(c: Column) -> Column:
     """ISO-8601 text -> struct(date, time_us, ts, duration_us, err)."""
-    day = F.regexp_extract(c, r"^(\d{4}-\d{2}-\d{2})", 1)
-    clock = F.regexp_extract(c, r"^(?:\d{4}-\d{2}-\d{2})?T?(\d{2}:\d{2}(?::\d{2}(?:\.\d{1,3})?)?)", 1)
+    day, clock = iso_parts(c)
     span = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d{1,3})?)S)?"
 
     def amount(i: int) -> Column:

@@ -7,6 +7,8 @@ Times of day and durations are milliseconds.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,6 +150,12 @@ def text_of(prefix: str = "") -> Column:
     )
 
 
+def has_value(prefix: str = "") -> Column:
+    """Whether a cell holds any value; far shorter than asking for its text."""
+    held = [F.col(prefix + n).isNotNull() for n in ("v_str", "v_num", "v_ts", "v_bool", "time_ms", "span_ms", "err")]
+    return reduce(Column.__or__, held)
+
+
 def value_mode(cells: DataFrame, data_only: bool) -> DataFrame:
     """Cached values, or formula text in place of them."""
     if data_only:

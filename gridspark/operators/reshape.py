@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.scalars import normalise
-from gridspark.operators.grid import SHEET, text_of
+from gridspark.operators.grid import SHEET, has_value, text_of
 from gridspark.scale import salted_join
 
 OPEN_TOP = 999999
@@ -86,7 +86,7 @@ def label_cells(cells: DataFrame, header: DataFrame) -> DataFrame:
 
 def drop_ragged_cols(cells: DataFrame) -> DataFrame:
     """Cells of the columns that are filled in every row their sheet uses."""
-    per_col = cells.groupBy(*SHEET, "col").agg(F.count_if(text_of().isNotNull()).alias("__n"))
+    per_col = cells.groupBy(*SHEET, "col").agg(F.count_if(has_value()).alias("__n"))
     rows = cells.groupBy(*SHEET, "row").agg(F.lit(1).alias("__one")).groupBy(*SHEET).agg(F.count(F.lit(1)).alias("__rows"))
     full = per_col.join(rows, SHEET).filter("__n = __rows").select(*SHEET, "col")
     return salted_join(cells, full, [*SHEET, "col"], "left_semi")

@@ -26,32 +26,30 @@ def type_cells(raw: DataFrame, epoch: int | Column = 1900) -> DataFrame:
     t = F.col("t")
     text = t.isin("str", "inlineStr")
     v = F.when(F.col("v") != "", F.when(text | (F.trim("v") != ""), F.col("v")))
-    number = v.try_cast("double")
+    # one projection per step: values used again stay columns, and every generated method stays short
+    parsed = raw.withColumn("__v", v).withColumns({"__number": F.when(t.isin("n", "b"), F.col("__v").try_cast("double")), "__iso": F.when(t == "d", F.col("__v"))})
+    number = F.col("__number")
     dated = (t == "n") & F.col("style_class").isin("date", "datetime", "time")
     spanned = (t == "n") & (F.col("style_class") == "timedelta")
-    if isinstance(epoch, int):
-        serial = S.from_serial(number, epoch)
-    else:
-        serial = F.when(epoch == 1904, S.from_serial(number, 1904)).otherwise(S.from_serial(number, 1900))
-    iso = S.from_iso(v)
-    typed = raw.withColumns({"__serial": F.when(dated, serial), "__iso": F.when(t == "d", iso)})
-    date = F.coalesce(F.col("__serial.ts"), F.col("__iso.ts"), F.col("__iso.date").cast("timestamp_ntz"))
-    clock = F.coalesce(F.col("__serial.time_ms"), F.floor(F.col("__iso.time_us") / 1000))
-    return typed.withColumns(
+    day, clock = S.iso_parts(F.col("__iso"))
+    staged = parsed.withColumns({"__serial": F.when(dated, S.from_serial(number, epoch)), "__day": day, "__clock": clock})
+    day, clock = F.col("__day"), F.col("__clock")
+    stamp = F.when(clock == "", day.try_cast("date").cast("timestamp_ntz")).otherwise(F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz"))
+    return staged.withColumns(
         {
             "dtype": F.when(F.col("formula").isNotNull(), "f")
             .when(dated | (t == "d"), "d")
             .when(text, "s")
             .otherwise(t),
             "v_num": F.when((t == "n") & ~dated & ~spanned, number),
-            "v_str": F.when(text, v),
-            "v_bool": F.when(t == "b", v.try_cast("int") != 0),
-            "v_ts": date,
-            "time_ms": clock,
+            "v_str": F.when(text, F.col("__v")),
+            "v_bool": F.when(t == "b", number.try_cast("int") != 0),
+            "v_ts": F.coalesce(F.col("__serial.ts"), F.when(day != "", stamp)),
+            "time_ms": F.coalesce(F.col("__serial.time_ms"), F.when((day == "") & (clock != ""), S.clock_ms(clock))),
             "span_ms": F.when(spanned, S.duration_from_serial(number)),
-            "err": F.when(t == "e", v).otherwise(F.col("__serial.err")),
+            "err": F.when(t == "e", F.col("__v")).otherwise(F.col("__serial.err")),
         }
-    ).drop("__serial", "__iso")
+    ).drop("__v", "__number", "__iso", "__serial", "__day", "__clock")
 
 
 def classify_cells(cells: DataFrame, code: Column) -> DataFrame:

@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
+from gridspark.functions.scalars import BUILTIN_FORMATS, DATE_LETTERS, ELAPSED
+
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
@@ -49,6 +51,22 @@ def text_of(el) -> str:
     return "".join(parts)
 
 
+def format_class(code: str | None) -> str:
+    """``classify_format`` for one code: date, time, datetime, timedelta or number."""
+    first = (code or "").split(";", 1)[0].lower()
+    if any(mark in first for mark in ELAPSED):
+        return "timedelta"
+    pieces = first.split('"')
+    shown = "".join(p if i % 2 == 0 else '"' + p if i == len(pieces) - 1 else "" for i, p in enumerate(pieces))
+    head, *rest = shown.split("[")
+    shown = head + "".join(p.partition("]")[2] if "]" in p else "[" + p for p in rest)
+    head, *rest = shown.replace("\\", "_").split("_")
+    if not set(DATE_LETTERS) & set(head + "".join(p[1:] for p in rest)):
+        return "number"
+    has_date, has_time = set("dy") & set(code), set("hs") & set(code)
+    return "datetime" if has_date and has_time else "date" if has_date else "time"
+
+
 class Workbook:
     """Lazy view of an open workbook archive."""
 
@@ -102,14 +120,15 @@ class Workbook:
                     el.clear()
         return out
 
-    def styles(self) -> tuple[list[int], dict[int, str]]:
-        """Format id per style, and the custom format codes."""
+    def style_codes(self) -> list[str | None]:
+        """Number format code of every style; None for a built-in format that has none."""
         member = self.part("styles")
         if member is None:
-            return [], {}
+            return []
         root = self.xml(member)
         custom = {int(n.get("numFmtId")): n.get("formatCode") for n in children(child(root, "numFmts"), "numFmt")}
-        return [int(x.get("numFmtId", 0)) for x in children(child(root, "cellXfs"), "xf")], custom
+        ids = [int(x.get("numFmtId", 0)) for x in children(child(root, "cellXfs"), "xf")]
+        return [custom.get(i) or BUILTIN_FORMATS.get(i) for i in ids]
 
     def worksheets(self, wanted: set[str] | None) -> Iterator[tuple[str, str]]:
         for name, _, kind, target in self.sheets:

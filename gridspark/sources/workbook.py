@@ -1,41 +1,48 @@
-"""Workbooks as a source and a sink.
+"""Workbooks as a source and a sink, format ``workbook``.
 
-A scan lists files with Spark's own file source (which batches small files into
-tasks by size) and never loads a file whole: each task opens its files in place
-and streams the wanted members as Arrow batches. Typing is done on the JVM side.
+The reader lists files once, deals them by size to input partitions and never loads a file whole: a task opens its
+files in place and streams the wanted members as Arrow batches. Files, sheets and rows that are not wanted are not
+opened or not parsed. Whatever is wrong with a file ends as a row with its reason, never as the end of the job. Typing is
+done on the JVM side.
+
+``spark.read.format("workbook").option("push", "true")`` takes filters on ``book``, ``sheet``, ``row`` and ``col`` into the
+reader once ``register(spark, push=True)`` has allowed it. Spark 4.1 keeps what was pushed with the loaded source, so two filters over one
+loaded DataFrame would share the first one's rows: load once per filter. The ``scan_`` functions
+therefore leave filters to Spark and take what is wanted as arguments.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from urllib.parse import unquote
-from xml.etree import ElementTree
 
 from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from gridspark.functions import coords as C
 from gridspark.functions import formula_text
 from gridspark.functions import scalars as S
 from gridspark.operators import typing as typing_ops
 from gridspark.operators.grid import CELLS, value_mode
-from gridspark.scale import running, spread
+from gridspark.scale import running, salted_join, spread
 from gridspark.sources import files, ooxml
 
-# File types that hold a readable workbook (as a glob, whatever the case), and the row limit of a sheet.
+# File types that hold a readable workbook, and the row limit of a sheet.
 EXTENSIONS = ("xlsx", "xlsm", "xltx", "xltm")
-ANY_WORKBOOK = "*.[xX][lL][sStT][xXmM]"
 MAX_ROWS = 1048576
 BATCH = 20000
+PARTITION_BYTES, LEAST_PARTITIONS = 8 << 20, 32
 
 _RAW = (
     "book string, sheet string, row int, col int, t string, v string, formula string, si int, "
-    "style_id int, format_id int, format_code string, epoch int"
+    "style_id int, style_class string, epoch int"
 )
 _CATALOGUE = "book string, sheet string, idx int, state string, kind string"
 _PROPERTIES = "book string, kind string, name string, value string"
@@ -53,15 +60,6 @@ def _arrow_schema(ddl: str):
     return pa.schema([(n, kinds[t]) for n, t in fields])
 
 
-def _list_files(spark: SparkSession, path: str) -> DataFrame:
-    last = path.rstrip("/").rsplit("/", 1)[-1]
-    if "." in last and "*" not in last and last.rsplit(".", 1)[-1].lower() not in EXTENSIONS:
-        raise ValueError(f"not a workbook: {path} (one of {', '.join(EXTENSIONS)})")
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", ANY_WORKBOOK)
-    # only path and length: the content column is never read on the JVM side
-    return reader.option("recursiveFileLookup", "true").load(path).select("path")
-
-
 def book_name(uri: str, root: str) -> str:
     """Path of a file below the folder that is scanned, so equal names in two folders are two books.
 
@@ -75,108 +73,286 @@ def book_name(uri: str, root: str) -> str:
     return inside.lstrip("/") or path.rsplit("/", 1)[-1]
 
 
-def _scan(spark: SparkSession, path: str, ddl: str, rows_of, broken=None) -> DataFrame:
-    """``rows_of(book name, Workbook)`` yields tuples in the order of ``ddl``.
+def refuse_others(path: str) -> None:
+    """A single file of another type is a mistake of the caller."""
+    last = path.rstrip("/").rsplit("/", 1)[-1]
+    if "." in last and "*" not in last and last.rsplit(".", 1)[-1].lower() not in EXTENSIONS:
+        raise ValueError(f"not a workbook: {path} (one of {', '.join(EXTENSIONS)})")
+
 
-    ``broken(book name, reason)`` gives the row of a file that is no readable workbook; without it the job fails.
+class Wanted:
+    """Conditions on columns that a reader has taken over: allowed values, least and greatest ones, non-null columns."""
+
+    def __init__(self):
+        self.allowed: dict[str, set] = {}
+        self.least: dict[str, int] = {}
+        self.most: dict[str, int] = {}
+        self.present: set[str] = set()
+
+    def take(self, f: ds.Filter, columns: dict[str, str]) -> bool:
+        """Take over one filter; False if Spark has to check it."""
+        name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+        if name not in columns:
+            return False
+        if isinstance(f, ds.IsNotNull):
+            self.present.add(name)
+        elif isinstance(f, (ds.EqualTo, ds.In)):
+            values = {f.value} if isinstance(f, ds.EqualTo) else set(f.value)
+            self.allowed[name] = self.allowed.get(name, values) & values
+        elif columns[name] == "int" and isinstance(f, (ds.GreaterThan, ds.GreaterThanOrEqual)):
+            low = f.value + isinstance(f, ds.GreaterThan)
+            self.least[name] = max(self.least.get(name, low), low)
+        elif columns[name] == "int" and isinstance(f, (ds.LessThan, ds.LessThanOrEqual)):
+            high = f.value - isinstance(f, ds.LessThan)
+            self.most[name] = min(self.most.get(name, high), high)
+        else:
+            return False
+        return True
+
+    def admits(self, name: str, value) -> bool:
+        if value is None:
+            return not (name in self.present or name in self.allowed or name in self.least or name in self.most)
+        return (
+            (name not in self.allowed or value in self.allowed[name])
+            and (name not in self.least or value >= self.least[name])
+            and (name not in self.most or value <= self.most[name])
+        )
+
+    def both(self, other: Wanted) -> Wanted:
+        out = Wanted()
+        for w in (self, other):
+            out.present |= w.present
+            for n, values in w.allowed.items():
+                out.allowed[n] = out.allowed.get(n, values) & values
+            for n, v in w.least.items():
+                out.least[n] = max(out.least.get(n, v), v)
+            for n, v in w.most.items():
+                out.most[n] = min(out.most.get(n, v), v)
+        return out
+
+    def checks(self) -> list[str]:
+        return sorted({*self.allowed, *self.least, *self.most, *self.present})
+
+
+@dataclass
+class Part:
+    """A kind of rows that workbooks hold.
+
+    ``rows(book, workbook, wanted)`` yields tuples in the order of ``ddl``, ``broken(book, reason)`` is the row of a file
+    that cannot be read on.
     """
 
-    def run(batches: Iterator) -> Iterator:
+    ddl: str
+    rows: Callable
+    broken: Callable
+
+
+def reason(e: Exception) -> str:
+    return f"unreadable: {type(e).__name__}: {e}"
+
+
+def _cell_rows(book: str, wb, wanted: Wanted) -> Iterator[tuple]:
+    """Stored cells; what breaks off in a sheet is told in a row of its own and the next sheet is read."""
+    sheets = [s for s in wb.worksheets(None) if wanted.admits("sheet", s[0])]
+    strings = wb.strings() if sheets else []
+    classes = [ooxml.format_class(c) for c in wb.style_codes()] if sheets else []
+    low, high = wanted.least.get("row", 0), wanted.most.get("row")
+    if "row" in wanted.allowed:
+        low, high = max(low, min(wanted.allowed["row"], default=1)), min([*([high] if high is not None else []), max(wanted.allowed["row"], default=0)])
+    for sheet, member in sheets:
+        masters: dict[int, tuple[str, int, int]] = {}
+        try:
+            for row, col, t, v, formula, si, style in wb.raw_cells(member, strings, high):
+                if si is not None:
+                    if formula is not None:
+                        masters[si] = formula, row, col
+                    elif si in masters:
+                        text, top, left = masters[si]
+                        formula = formula_text.shift_formula(text, row - top, col - left)
+                if row >= low:
+                    yield book, sheet, row, col, t, v, formula, si, style, classes[style] if style < len(classes) else "number", wb.epoch
+        except Exception as e:  # noqa: BLE001 a damaged sheet is data, not a fault of the job
+            yield book, sheet, None, None, "e", reason(e), None, None, None, None, None
+
+
+def _sheet_rows(of: Callable) -> Callable:
+    """Rows of the parts of every wanted sheet."""
+
+    def rows(book: str, wb, wanted: Wanted) -> Iterator[tuple]:
+        for sheet, member in wb.worksheets(None):
+            if wanted.admits("sheet", sheet):
+                for r in of(wb, member):
+                    yield (book, sheet, *r)
+
+    return rows
+
+
+def _declared_rows(wb, member: str) -> Iterator[tuple]:
+    for *item, on in wb.declared(member):
+        yield (*item, str(on).lower())
+
+
+def _book_rows(of: Callable) -> Callable:
+    return lambda book, wb, wanted: ((book, *r) for r in of(wb))
+
+
+PARTS = {
+    "cells": Part(_RAW, _cell_rows, lambda book, why: (book, None, None, None, "e", why, None, None, None, None, None)),
+    "catalogue": Part(_CATALOGUE, _book_rows(lambda wb: wb.catalogue()), lambda book, why: (book, None, None, "unreadable", why)),
+    "properties": Part(_PROPERTIES, _book_rows(lambda wb: wb.properties()), lambda book, why: (book, "unreadable", None, why)),
+    "names": Part(_NAMES, _book_rows(lambda wb: wb.names()), lambda book, why: (book, None, None, why)),
+    "parts": Part(_PARTS, _sheet_rows(lambda wb, m: wb.sheet_parts(m)), lambda book, why: (book, None, "unreadable", None, None, why, None, None)),
+    "declared": Part(_DECLARED, _sheet_rows(_declared_rows), lambda book, why: (book, None, "unreadable", None, None, None, why, None, None, None, "false")),
+    "external": Part(_EXTERNAL, lambda book, wb, wanted: ((*r, book) for r in wb.external_cells()), lambda book, why: (None, None, None, None, "e", why, book)),
+}
+
+
+class Files(InputPartition):
+    def __init__(self, uris: list[str]):
+        super().__init__(len(uris))
+        self.uris = uris
+
+
+class WorkbookReader(DataSourceReader):
+    """Options: ``path``, ``part`` (see ``PARTS``), ``books`` and ``sheets`` (one by line), ``min_row``, ``max_row``, ``push``.
+
+    Unlike a filter, the options leave the rows of unreadable files in.
+    """
+
+    def __init__(self, options):
+        self.root, self.part = options["path"], options.get("part", "cells")
+        fields = [f.strip().split(" ") for f in PARTS[self.part].ddl.split(",")]
+        self.columns = dict(fields)
+        self.wanted = Wanted()  # by pushed filters: rows are checked against them
+        self.asked = Wanted()  # by options
+        for name, key in (("book", "books"), ("sheet", "sheets")):
+            if options.get(key):
+                self.asked.allowed[name] = set(options[key].split("\n"))
+        if options.get("min_row"):
+            self.asked.least["row"] = int(options["min_row"])
+        if options.get("max_row"):
+            self.asked.most["row"] = int(options["max_row"])
+
+    def partitions(self):
+        refuse_others(self.root)
+        file_column = "linked_from" if self.part == "external" else "book"
+        wanted = self.wanted.both(self.asked)
+        found = [
+            (uri, size) for uri, size in files.list_files(self.root)
+            if uri.rsplit(".", 1)[-1].lower() in EXTENSIONS and wanted.admits(file_column, book_name(uri, self.root))
+        ]
+        total = sum(size for _, size in found)
+        n = max(-(-total // PARTITION_BYTES), min(len(found), LEAST_PARTITIONS))
+        bins: list[tuple[int, int, list[str]]] = [(0, i, []) for i in range(n)]
+        for uri, size in sorted(found, key=lambda f: -f[1]):  # the largest first, each to the lightest partition
+            held, i, uris = heapq.heappop(bins)
+            uris.append(uri)
+            heapq.heappush(bins, (held + size + 4096, i, uris))
+        return [Files(sorted(uris)) for _, _, uris in bins if uris] or [Files([])]
+
+    def rows_of(self, uri: str) -> Iterator[tuple]:
+        part, name, wanted = PARTS[self.part], book_name(uri, self.root), self.wanted.both(self.asked)
+        try:
+            with files.open_file(uri) as handle:
+                yield from part.rows(name, ooxml.Workbook(handle), wanted)
+        except Exception as e:  # noqa: BLE001 whatever a file holds, the job goes on
+            yield part.broken(name, reason(e))
+
+    def read(self, partition):
         import pyarrow as pa
 
-        schema = _arrow_schema(ddl)
+        schema = _arrow_schema(PARTS[self.part].ddl)
+        checks = [(schema.get_field_index(c), c) for c in self.wanted.checks()]
+        admits = self.wanted.admits
 
         def batch(rows: list):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema
-            )
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         rows: list[tuple] = []
-        for b in batches:
-            for uri in b.column(0).to_pylist():
-                name = book_name(uri, path)
-                try:
-                    with files.open_file(uri) as handle:
-                        for r in rows_of(name, ooxml.Workbook(handle)):
-                            rows.append(r)
-                            if len(rows) >= BATCH:
-                                yield batch(rows)
-                                rows = []
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
-                    if broken is None:
-                        raise
-                    rows.append(broken(name, f"unreadable: {type(e).__name__}: {e}"))
+        for uri in partition.uris:
+            for r in self.rows_of(uri):
+                if checks and not all(admits(c, r[i]) for i, c in checks):
+                    continue
+                rows.append(r)
+                if len(rows) >= BATCH:
+                    yield batch(rows)
+                    rows = []
         if rows:
             yield batch(rows)
 
-    return _list_files(spark, path).mapInArrow(run, ddl)
 
+class PushingReader(WorkbookReader):
+    """Takes over filters on books, sheets and places; Spark lets such a reader in only where pushing is allowed."""
 
-def scan_raw(spark: SparkSession, path: str, sheets: list[str] | None = None, max_row: int | None = None) -> DataFrame:
-    """Stored cells of every workbook under ``path``; unwanted sheets and rows are never parsed."""
+    def pushFilters(self, filters):
+        pushable = {c: t for c, t in self.columns.items() if c in ("book", "sheet", "row", "col", "linked_from")}
+        for f in filters:
+            if not self.wanted.take(f, pushable):
+                yield f
 
-    def rows_of(book: str, wb) -> Iterator[tuple]:
-        strings = wb.strings()
-        formats, custom = wb.styles()
-        for sheet, member in wb.worksheets(set(sheets) if sheets else None):
-            masters: dict[int, tuple[str, int, int]] = {}
-            for row, col, t, v, formula, si, style in wb.raw_cells(member, strings, max_row):
-                if si is not None:
-                    if formula is not None:
-                        masters[si] = formula, row, col
-                    elif si in masters:
-                        text, top, left = masters[si]
-                        formula = formula_text.shift_formula(text, row - top, col - left)
-                fmt = formats[style] if style < len(formats) else 0
-                yield book, sheet, row, col, t, v, formula, si, style, fmt, custom.get(fmt), wb.epoch
 
-    def broken(book: str, reason: str) -> tuple:
-        return book, None, None, None, "e", reason, None, None, None, None, None, None
+def register(spark: SparkSession, push: bool = False) -> None:
+    """Make format ``workbook`` known to a session; ``push`` allows filters to be pushed into it."""
+    spark.dataSource.register(WorkbookDataSource)
+    if push:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+
 
-    return _scan(spark, path, _RAW, rows_of, broken)
+def scan_part(spark: SparkSession, path: str, part: str, **options: str) -> DataFrame:
+    """Rows of one kind (see ``PARTS``) of every workbook under ``path``."""
+    refuse_others(path)
+    register(spark)
+    return spark.read.format("workbook").options(part=part, **options).load(path)
+
+
+def scan_raw(
+    spark: SparkSession, path: str, sheets: list[str] | None = None, max_row: int | None = None, min_row: int | None = None, books: list[str] | None = None
+) -> DataFrame:
+    """Stored cells of every workbook under ``path``; unwanted books, sheets and rows are never parsed."""
+    asked = {"sheets": sheets and "\n".join(sheets), "books": books and "\n".join(books), "min_row": min_row, "max_row": max_row}
+    return scan_part(spark, path, "cells", **{k: str(v) for k, v in asked.items() if v})
 
 
 def scan_workbooks(
-    spark: SparkSession, path: str, data_only: bool = False, sheets: list[str] | None = None, max_row: int | None = None
+    spark: SparkSession, path: str, data_only: bool = False, sheets: list[str] | None = None, max_row: int | None = None,
+    min_row: int | None = None, books: list[str] | None = None,
 ) -> DataFrame:
     """A folder of workbooks as typed cells, with cached values or with formulas in their place.
 
-    Shared formulas are spelled out while their sheet streams by, which saves
-    reading the files again for a join. A file that cannot be read gives one row without
-    a sheet, its reason in ``err``.
+    Shared formulas are spelled out while their sheet streams by, which saves reading the files again for a
+    join. A file that cannot be read gives one row without a sheet, its reason in ``err``; a sheet that breaks off gives
+    the cells before the break and a row of its own without a place (``mark_torn``).
     """
-    raw = scan_raw(spark, path, sheets, max_row)
-    code = F.coalesce("format_code", S.format_code(F.col("format_id")))
-    classed = raw.withColumn("style_class", S.classify_format(code))
-    typed = typing_ops.type_cells(classed, epoch=F.col("epoch"))
+    typed = typing_ops.type_cells(scan_raw(spark, path, sheets, max_row, min_row, books), epoch=F.col("epoch"))
     kept = value_mode(typed, data_only)
     return kept.select(*CELLS)
 
 
+def mark_torn(cells: DataFrame) -> DataFrame:
+    """``cells`` with ``torn``: whether their sheet could be read in part only."""
+    torn = cells.filter(F.col("row").isNull() & F.col("sheet").isNotNull() & F.col("err").startswith("unreadable: ")).select("book", "sheet").distinct()
+    met = salted_join(cells, torn.withColumn("torn", F.lit(True)), ["book", "sheet"])
+    return met.withColumn("torn", F.coalesce("torn", F.lit(False))).select(*cells.columns, "torn")
+
+
 def scan_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Sheets of every workbook in order, with their state."""
-    return _scan(spark, path, _CATALOGUE, lambda book, wb: ((book, *r) for r in wb.catalogue()), lambda book, reason: (book, None, None, "unreadable", reason))
+    """Sheets of every workbook in order, with their state; an unreadable file has state ``unreadable`` and its reason as kind."""
+    return scan_part(spark, path, "catalogue")
 
 
 def scan_properties(spark: SparkSession, path: str) -> DataFrame:
-    """Document and custom properties of every workbook."""
-    return _scan(spark, path, _PROPERTIES, lambda book, wb: ((book, *r) for r in wb.properties()))
+    """Document and custom properties of every workbook; kind ``unreadable`` with the reason as value."""
+    return scan_part(spark, path, "properties")
 
 
 def scan_names(spark: SparkSession, path: str) -> DataFrame:
-    """Defined names with their scope, as ``resolve_names`` takes them."""
-    return _scan(spark, path, _NAMES, lambda book, wb: ((book, *r) for r in wb.names()))
+    """Defined names with their scope, as ``resolve_names`` takes them; an unreadable file has no name, its reason as target."""
+    return scan_part(spark, path, "names")
 
 
 def scan_parts(spark: SparkSession, path: str) -> DataFrame:
-    """Merges, links, tables and comments of every sheet."""
-
-    def rows_of(book: str, wb) -> Iterator[tuple]:
-        for sheet, member in wb.worksheets(None):
-            for part in wb.sheet_parts(member):
-                yield (book, sheet, *part)
-
-    return _scan(spark, path, _PARTS, rows_of)
+    """Merges, links, tables and comments of every sheet; kind ``unreadable`` with the reason as text."""
+    return scan_part(spark, path, "parts")
 
 
 def scan_declared(spark: SparkSession, path: str) -> DataFrame:
@@ -184,16 +360,9 @@ def scan_declared(spark: SparkSession, path: str) -> DataFrame:
 
     One row per item: (book, sheet, kind, ref, name, operator, first, second, idx, level, on). ``scan_outlines``,
     ``scan_overrides`` and ``scan_ranges`` give them the shape that ``outline``, ``apply_scenarios`` and
-    ``rules_for_cells`` take.
+    ``rules_for_cells`` take. An unreadable file is of kind ``unreadable`` with its reason as ``first``.
     """
-
-    def rows_of(book: str, wb) -> Iterator[tuple]:
-        for sheet, member in wb.worksheets(None):
-            for *item, on in wb.declared(member):
-                yield (book, sheet, *item, str(on).lower())
-
-    raw = _scan(spark, path, _DECLARED, rows_of)
-    return raw.withColumn("on", F.col("on_").cast("boolean")).drop("on_")
+    return scan_part(spark, path, "declared").withColumn("on", F.col("on_").cast("boolean")).drop("on_")
 
 
 def scan_outlines(declared: DataFrame, axis: str = "row") -> DataFrame:
@@ -220,13 +389,8 @@ def scan_ranges(declared: DataFrame, kind: str) -> DataFrame:
 
 
 def scan_external(spark: SparkSession, path: str) -> DataFrame:
-    """Cells cached from linked workbooks; ``book`` is the linked file."""
-
-    def rows_of(book: str, wb) -> Iterator[tuple]:
-        for r in wb.external_cells():
-            yield (*r, book)
-
-    raw = _scan(spark, path, _EXTERNAL, rows_of)
+    """Cells cached from linked workbooks; ``book`` is the linked file. An unreadable file gives a row with its reason in ``err``."""
+    raw = scan_part(spark, path, "external")
     ready = raw.withColumns({"formula": F.lit(None).cast("string"), "style_class": F.lit("number"), "style_id": F.lit(0)})
     return typing_ops.type_cells(ready).select(*CELLS, "linked_from")
 
@@ -295,12 +459,19 @@ class WorkbookWriter(DataSourceArrowWriter):
 
 
 class WorkbookDataSource(DataSource):
-    """Write-only format ``workbook``; reading goes through ``scan_workbooks``."""
+    """Format ``workbook``: reads cells or other parts, writes a workbook per file name."""
 
     @classmethod
     def name(cls):
         return "workbook"
 
+    def schema(self):
+        return PARTS[self.options.get("part", "cells")].ddl
+
+    def reader(self, schema):
+        kind = PushingReader if self.options.get("push", "false") == "true" else WorkbookReader
+        return kind(self.options)
+
     def writer(self, schema, overwrite):
         return WorkbookWriter(self.options, schema)
 
@@ -329,5 +500,5 @@ def write_workbooks(
     name = F.when(part == 0, F.col("__key")).otherwise(F.concat("__key", F.lit("~"), part + 1))
     named = numbered.withColumn("__file", name)
     placed = spread(named, "__file").sortWithinPartitions("__file", "__n").drop("__key", "__n")
-    df.sparkSession.dataSource.register(WorkbookDataSource)
+    register(df.sparkSession)
     placed.write.format("workbook").mode("append").options(path=path, sheet=sheet, header=str(header).lower()).save()

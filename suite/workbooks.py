@@ -41,6 +41,15 @@ def _(t):
     return cells.filter("col <> 5 and col < 7").select("book", "sheet", "row", "col", "dtype", G.text_of().alias("text"))
 
 
+@query("a1_pushed_scan", _BOOK_SQL + """SELECT book, sheet, "row"::INT AS "row", v_num FROM cells WHERE col = 2 AND "row" > 1 AND dtype = 'n' AND v_num IS NOT NULL""")
+def _(t):
+    """The reader of the format itself: the filters on sheet, row and column are pushed into it."""
+    W.register(t.spark, push=True)
+    read = t.spark.read.format("workbook").option("push", "true").load(written(t))
+    stored = read.filter((F.col("sheet") == "data") & (F.col("row") > 1) & (F.col("col") == 2))
+    return stored.select("book", "sheet", "row", F.col("v").try_cast("double").alias("v_num"))
+
+
 @query(
     "a2_value_mode",
     _BOOK_SQL + """SELECT 'formula' AS mode, book, count(*) AS n, max(v_str) AS top, NULL::DOUBLE AS total FROM cells WHERE col = 5 GROUP BY book
@@ -50,7 +59,7 @@ def _(t):
     folder = written(t)
     out = None
     for mode, only in (("formula", False), ("value", True)):
-        cells = W.scan_workbooks(t.spark, folder, data_only=only).filter((F.col("col") == 5) & G.text_of().isNotNull())
+        cells = W.scan_workbooks(t.spark, folder, data_only=only).filter((F.col("col") == 5) & G.has_value())
         part = cells.groupBy("book").agg(F.count(F.lit(1)).alias("n"), F.max("v_str").alias("top"), F.round(F.sum("v_num"), 2).alias("total")).withColumn("mode", F.lit(mode))
         out = part if out is None else out.unionByName(part)
     return out

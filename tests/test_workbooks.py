@@ -186,3 +186,138 @@ def test_declared_specs_feed_the_operators(spark, archive, tmp_path):
     made = {r["kind"]: r for r in found.filter("kind in ('array', 'data_table')").collect()}
     assert made["array"]["operator"] == "=B1:B2*2" and made["array"]["ref"] == "A3:A4"
     assert (made["data_table"]["first"], made["data_table"]["second"], made["data_table"]["on"]) == ("A1", "B1", True)
+
+
+def _copy(source: str, target: str, changes: dict) -> None:
+    with zipfile.ZipFile(source) as a, zipfile.ZipFile(target, "w") as b:
+        for n in a.namelist():
+            b.writestr(n, changes.get(n, a.read(n)))
+
+
+@pytest.fixture
+def damaged(archive):
+    """A good book beside files that break in every way a reader may meet."""
+    good = f"{archive}/book.xlsx"
+    whole = open(good, "rb").read()
+    sheet = "xl/worksheets/sheet1.xml"
+    text = zipfile.ZipFile(good).read(sheet).decode()
+    open(f"{archive}/empty.xlsx", "wb").close()
+    open(f"{archive}/four.xlsx", "wb").write(b"PK\x03\x04")
+    open(f"{archive}/half.xlsx", "wb").write(whole[: len(whole) // 2])
+    _copy(good, f"{archive}/place.xlsx", {sheet: text.replace('r="A7"', 'r="??"')})
+    _copy(good, f"{archive}/string.xlsx", {sheet: text.replace("<v>1</v></c><c t=\"inlineStr\"", "<v>99</v></c><c t=\"inlineStr\"")})
+    _copy(good, f"{archive}/torn.xlsx", {sheet: text[: text.index('<row r="7">')]})
+    secret = bytearray(whole)
+    with zipfile.ZipFile(good) as z:
+        at = z.getinfo("xl/workbook.xml").header_offset
+    secret[at + 6] |= 1  # the member says it is encrypted
+    where = whole.rindex(b"xl/workbook.xml") - 46
+    secret[where + 8] |= 1
+    open(f"{archive}/secret.xlsx", "wb").write(secret)
+    corrupt = bytearray(whole)
+    body = whole.index(b"<sst")
+    corrupt[body : body + 4] = b"\0\1\2\3"  # the checksum no longer fits
+    open(f"{archive}/sum.xlsx", "wb").write(corrupt)
+    return archive
+
+
+def test_every_scan_goes_on_beside_damaged_files(spark, damaged):
+    cells = W.scan_workbooks(spark, damaged, data_only=True).collect()
+    bad = {r.book: r.err for r in cells if r.row is None}
+    unreadable = {"empty.xlsx", "four.xlsx", "half.xlsx", "secret.xlsx", "sum.xlsx"}
+    torn = {"place.xlsx", "string.xlsx", "torn.xlsx"}
+    assert set(bad) == unreadable | torn and all(e.startswith("unreadable: ") for e in bad.values())
+    assert sum(r.book == "book.xlsx" and r.sheet == "one" for r in cells) == 11
+    marked = W.mark_torn(W.scan_workbooks(spark, damaged, data_only=True)).filter("row is not null").collect()
+    assert {r.book for r in marked if r.torn} == {"place.xlsx", "torn.xlsx"} and {r.book for r in marked if not r.torn} == {"book.xlsx"}
+    closed = {"empty.xlsx", "four.xlsx", "half.xlsx", "secret.xlsx"}
+    for scan, column in ((W.scan_catalogue, "state"), (W.scan_properties, "kind"), (W.scan_parts, "kind"), (W.scan_declared, "kind")):
+        rows = scan(spark, damaged).collect()
+        assert {r.book for r in rows if r[column] == "unreadable"} >= closed, scan
+        assert any(r.book == "book.xlsx" and r[column] != "unreadable" for r in rows) or scan is W.scan_declared
+    names = W.scan_names(spark, damaged).collect()
+    assert {r.book for r in names if r.name is None} == closed and sum(r.name == "all" for r in names if r.book == "book.xlsx") == 2
+    assert {r.linked_from for r in W.scan_external(spark, damaged).filter("err is not null").collect()} == closed
+
+
+def formatted(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_typing_stays_in_generated_code(spark, archive):
+    tree = formatted(W.scan_workbooks(spark, archive)).split("\n\n")[0].split("\n")[1:]
+    assert all("* Project" in line or "BatchScan" in line for line in tree), tree
+
+
+def test_filters_reach_the_reader(spark, archive):
+    _copy(f"{archive}/book.xlsx", f"{archive}/other.xlsx", {})
+    W.register(spark, push=True)
+    read = spark.read.format("workbook").option("push", "true").load(archive)
+    some = read.filter((F.col("book") == "book.xlsx") & (F.col("sheet") == "one") & (F.col("row") >= 4) & (F.col("row") < 7) & (F.col("col") > 1))
+    plan = formatted(some)
+    pushed = next(line for line in plan.split("\n") if line.startswith("PushedFilters"))
+    assert all(f in pushed for f in ("EqualTo(book,book.xlsx)", "EqualTo(sheet,one)", "GreaterThanOrEqual(row,4)", "LessThan(row,7)", "GreaterThan(col,1)"))
+    assert "Filter (" not in plan
+    assert sorted((r.row, r.col) for r in some.collect()) == [(4, 2), (4, 3), (4, 4), (4, 5)]
+    assert spark.read.format("workbook").options(part="names", push="true").load(archive).filter("book = 'other.xlsx'").count() == 2
+    # scans do not push, so their DataFrames can be filtered in several ways
+    cells = W.scan_workbooks(spark, archive)
+    first = cells.filter("sheet = 'one' and row = 1 and book <> 'x'")
+    assert sorted((r.book, r.col) for r in first.collect()) == [(b, c) for b in ("book.xlsx", "other.xlsx") for c in (1, 2, 3)]
+    assert cells.filter("book = 'other.xlsx'").unionByName(first).count() == 22 + 6 and cells.count() == 44
+    asked = W.scan_workbooks(spark, archive, sheets=["one"], books=["other.xlsx"], min_row=4, max_row=5)
+    assert {(r.book, r.sheet, r.row) for r in asked.collect()} == {("other.xlsx", "one", 4), ("other.xlsx", "one", 5)}
+
+
+def test_what_filters_rule_out_is_not_opened(archive, monkeypatch):
+    from pyspark.sql import datasource as ds
+
+    from gridspark.sources import files, ooxml
+
+    for n in range(3):
+        _copy(f"{archive}/book.xlsx", f"{archive}/b{n}.xlsx", {})
+    opened, sheets, rows = [], [], []
+    open_file, raw_cells = files.open_file, ooxml.Workbook.raw_cells
+    monkeypatch.setattr(files, "open_file", lambda uri: opened.append(uri) or open_file(uri))
+
+    def counted(self, member, strings, max_row=None):
+        sheets.append(member)
+        for r in raw_cells(self, member, strings, max_row):
+            rows.append(r[0])
+            yield r
+
+    monkeypatch.setattr(ooxml.Workbook, "raw_cells", counted)
+    reader = W.PushingReader({"path": archive})
+    left = list(reader.pushFilters([ds.In(("book",), ("b1.xlsx", "b2.xlsx")), ds.EqualTo(("sheet",), "one"), ds.LessThanOrEqual(("row",), 1), ds.EqualTo(("t",), "n")]))
+    assert left == [ds.EqualTo(("t",), "n")]
+    got = [b for p in reader.partitions() for b in reader.read(p)]
+    assert len(opened) == 2 and len(sheets) == 2 and set(rows) == {1} and sum(b.num_rows for b in got) == 6
+    none = W.PushingReader({"path": archive})
+    assert list(none.pushFilters([ds.EqualTo(("sheet",), "no such")])) == []
+    assert [b for p in none.partitions() for b in none.read(p)] == [] and len(sheets) == 2
+
+
+def test_files_are_dealt_by_size(tmp_path):
+    from gridspark.sources import files
+
+    for n in range(100):
+        (tmp_path / f"f{n}.xlsx").write_bytes(b"x" * (n * 1000))
+    (tmp_path / "_half.xlsx").write_bytes(b"x")
+    (tmp_path / "sub dir").mkdir()
+    (tmp_path / "sub dir" / "ä%20.XLSX").write_bytes(b"x")
+    parts = W.WorkbookReader({"path": str(tmp_path)}).partitions()
+    assert len(parts) == W.LEAST_PARTITIONS and sum(len(p.uris) for p in parts) == 101
+    assert {W.book_name(u, str(tmp_path)) for p in parts for u in p.uris} >= {"f0.xlsx", "sub dir/ä%20.XLSX"}
+    assert len(files.list_files(f"{tmp_path}/f?.xlsx")) == 10 and len(files.list_files(f"{tmp_path}/{{sub*,none}}")) == 1
+    with pytest.raises(FileNotFoundError):
+        files.list_files(f"{tmp_path}/none")
+
+
+def test_format_classes_agree(spark):
+    from gridspark.functions import scalars as S
+    from gridspark.sources import ooxml
+
+    codes = [None, "", "General", "0.00", "yyyy-mm-dd", "h:mm", "[h]:mm", "d/m/yy h:mm", '"day"0', '0"d', "[Red]0", "[Red]d", "\\d0", "_d0", "0;yyyy", "mmm", "[$-409]d", "[d", 'a"b"c"d', "ss.0", "AM/PM", *S.BUILTIN_FORMATS.values()]
+    rows = spark.createDataFrame([(c,) for c in codes], "c string").select(S.classify_format(F.col("c")).alias("k")).collect()
+    assert [r.k for r in rows] == [ooxml.format_class(c) for c in codes]
