@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from gridspark.functions import coords as C
 from gridspark.functions import formula_text
 from gridspark.operators.grid import SHEET
-from gridspark.scale import salted_join, tile_join
+from gridspark.scale import block_of, hot_keys, running, salted_join, tile_join
+from gridspark.session import cut_lineage
 
+ROW_BLOCK = 1 << 14
 _TOKEN = "array<struct<value:string,type:string,subtype:string>>"
 
 
@@ -112,3 +114,96 @@ def degrees(edges: DataFrame) -> DataFrame:
     out = edges.select("book", F.col("from_sheet").alias("sheet"), F.col("from_row").alias("row"), F.col("from_col").alias("col"), F.lit(1).alias("o"), F.lit(0).alias("i"))
     into = edges.select(*SHEET, "row", "col", F.lit(0).alias("o"), F.lit(1).alias("i"))
     return out.unionByName(into).groupBy(*SHEET, "row", "col").agg(F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"))
+
+
+# --- degrees without edges -----------------------------------------------------------
+
+_LEVELS = (0, 4, 8, 12)  # column strips of 1, 16, 256 and 4096 columns
+
+
+def apart(rectangles: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The same cells as rectangles that do not overlap; neighbours with the same rows are one."""
+    edges = sorted({x for a, _, c, _ in rectangles for x in (a, c + 1)})
+    out: list[tuple[int, int, int, int]] = []
+    open_: dict[tuple[int, int], int] = {}  # rows that the strip on the left has -> its first column
+    for left, right in zip(edges, [*edges[1:], None], strict=True):
+        rows: list[list[int]] = []
+        if right is not None:
+            for _, r1, _, r2 in sorted((r for r in rectangles if r[0] <= left and r[2] >= right - 1), key=lambda r: r[1]):
+                if rows and r1 <= rows[-1][1] + 1:
+                    rows[-1][1] = max(rows[-1][1], r2)
+                else:
+                    rows.append([r1, r2])
+        here = {tuple(r) for r in rows}
+        for gone in [r for r in open_ if r not in here]:
+            out.append((open_.pop(gone), gone[0], left - 1, gone[1]))
+        for r in here:
+            open_.setdefault(r, left)
+    return out
+
+
+def strips(first: int, last: int) -> list[tuple[int, int]]:
+    """Columns ``first`` to ``last`` as few aligned strips ``(level, index)``, counted from column 0."""
+    out = []
+    while first <= last:
+        level = max(k for k in _LEVELS if first % (1 << k) == 0 and first + (1 << k) - 1 <= last)
+        out.append((level, first >> level))
+        first += 1 << level
+    return out
+
+
+def _pieces(ranges: Column) -> Column:
+    """The cells of one formula's ranges on one sheet as disjoint (level, index, min_row, max_row), in Arrow batches."""
+
+    @F.arrow_udf("array<struct<level:int,strip:int,min_row:int,max_row:int>>")
+    def run(lists: pa.Array) -> pa.Array:
+        out = []
+        for items in lists.to_pylist():
+            whole = apart([(r["min_col"], r["min_row"], r["max_col"], r["max_row"]) for r in items])
+            out.append([{"level": k, "strip": i, "min_row": r1, "max_row": r2} for c1, r1, c2, r2 in whole for k, i in strips(c1, c2)])
+        kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("level", "strip", "min_row", "max_row")]))
+        return pa.array(out, kind)
+
+    return run(ranges)
+
+
+def cell_degrees(cells: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Out-degree (existing cells read) and in-degree (formulas reading) per cell, without an edge per pair.
+
+    The ranges of a formula are made disjoint and cut into column strips. Along the rows of each strip a range is +1
+    where it starts and -1 behind its end; the running sum at a cell counts the formulas that read it. The running
+    count of cells at a range's two ends tells how many it reads. Equal events and equal questions are put
+    together before they are scanned, so work and output grow with cells and formulas. Cells and formulas with
+    neither degree are left out.
+    """
+    strip = [*SHEET, "level", "strip"]
+    ranges = formula_ranges(tokens)
+    reader = ["book", "from_sheet", "from_row", "from_col"]
+    box = F.struct("min_col", "min_row", "max_col", "max_row")
+    read = ranges.groupBy(*reader, "sheet").agg(F.collect_set(box).alias("__boxes"))  # a formula's own, bounded by its text
+    pieces = cut_lineage(read.select(*reader, "sheet", F.explode(_pieces(F.col("__boxes"))).alias("__p")).select(*reader, "sheet", "__p.*"))
+
+    place = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("col", k).alias("strip")) for k in _LEVELS])).alias("__s")
+    marks = cells.select(*SHEET, "row", "col").distinct().select(*SHEET, "row", "col", place).select(*SHEET, "__s.*", "row", "col")
+    asked = pieces.select(*strip).distinct()
+    marks = cut_lineage(salted_join(marks, asked, strip, "left_semi", hot=hot_keys(marks, strip)))
+
+    starts = pieces.select(*strip, F.col("min_row").alias("row"), F.lit(1).alias("d"))
+    ends = pieces.select(*strip, (F.col("max_row") + 1).alias("row"), F.lit(-1).alias("d"))
+    events = starts.unionByName(ends).groupBy(*strip, "row").agg(F.sum("d").alias("d"))
+    scan = events.withColumns({"kind": F.lit(0), "col": F.lit(0)}).unionByName(marks.withColumns({"kind": F.lit(1), "d": F.lit(0).cast("long")}))
+    block = block_of("row", ROW_BLOCK)
+    over = running(scan, strip, ["row", "kind", "col"], {"now": ("sum", F.col("d"))}, block).filter("kind = 1 and now > 0")
+    into = over.groupBy(*SHEET, "row", "col").agg(F.sum("now").alias("in_degree"))
+
+    before = pieces.withColumns({"row": F.col("min_row") - 1, "d": F.lit(-1)})
+    upto = pieces.withColumns({"row": F.col("max_row"), "d": F.lit(1)})
+    asks = before.unionByName(upto).select(*strip, "row", "d", *reader[1:])
+    held = marks.groupBy(*strip, "row").agg(F.count(F.lit(1)).alias("c"))
+    points = held.withColumn("kind", F.lit(0)).unionByName(asks.select(*strip, "row").distinct().withColumns({"c": F.lit(0).cast("long"), "kind": F.lit(1)}))
+    counted = running(points, strip, ["row", "kind"], {"below": ("sum", F.col("c"))}, block).filter("kind = 1").select(*strip, "row", "below")
+    answered = salted_join(asks, counted, [*strip, "row"], "inner", hot=hot_keys(asks, [*strip, "row"]))
+    out = answered.groupBy("book", F.col("from_sheet").alias("sheet"), F.col("from_row").alias("row"), F.col("from_col").alias("col")).agg(F.sum(F.col("d") * F.col("below")).alias("out_degree"))
+    zero = F.lit(0).cast("long")
+    both = out.withColumn("in_degree", zero).unionByName(into.withColumn("out_degree", zero))
+    return both.groupBy(*SHEET, "row", "col").agg(F.sum("out_degree").alias("out_degree"), F.sum("in_degree").alias("in_degree")).filter("out_degree > 0 or in_degree > 0")

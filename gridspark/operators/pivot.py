@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators import filters
 from gridspark.operators.stats import top_threshold
-from gridspark.scale import running, whole
+from gridspark.scale import balanced, running, whole
 
 # Data functions.
 FUNCTIONS = {
@@ -239,26 +239,27 @@ def top_by_measure(agg: DataFrame, value: str, kind: str, amount: float, bottom:
             target = whole(agg, s=F.sum(c))["s"] * (amount / 100)
         sign = F.lit(1 if bottom else -1)
         counts = agg.filter(c.isNotNull()).groupBy((c * sign).alias("v")).agg(F.sum(c).alias("s"))
-        ends = whole(counts, lo=F.min("v"), hi=F.max("v"))
-        above = F.col("v") - ends["lo"]
-        even = F.coalesce(F.floor(F.try_divide(above, ends["hi"] - ends["lo"]) * 4096), F.lit(0))
-        fine = F.when(above > 0, F.floor(F.log2(above) * 256)).otherwise(F.lit(-1_000_000))  # where one value lies far off
-        scan = running(counts, [], ["v"], {"cum": ("sum", F.col("s"))}, F.struct(even.alias("a"), fine.alias("b")))
+        parts = balanced(counts, F.col("v"))
+        scan = running(parts, [], ["v"], {"cum": ("sum", F.col("s"))}, F.col("__part"))
         # the first value, walking from the best, at which the target is reached; all when it never is
         reached = scan.filter(F.col("cum") >= target).agg(F.min("v")).scalar()
-        edge = F.coalesce(reached, ends["hi"]) * sign
+        edge = F.coalesce(reached, whole(parts, hi=F.max("v"))["hi"]) * sign
     return agg.filter(c <= edge if bottom else c >= edge)
 
 
 def sort_items(agg: DataFrame, field: str, how: str = "ascending", manual: list | None = None, by: str | None = None) -> DataFrame:
-    """Adds ``place`` of every item: manual list first, then by label or by a data field."""
+    """Adds ``place`` of every item: manual list first, then by label or by a data field.
+
+    Items are dealt to ranges of about equally many, counted, and numbered within each, so there may be any number.
+    """
     if how == "manual":
         at = F.array_position(F.array(*[F.lit(v) for v in manual]), F.col(field))
         order = [F.when(at > 0, at).otherwise(len(manual) + 1), F.col(field)]
     else:
         lead = F.col(by or field)
         order = [lead.desc() if how == "descending" else lead.asc(), F.col(field)]
-    return agg.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(*order)))
+    placed = running(balanced(agg, *order), [], [field], {"place": ("row_number", None)}, F.col("__part"), by=order)
+    return placed.withColumn("place", F.col("place").cast("int")).drop("__part")
 
 
 def calc_field(agg: DataFrame, name: str, sql: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.grid import SHEET, text_of
-from gridspark.scale import block_of, running, salted_join, spread, whole
+from gridspark.scale import balanced, block_of, running, salted_join, spread, whole
 
 GRID_TILE = 4096
 
@@ -146,9 +146,15 @@ def moving_avg(points: DataFrame, keys: list[str], period: int, block: Column |
     """Average of the last ``period`` points; undefined before there are that many.
 
     Points are numbered along ``x`` by a blocked scan and cut into pieces of ``size``; each piece also sees the
-    ``period`` - 1 points before it, so a long series is many tasks.
+    ``period`` - 1 points before it, so a long series is many tasks. Unless ``block`` is given, blocks are cut by counted
+    points, so ``x`` may be as fine, as coarse or as uneven as it likes; points at the same ``x`` follow a hash.
     """
-    numbered = running(points, keys, ["x"], {"__n": ("row_number", None)}, block if block is not None else block_of("x"))
+    if block is None:
+        tied = points.withColumn("__tie", F.xxhash64(*points.columns))
+        tied = balanced(tied, *[F.col(c) for c in (*keys, "x", "__tie")])
+        numbered = running(tied, keys, ["x", "__tie"], {"__n": ("row_number", None)}, F.col("__part")).drop("__part", "__tie")
+    else:
+        numbered = running(points, keys, ["x"], {"__n": ("row_number", None)}, block)
     own, ahead = F.floor((F.col("__n") - 1) / size), F.floor((F.col("__n") + period - 2) / size)
     cut = numbered.withColumn("__piece", F.explode(F.sequence(own, ahead))).withColumn("__own", F.col("__piece") == own)
     w = Window.partitionBy(*keys, "__piece").orderBy("__n").rowsBetween(-(period - 1), 0)

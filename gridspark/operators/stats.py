@@ -1,8 +1,8 @@
 """Whole-table thresholds: order statistics and the threshold kinds rules are written in.
 
 Everything is a scalar subquery, so nothing reaches the driver and nothing is
-joined. Order statistics count the distinct values first and then scan the
-counts in value blocks: exact, and no task holds all values.
+joined. Order statistics read the rows once to count the distinct values, which are dealt
+to blocks of about equal size wherever they lie and then scanned: exact, and no task holds all values.
 """
 
 from __future__ import annotations
@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.scale import running, whole
-
-VALUE_BLOCKS = 4096
+from gridspark.scale import balanced, running, whole
 
 
 def value_counts(df: DataFrame, value: Column) -> DataFrame:
@@ -22,13 +20,8 @@ def value_counts(df: DataFrame, value: Column) -> DataFrame:
 
 
 def ranked_values(counts: DataFrame) -> DataFrame:
-    """``value_counts`` with the rows up to and including each value, ``cum``."""
-    ends = whole(counts, lo=F.min("v"), hi=F.max("v"))
-    lo, hi = ends["lo"], ends["hi"]
-    above = F.col("v") - lo
-    even = F.coalesce(F.floor(F.try_divide(above, hi - lo) * VALUE_BLOCKS), F.lit(0))
-    fine = F.when(above > 0, F.floor(F.log2(above) * 256)).otherwise(F.lit(-1_000_000))
-    return running(counts, [], ["v"], {"cum": ("sum", F.col("n"))}, F.struct(even.alias("a"), fine.alias("b")))
+    """``value_counts`` with the rows up to and including each value, ``cum``; blocks are cut by counted values."""
+    return running(balanced(counts, F.col("v")), [], ["v"], {"cum": ("sum", F.col("n"))}, F.col("__part")).drop("__part")
 
 
 def _at(position: Column) -> Column:

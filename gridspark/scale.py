@@ -1,5 +1,6 @@
 """Skew-safe building blocks shared by the operators.
 
+* ``balanced``     blocks of about equally many rows along an order, for scans whose values may lie anyhow.
 * ``running``      ordered scans (row numbers, running sums, fill-down, lag) that
                    split every group into order blocks, so one hot sheet or key
                    is spread over many tasks.
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.session import cut_lineage
+
 SALTS = 16
 TILE_ROWS = 4096
 HOT_ROWS = 1_000_000
@@ -25,6 +28,33 @@ def block_of(column: str | Column, size: int = 1 << 18) -> Column:
     return F.floor(c / F.lit(size))
 
 
+def balanced(df: DataFrame, *order: Column, name: str = "__part") -> DataFrame:
+    """``df`` with the number of its block along ``order``; blocks hold about equally many rows, whatever the values.
+
+    Spark samples the rows to cut the ranges. The result is saved once, since another sample would cut elsewhere.
+    Rows equal in all of ``order`` share a block, so end ``order`` with something that tells rows apart.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id()))
+
+
+def _before(summary: DataFrame, names: list[str]) -> DataFrame:
+    """Sums of all earlier blocks for a scan without keys: one array of a row per block, folded from the first to the last."""
+    fields = {n: summary.schema[f"__p_{n}"].dataType for n in names}
+    blocks = F.array_sort(F.collect_list(F.struct("__blk", *[F.col(f"__p_{n}") for n in names])))
+    entry = lambda blk, sums: F.struct(blk.alias("__blk"), *[sums[n].alias(f"__c_{n}") for n in names])
+    item = f"struct<__blk:{summary.schema['__blk'].dataType.simpleString()},{','.join(f'__c_{n}:{t.simpleString()}' for n, t in fields.items())}>"
+    start = F.struct(*[F.lit(0).cast(t).alias(n) for n, t in fields.items()], F.array().cast(f"array<{item}>").alias("done"))
+
+    def step(acc: Column, e: Column) -> Column:
+        sums = {n: (acc[n] + F.coalesce(e[f"__p_{n}"], F.lit(0))).cast(t) for n, t in fields.items()}
+        done = F.concat(acc["done"], F.array(entry(e["__blk"], acc)).cast(f"array<{item}>"))
+        return F.struct(*[v.alias(n) for n, v in sums.items()], done.alias("done"))
+
+    one = summary.agg(blocks.alias("__all")).select(F.aggregate("__all", start, step)["done"].alias("__all"))
+    return one.select(F.explode("__all").alias("__e")).select("__e.*")
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -67,6 +97,9 @@ def running(
             raise ValueError(f"unknown scan kind {kind!r}")
     summary = blocked.groupBy("__blk").agg(*parts)
 
+    if not keys and all(kind in ("row_number", "sum") for kind, _ in outputs.values()):
+        return _continued(blocked, _before(summary, names), outputs, order, by)
+
     group = [F.col("__blk")[k] for k in keys]
     earlier = Window.partitionBy(*group).orderBy(F.col("__blk")["__blk"]).rowsBetween(Window.unboundedPreceding, -1)
     carried = []
@@ -76,8 +109,12 @@ def running(
             carried.append(F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(f"__c_{n}"))
         else:
             carried.append(F.last(p, ignorenulls=True).over(earlier).alias(f"__c_{n}"))
-    carry = summary.select("__blk", *carried)
+    return _continued(blocked, summary.select("__blk", *carried), outputs, order, by)
+
 
+def _continued(blocked: DataFrame, carry: DataFrame, outputs: dict, order: list[str], by: list[Column] | None) -> DataFrame:
+    """The scan inside every block, from what its earlier blocks carry over."""
+    names = list(outputs)
     rows = blocked.join(carry, "__blk")
     inside = Window.partitionBy("__blk").orderBy(*(by or order))
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)

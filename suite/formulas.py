@@ -106,3 +106,27 @@ def _(t):
     formulas = last.select("book", "sheet", (F.col("m") + 1000).alias("row"), F.lit(1).alias("col"), F.concat(F.lit("=SUM(D2:D"), "m", F.lit(")+COUNT("), C.quote_sheet(F.col("sheet")), F.lit("!A2:B2)+D2")).alias("formula"))
     edges = E.formula_edges(cells, E.formula_tokens(formulas))
     return E.degrees(edges).drop("book")
+
+
+@query(
+    "e5_cell_degrees",
+    SUPPLIER_SQL + """, m AS (SELECT sheet, max("row") AS m FROM cells GROUP BY sheet),
+       f AS (SELECT 'n' || s_nationkey AS sheet, m + 10 + s_suppkey AS fr, 2 + s_suppkey % 5 AS k, s_suppkey % 3 AS kind FROM supplier JOIN m ON m.sheet = 'n' || s_nationkey),
+       r AS (SELECT sheet, fr, 1 AS c1, 2 AS r1, 3 AS c2, k AS r2 FROM f UNION ALL SELECT sheet, fr, 2, 1, 2, 1048576 FROM f UNION ALL SELECT sheet, fr, 1, 2, 18278, 3 FROM f WHERE kind = 0
+             UNION ALL SELECT 'n' || (CAST(substr(sheet, 2) AS INT) + 1) % 25, fr, 4, 1, 4, 1048576 FROM f WHERE kind = 1),
+       q AS (SELECT f.sheet AS home, r.* FROM (SELECT DISTINCT sheet, fr, kind FROM f) f JOIN r ON r.fr = f.fr AND (r.sheet = f.sheet OR r.sheet = 'n' || (CAST(substr(f.sheet, 2) AS INT) + 1) % 25 AND f.kind = 1 AND r.c1 = 4)),
+       e AS (SELECT DISTINCT q.home, q.fr, c.sheet, c."row", c.col FROM q JOIN cells c ON c.sheet = q.sheet AND c.col BETWEEN c1 AND c2 AND c."row" BETWEEN r1 AND r2)
+       SELECT sheet, "row"::INT AS "row", col::INT AS col, 0::BIGINT AS out_degree, count(*) AS in_degree FROM e GROUP BY ALL UNION ALL SELECT home, fr::INT, 1, count(*), 0 FROM e GROUP BY home, fr""",
+)
+def _(t):
+    """A formula per supplier below its sheet: overlapping ranges, whole columns, whole rows, a column of the next sheet."""
+    cells = supplier_cells(t)
+    last = cells.groupBy("book", "sheet").agg(F.max("row").alias("m"))
+    k = F.col("s_suppkey") % 3
+    text = F.concat(
+        F.lit("=SUM(A2:C"), 2 + F.col("s_suppkey") % 5, F.lit(")+COUNT(B:B)"), F.when(k == 0, F.lit("+MAX(2:3)")).otherwise(""),
+        F.when(k == 1, F.concat(F.lit("+SUM('n"), (F.col("s_nationkey") + 1) % 25, F.lit("'!D:D)"))).otherwise(""),
+    )
+    own = t.supplier.select(F.lit("sup").alias("book"), F.concat(F.lit("n"), "s_nationkey").alias("sheet"), "s_suppkey", text.alias("formula"))
+    formulas = own.join(last, ["book", "sheet"]).select("book", "sheet", (F.col("m") + 10 + F.col("s_suppkey")).cast("int").alias("row"), F.lit(1).alias("col"), "formula")
+    return E.cell_degrees(cells, E.formula_tokens(formulas)).drop("book")
