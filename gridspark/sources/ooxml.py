@@ -236,11 +236,17 @@ class Workbook:
                     yield "comment", c.get("ref"), None, text_of(child(c, "text")), None, None
 
     def declared(self, member: str) -> Iterator[tuple]:
-        """(kind, ref, name, operator, first, second, idx, level, on): what a sheet declares about its cells.
+        """(kind, ref, name, operator, first, second, idx, level, flags, on): what a sheet declares about its cells.
 
         Kinds: ``outline_row``, ``outline_col``, ``array``, ``data_table``, ``filter``, ``sort``, ``validation``,
-        ``rule`` and ``scenario``; the fields that a kind lacks are None.
+        ``rule``, ``stop`` (a threshold of the rule with the same ref and idx, its place as level, its colour as second) and
+        ``scenario``; the fields that a kind lacks are None.
         """
+        for *item, on in self._declared(member):
+            flags = item.pop() if len(item) == 9 else None
+            yield (*item, flags, on)
+
+    def _declared(self, member: str) -> Iterator[tuple]:
         yes = lambda el, name: el.get(name, "0") in ("1", "true", "on")
         row = 0
         with self.zip.open(member) as f:
@@ -268,13 +274,34 @@ class Workbook:
                     yield "validation", el.get("sqref"), el.get("type", "none"), el.get("operator", "between"), *texts, None, None, yes(el, "allowBlank")
                 elif tag == "conditionalFormatting":
                     for r in children(el, "cfRule"):
-                        told = [x.text for x in children(r, "formula")] + [r.get("text"), r.get("rank")]
-                        told = [x for x in told if x is not None] + [None, None]
-                        yield "rule", el.get("sqref"), r.get("type"), r.get("operator"), told[0], told[1], int(r.get("priority") or 0), None, yes(r, "stopIfTrue")
+                        yield from self._rule(el.get("sqref"), r)
                 elif tag == "scenario":
                     for i, c in enumerate(children(el, "inputCells")):
                         yield "scenario", c.get("r"), el.get("name"), None, c.get("val"), None, i, None, yes(c, "deleted")
 
+    @staticmethod
+    def _rule(ref: str, r) -> Iterator[tuple]:
+        """A conditional rule and its stops.
+
+        Flags: bottom, percent, below, equal, reverse. ``level`` is the number of deviations, ``first`` the text, rank or period
+        where the rule has one, else its first formula; of a data bar the shortest and longest length.
+        """
+        yes = lambda el, name, default="0": el.get(name, default) in ("1", "true", "on")
+        kind, priority = r.get("type"), int(r.get("priority") or 0)
+        told = [x.text for x in children(r, "formula")]
+        told = [r.get("text") or r.get("rank") or r.get("timePeriod") or (told[0] if told else None), told[1] if len(told) > 1 else None]
+        flags = [n for n, on in (("bottom", yes(r, "bottom")), ("percent", yes(r, "percent")), ("below", not yes(r, "aboveAverage", "1")), ("equal", yes(r, "equalAverage"))) if on]
+        scale = next((c for c in r if local(c.tag) in ("colorScale", "iconSet", "dataBar")), None)
+        if scale is not None:
+            flags += ["reverse"] if yes(scale, "reverse") else []
+            told = [scale.get("minLength"), scale.get("maxLength")]
+            colours = [c.get("rgb") for c in children(scale, "color")]
+            for i, stop in enumerate(children(scale, "cfvo")):
+                colour = colours[i] if i < len(colours) else None
+                yield "stop", ref, stop.get("type"), "gte" if yes(stop, "gte", "1") else "gt", stop.get("val"), colour, priority, i, False
+        deviations = int(r.get("stdDev")) if r.get("stdDev") else None
+        yield "rule", ref, kind, r.get("operator"), *told, priority, deviations, " ".join(flags) or None, yes(r, "stopIfTrue")
+
     @staticmethod
     def _filters(el) -> Iterator[tuple]:
         ref = el.get("ref")
@@ -427,7 +454,8 @@ class SheetWriter:
         if cells:
             self.out.write(f'<row r="{self.row}">{"".join(cells)}</row>'.encode())
 
-    def close(self) -> None:
-        self.out.write(b"</sheetData></worksheet>")
+    def close(self, declared: str = "") -> None:
+        """``declared`` is what follows the cells: filters, rules, validations."""
+        self.out.write(f"</sheetData>{declared}</worksheet>".encode())
         self.out.close()
         self.zip.close()

@@ -48,7 +48,7 @@ _CATALOGUE = "book string, sheet string, idx int, state string, kind string"
 _PROPERTIES = "book string, kind string, name string, value string"
 _NAMES = "book string, name string, scope string, target string"
 _PARTS = "book string, sheet string, kind string, ref string, name string, text string, header_rows int, totals_rows int"
-_DECLARED = "book string, sheet string, kind string, ref string, name string, operator string, first string, second string, idx int, level int, on_ string"
+_DECLARED = "book string, sheet string, kind string, ref string, name string, operator string, first string, second string, idx int, level int, flags string, on_ string"
 _EXTERNAL = "book string, sheet string, row int, col int, t string, v string, linked_from string"
 
 
@@ -202,7 +202,7 @@ PARTS = {
     "properties": Part(_PROPERTIES, _book_rows(lambda wb: wb.properties()), lambda book, why: (book, "unreadable", None, why)),
     "names": Part(_NAMES, _book_rows(lambda wb: wb.names()), lambda book, why: (book, None, None, why)),
     "parts": Part(_PARTS, _sheet_rows(lambda wb, m: wb.sheet_parts(m)), lambda book, why: (book, None, "unreadable", None, None, why, None, None)),
-    "declared": Part(_DECLARED, _sheet_rows(_declared_rows), lambda book, why: (book, None, "unreadable", None, None, None, why, None, None, None, "false")),
+    "declared": Part(_DECLARED, _sheet_rows(_declared_rows), lambda book, why: (book, None, "unreadable", None, None, None, why, None, None, None, None, "false")),
     "external": Part(_EXTERNAL, lambda book, wb, wanted: ((*r, book) for r in wb.external_cells()), lambda book, why: (None, None, None, None, "e", why, book)),
 }
 
@@ -358,9 +358,9 @@ def scan_parts(spark: SparkSession, path: str) -> DataFrame:
 def scan_declared(spark: SparkSession, path: str) -> DataFrame:
     """What sheets declare: filters and sorts, validations, conditional rules, scenarios, outlines, array formulas.
 
-    One row per item: (book, sheet, kind, ref, name, operator, first, second, idx, level, on). ``scan_outlines``,
+    One row per item: (book, sheet, kind, ref, name, operator, first, second, idx, level, flags, on). ``scan_outlines``,
     ``scan_overrides`` and ``scan_ranges`` give them the shape that ``outline``, ``apply_scenarios`` and
-    ``rules_for_cells`` take. An unreadable file is of kind ``unreadable`` with its reason as ``first``.
+    ``rules_for_cells`` take, ``operators.declared`` evaluates them. An unreadable file is of kind ``unreadable`` with its reason as ``first``.
     """
     return scan_part(spark, path, "declared").withColumn("on", F.col("on_").cast("boolean")).drop("on_")
 
