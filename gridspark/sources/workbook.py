@@ -14,7 +14,9 @@ therefore leave filters to Spark and take what is wanted as arguments.
 from __future__ import annotations
 
 import heapq
+import json
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -399,63 +401,105 @@ def scan_external(spark: SparkSession, path: str) -> DataFrame:
 
 
 class _Committed(WriterCommitMessage):
-    def __init__(self, rows: int):
-        self.rows = rows
+    """What one task attempt has staged: its folder and the names of its files."""
+
+    def __init__(self, attempt: str, names: list[str]):
+        self.attempt, self.names = attempt, names
 
 
 class WorkbookWriter(DataSourceArrowWriter):
-    """Each task writes a file under an attempt name and gives it its own name once it is whole."""
+    """Files are staged below a folder of the job and take their places only once every task is done.
+
+    Tasks write whole files to ``_job-<id>/<attempt>/`` below the path and report their names. The commit moves
+    those of the attempts that count; with option ``moves=job`` it leaves a list of them for ``take_places``. An abort
+    removes the folder of the job, so a failed write changes nothing under the path.
+    """
 
     def __init__(self, options, schema):
-        self.folder = options["path"].rstrip("/")
+        self.path = options["path"].rstrip("/")
         self.title = options.get("sheet", "Sheet1")
         self.header = options.get("header", "true") == "true"
+        self.job = options.get("job") or uuid.uuid4().hex
+        self.moves = options.get("moves", "driver")
         self.columns = [f.name for f in schema.fields if f.name != "__file"]
 
     def write(self, batches: Iterator):
-        import uuid
-
         from pyspark import TaskContext
 
-        fs, folder = files.filesystem(self.folder)
-        fs.create_dir(folder, recursive=True)
+        fs, folder = files.filesystem(self.path)
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
-        rows, current, sheet, handle, temp = 0, None, None, None, None
+        staged, names, sheet, handle = f"{folder}/_job-{self.job}/{attempt}", [], None, None
+        fs.create_dir(staged, recursive=True)
 
         def finish():
             if sheet is not None:
                 sheet.close()
                 handle.close()
-                fs.move(temp, f"{folder}/{current}.xlsx")  # a task that runs again writes the same file again
 
         try:
             for b in batches:
-                names = b.column(b.schema.get_field_index("__file")).to_pylist()
+                files_ = b.column(b.schema.get_field_index("__file")).to_pylist()
                 columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in self.columns]
-                for name, values in zip(names, zip(*columns)):
-                    if name != current:
+                for name, values in zip(files_, zip(*columns)):
+                    if not names or name != names[-1]:
                         finish()
-                        current, temp = name, f"{folder}/_{attempt}-{name}.part"
-                        handle = fs.open_output_stream(temp)
+                        names.append(name)
+                        handle = fs.open_output_stream(f"{staged}/{name}.xlsx")
                         sheet = ooxml.SheetWriter(handle, self.title)
                         if self.header:
                             sheet.append(self.columns)
                     sheet.append(values)
-                    rows += 1
             finish()
         except BaseException:
             if handle is not None:
                 handle.close()
-                if fs.get_file_info(temp).type == FileType.File:
-                    fs.delete_file(temp)
             raise
-        return _Committed(rows)
+        return _Committed(attempt, names)
 
     def commit(self, messages):
-        """Files have their names already."""
+        fs, folder = files.filesystem(self.path)
+        lines = (f"{m.attempt}/{n}" for m in messages if m is not None for n in m.names)
+        if self.moves == "job":
+            fs.create_dir(f"{folder}/_job-{self.job}", recursive=True)
+            with fs.open_output_stream(f"{folder}/_job-{self.job}/places.txt") as out:
+                for line in lines:
+                    out.write(json.dumps(line).encode() + b"\n")
+            return
+        for line in lines:
+            move_file(fs, folder, self.job, line)
+        drop_job(fs, folder, self.job)
 
     def abort(self, messages):
-        """Whole files of finished tasks stay, as in an append that is run again."""
+        drop_job(*files.filesystem(self.path), self.job)
+
+
+def move_file(fs, folder: str, job: str, line: str) -> None:
+    """A staged file to its place; one that is there already was moved by an earlier attempt."""
+    source, target = f"{folder}/_job-{job}/{line}.xlsx", f"{folder}/{line.split('/', 1)[1]}.xlsx"
+    if fs.get_file_info(source).type == FileType.File:
+        if fs.get_file_info(target).type == FileType.File:
+            fs.delete_file(target)
+        fs.move(source, target)
+
+
+def drop_job(fs, folder: str, job: str) -> None:
+    if fs.get_file_info(f"{folder}/_job-{job}").type == FileType.Directory:
+        fs.delete_dir(f"{folder}/_job-{job}")
+
+
+def take_places(spark: SparkSession, path: str, job: str) -> None:
+    """Move what a job has staged, spread over tasks; run again, it moves what is left."""
+
+    def run(batches: Iterator) -> Iterator:
+        fs, folder = files.filesystem(path)
+        for b in batches:
+            for line in b.column(0).to_pylist():
+                move_file(fs, folder, job, json.loads(line))
+            yield b.slice(0, 0)
+
+    staged = spark.read.text(f"{path}/_job-{job}/places.txt")
+    spread(staged, "value").mapInArrow(run, "value string").write.format("noop").mode("overwrite").save()
+    drop_job(*files.filesystem(path), job)
 
 
 class WorkbookDataSource(DataSource):
@@ -484,7 +528,8 @@ def write_workbooks(
     A sheet holds 1,048,576 rows, so a larger key goes on in ``<key>~2``,
     ``<key>~3`` …: rows are numbered by a blocked scan and every file is a task
     of bounded size. In a key ``~`` is written ``~~`` and ``/`` is written ``~s``; NULL is ``~null``. So no
-    two keys share a file. A struct of ``formula`` and ``value`` is written as a formula with its cached value. Zoned timestamps and texts a cell cannot hold are refused, blanks leave no cell.
+    two keys share a file. A struct of ``formula`` and ``value`` is written as a formula with its cached value. Zoned timestamps and texts a cell cannot hold are refused, blanks leave no cell. Nothing
+    changes under ``path`` unless every file has been written.
     """
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampType):
@@ -501,4 +546,6 @@ def write_workbooks(
     named = numbered.withColumn("__file", name)
     placed = spread(named, "__file").sortWithinPartitions("__file", "__n").drop("__key", "__n")
     register(df.sparkSession)
-    placed.write.format("workbook").mode("append").options(path=path, sheet=sheet, header=str(header).lower()).save()
+    path, job = path.rstrip("/"), uuid.uuid4().hex
+    placed.write.format("workbook").mode("append").options(path=path, sheet=sheet, header=str(header).lower(), job=job, moves="job").save()
+    take_places(df.sparkSession, path, job)

@@ -1,6 +1,7 @@
 """Workbook files: round trips, hand-made archives, sink rules."""
 
 import datetime as dt
+import json
 import zipfile
 
 import pytest
@@ -321,3 +322,34 @@ def test_format_classes_agree(spark):
     codes = [None, "", "General", "0.00", "yyyy-mm-dd", "h:mm", "[h]:mm", "d/m/yy h:mm", '"day"0', '0"d', "[Red]0", "[Red]d", "\\d0", "_d0", "0;yyyy", "mmm", "[$-409]d", "[d", 'a"b"c"d', "ss.0", "AM/PM", *S.BUILTIN_FORMATS.values()]
     rows = spark.createDataFrame([(c,) for c in codes], "c string").select(S.classify_format(F.col("c")).alias("k")).collect()
     assert [r.k for r in rows] == [ooxml.format_class(c) for c in codes]
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "out")
+    W.write_workbooks(spark.range(100).selectExpr("id", "id % 10 as k"), path, "k", ["id"], block_of("id"))
+    before = {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()}
+    assert set(before) == {f"{k}.xlsx" for k in range(10)}
+    bad = spark.range(100).selectExpr("id", "id % 20 as k", "CASE WHEN id = 99 THEN char(1) ELSE 'x' END AS t")
+    with pytest.raises(Exception, match="control characters"):
+        W.write_workbooks(bad, path, "k", ["id"], block_of("id"))
+    assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == before
+    W.write_workbooks(bad.filter("id < 99"), path, "k", ["id"], block_of("id"))
+    after = {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()}
+    assert set(after) == {f"{k}.xlsx" for k in range(20)} and all(after[n] != before[n] for n in before)
+
+
+def test_moves_go_on_where_they_stopped(spark, tmp_path):
+    path = str(tmp_path)
+    rows = spark.range(6).selectExpr("id", "concat('b', id) as __file")
+    W.register(spark)
+    rows.coalesce(1).write.format("workbook").mode("append").options(path=path, job="j", moves="job").save()
+    assert [p.name for p in tmp_path.iterdir()] == ["_job-j"]
+    assert spark.read.format("workbook").load(path).count() == 0  # staged files are not read
+    from gridspark.sources import files
+
+    lines = [json.loads(x) for x in (tmp_path / "_job-j" / "places.txt").read_text().split()]
+    W.move_file(*files.filesystem(path), "j", lines[0])
+    W.take_places(spark, path, "j")
+    assert sorted(p.name for p in tmp_path.iterdir()) == [f"b{i}.xlsx" for i in range(6)]
+    rows.write.format("workbook").mode("append").options(path=path).save()  # without a second job
+    assert sorted(p.name for p in tmp_path.iterdir()) == [f"b{i}.xlsx" for i in range(6)]
