@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import coords as C
 from gridspark.functions import formula_text
 from gridspark.operators.grid import SHEET
-from gridspark.scale import block_of, hot_keys, running, salted_join, tile_join
+from gridspark.scale import block_of, hot_keys, running, salted_join, split_join, tile_join
 from gridspark.session import cut_lineage
 
 ROW_BLOCK = 1 << 14
@@ -74,13 +74,32 @@ def expand_shared(cells: DataFrame) -> DataFrame:
     )
     open_cell = F.col("si").isNotNull() & F.col("formula").isNull()
     plain = cells.filter(~open_cell)
-    linked = salted_join(cells.filter(open_cell), masters, [*SHEET, "si"], "inner")
+    linked = split_join(cells.filter(open_cell), masters, [*SHEET, "si"], "inner")
     moved = linked.withColumn(
         "formula", translate(F.col("__m.formula"), F.col("row") - F.col("__m.row"), F.col("col") - F.col("__m.col"))
     )
     return plain.unionByName(moved.select(*cells.columns))
 
 
+def spread_arrays(cells: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Cells of array formulas: each with the text and the range of its array, keeping its own cached value.
+
+    arrays(book, sheet, ref, formula, at), as ``scan_arrays`` gives them: ``at`` is the anchor, the one cell that stores the
+    formula. Adds ``array_formula``, ``array_ref`` and ``anchor``; NULL outside arrays. Of overlapping arrays
+    the one anchored first by row and column counts.
+    """
+    b = C.range_bounds(F.col("ref"))
+    anchor = C.parse_coord(F.col("at"))
+    placed = arrays.withColumns({"__b": b, "__a": anchor}).filter("__b is not null").select(
+        *SHEET, *[F.col(f"__b.{c}").alias(c) for c in ("min_col", "min_row", "max_col", "max_row")], "ref", "formula", F.struct("__a.row", "__a.col").alias("at"))
+    met = tile_join(cells.select(*SHEET, "row", "col"), placed).groupBy(*SHEET, "row", "col").agg(F.min_by(F.struct("r_formula", "r_ref", "r_at"), "r_at").alias("__f"))
+    out = cells.join(met, [*SHEET, "row", "col"], "left")
+    return out.select(
+        *cells.columns, F.col("__f.r_formula").alias("array_formula"), F.col("__f.r_ref").alias("array_ref"),
+        F.when(F.col("__f").isNotNull(), (F.col("__f.r_at.row") == F.col("row")) & (F.col("__f.r_at.col") == F.col("col"))).alias("anchor"),
+    )
+
+
 def formula_ranges(tokens: DataFrame) -> DataFrame:
     """Range operands with their bounds; a reference without a sheet means its own sheet."""
     ranges = tokens.filter(F.col("subtype") == "RANGE")

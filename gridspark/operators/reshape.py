@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions.scalars import normalise
 from gridspark.operators.grid import SHEET, has_value, text_of
-from gridspark.scale import salted_join
+from gridspark.scale import hot_keys, salted_join, split_join
 
 OPEN_TOP = 999999
 
@@ -81,7 +81,7 @@ def drop_dup_cols(header: DataFrame) -> DataFrame:
 
 def label_cells(cells: DataFrame, header: DataFrame) -> DataFrame:
     """Body cells with the label of their column; columns without a label drop out."""
-    return salted_join(cells, header, [*SHEET, "col"], "inner")
+    return split_join(cells, header, [*SHEET, "col"], "inner")
 
 
 def drop_ragged_cols(cells: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def drop_ragged_cols(cells: DataFrame) -> DataFrame:
     per_col = cells.groupBy(*SHEET, "col").agg(F.count_if(has_value()).alias("__n"))
     rows = cells.groupBy(*SHEET, "row").agg(F.lit(1).alias("__one")).groupBy(*SHEET).agg(F.count(F.lit(1)).alias("__rows"))
     full = per_col.join(rows, SHEET).filter("__n = __rows").select(*SHEET, "col")
-    return salted_join(cells, full, [*SHEET, "col"], "left_semi")
+    return split_join(cells, full, [*SHEET, "col"], "left_semi")
 
 
 # --- columns and rows -----------------------------------------------------------
@@ -244,5 +244,5 @@ def lookup_first(df: DataFrame, table: DataFrame, on: dict[str, str], values: li
     if bounded is not None:
         keyed = keyed.join(F.broadcast(bounded.withColumns(asking).select(*keys)), keys, "left_semi")
     first = keyed.groupBy(*keys).agg(F.min_by(F.struct(*values), "__o").alias("__v"))
-    joined = asked.join(F.broadcast(first), keys, "left") if bounded is not None else salted_join(asked, first, keys, "left")
+    joined = asked.join(F.broadcast(first), keys, "left") if bounded is not None else salted_join(asked, first, keys, "left", hot=hot_keys(asked, keys))
     return joined.select(*df.columns, *[F.col(f"__v.{v}").alias(v) for v in values])

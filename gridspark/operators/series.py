@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.grid import SHEET, text_of
-from gridspark.scale import balanced, block_of, running, salted_join, spread, whole
+from gridspark.scale import balanced, block_of, running, salted_join, split_join, spread, whole
 
 GRID_TILE = 4096
 
@@ -37,7 +37,7 @@ def extract_series(cells: DataFrame, by: str = "col", titles: bool = True, x: in
         out = out.withColumns({"x": place.cast("double"), "x_text": place.cast("string")})
     if titles:
         heads = cells.filter(F.col(along) == first).select(*SHEET, F.col(by).alias("series"), text_of().alias("title"))
-        out = salted_join(out, heads, [*SHEET, "series"], "left")
+        out = split_join(out, heads, [*SHEET, "series"])
     else:
         out = out.withColumn("title", F.concat(F.lit("Series"), F.col("series")))
     return out.select(*SHEET, "series", "title", (F.col(along) - start).alias("idx"), "x", "x_text", "y")

@@ -154,7 +154,7 @@ def salted_join(
     The salt hashes the other fact columns, so a recomputed task salts alike.
     By default every keyed row is repeated per salt, which suits small keyed
     tables. For a keyed table that grows with the data pass ``hot`` (see
-    ``hot_keys``, its size is bounded): only those keys are salted and repeated.
+    ``hot_keys``, its size is bounded): only those keys are salted and repeated. ``hot`` may name some of the key columns only.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salted join cannot be {how!r}")
@@ -163,8 +163,9 @@ def salted_join(
     last = F.lit(salts - 1)
     left, right = facts, keyed
     if hot is not None:
-        marked = F.broadcast(hot.select(*on).distinct().withColumn("__hot", F.lit(True)))
-        left, right = facts.join(marked, on, "left"), keyed.join(marked, on, "left")
+        named = [c for c in on if c in hot.columns]
+        marked = F.broadcast(hot.select(*named).distinct().withColumn("__hot", F.lit(True)))
+        left, right = facts.join(marked, named, "left"), keyed.join(marked, named, "left")
         salt = F.when(F.col("__hot"), salt).otherwise(F.lit(0))
         last = F.when(F.col("__hot"), last).otherwise(F.lit(0))
     left = left.withColumn("__salt", salt).drop("__hot")
@@ -172,6 +173,14 @@ def salted_join(
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
+def split_join(facts: DataFrame, keyed: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi join that leaves hot keys to adaptive execution, which splits their partitions and repeats only what they meet.
+
+    For keyed tables that grow with the data, where counting the hot keys would mean making the facts twice.
+    """
+    return facts.join(keyed, on, how)
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Rows over all shuffle partitions by hash, kept apart even when they are few and tiny."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 import re
 import zipfile
@@ -51,6 +52,25 @@ def text_of(el) -> str:
     return "".join(parts)
 
 
+class Runs(str):
+    """Runs of formatted text as JSON: a list of [font, text]."""
+
+
+def font_of(run) -> str | None:
+    """Properties of a run's font, ``name=value`` in order of their names; None without any."""
+    pr = child(run, "rPr")
+    told = sorted(f"{local(p.tag)}={p.get('val') or p.get('rgb') or p.get('theme') or '1'}" for p in pr) if pr is not None else []
+    return ";".join(told) or None
+
+
+def runs_of(el) -> Runs | None:
+    """The runs of a string item; None for plain text."""
+    runs = children(el, "r")
+    if not runs:
+        return None
+    return Runs(json.dumps([[font_of(r), "".join(t.text or "" for t in children(r, "t"))] for r in runs]))
+
+
 def format_class(code: str | None) -> str:
     """``classify_format`` for one code: date, time, datetime, timedelta or number."""
     first = (code or "").split(";", 1)[0].lower()
@@ -108,7 +128,8 @@ class Workbook:
     def part(self, kind: str) -> str | None:
         return next((t for k, t in self.book_rels.values() if k == kind and t in self.members), None)
 
-    def strings(self) -> list[str]:
+    def strings(self, read=None) -> list:
+        """Shared strings as text, or what ``read`` makes of each item."""
         member = self.part("sharedStrings")
         if member is None:
             return []
@@ -116,7 +137,8 @@ class Workbook:
         with self.zip.open(member) as f:
             for _, el in ET.iterparse(f):
                 if local(el.tag) == "si":
-                    out.append(text_of(el).replace("x005F_", ""))
+                    item = (read or text_of)(el)
+                    out.append(item and type(item)(item.replace("x005F_", "")))
                     el.clear()
         return out
 
@@ -135,7 +157,7 @@ class Workbook:
             if kind == "worksheet" and target in self.members and (wanted is None or name in wanted):
                 yield name, target
 
-    def raw_cells(self, member: str, strings: list[str], max_row: int | None = None) -> Iterator[tuple]:
+    def raw_cells(self, member: str, strings: list[str], max_row: int | None = None, inline_text=text_of) -> Iterator[tuple]:
         """(row, col, t, v, formula, si, style) as stored; places may be implied."""
         row, holder, space = 0, None, None
         number: dict[str, int] = {}
@@ -174,7 +196,7 @@ class Workbook:
                         if part.tag == value:
                             v = part.text
                         elif part.tag == inline:
-                            v = text_of(part)
+                            v = inline_text(part)
                         elif part.tag == formula_tag:
                             if part.get("t") == "shared":
                                 si = int(part.get("si"))
@@ -333,6 +355,53 @@ class Workbook:
             for i, c in enumerate(children(sort, "sortCondition")):
                 yield "sort", c.get("ref"), c.get("sortBy", "value"), None, c.get("customList"), None, i, None, c.get("descending", "0") in ("1", "true")
 
+    def rich_cells(self, member: str, strings: list, max_row: int | None = None) -> Iterator[tuple[int, int, str]]:
+        """(row, col, runs) of the cells with formatted text; ``strings`` are ``strings(runs_of)``."""
+        for row, col, _, v, *_ in self.raw_cells(member, strings, max_row, runs_of):
+            if isinstance(v, Runs):
+                yield row, col, str(v)
+
+    def pivot_caches(self) -> Iterator[tuple[str, str, str | None]]:
+        """(cache, definition member, records member) of every pivot cache; a cache is named by its definition."""
+        for kind, target in self.book_rels.values():
+            if kind == "pivotCacheDefinition" and target in self.members:
+                records = next((t for k, t in self.rels(target).values() if k == "pivotCacheRecords" and t in self.members), None)
+                yield posixpath.basename(target).rsplit(".", 1)[0], target, records
+
+    def pivot_items(self) -> Iterator[tuple]:
+        """(cache, field, name, idx, kind, v): the fields of every cache and their shared items; a field without any has idx None."""
+        for cache, definition, _ in self.pivot_caches():
+            field, idx, inside = -1, 0, False
+            with self.zip.open(definition) as f:
+                for event, el in ET.iterparse(f, ("start", "end")):
+                    tag = local(el.tag)
+                    if event == "start":
+                        if tag == "cacheField":
+                            field, idx, name = field + 1, 0, el.get("name")
+                            yield cache, field, name, None, None, None
+                        inside = tag == "sharedItems" or (inside and tag in "xnsdbem")
+                    elif tag in ("s", "n", "d", "b", "e", "m") and inside:
+                        yield cache, field, name, idx, tag, el.get("v")
+                        idx += 1
+                    elif tag == "sharedItems":
+                        inside = False
+                        el.clear()
+
+    def pivot_records(self) -> Iterator[tuple[str, int, str]]:
+        """(cache, rec, items as JSON) of every record, streamed."""
+        for cache, _, records in self.pivot_caches():
+            if records is None:
+                continue
+            n, root = 0, None
+            with self.zip.open(records) as f:
+                for event, el in ET.iterparse(f, ("start", "end")):
+                    if event == "start":
+                        root = el if root is None else root
+                    elif local(el.tag) == "r":
+                        yield cache, n, json.dumps([[local(c.tag), c.get("v")] for c in el])
+                        n += 1
+                        root.clear()
+
     def external_cells(self) -> Iterator[tuple]:
         """(book, sheet, row, col, t, v) cached from linked workbooks."""
         for kind, target in self.book_rels.values():
@@ -393,17 +462,22 @@ def letters(col: int) -> str:
 def cell_xml(ref: str, value) -> str:
     """One stored cell; text in place, timestamps as serial numbers, formulas without ``=``.
 
-    A dictionary of ``formula`` and ``value`` is a formula with the value it had last.
+    A dictionary of ``formula`` and ``value`` is a formula with the value it had last, with ``ref`` an array formula of that
+    range; a list of (font, text) is formatted text, each font a tuple of property elements.
     """
     import datetime as dt
 
+    if isinstance(value, list):
+        runs = "".join(f'<r><rPr>{"".join(f"<{p}/>" for p in font)}</rPr><t xml:space="preserve">{_escape(t)}</t></r>' for font, t in value)
+        return f'<c r="{ref}" t="inlineStr"><is>{runs}</is></c>'
     if isinstance(value, dict):
         formula, cached = value["formula"], value["value"]
+        array = f' t="array" ref="{value["ref"]}"' if value.get("ref") else ""
         if formula is None:
             return cell_xml(ref, cached) if cached is not None else ""
         kind = ' t="str"' if isinstance(cached, str) else ' t="b"' if isinstance(cached, bool) else ""
         shown = "" if cached is None else _escape(cached) if isinstance(cached, str) else f"{cached:.16g}" if isinstance(cached, float) else str(int(cached))
-        return f'<c r="{ref}"{kind}><f>{_escape(formula.removeprefix("="))}</f><v>{shown}</v></c>'
+        return f'<c r="{ref}"{kind}><f{array}>{_escape(formula.removeprefix("="))}</f><v>{shown}</v></c>'
 
     if isinstance(value, bool):
         return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'

@@ -51,6 +51,9 @@ _PROPERTIES = "book string, kind string, name string, value string"
 _NAMES = "book string, name string, scope string, target string"
 _PARTS = "book string, sheet string, kind string, ref string, name string, text string, header_rows int, totals_rows int"
 _DECLARED = "book string, sheet string, kind string, ref string, name string, operator string, first string, second string, idx int, level int, flags string, on_ string"
+_RICH = "book string, sheet string, row int, col int, runs string"
+_PIVOT_ITEMS = "book string, cache string, field int, name string, idx int, kind string, v string"
+_PIVOT_RECORDS = "book string, cache string, rec int, items string"
 _EXTERNAL = "book string, sheet string, row int, col int, t string, v string, linked_from string"
 
 
@@ -177,6 +180,14 @@ def _cell_rows(book: str, wb, wanted: Wanted) -> Iterator[tuple]:
             yield book, sheet, None, None, "e", reason(e), None, None, None, None, None
 
 
+def _rich_rows(book: str, wb, wanted: Wanted) -> Iterator[tuple]:
+    strings = wb.strings(ooxml.runs_of)
+    for sheet, member in wb.worksheets(None):
+        if wanted.admits("sheet", sheet):
+            for r in wb.rich_cells(member, strings, wanted.most.get("row")):
+                yield (book, sheet, *r)
+
+
 def _sheet_rows(of: Callable) -> Callable:
     """Rows of the parts of every wanted sheet."""
 
@@ -205,6 +216,9 @@ PARTS = {
     "names": Part(_NAMES, _book_rows(lambda wb: wb.names()), lambda book, why: (book, None, None, why)),
     "parts": Part(_PARTS, _sheet_rows(lambda wb, m: wb.sheet_parts(m)), lambda book, why: (book, None, "unreadable", None, None, why, None, None)),
     "declared": Part(_DECLARED, _sheet_rows(_declared_rows), lambda book, why: (book, None, "unreadable", None, None, None, why, None, None, None, None, "false")),
+    "rich": Part(_RICH, _rich_rows, lambda book, why: (book, None, None, None, json.dumps([["unreadable", why]]))),
+    "pivot_items": Part(_PIVOT_ITEMS, _book_rows(lambda wb: wb.pivot_items()), lambda book, why: (book, None, None, None, None, "unreadable", why)),
+    "pivot_records": Part(_PIVOT_RECORDS, _book_rows(lambda wb: wb.pivot_records()), lambda book, why: (book, None, None, json.dumps([["unreadable", why]]))),
     "external": Part(_EXTERNAL, lambda book, wb, wanted: ((*r, book) for r in wb.external_cells()), lambda book, why: (None, None, None, None, "e", why, book)),
 }
 
@@ -390,6 +404,37 @@ def scan_ranges(declared: DataFrame, kind: str) -> DataFrame:
     return one.select("book", "sheet", "rule_id", *bounds, "name", "operator", "first", "second", "idx", "on")
 
 
+def scan_arrays(declared: DataFrame) -> DataFrame:
+    """Array formulas (book, sheet, ref, formula, at) as ``spread_arrays`` takes them."""
+    return declared.filter("kind = 'array'").select("book", "sheet", "ref", F.col("operator").alias("formula"), F.col("name").alias("at"))
+
+
+def scan_rich(spark: SparkSession, path: str) -> DataFrame:
+    """Cells with formatted text: (book, sheet, row, col, runs), runs an array of (font, text) from shared and inline strings.
+
+    A font is its properties as ``name=value``, joined by semicolons, NULL without any. An unreadable file gives a row without
+    a place whose one run has the font ``unreadable``.
+    """
+    pairs = F.from_json("runs", "array<array<string>>")
+    named = F.transform(pairs, lambda p: F.struct(F.get(p, F.lit(0)).alias("font"), F.get(p, F.lit(1)).alias("text")))
+    return scan_part(spark, path, "rich").withColumn("runs", named)
+
+
+def scan_pivot_caches(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records, shared items and fields of every pivot cache, as ``decode_pivot_cache`` takes them.
+
+    ``cache`` is book and cache; records (cache, rec, items array<struct(kind, v)>), items (cache, field, idx, v), fields
+    (cache, field, name). Records are streamed from their part, in files of any number. An unreadable file has no cache.
+    """
+    cache = F.when(F.col("cache").isNotNull(), F.concat_ws("/", "book", "cache")).alias("cache")
+    raw = scan_part(spark, path, "pivot_records")
+    pairs = F.from_json("items", "array<array<string>>")
+    records = raw.select(cache, "rec", F.transform(pairs, lambda p: F.struct(F.get(p, F.lit(0)).alias("kind"), F.get(p, F.lit(1)).alias("v"))).alias("items"))
+    told = scan_part(spark, path, "pivot_items").select(cache, "field", "name", "idx", "kind", "v")
+    items = told.filter("idx is not null and kind <> 'm'").select("cache", "field", "idx", "v")
+    return records, items, told.filter("idx is null").select("cache", "field", "name")
+
+
 def scan_external(spark: SparkSession, path: str) -> DataFrame:
     """Cells cached from linked workbooks; ``book`` is the linked file. An unreadable file gives a row with its reason in ``err``."""
     raw = scan_part(spark, path, "external")

@@ -134,3 +134,119 @@ def linked(t) -> str:
 )
 def _(t):
     return W.scan_external(t.spark, linked(t)).select("book", "linked_from", "row", "col", "v_num", "v_str")
+
+
+def _books(t, rows, key: str, order: str, prefix: str, write_one) -> str:
+    """A file per key and ten thousand rows; ``write_one(handle, pdf)`` writes it."""
+    folder = f"{shared_folder(t.spark)}/{prefix}-{uuid.uuid4().hex}"
+
+    def write(pdf):
+        import pandas as pd
+
+        from gridspark.sources import files
+
+        fs, base = files.filesystem(folder)
+        fs.create_dir(base, recursive=True)
+        name = f"{prefix}{pdf[key].iloc[0]}_{pdf['chunk'].iloc[0]}.xlsx"
+        with fs.open_output_stream(f"{base}/{name}") as out:
+            write_one(out, pdf.sort_values(order))
+        return pd.DataFrame({"name": [name]})
+
+    rows.groupBy(key, "chunk").applyInPandas(write, "name string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def _array_book(out, pdf):
+    from gridspark.sources import ooxml
+
+    sheet, n = ooxml.SheetWriter(out, "data"), len(pdf)
+    for i, (key, total) in enumerate(zip(pdf["o_orderkey"].tolist(), pdf["o_totalprice"].tolist(), strict=True)):
+        twice = total * 2
+        sheet.append([key, total, {"formula": f"=B1:B{n}*2", "value": twice, "ref": f"C1:C{n}"} if i == 0 else twice])
+    sheet.close()
+
+
+@query(
+    "e4_spread_arrays",
+    """SELECT 'a' || k || '_' || c || '.xlsx' AS book, r::INT AS "row", '=B1:B' || n || '*2' AS array_formula, r = 1 AS anchor, round(o_totalprice * 2, 2) AS v_num
+       FROM (SELECT *, o_custkey % 40 AS k, o_orderkey // 400000 AS c, count(*) OVER (PARTITION BY o_custkey % 40, o_orderkey // 400000) AS n, row_number() OVER (PARTITION BY o_custkey % 40, o_orderkey // 400000 ORDER BY o_orderkey) AS r FROM orders)""",
+)
+def _(t):
+    """Array formulas of written books over their range, with the cached value of every cell."""
+    from gridspark.operators import formulas as E
+
+    rows = t.orders.select("o_orderkey", "o_totalprice", (F.col("o_custkey") % 40).alias("k"), F.floor(F.col("o_orderkey") / 400_000).alias("chunk"))
+    folder = _books(t, rows, "k", "o_orderkey", "a", _array_book)
+    cells = W.scan_workbooks(t.spark, folder, data_only=True)
+    out = E.spread_arrays(cells, W.scan_arrays(W.scan_declared(t.spark, folder)))
+    return out.filter("array_formula is not null").select("book", "row", "array_formula", "anchor", F.round("v_num", 2).alias("v_num"))
+
+
+def _rich_book(out, pdf):
+    from gridspark.sources import ooxml
+
+    sheet = ooxml.SheetWriter(out, "talk")
+    for conv, turn, role, text in zip(pdf["conv_id"].tolist(), pdf["turn"].tolist(), pdf["role"], pdf["text"], strict=True):
+        sheet.append([conv, turn, [(("b", 'sz val="12"'), role), (("i",), ": "), (("i",), (text or "").replace("\r", " ")[:30000])]])
+    sheet.close()
+
+
+@query(
+    "b19_rich_text",
+    """SELECT 't' || (conv_id % 20) || '_' || (conv_id // 100000) || '.xlsx' AS book, conv_id, turn, role || ': ' || replace(coalesce(text, ''), chr(13), ' ')[:30000] AS flat, 2::BIGINT AS runs, 'b=1;sz=12' AS font FROM conversations""",
+)
+def _(t):
+    """Formatted text of written books: flattened, and its neighbouring runs of one font merged."""
+    from gridspark.functions import scalars as S
+    from gridspark.operators import typing as T
+
+    rows = t.conversations.select("conv_id", "turn", "role", "text", (F.col("conv_id") % 20).alias("k"), F.floor(F.col("conv_id") / 100_000).alias("chunk"), (F.col("conv_id") * 1000 + F.col("turn")).alias("o"))
+    folder = _books(t, rows, "k", "o", "t", _rich_book)
+    rich = W.scan_rich(t.spark, folder)
+    place = ["book", "sheet", "row", "col"]
+    pieces = rich.select(*place, F.posexplode("runs").alias("pos", "r")).select(*place, "pos", "r.font", "r.text")
+    merged = T.merge_runs(pieces, place, "pos", block_of("pos", 4096)).groupBy(*place).agg(F.count(F.lit(1)).alias("runs"), F.min_by("font", "run").alias("font"))
+    ids = W.scan_workbooks(t.spark, folder, data_only=True).filter("col < 3").groupBy("book", "sheet", "row").agg(
+        F.max(F.when(F.col("col") == 1, F.col("v_num"))).cast("long").alias("conv_id"), F.max(F.when(F.col("col") == 2, F.col("v_num"))).cast("long").alias("turn"))
+    flat = rich.select(*place, S.flatten_runs(F.col("runs")).alias("flat"))
+    return flat.join(merged, place).join(ids, ["book", "sheet", "row"]).select("book", "conv_id", "turn", "flat", "runs", "font")
+
+
+def _pivot_book(out, pdf):
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    rel = lambda i, kind, target: f'<Relationship Id="rId{i}" Type="{office}/{kind}" Target="{target}"/>'
+    rels = lambda *r: '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(r) + "</Relationships>"
+    flags, states = sorted(set(pdf["l_returnflag"])), sorted(set(pdf["l_linestatus"]))
+    shared = lambda vs: "<sharedItems>" + "".join(f'<s v="{v}"/>' for v in vs) + "</sharedItems>"
+    records = "".join(
+        f'<r><x v="{flags.index(f)}"/><x v="{states.index(s)}"/><n v="{q:g}"/><n v="{k}"/></r>'
+        for f, s, q, k in zip(pdf["l_returnflag"], pdf["l_linestatus"], pdf["l_quantity"], pdf["rec"], strict=True)
+    )
+    fields = f'<cacheField name="flag">{shared(flags)}</cacheField><cacheField name="status">{shared(states)}</cacheField><cacheField name="quantity"><sharedItems containsNumber="1"/></cacheField><cacheField name="key"><sharedItems/></cacheField>'
+    parts = {
+        "_rels/.rels": rels(rel(1, "officeDocument", "xl/workbook.xml")),
+        "xl/workbook.xml": f"<workbook {main}><sheets/></workbook>",
+        "xl/_rels/workbook.xml.rels": rels(rel(1, "pivotCacheDefinition", "pivotCache/def1.xml")),
+        "xl/pivotCache/def1.xml": f"<pivotCacheDefinition {main}><cacheFields>{fields}</cacheFields></pivotCacheDefinition>",
+        "xl/pivotCache/_rels/def1.xml.rels": rels(rel(1, "pivotCacheRecords", "records1.xml")),
+        "xl/pivotCache/records1.xml": f"<pivotCacheRecords {main}>{records}</pivotCacheRecords>",
+    }
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for member, body in parts.items():
+            z.writestr(member, body)
+
+
+@query(
+    "a6_pivot_caches",
+    "SELECT l_orderkey * 8 + l_linenumber AS key, l_returnflag AS flag, l_linestatus AS status, l_quantity AS quantity, count(*) AS n FROM lineitem GROUP BY ALL",
+)
+def _(t):
+    """Pivot caches written to books, read back and decoded through their shared items."""
+    rec = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = t.lineitem.select("l_returnflag", "l_linestatus", "l_quantity", rec.alias("rec"), (F.col("l_orderkey") % 32).alias("k"), F.floor(F.col("l_orderkey") / 100_000).alias("chunk"))
+    records, items, fields = W.scan_pivot_caches(t.spark, _books(t, rows, "k", "rec", "p", _pivot_book))
+    out = G.decode_pivot_cache(records, items, {0: "flag", 1: "status", 2: "quantity", 3: "key"})
+    return out.groupBy(F.col("key").cast("long").alias("key"), "flag", "status", F.col("quantity").cast("double").alias("quantity")).agg(F.count(F.lit(1)).alias("n"))

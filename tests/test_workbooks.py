@@ -353,3 +353,44 @@ def test_moves_go_on_where_they_stopped(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == [f"b{i}.xlsx" for i in range(6)]
     rows.write.format("workbook").mode("append").options(path=path).save()  # without a second job
     assert sorted(p.name for p in tmp_path.iterdir()) == [f"b{i}.xlsx" for i in range(6)]
+
+
+def test_rich_text_arrays_and_pivot_caches(spark, archive, damaged):
+    got = {(r.book, r.row, r.col): [tuple(x) for x in r.runs] for r in W.scan_rich(spark, damaged).filter("sheet = 'one' or row is null").collect()}
+    assert got["book.xlsx", 1, 1] == [(None, "o"), (None, "ne_")] and got["book.xlsx", 1, 2] == [(None, "ri"), (None, "ch")]
+    assert {k[0] for k, v in got.items() if k[1] is None and v[0][0] == "unreadable"} >= {"empty.xlsx", "four.xlsx", "secret.xlsx"}
+    assert not any(k[2] == 3 for k in got)  # plain cells have no runs
+    book = f"{archive}/caches.xlsx"
+    defs = f'<pivotCacheDefinition {MAIN}><cacheFields><cacheField name="a"><sharedItems><s v="x"/><m/><n v="2"/></sharedItems></cacheField><cacheField name="b"/></cacheFields></pivotCacheDefinition>'
+    link = lambda i, kind, at: f'<Relationship Id="rId{i}" Type="{OFFICE}/{kind}" Target="{at}"/>'
+    parts = {
+        "_rels/.rels": RELS + link(1, "officeDocument", "xl/workbook.xml") + "</Relationships>",
+        "xl/workbook.xml": f"<workbook {MAIN}><sheets/></workbook>",
+        "xl/_rels/workbook.xml.rels": RELS + link(1, "pivotCacheDefinition", "c/d1.xml") + link(2, "pivotCacheDefinition", "c/d2.xml") + "</Relationships>",
+        "xl/c/d1.xml": defs, "xl/c/d2.xml": defs, "xl/c/_rels/d1.xml.rels": RELS + link(1, "pivotCacheRecords", "r1.xml") + "</Relationships>",
+        "xl/c/r1.xml": f'<pivotCacheRecords {MAIN}><r><x v="0"/><s v="p"/></r><r><x v="1"/><m/></r><r><x v="2"/><n v="7"/></r><r><m/><b v="1"/></r></pivotCacheRecords>',
+    }
+    with zipfile.ZipFile(book, "w") as z:
+        for name, body in parts.items():
+            z.writestr(name, body)
+    records, items, fields = W.scan_pivot_caches(spark, book)
+    out = G.decode_pivot_cache(records, items, {0: "a", 1: "b"}).orderBy("rec").collect()
+    assert [tuple(r) for r in out] == [("caches.xlsx/d1", 0, "x", "p"), ("caches.xlsx/d1", 1, None, None), ("caches.xlsx/d1", 2, "2", "7"), ("caches.xlsx/d1", 3, None, "1")]
+    assert sorted(map(tuple, fields.collect())) == [(f"caches.xlsx/{d}", i, n) for d in ("d1", "d2") for i, n in ((0, "a"), (1, "b"))]
+
+
+def test_array_formulas_cover_their_range(spark, tmp_path):
+    from gridspark.operators import formulas as E
+    from gridspark.sources import ooxml
+
+    with open(tmp_path / "b.xlsx", "wb") as out:
+        sheet = ooxml.SheetWriter(out, "s")
+        sheet.append([1, {"formula": "=A1:A3*2", "value": 2, "ref": "B1:B3"}, "free"])
+        sheet.append([2, 4])
+        sheet.append([3, 6, {"formula": "=SUM(A1:A3)", "value": 6, "ref": "C3"}])
+        sheet.close()
+    cells = W.scan_workbooks(spark, str(tmp_path), data_only=True)
+    got = E.spread_arrays(cells, W.scan_arrays(W.scan_declared(spark, str(tmp_path)))).collect()
+    assert {(r.row, r.col): (r.array_formula, r.array_ref, r.anchor, r.v_num) for r in got if r.array_formula} == {
+        (1, 2): ("=A1:A3*2", "B1:B3", True, 2.0), (2, 2): ("=A1:A3*2", "B1:B3", False, 4.0), (3, 2): ("=A1:A3*2", "B1:B3", False, 6.0), (3, 3): ("=SUM(A1:A3)", "C3", True, 6.0)}
+    assert len(got) == 8
