@@ -236,7 +236,9 @@ def safe_string(c: Column) -> Column:
 
 def safe_strings(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``df`` with ``safe_string`` of several columns, every step a projection of its own: generated code throughout."""
-    out = df.withColumns({f"__{n}_x": c.cast("double") for n, c in columns.items()})
+    from gridspark.scale import widened
+
+    out = widened(df).withColumns({f"__{n}_x": c.cast("double") for n, c in columns.items()})
     made = {f"__{n}_x" for n in columns}
     for step in _digit_steps():
         new = {f"__{n}_{k}": x for n in columns for k, x in step(lambda k, n=n: F.col(f"__{n}_{k}")).items()}

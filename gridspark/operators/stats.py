@@ -19,9 +19,14 @@ def value_counts(df: DataFrame, value: Column) -> DataFrame:
     return rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ranked_values(counts: DataFrame) -> DataFrame:
-    """``value_counts`` with the rows up to and including each value, ``cum``; blocks are cut by counted values."""
-    return running(balanced(counts, F.col("v")), [], ["v"], {"cum": ("sum", F.col("n"))}, F.col("__part")).drop("__part")
+def value_blocks(df: DataFrame, value: Column) -> DataFrame:
+    """``value_counts``, saved once in blocks of about equally many values; all that follows reads them instead of the rows."""
+    return balanced(value_counts(df, value), F.col("v"))
+
+
+def ranked_values(blocks: DataFrame) -> DataFrame:
+    """``value_blocks`` with the rows up to and including each value, ``cum``."""
+    return running(blocks, [], ["v"], {"cum": ("sum", F.col("n"))}, F.col("__part")).drop("__part")
 
 
 def _at(position: Column) -> Column:
@@ -29,22 +34,25 @@ def _at(position: Column) -> Column:
     return F.max(F.when((F.col("cum") >= position) & (F.col("cum") - F.col("n") < position), F.col("v")))
 
 
-def nth_value(counts: DataFrame, position: Column) -> Column:
+def nth_value(blocks: DataFrame, position: Column) -> Column:
     """Value at 1-based ``position`` in ascending order."""
-    return ranked_values(counts).agg(_at(position)).scalar()
+    return ranked_values(blocks).agg(_at(position)).scalar()
 
 
 def percentiles(df: DataFrame, value: Column, fractions: list[float]) -> Column:
     """Exact percentiles with linear interpolation, as a struct p0, p1, …"""
-    counts = value_counts(df, value)
-    n = whole(counts, n=F.sum("n"))["n"]
+    return percentiles_of(value_blocks(df, value), fractions)
+
+
+def percentiles_of(blocks: DataFrame, fractions: list[float]) -> Column:
+    n = whole(blocks, n=F.sum("n"))["n"]
     fields = []
     for i, p in enumerate(fractions):
         position = (n - 1) * F.lit(float(p))
         low = F.floor(position)
         a, b = _at(low + 1), _at(F.ceil(position) + 1)
         fields.append((a + (b - a) * (position - low)).alias(f"p{i}"))
-    return ranked_values(counts).agg(F.struct(*fields)).scalar()
+    return ranked_values(blocks).agg(F.struct(*fields)).scalar()
 
 
 def thresholds(df: DataFrame, column: str, stops: list[tuple[str, float | str | None]]) -> list[Column]:
@@ -54,8 +62,9 @@ def thresholds(df: DataFrame, column: str, stops: list[tuple[str, float | str |
     """
     c = F.col(column)
     wanted = [float(v) / 100 for k, v in stops if k == "percentile"]
-    exact = percentiles(df, c, wanted) if wanted else None
-    ends = whole(value_counts(df, c), lo=F.min("v"), hi=F.max("v")) if wanted else whole(df, lo=F.min(c).cast("double"), hi=F.max(c).cast("double"))
+    blocks = value_blocks(df, c) if wanted else None
+    exact = percentiles_of(blocks, wanted) if wanted else None
+    ends = whole(blocks, lo=F.min("v"), hi=F.max("v")) if wanted else whole(df, lo=F.min(c).cast("double"), hi=F.max(c).cast("double"))
     out, i = [], 0
     for kind, v in stops:
         if kind == "num":
@@ -86,7 +95,7 @@ def top_threshold(df: DataFrame, column: str, n: int, percent: bool = False, bot
         best = df.select(c.alias("v")).filter("v is not null")
         best = best.orderBy(F.col("v") if bottom else F.col("v").desc()).limit(n)
         return best.agg(F.max("v") if bottom else F.min("v")).scalar()
-    counts = value_counts(df, c)
-    count = whole(counts, n=F.sum("n"))["n"]
+    blocks = value_blocks(df, c)
+    count = whole(blocks, n=F.sum("n"))["n"]
     take = F.greatest(F.lit(1), F.floor(count * F.lit(n) / 100))
-    return nth_value(counts, take if bottom else count - take + 1)
+    return nth_value(blocks, take if bottom else count - take + 1)

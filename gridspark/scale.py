@@ -187,6 +187,17 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(n, *columns)
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """Rows of a few large files over all tasks, for work that is dear per row.
+
+    Left alone where the scan is as wide as the session, and where rows have been exchanged already.
+    """
+    plan, width = df._jdf.queryExecution(), df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in plan.executedPlan().toString() or plan.toRdd().getNumPartitions() >= width:
+        return df
+    return df.repartition(width)
+
+
 def tile_join(
     cells: DataFrame, ranges: DataFrame, how: str = "inner", tile: int = TILE_ROWS
 ) -> DataFrame:

@@ -242,7 +242,8 @@ def _(t):
 def _(t):
     odd = F.when(F.col("l_linenumber") == 1, F.lit(None)).when(F.col("l_linenumber") == 2, F.lit(float("nan"))).otherwise(F.col("l_tax"))
     shown = {"price": F.col("l_extendedprice"), "seventh": F.col("l_extendedprice") / 7, "quantity": F.col("l_quantity"), "small": F.col("l_discount") / 300, "odd": odd}
-    return S.safe_strings(t.lineitem, shown).select("l_orderkey", "l_linenumber", "l_extendedprice", *shown)
+    read = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    return S.safe_strings(read, shown).select("l_orderkey", "l_linenumber", "l_extendedprice", *shown)
 
 
 @query(

@@ -93,7 +93,7 @@ def test_order_statistics(skewed):
         hi = min(lo + 1, len(xs) - 1)
         assert got == pytest.approx(xs[lo] + (xs[hi] - xs[lo]) * (at - lo))
     for n in (1, 10, len(xs)):
-        assert df.limit(1).select(stats.nth_value(stats.value_counts(df, F.col("v")), F.lit(n))).first()[0] == xs[n - 1]
+        assert df.limit(1).select(stats.nth_value(stats.value_blocks(df, F.col("v")), F.lit(n))).first()[0] == xs[n - 1]
 
 
 def plan(df):
