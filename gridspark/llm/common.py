@@ -27,6 +27,17 @@ def word_count(column: str) -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import cut, text_of, word_count
+from gridspark.llm.common import cut, free, text_of, word_count
 from gridspark.scale import block_of, running
 
 # Neighbours in the Fibonacci sequence; their ratio is the golden ratio to 18 digits.
@@ -163,18 +163,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed, known = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
     passes = mixed.groupBy("row", "epoch").agg(F.sum("tokens").alias("tokens"), F.min("position").alias("position"))
     takes = known.join(passes, "row").filter(2 * F.col("tokens") >= F.col("size"))
-    takes = takes.groupBy("row", F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("source").alias("__source")).agg(
-        F.collect_list("position").alias("__positions")  # one per pass
+    own, given, mark, src, places, alike, at = free(docs, "__own", "__id", "__mark", "__source", "__positions", "__rows", "__position")
+    takes = takes.groupBy("row", F.col("id").alias(given), F.col("mark").alias(mark), F.col("source").alias(src)).agg(
+        F.collect_list("position").alias(places)  # one per pass
     )
     # rows equal in id, text and source each have a place of their own in the mix, one of them stands for all
-    key = ["__id", "__mark", "__source"]
-    takes = cut(takes.groupBy(*key).agg(F.flatten(F.collect_list("__positions")).alias("__positions"), F.count(F.lit(1)).alias("__rows")))
-    marked = docs.withColumn("__own", F.md5(text_of(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__mark")) & F.col(source_col).eqNullSafe(F.col("__source"))
-    single = marked.join(takes.filter("__rows = 1"), same)
-    repeated = marked.join(takes.filter("__rows > 1"), same).dropDuplicates(key)
-    chosen = single.unionByName(repeated).select(*docs.columns, F.explode("__positions").alias("__position"))
-    return chosen.repartitionByRange("__position").sortWithinPartitions("__position").drop("__position")
+    key = [given, mark, src]
+    takes = cut(takes.groupBy(*key).agg(F.flatten(F.collect_list(places)).alias(places), F.count(F.lit(1)).alias(alike)))
+    marked = docs.withColumn(own, F.md5(text_of(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col(given)) & (F.col(own) == F.col(mark)) & F.col(source_col).eqNullSafe(F.col(src))
+    single = marked.join(takes.filter(F.col(alike) == 1), same)
+    repeated = marked.join(takes.filter(F.col(alike) > 1), same).dropDuplicates(key)
+    chosen = single.unionByName(repeated).select(*docs.columns, F.explode(places).alias(at))
+    return chosen.repartitionByRange(at).sortWithinPartitions(at).drop(at)
 
 
 def _block_rows(found: list[dict]) -> int:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import cut, settled, slices
+from gridspark.llm.common import cut, free, settled, slices
 from gridspark.llm.components import components
 from gridspark.llm.vector_dups import forest
 
@@ -378,7 +378,8 @@ def text_classes(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every class, the one with the smallest id, all columns as they were."""
     classes = text_classes(docs, threshold, id_col, text_col)
-    chosen = classes.filter("kept").select(F.col(id_col).alias("__id"), F.col("mark").alias("__own"))
-    marked = docs.withColumn("__mark", F.unhex(F.md5(F.col(text_col).cast("string"))))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col("__mark").eqNullSafe(F.col("__own"))
-    return marked.join(chosen, same, "left_semi").dropDuplicates([id_col, "__mark"]).drop("__mark")
+    given, own, mark = free(docs, "__id", "__own", "__mark")
+    chosen = classes.filter("kept").select(F.col(id_col).alias(given), F.col("mark").alias(own))
+    marked = docs.withColumn(mark, F.unhex(F.md5(F.col(text_col).cast("string"))))
+    same = F.col(id_col).eqNullSafe(F.col(given)) & F.col(mark).eqNullSafe(F.col(own))
+    return marked.join(chosen, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, differ
@@ -52,3 +53,13 @@ def test_stages_without_rows(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, FOLDER).count() == 0
+
+
+def test_stages_beside_columns_named_like_helpers(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for k, name in enumerate(("__own", "__id", "__mark", "__source", "__positions", "__rows", "__position", "mark", "class_id", "kept")):
+        docs = docs.withColumn(name, F.lit(k))
+    for stage in (corpus_pipeline.drop_copies, corpus_pipeline.mix_sources):
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and out.select("__own", "__position", "kept").distinct().collect() == [(0, 6, 9)]
+        assert out.count() > 0

@@ -255,3 +255,18 @@ def test_pages_of_the_table_whole(spark):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    def took(n):
+        page = "<div>a" * n + "</p>" * n + "<ul>" + "<li>b" * n
+        t = time.perf_counter()
+        main_text.Page(page)
+        return time.perf_counter() - t
+
+    took(500)
+    assert took(16_000) < 24 * max(took(2_000), 1e-3)  # eight times the page
+    page = main_text.Page("<div><p>a</span></b></p><ul><li>x</ul></li></div></div>")
+    assert [t for t in page.text if t] == ["a", "x"] and not any(page.open.values())
