@@ -20,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -76,6 +77,7 @@ class Page:
         self.text: list[str | None] = []
         self.given: list[int | None] = []
         self.tags: list[str] = []
+        self.open: Counter[str] = Counter()  # open elements by name
         self._read(source)
 
     def _add(self, parent: int, features: tuple[str, ...], text: str | None, given: int | None, tag: str) -> int:
@@ -150,7 +152,7 @@ class Page:
                     self._open(stack, name, attributes, flush)
                     pieces.append(s[at : stop.start()])
                     flush()
-                    stack.pop()
+                    self._leave(stack)
                 if stop:
                     at = stop.end()
                     continue
@@ -174,11 +176,10 @@ class Page:
                     continue
             if closing:
                 flush()
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.tags[stack[depth]] == name:
-                        del stack[depth:]
-                        in_link = in_link if name in FALLBACK else 0
-                        break
+                if self.open[name]:  # else a stray end tag: no look through the open elements
+                    while self._leave(stack) != name:
+                        pass
+                    in_link = in_link if name in FALLBACK else 0
                 continue
             if name in VOID:
                 flush()
@@ -191,16 +192,24 @@ class Page:
         flush()
         if name not in FALLBACK:
             while len(stack) > 1 and self.tags[stack[-1]] == "p":  # a block ends an open paragraph
-                stack.pop()
-        if name in CLOSES:
+                self._leave(stack)
+        if name in CLOSES and any(self.open[c] for c in CLOSES[name]):
             for depth in range(len(stack) - 1, 0, -1):
                 above = self.tags[stack[depth]]
                 if above in CLOSES[name]:
-                    del stack[depth:]
+                    while len(stack) > depth:
+                        self._leave(stack)
                     break
                 if above in BORDERS.get(name, {"table"}):
                     break
         stack.append(self._add(stack[-1], *self._element(name, attributes, self.given[stack[-1]])))
+        self.open[name] += 1
+
+    def _leave(self, stack: list[int]) -> str:
+        """Close the innermost open element."""
+        name = self.tags[stack.pop()]
+        self.open[name] -= 1
+        return name
 
     def _element(self, name: str, attributes: str, given: int | None) -> tuple:
         found = [f"tag {name}"]
