@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gridspark.functions import coords as C
 from gridspark.functions import scalars as S
-from gridspark.scale import hot_keys, running, salted_join, split_join, spread, tile_join
+from gridspark.scale import TILE_ROWS, hot_keys, running, salted_join, split_join, spread, tile_join
 
 SHEET = ["book", "sheet"]
 VALUES = ["dtype", "v_num", "v_str", "v_ts", "v_bool", "time_ms", "span_ms", "err", "formula", "style_id"]
