@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gridspark.functions import coords as C
 from gridspark.functions import scalars as S
-from gridspark.scale import TILE_ROWS, hot_keys, running, salted_join, split_join, spread, tile_join
+from gridspark.scale import TILE_ROWS, running, salted_join, split_join, spread, tile_join
 
 SHEET = ["book", "sheet"]
 VALUES = ["dtype", "v_num", "v_str", "v_ts", "v_bool", "time_ms", "span_ms", "err", "formula", "style_id"]
@@ -273,16 +273,17 @@ def decode_pivot_cache(records: DataFrame, items: DataFrame, fields: dict[int, s
     """Pivot-cache records to a table: items are inline or an index into the field's shared items.
 
     One join per decoded field keeps each record in place: records are never
-    regrouped. The items of a cache are repeated only if the cache is hot, which one count of the records tells.
+    regrouped. Popular items are left to adaptive execution; inline items get keys of their own that meet nothing, spread by a hash.
     records(cache, rec, items array<struct(kind, v)>), items(cache, field, idx, v).
     """
-    out, hot = records, hot_keys(records, ["cache"])
+    out = records
+    apart = (-1 - F.pmod(F.xxhash64("items"), F.lit(4096))).cast("int")
     for i, name in fields.items():
         item = F.get("items", F.lit(i))
         shared = items.filter(F.col("field") == i).select("cache", F.col("idx").alias("__idx"), F.col("v").alias("__shared"))
-        coded = out.withColumn("__idx", F.when(item["kind"] == "x", item["v"].cast("int")))
+        coded = out.withColumn("__idx", F.when(item["kind"] == "x", item["v"].cast("int")).otherwise(apart))
         text = F.when(item["kind"] == "x", F.col("__shared")).when(item["kind"] != "m", item["v"])
-        out = salted_join(coded, shared, ["cache", "__idx"], hot=hot).withColumn(name, text).drop("__idx", "__shared")
+        out = split_join(coded, shared, ["cache", "__idx"]).withColumn(name, text).drop("__idx", "__shared")
     return out.drop("items")
 
 
