@@ -2,5 +2,5 @@
 
 import importlib
 
-for _module in ("grid", "scalars", "ranges", "structure", "filters", "rules", "pivot", "series", "reshape", "costs", "formulas", "workbooks", "declared"):
+for _module in ("grid", "scalars", "ranges", "structure", "filters", "rules", "pivot", "series", "reshape", "costs", "formulas", "workbooks", "declared", "sheets"):
     importlib.import_module(f"suite.{_module}")

@@ -43,3 +43,10 @@ def test_entry(spark):
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
     assert set(QUERIES) <= set(entry.queries())
+
+
+def test_every_sheet_spec_is_in_a_query():
+    from gridspark.plans.sheet_specs import SPECS
+
+    told = "".join(sql for name, sql in SQL.items() if name.startswith("m34_specs"))
+    assert [s for s in SPECS if f"'{s}' AS spec" not in told] == []
