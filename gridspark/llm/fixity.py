@@ -7,28 +7,32 @@ differ, down to the records.
 
 Edge cases: a file or record that one replica lacks is reported as ``missing`` or
 ``extra``; null URLs and bodies are written as empty; a null id gets a file of its own
-kind; equal rows are equal records, each at its own offset; empty tables give no
-finding. Only the named columns are read.
+kind; equal rows are equal records, each at its own offset, counted before they are laid
+out, so neither many copies nor many bodies of one id meet in one task; empty tables give
+no finding. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from gridspark.llm.common import cut, text_of
+from gridspark.scale import running
 
 RANGE_BYTES = 1 << 16
 FANOUT = 16
 FILE_IDS = 512  # consecutive ids that share an archive file
+DATE = "1970-01-01T00:00:00Z"  # every record needs a date; the pages hold none
+PREFIX = 3  # hex digits of the digest that tell the blocks of one id apart
+COPIES = 4096  # equal records laid out by one row
 
 
-def warc_record(id_col: str, url_col: str, body: Column) -> Column:
+def warc_record(id_col: str, url_col: str, body: Column, date: str = DATE) -> Column:
     """One archive record as text: header lines, an empty line, the body."""
     return F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Target-URI: "), text_of(url_col),
+        F.lit(f">\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), text_of(url_col),
         F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"),
     )
 
@@ -40,11 +44,18 @@ def lay_out(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     hashed = pages.select(
         F.col(id_col).cast("long").alias("id"), file.cast("long").alias("file"), record.alias("record")
     ).select("id", "file", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
-    in_order = Window.partitionBy("file").orderBy("id", "digest")  # the records of one archive file
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.select(
-        "id", "file", (F.row_number().over(in_order) - 1).alias("nth"),
-        F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "digest",
+    # equal records are counted, a file is scanned in blocks of an id and a digest prefix, then the copies are laid out again
+    counted = hashed.groupBy("id", "file", "length", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    block = F.struct("id", F.substring("digest", 1, PREFIX).alias("prefix"))
+    ends = {"nth": ("sum", F.col("copies")), "offset": ("sum", F.col("copies") * F.col("length"))}
+    placed = running(counted, ["file"], ["id", "digest"], ends, block).withColumns({
+        "nth": F.col("nth") - F.col("copies"), "offset": F.col("offset") - F.col("copies") * F.col("length"),
+        "lead": F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))),
+    }).repartition("file", "lead")
+    last = F.least(F.col("lead") + COPIES, F.col("copies")) - 1
+    laid = placed.withColumn("copy", F.explode(F.sequence("lead", last)))
+    return laid.select(
+        "id", "file", (F.col("nth") + F.col("copy")).alias("nth"), (F.col("offset") + F.col("copy") * F.col("length")).alias("offset"), "length", "digest",
     )
 
 

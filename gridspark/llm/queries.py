@@ -98,7 +98,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_fixity", r"""
 WITH rec AS (SELECT page_id, CAST(floor(page_id / 512) AS BIGINT) AS file, coalesce(html, '') AS body,
        'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
-       || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head FROM pages),
+       || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head FROM pages),
  made AS (SELECT page_id, file, head || strlen(body) || repeat(chr(13) || chr(10), 2) || body || repeat(chr(13) || chr(10), 2) AS record,
        head || strlen('#' || substr(body, 2)) || repeat(chr(13) || chr(10), 2) || '#' || substr(body, 2) || repeat(chr(13) || chr(10), 2) AS hurt FROM rec),
  laid AS (SELECT *, row_number() OVER f - 1 AS nth, coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, sha256(record) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos

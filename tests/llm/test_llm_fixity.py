@@ -47,6 +47,25 @@ def test_records_lie_end_to_end(spark):
         by_file[r.file] = r.offset + r.length
 
 
+def test_copies_and_bodies_of_one_id_are_not_laid_out_in_one_task(spark):
+    rows = [(7, "u", "same")] * 9000 + [(None, None, None)] * 5000 + [(7, "u", f"body {i}") for i in range(300)] + [(i, "v", "x" * i) for i in range(20)]
+    laid = lay_out(pages_of(spark, rows).repartition(3))
+    by_file = {}
+    for r in laid.orderBy("file", "nth").collect():
+        n, end = by_file.get(r.file, (0, 0))
+        assert (r.nth, r.offset) == (n, end)
+        by_file[r.file] = (n + 1, end + r.length)
+    assert sorted(n for n, _ in by_file.values()) == [5000, 9320]
+    assert audit(*[laid.select("file", "offset", "length", "digest")] * 2).count() == 0
+
+
+def test_records_name_what_an_archive_needs(spark):
+    from gridspark.llm.fixity import warc_record
+
+    lines = pages_of(spark, [(5, "http://x", "é")]).select(warc_record("page_id", "url", F.col("html"))).first()[0].split("\r\n")
+    assert lines == ["WARC/1.1", "WARC-Type: resource", "WARC-Record-ID: <urn:page:5>", "WARC-Date: 1970-01-01T00:00:00Z", "WARC-Target-URI: http://x", "Content-Length: 2", "", "é", "", ""]
+
+
 def test_empty_replicas(spark):
     empty = lay_out(pages_of(spark, [])).select("file", "offset", "length", "digest")
     full = lay_out(pages_of(spark, PAGES[:3])).select("file", "offset", "length", "digest")
