@@ -10,7 +10,7 @@ itself larger than the tolerance around the splitter.
 
 Edge cases: a null text counts as empty (size 1, checksum 0), a null id as the least
 id. Rows equal in text and id are one key and stay together. Empty input gives an
-empty result. Input columns named like an output column are replaced.
+empty result. Input columns named like an output column are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from math import floor, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import cut, text_of
+from gridspark.llm.common import cut, free, text_of
 from gridspark.scale import running
 
 LEAST = -(1 << 63)
 PROBE_BITS = 12
+HELPERS = {"__h", "__id", "__size", "__blk", "__c_slot", "__v_slot"}  # names used on the way; input columns called so step aside
 
 
 def _ordered(c: Column) -> Column:
@@ -131,8 +132,11 @@ def _blocks(found: dict) -> Column:
     span = (found["i1"] or 0) - (found["i0"] or 0) + 1
     step = min(62, max(0, floor(log2(max(1, span * size / rows)))))
     is_heavy = first.isin(heavy) if heavy else F.lit(False)
+    top, coarser = F.shiftrightunsigned(_ordered(F.col("__h")), 64 - bits), 64 - bits - found["probe_shift"]
+    around = sorted({(p % (1 << 64)) >> coarser for p in heavy}) if coarser > 0 else []  # tops that hold more than a heavy probe
     return F.struct(
-        F.shiftrightunsigned(_ordered(F.col("__h")), 64 - bits).alias("top"),
+        top.alias("top"),
+        F.when(top.isin(around), first).otherwise(F.lit(0)).alias("first"),
         F.when(is_heavy, _ordered(F.col("__h"))).otherwise(F.lit(0)).alias("h"),
         F.when(is_heavy, F.shiftright(F.col("__id"), step)).otherwise(F.lit(0)).alias("i"),
     )
@@ -146,9 +150,13 @@ def shard_by_bytes(
     ``slot`` counts from 0 within a shard in key order; shards differ in bytes by the
     tolerance (a share of a shard) on either side, or by one row where rows are larger.
     """
-    keyed = keys(df.drop("size", "text_crc32", "shard", "slot"), id_col, text_col)
+    df = df.drop("size", "text_crc32", "shard", "slot")
+    clashing = [c for c in df.columns if c.lower() in HELPERS]
+    aside = dict(zip(clashing, free(df, *[f"{c}_" for c in clashing])))
+    keyed = keys(df.withColumnsRenamed(aside), aside.get(id_col, id_col), aside.get(text_col, text_col))
     found = find_splitters(cut(keyed.select("__h", "__id", "__size")), shards, tolerance)
-    placed = keyed.withColumn("size", F.col("__size")).withColumn("text_crc32", F.crc32(text_of(text_col)))
+    placed = keyed.withColumn("size", F.col("__size")).withColumn("text_crc32", F.crc32(text_of(aside.get(text_col, text_col))))
     placed = placed.withColumn("shard", shard_column(found))
     slotted = running(placed, ["shard"], ["__h", "__id"], {"slot": ("row_number", None)}, _blocks(found))
-    return slotted.withColumn("slot", F.col("slot").cast("long") - 1).drop("__h", "__id", "__size")
+    slotted = slotted.withColumn("slot", F.col("slot").cast("long") - 1).drop("__h", "__id", "__size")
+    return slotted.withColumnsRenamed({new: old for old, new in aside.items()})

@@ -83,3 +83,34 @@ def test_no_rows_no_shards(spark):
 def test_native_plans(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("texts", [["x" * (i * 37 % 500) + str(i % 900) for i in range(3000)], ["hot " * 9] * 1000 + [f"cold {i}" * (i % 30) for i in range(2000)]])
+def test_splitters_against_the_sorted_list(spark, texts):
+    from pyspark.sql import functions as F
+
+    shards, tolerance = 8, 0.005
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = shard_by_bytes(df, shards, tolerance).withColumn("h", F.xxhash64("text")).orderBy("h", "doc_id").collect()
+    total, below, bounds, slots = sum(r.size for r in got), 0, [0], defaultdict(int)
+    starts = {}
+    for r in got:
+        assert r.shard >= max(starts, default=0) and r.slot == slots[r.shard]
+        slots[r.shard] += 1
+        for k in range(max(starts, default=0) + 1, r.shard + 1):
+            starts[k] = below
+        starts.setdefault(0, 0)
+        below += r.size
+        bounds.append(below)
+    slack = tolerance * total / shards
+    for k in range(1, shards):
+        target = total * k / shards
+        assert abs(starts[k] - target) <= max(slack, min(abs(b - target) for b in bounds))
+
+
+def test_columns_named_like_helpers_are_kept(spark):
+    rows = [(i, f"text {i % 50}", i, -i, f"s{i}", i * 2, "b", "c") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __h int, __ID int, __size string, __h_ int, __blk string, __c_slot string")
+    out = shard_by_bytes(df, shards=4)
+    assert set(df.columns) <= set(out.columns)
+    assert sorted(map(tuple, out.select(*df.columns).collect())) == rows
