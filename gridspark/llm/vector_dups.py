@@ -3,8 +3,8 @@
 Equal vectors are compared once. The distinct ones are dealt to the nearest of a few pivots
 and cut into tiles. Two tiles meet unless the triangle inequality between their pivots
 rules out every link. In a pair of tiles all products are taken between vectors quantised
-to int8 (exactly, as whole numbers below 2^24); the quantisation error of each
-vector bounds the error of each cosine, and only pairs whose cosine is not settled by the bound
+to int8 (exactly, as whole numbers below 2^24, up to 1,040 components; beyond, the rounding of longer
+sums joins the bound); the quantisation error of each vector bounds the error of each cosine, and only pairs whose cosine is not settled by the bound
 are computed again in double precision. A pair of tiles returns link counts and at most one
 edge per vector (a spanning forest of its links), never all its links.
 
@@ -31,6 +31,8 @@ from gridspark.llm.components import components
 TILE = 4096
 PIVOTS = 64
 CHUNK = 512
+EXACT = (1 << 24) // (127 * 127)  # components whose whole-number products single precision sums exactly
+OPEN = 6_400_000  # components taken at a time where pairs are computed again
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,21 +49,24 @@ def tile_links(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     qb, sb, nb, eb = quantise(b)
     out = np.zeros((len(a), len(b)), bool)
     sb32, nb32, eb32 = (v.astype(np.float32) for v in (sb, nb, eb))
+    # single precision: the scales, and a sum of n terms is off by n / 2^24 of the vectors' lengths at most
+    rounding = np.float32(4e-6 + (0 if a.shape[1] <= EXACT else 1.01 * a.shape[1] / (1 << 24)))
+    pairs = max(1, OPEN // max(1, a.shape[1]))
     for i in range(0, len(a), CHUNK):
         rows = slice(i, i + CHUNK)
-        about = qa[rows] @ qb.T  # exact: whole numbers, at most 127 * 127 a component
+        about = qa[rows] @ qb.T  # whole numbers, at most 127 * 127 a component
         about *= sa[rows].astype(np.float32)[:, None]
         about *= sb32
         # |cos - about| <= |a'||e_b| + |e_a||b'| + |e_a||e_b|, and some for single precision
-        slack = (na[rows] + ea[rows]).astype(np.float32)[:, None] * eb32 + ea[rows].astype(np.float32)[:, None] * nb32 + np.float32(4e-6)
+        slack = (na[rows] + ea[rows]).astype(np.float32)[:, None] * eb32 + ea[rows].astype(np.float32)[:, None] * nb32 + rounding
         open_ = about + slack >= threshold
         if not open_.any():
             continue
         sure = about - slack >= threshold
         out[rows] = sure
         r, c = np.nonzero(open_ & ~sure)
-        for k in range(0, len(r), 100_000):
-            rr, cc = r[k : k + 100_000], c[k : k + 100_000]
+        for k in range(0, len(r), pairs):
+            rr, cc = r[k : k + pairs], c[k : k + pairs]
             exact = np.einsum("ij,ij->i", a[i + rr], b[cc])
             out[i + rr, cc] = exact >= threshold
     return out

@@ -184,9 +184,10 @@ def test_vectors_against_all_pairs(spark, tile):
     assert {i: (g.n_links, g.component_id, g.kept) for i, g in got.items()} == {i: (count[i], least[i], least[i] == i) for i in range(len(rows))}
 
 
-def test_error_bounds_settle_no_pair_wrongly():
+@pytest.mark.parametrize("rows, length", [(700, 16), (120, 1040), (120, 1041), (60, 30_000)])
+def test_error_bounds_settle_no_pair_wrongly(rows, length):
     r = np.random.default_rng(8)
-    a = r.normal(size=(700, 16))
+    a = r.normal(size=(rows, length))
     b = a + r.normal(size=a.shape) * 0.47  # cosines around the threshold
     a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
     assert (vector_dups.tile_links(a, b, 0.9) == (np.einsum("ik,jk->ij", a, b) >= 0.9)).all()
