@@ -210,19 +210,26 @@ def densify(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     ``bounds`` has one row per sheet; without it every sheet is filled from A1
     to its last used row and column.
     """
-    if bounds is None:
-        bounds = cells.groupBy(*SHEET).agg(
-            F.lit(1).alias("min_row"), F.lit(1).alias("min_col"),
-            F.max("row").alias("max_row"), F.max("col").alias("max_col"),
-        )
-    # first the row tiles of every sheet, spread over the tasks, then the rows and columns of each tile
+    rows = sheet_rows(from_a1(cells) if bounds is None else bounds)
+    grid = rows.select(*SHEET, "row", F.explode(F.sequence("min_col", "max_col")).alias("col"))
+    return grid.join(cells, [*SHEET, "row", "col"], "left")
+
+
+def from_a1(cells: DataFrame) -> DataFrame:
+    """Bounds of every sheet from A1 to its last used row and column."""
+    return cells.groupBy(*SHEET).agg(
+        F.lit(1).alias("min_row"), F.lit(1).alias("min_col"),
+        F.max("row").alias("max_row"), F.max("col").alias("max_col"),
+    )
+
+
+def sheet_rows(bounds: DataFrame) -> DataFrame:
+    """Every row within the bounds: first the row tiles of a sheet, spread over the tasks, then the rows of each tile."""
     low, high = F.floor(F.col("min_row") / TILE_ROWS), F.floor(F.col("max_row") / TILE_ROWS)
     tiles = spread(bounds.withColumn("__tile", F.explode(F.sequence(low, high))), *SHEET, "__tile")
     start = F.greatest(F.col("min_row"), (F.col("__tile") * TILE_ROWS).cast("int"))
     end = F.least(F.col("max_row"), ((F.col("__tile") + 1) * TILE_ROWS - 1).cast("int"))
-    rows = tiles.withColumn("row", F.explode(F.sequence(start, end)))
-    grid = rows.select(*SHEET, "row", F.explode(F.sequence("min_col", "max_col")).alias("col"))
-    return grid.join(cells, [*SHEET, "row", "col"], "left")
+    return tiles.withColumn("row", F.explode(F.sequence(start, end))).drop("__tile")
 
 
 def column_spec(spec: str) -> list[int]:

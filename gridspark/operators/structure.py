@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions import coords as C
-from gridspark.operators.grid import SHEET, VALUES, densify, text_of
+from gridspark.operators.grid import SHEET, VALUES, from_a1, sheet_rows, text_of
 from gridspark.scale import running, tile_join
 
 ROW_BLOCK = 65536
@@ -131,19 +131,33 @@ def slice_cells(cells: DataFrame, key: str) -> DataFrame:
 
 def iter_rows(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """One array of texts per row, NULL for blanks, left to right."""
-    return _views(densify(cells, bounds), "row", "col", None)
+    return _views(cells, sheet_rows(from_a1(cells) if bounds is None else bounds), "row", "col", None)
 
 
 def iter_cols(cells: DataFrame, bounds: DataFrame | None = None, chunk: int = ROW_BLOCK) -> DataFrame:
     """One array of texts per column, top to bottom, in chunks of at most ``chunk`` rows."""
-    return _views(densify(cells, bounds), "col", "row", chunk)
-
-
-def _views(grid: DataFrame, by: str, along: str, chunk: int | None) -> DataFrame:
-    part = F.floor(F.col(along) / chunk).cast("int") if chunk else F.lit(0)
+    bounds = from_a1(cells) if bounds is None else bounds
+    return _views(cells, bounds.withColumn("col", F.explode(F.sequence("min_col", "max_col"))), "col", "row", chunk)
+
+
+def _views(cells: DataFrame, lines: DataFrame, by: str, along: str, chunk: int | None) -> DataFrame:
+    """The cells of every line in order; the gaps between them are filled in the line's own array."""
+    first, last = F.col(f"min_{along}"), F.col(f"max_{along}")
+    part, parts = F.lit(0), F.array(F.lit(0))
+    if chunk:
+        part = F.floor(F.col(along) / chunk).cast("int")
+        parts = F.sequence(F.floor(first / chunk).cast("int"), F.floor(last / chunk).cast("int"))
+        first, last = F.greatest(first, F.col("part") * chunk), F.least(last, (F.col("part") + 1) * chunk - 1)
+    frame = lines.withColumn("part", F.explode(parts)).select(*SHEET, by, "part", first.alias("__first"), last.alias("__last"))
     item = F.struct(F.col(along).alias("at"), text_of().alias("text"))
-    views = grid.groupBy(*SHEET, by, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias("__v"))
-    return views.select(*SHEET, by, "part", F.transform("__v", lambda v: v["text"]).alias("values"))
+    found = cells.groupBy(*SHEET, by, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias("__all"))
+    inside = F.filter(F.coalesce("__all", F.array()), lambda x: x["at"].between(F.col("__first"), F.col("__last")))
+    views = frame.join(found, [*SHEET, by, "part"], "left").withColumn("__v", inside)
+    blanks = lambda n: F.array_repeat(F.lit(None).cast("string"), n.cast("int"))
+    before = F.col("__first") - 1
+    filled = F.transform("__v", lambda x, i: F.concat(blanks(x["at"] - F.coalesce(F.get("__v", i - 1)["at"], before) - 1), F.array(x["text"])))
+    rest = blanks(F.col("__last") - F.coalesce(F.try_element_at("__v", F.lit(-1))["at"], before))
+    return views.select(*SHEET, by, "part", F.concat(F.flatten(filled), rest).alias("values"))
 
 
 def copy_sheet(cells: DataFrame, which: Column, title: Column | None = None) -> DataFrame:

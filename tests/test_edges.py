@@ -84,3 +84,14 @@ def test_modes_of_every_scenario(spark):
     modes = spark.createDataFrame([(1, "CB"), (2, "BUS")], "id int, CODE string")
     got = sorted((r.id, r.scenario, r.Param_a) for r in X.mode_attributes(modes, interim).collect())
     assert [(i, s) for i, s, _ in got] == [(1, "x"), (1, "y"), (2, "x"), (2, "y")] and [a for _, _, a in got] == [0.0, 1.0, None, None]
+
+
+def test_views_fill_gaps_without_a_grid(make_cells):
+    cells = make_cells({("s", "B2"): "b2", ("s", "E2"): 5.0, ("s", "C5"): "c5", ("s", "A1"): None})
+    rows = {r["row"]: r["values"] for r in D.iter_rows(cells).collect()}
+    assert rows == {1: [None] * 5, 2: [None, "b2", None, None, "5"], 3: [None] * 5, 4: [None] * 5, 5: [None, None, "c5", None, None]}
+    cols = {(r["col"], r["part"]): r["values"] for r in D.iter_cols(cells, chunk=3).collect()}
+    assert len(cols) == 10 and cols[(2, 0)] == [None, "b2"] and cols[(3, 1)] == [None, None, "c5"] and cols[(4, 0)] == [None, None]
+    area = cells.select("book", "sheet").distinct().select("book", "sheet", *[F.lit(v).alias(n) for n, v in (("min_col", 2), ("min_row", 2), ("max_col", 3), ("max_row", 4))])
+    assert {r["row"]: r["values"] for r in D.iter_rows(cells, area).collect()} == {2: ["b2", None], 3: [None, None], 4: [None, None]}
+    assert {r["col"]: r["values"] for r in D.iter_cols(cells, area).collect()} == {2: ["b2", None, None], 3: [None, None, None]}
