@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions import coords as C
+from gridspark.scale import running, split_join
 
-# side of the square tiles a range set is cut into
+# rows of a block of the scans over a range set
 SET_TILE = 256
 
 
@@ -41,38 +42,55 @@ def collapse_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
     return spans.select(*keys, "col", text.alias("range"))
 
 
+def _holding(x: Column, levels: Column) -> Column:
+    """The nodes that hold place ``x`` in a binary tree over places: one per level."""
+    return F.transform(F.sequence(F.lit(0), levels), lambda k: F.call_function("shiftright", x, k) * 64 + k)
+
+
+def _below(m: Column, levels: Column) -> Column:
+    """The nodes that together hold the places below ``m``, each place once."""
+    held = F.filter(F.sequence(F.lit(0), levels), lambda k: F.getbit(m, k) == 1)
+    return F.transform(held, lambda k: (F.call_function("shiftright", m, k) - 1) * 64 + k)
+
+
 def range_set(ranges: DataFrame, tile: int = SET_TILE) -> DataFrame:
     """Ranges of each sheet without those another range already covers.
 
     ranges(book, sheet, min_col, min_row, max_col, max_row). Equal ranges are
-    kept once. A range meets only ranges that reach the tile of its own top-left
-    corner, so no sheet is compared all against all.
+    kept once. No two ranges are compared: each stands at the few nodes of a tree over left and of one over
+    right edges, and asks those nodes that hold the wider ranges how far down one of them reaches that
+    starts no lower. This is one ordered scan per pair of nodes, in blocks of ``tile`` rows.
     """
     bounds = ["min_col", "min_row", "max_col", "max_row"]
-    distinct = ranges.select("book", "sheet", *bounds).distinct()
-    corner = distinct.withColumns(
-        {"tx": F.floor(F.col("min_col") / tile), "ty": F.floor(F.col("min_row") / tile)}
-    )
-    cover = (
-        distinct.select(F.col("book").alias("b2"), F.col("sheet").alias("s2"), *[F.col(c).alias(f"o_{c}") for c in bounds])
-        .withColumn("x2", F.explode(F.sequence(F.floor(F.col("o_min_col") / tile), F.floor(F.col("o_max_col") / tile))))
-        .withColumn("y2", F.explode(F.sequence(F.floor(F.col("o_min_row") / tile), F.floor(F.col("o_max_row") / tile))))
-    )
-    inside = (
-        (F.col("min_col") >= F.col("o_min_col")) & (F.col("max_col") <= F.col("o_max_col"))
-        & (F.col("min_row") >= F.col("o_min_row")) & (F.col("max_row") <= F.col("o_max_row"))
-    )
-    equal = (
-        (F.col("min_col") == F.col("o_min_col")) & (F.col("max_col") == F.col("o_max_col"))
-        & (F.col("min_row") == F.col("o_min_row")) & (F.col("max_row") == F.col("o_max_row"))
+    place = ["book", "sheet", *bounds]
+    distinct = ranges.select(*place).distinct()
+    known = F.lit(True)
+    for c in place:
+        known = known & F.col(c).isNotNull()
+    # of ranges with the same edges on three sides, the longest covers the others
+    longest = distinct.filter(known).groupBy("book", "sheet", "min_col", "max_col", "min_row").agg(F.max("max_row").alias("max_row"))
+    widths = longest.groupBy("book", "sheet").agg(
+        F.min("min_col").alias("__lo"), F.max("max_col").alias("__hi"),
+        F.length(F.bin(F.greatest(F.max("min_col") - F.min("min_col"), F.max("max_col") - F.min("max_col")).cast("bigint"))).alias("__levels"),
     )
-    same = (
-        (F.col("book") == F.col("b2")) & (F.col("sheet") == F.col("s2"))
-        & (F.col("tx") == F.col("x2")) & (F.col("ty") == F.col("y2"))
+    edges = split_join(longest, widths, ["book", "sheet"], "inner").withColumns(
+        {"__left": (F.col("min_col") - F.col("__lo")).cast("bigint"), "__right": (F.col("__hi") - F.col("max_col")).cast("bigint")}
     )
-    left = corner.join(cover, same & inside & ~equal, "left_anti").drop("tx", "ty")
-    r = C.make_range(*[F.col(c) for c in bounds])
-    return left.withColumn("range", C.range_text(r))
+    left, right, levels = F.col("__left"), F.col("__right"), F.col("__levels")
+    held = edges.select("book", "sheet", "min_row", "max_row", F.explode(_holding(left, levels)).alias("x"), right.alias("__right"), levels.alias("__levels"))
+    posts = held.select("book", "sheet", "x", F.explode(_holding(right, levels)).alias("y"), "min_row", "max_row").groupBy(
+        "book", "sheet", "x", "y", F.col("min_row").alias("row")).agg(F.max("max_row").alias("far"))
+    # wider to the left, or as far left and wider to the right, or as wide and higher: ``late`` places a question before or after the posts of its row
+    ask = lambda x, y, late: F.struct(x.alias("x"), y.alias("y"), F.lit(late).alias("late"))
+    wider = F.flatten(F.transform(_below(left, levels), lambda x: F.transform(_below(right + 1, levels), lambda y: ask(x, y, 2))))
+    longer = F.transform(_below(right, levels), lambda y: ask(left * 64, y, 2))
+    asked = edges.select(*place, F.explode(F.concat(wider, longer, F.array(ask(left * 64, right * 64, 0)))).alias("__q"))
+    questions = asked.select(*place, "__q.*").withColumn("row", F.col("min_row"))
+    lines = posts.withColumn("late", F.lit(1)).unionByName(questions, allowMissingColumns=True)
+    seen = running(lines, ["book", "sheet", "x", "y"], ["row", "late"], {"__reach": ("max", F.col("far"))}, F.floor(F.col("row") / tile))
+    covered = seen.filter(F.col("min_col").isNotNull() & (F.col("__reach") >= F.col("max_row"))).select(*place)
+    kept = longest.select(*place).join(covered, place, "left_anti").unionByName(distinct.filter(~known))
+    return kept.withColumn("range", C.range_text(C.make_range(*[F.col(c) for c in bounds])))
 
 
 def bounding_range(df: DataFrame, keys: list[str], column: str) -> DataFrame:

@@ -68,8 +68,8 @@ def running(
     Row numbers and sums may follow other sort expressions, ``by``.
 
     ``outputs`` maps a new column to ``(kind, value)`` where kind is
-    ``row_number``, ``sum`` (running, inclusive), ``last`` (latest non-null so
-    far, inclusive) or ``lag`` (value of the row before). ``block`` must not
+    ``row_number``, ``sum`` (running, inclusive), ``max`` (largest so far, inclusive),
+    ``last`` (latest non-null so far, inclusive) or ``lag`` (value of the row before). ``block`` must not
     decrease along ``order``; it bounds the rows one task sorts. Blocks are
     first summarised (partial aggregation), the summaries are scanned, and each
     block then continues from what came before it. Null keys are a group, and rows
@@ -89,6 +89,8 @@ def running(
             parts.append(F.count(F.lit(1)).alias(f"__p_{n}"))
         elif kind == "sum":
             parts.append(F.sum(v).alias(f"__p_{n}"))
+        elif kind == "max":
+            parts.append(F.max(v).alias(f"__p_{n}"))
         elif kind == "last":
             parts.append(F.max_by(v, F.when(v.isNotNull(), position)).alias(f"__p_{n}"))
         elif kind == "lag":
@@ -107,6 +109,8 @@ def running(
         p = F.col(f"__p_{n}")
         if kind in ("row_number", "sum"):
             carried.append(F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(f"__c_{n}"))
+        elif kind == "max":
+            carried.append(F.max(p).over(earlier).alias(f"__c_{n}"))
         else:
             carried.append(F.last(p, ignorenulls=True).over(earlier).alias(f"__c_{n}"))
     return _continued(blocked, summary.select("__blk", *carried), outputs, order, by)
@@ -124,6 +128,8 @@ def _continued(blocked: DataFrame, carry: DataFrame, outputs: dict, order: list[
             out = F.row_number().over(inside) + c
         elif kind == "sum":
             out = F.coalesce(F.sum(v).over(so_far), F.lit(0)) + c
+        elif kind == "max":
+            out = F.greatest(F.max(v).over(so_far), c)
         elif kind == "last":
             out = F.coalesce(F.last(v, ignorenulls=True).over(so_far), c)
         else:
