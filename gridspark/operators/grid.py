@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 
 from gridspark.functions import coords as C
 from gridspark.functions import scalars as S
-from gridspark.scale import TILE_ROWS, hot_keys, running, salted_join, split_join, spread, tile_join
+from gridspark.scale import TILE_ROWS, hot_keys, running, salted_join, split_join, spread, tile_join, whole
 
 SHEET = ["book", "sheet"]
 VALUES = ["dtype", "v_num", "v_str", "v_ts", "v_bool", "time_ms", "span_ms", "err", "formula", "style_id"]
 CELLS = SHEET + ["row", "col"] + VALUES
+# keys over which the records of a decoded field are dealt at least
+ITEM_KEYS = 4096
 
 _NULLS = {
     "dtype": "string",
@@ -280,17 +282,22 @@ def decode_pivot_cache(records: DataFrame, items: DataFrame, fields: dict[int, s
     """Pivot-cache records to a table: items are inline or an index into the field's shared items.
 
     One join per decoded field keeps each record in place: records are never
-    regrouped. Popular items are left to adaptive execution; inline items get keys of their own that meet nothing, spread by a hash.
+    regrouped. The fewer items a field shares, the more records each of them has: so few items are repeated until
+    they make ``ITEM_KEYS`` keys, over which a hash of the record deals the records. Inline items get keys of their own that meet nothing.
     records(cache, rec, items array<struct(kind, v)>), items(cache, field, idx, v).
     """
     out = records
-    apart = (-1 - F.pmod(F.xxhash64("items"), F.lit(4096))).cast("int")
     for i, name in fields.items():
         item = F.get("items", F.lit(i))
         shared = items.filter(F.col("field") == i).select("cache", F.col("idx").alias("__idx"), F.col("v").alias("__shared"))
-        coded = out.withColumn("__idx", F.when(item["kind"] == "x", item["v"].cast("int")).otherwise(apart))
+        told = whole(shared, n=F.count_distinct("__idx"))["n"]
+        copies = F.greatest(F.lit(1), F.floor(F.lit(ITEM_KEYS) / F.greatest(told, F.lit(1)))).cast("int")
+        coded = item["kind"] == "x"
+        dealt = F.pmod(F.xxhash64("rec", "items"), F.when(coded, copies).otherwise(ITEM_KEYS)).cast("int")
+        keyed = out.withColumns({"__idx": F.when(coded, item["v"].cast("int")).otherwise(-1), "__copy": dealt})
+        repeated = shared.withColumn("__copy", F.explode(F.sequence(F.lit(0), copies - 1)))
         text = F.when(item["kind"] == "x", F.col("__shared")).when(item["kind"] != "m", item["v"])
-        out = split_join(coded, shared, ["cache", "__idx"]).withColumn(name, text).drop("__idx", "__shared")
+        out = split_join(keyed, repeated, ["cache", "__idx", "__copy"]).withColumn(name, text).drop("__idx", "__copy", "__shared")
     return out.drop("items")
 
 

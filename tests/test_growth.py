@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from gridspark import scale
-from gridspark.operators import ranges
+from gridspark.operators import grid, ranges
 
 
 @contextmanager
@@ -51,3 +51,19 @@ def test_range_set_compares_no_two_ranges(spark):
         got = [tuple(x)[:6] for x in out.collect()]
         assert set(got) == want and len(got) == len(want)
     assert not [line for line in plan_of(out).splitlines() if "Join" in line and ("<=" in line or ">=" in line)]
+
+
+def test_records_of_one_popular_item_are_dealt(spark):
+    records = spark.range(4000).select(
+        F.when(F.col("id") % 2000 == 0, None).otherwise(F.lit("c")).alias("cache"), F.col("id").alias("rec"),
+        F.array(F.struct(F.when(F.col("id") % 100 == 1, "n").when(F.col("id") % 100 == 2, "m").otherwise("x").alias("kind"),
+                         F.when(F.col("id") % 100 == 3, "9").otherwise("0").alias("v"))).alias("items"))
+    items = spark.createDataFrame([("c", 0, 0, "zero"), ("c", 0, 1, "one"), ("c", 1, 9, "other")], "cache string, field int, idx int, v string")
+    with settings(spark, **{"adaptive.enabled": "false", "autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "8"}):
+        out = grid.decode_pivot_cache(records, items, {0: "name"})
+        assert out.columns == ["cache", "rec", "name"]
+        got = out.withColumn("at", F.spark_partition_id()).collect()
+    want = {i: "0" if i % 100 == 1 else None if i % 100 in (2, 3) or i % 2000 == 0 else "zero" for i in range(4000)}
+    assert len(got) == 4000 and {r["rec"]: r["name"] for r in got} == want
+    sizes = [sum(r["at"] == p for r in got) for p in range(8)]
+    assert max(sizes) < 1000, sizes
