@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions import coords as C
@@ -118,10 +118,12 @@ def suppress_repeats(df: DataFrame, keys: list[str], levels: list[str], order: l
 
 def slice_test(key: str) -> Column:
     """Whether a cell lies in ``A1``, ``A2:C5``, ``A:D`` or ``4:10``; the key is read once, at plan time."""
-    b = C.range_bounds(F.lit(key))
-    row_ok = F.coalesce(F.col("row").between(b["min_row"], b["max_row"]), F.lit(True))
-    col_ok = F.coalesce(F.col("col").between(b["min_col"], b["max_col"]), F.lit(True))
-    return b.isNotNull() & row_ok & col_ok
+    # the optimizer would leave the parsing of a constant to every cell
+    b = SparkSession.active().range(1).select(C.range_bounds(F.lit(key)).alias("b")).first()["b"]
+    if b is None:
+        return F.lit(False)
+    within = lambda axis: F.coalesce(F.col(axis).between(b[f"min_{axis}"], b[f"max_{axis}"]), F.lit(True))
+    return within("row") & within("col")
 
 
 def slice_cells(cells: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from gridspark import scale
-from gridspark.operators import grid, ranges
+from gridspark.operators import grid, ranges, structure
 
 
 @contextmanager
@@ -67,3 +67,11 @@ def test_records_of_one_popular_item_are_dealt(spark):
     assert len(got) == 4000 and {r["rec"]: r["name"] for r in got} == want
     sizes = [sum(r["at"] == p for r in got) for p in range(8)]
     assert max(sizes) < 1000, sizes
+
+
+def test_slices_read_their_key_once(spark, make_cells):
+    cells = make_cells({("s", "A1"): 1, ("s", "B2"): 2, ("s", "D5"): 3, ("s", "E1"): 4})
+    for key, want in {"A2:C5": {2}, "B:D": {2, 3}, "4:10": {3}, "E1": {4}, "b2": {2}, "$B$2": {2}, "no key": set()}.items():
+        out = structure.slice_cells(cells, key)
+        assert {r["v_num"] for r in out.collect()} == want, key
+        assert "lambda" not in plan_of(out)
