@@ -78,7 +78,11 @@ def merge_cells(cells: DataFrame, merges: DataFrame) -> DataFrame:
         F.col("r_min_row").isNull() | ((F.col("row") == F.col("r_min_row")) & (F.col("col") == F.col("r_min_col")))
     ).select(*cells.columns)
     anchors = merges.select(*SHEET, F.col("min_row").alias("row"), F.col("min_col").alias("col"))
-    missing = anchors.join(cells.select(*SHEET, "row", "col"), [*SHEET, "row", "col"], "left_anti").distinct()
+    # the anchors that are there, not all cells, meet the anchors
+    there = tile_join(cells.select(*SHEET, "row", "col"), merges).filter(
+        (F.col("row") == F.col("r_min_row")) & (F.col("col") == F.col("r_min_col"))
+    ).select(*SHEET, "row", "col").distinct()
+    missing = anchors.join(there, [*SHEET, "row", "col"], "left_anti").distinct()
     return kept.unionByName(missing, allowMissingColumns=True)
 
 

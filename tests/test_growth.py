@@ -75,3 +75,20 @@ def test_slices_read_their_key_once(spark, make_cells):
         out = structure.slice_cells(cells, key)
         assert {r["v_num"] for r in out.collect()} == want, key
         assert "lambda" not in plan_of(out)
+
+
+def nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from nodes(plan.children().apply(i))
+
+
+def test_merges_meet_only_the_anchors_that_are_there(spark, make_cells):
+    cells = make_cells({("s", "A1"): 1, ("s", "B1"): 2, ("s", "C1"): 3, ("s", "C3"): 4, ("t", "A1"): 5})
+    bounds = "book string, sheet string, min_col int, min_row int, max_col int, max_row int"
+    merges = spark.createDataFrame([("b", "s", 1, 1, 2, 1), ("b", "s", 2, 3, 3, 4), ("b", "s", 2, 3, 3, 4), ("b", "u", 1, 1, 2, 2)], bounds)
+    out = structure.merge_cells(cells, merges)
+    got = sorted((r["sheet"], r["row"], r["col"], r["v_num"]) for r in out.collect())
+    assert got == [("s", 1, 1, 1.0), ("s", 1, 3, 3.0), ("s", 3, 2, None), ("t", 1, 1, 5.0), ("u", 1, 1, None)]
+    anti = [n for n in nodes(out._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join" and n.joinType().toString() == "LeftAnti"]
+    assert [n.right().nodeName() for n in anti] == ["Aggregate"]
