@@ -18,18 +18,34 @@ def expand_ranges(df: DataFrame, column: str, by: str = "row", max_row: int = C.
     ``by`` walks rows or columns first; ``at`` is the position within the range. Whole columns and
     rows reach to ``max_row`` and ``max_col``.
     """
-    one = df.withColumn("__part", F.explode(F.split(F.trim(F.col(column)), r"\s+")))
-    b = one.withColumn("__b", C.range_bounds(F.col("__part"))).filter(F.col("__b").isNotNull())
     ends = {"min_col": 1, "min_row": 1, "max_col": max_col, "max_row": max_row}
-    b = b.withColumn("__b", F.struct(*[F.coalesce(F.col(f"__b.{k}"), F.lit(v)).alias(k) for k, v in ends.items()]))
-    r = F.col("__b")
-    rows = b.withColumn("row", F.explode(F.sequence(r["min_row"], r["max_row"])))
-    cells = rows.withColumn("col", F.explode(F.sequence(r["min_col"], r["max_col"])))
-    wide, high = r["max_col"] - r["min_col"] + 1, r["max_row"] - r["min_row"] + 1
-    down, right = F.col("row") - r["min_row"], F.col("col") - r["min_col"]
-    at = down * wide + right if by == "row" else right * high + down
-    placed = cells.select(*df.columns, "row", "col", C.coord(F.col("col"), F.col("row")).alias("cell"), at.alias("at"))
-    return placed.groupBy(*df.columns, "row", "col", "cell").agg(F.min("at").alias("at"))
+    told = F.filter(F.transform(F.split(F.trim(F.col(column)), r"\s+"), C.range_bounds), lambda b: b.isNotNull())
+    ready = F.transform(told, lambda b: F.struct(*[F.coalesce(b[k], F.lit(v)).alias(k) for k, v in ends.items()]))
+    r, spot = F.col("__b"), F.col("__i")
+
+    def at(b: Column) -> Column:
+        down, right = F.col("row") - b["min_row"], F.col("col") - b["min_col"]
+        return down * (b["max_col"] - b["min_col"] + 1) + right if by == "row" else right * (b["max_row"] - b["min_row"] + 1) + down
+
+    span = lambda b, axis: (F.least(b[f"min_{axis}"], b[f"max_{axis}"]), F.greatest(b[f"min_{axis}"], b[f"max_{axis}"]))
+
+    def meets(b: Column, axis: str) -> Column:
+        (low, high), (first, last) = span(b, axis), span(r, axis)
+        return (low <= last) & (high >= first)
+
+    def nearer(other: Column) -> Column:
+        b = other["b"]
+        inside = F.col("row").between(*span(b, "row")) & F.col("col").between(*span(b, "col"))
+        return inside & ((at(b) < F.col("at")) | ((at(b) == F.col("at")) & (other["i"] < spot)))
+
+    # equal rows are one before they are expanded; a cell of several ranges of its row stays with the one that has it first
+    parts = df.distinct().withColumn("__all", ready).select("*", F.posexplode("__all").alias("__i", "__b"))
+    numbered = F.transform("__all", lambda b, i: F.struct(i.alias("i"), b.alias("b")))
+    others = F.filter(numbered, lambda o: (o["i"] != spot) & meets(o["b"], "row") & meets(o["b"], "col"))
+    rows = parts.withColumn("__others", others).drop("__all").withColumn("row", F.explode(F.sequence(r["min_row"], r["max_row"])))
+    cells = rows.withColumn("col", F.explode(F.sequence(r["min_col"], r["max_col"]))).withColumn("at", at(r))
+    kept = cells.filter((F.size("__others") == 0) | ~F.exists("__others", nearer))
+    return kept.select(*df.columns, "row", "col", C.coord(F.col("col"), F.col("row")).alias("cell"), "at")
 
 
 def collapse_cells(cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -92,3 +92,28 @@ def test_merges_meet_only_the_anchors_that_are_there(spark, make_cells):
     assert got == [("s", 1, 1, 1.0), ("s", 1, 3, 3.0), ("s", 3, 2, None), ("t", 1, 1, 5.0), ("u", 1, 1, None)]
     anti = [n for n in nodes(out._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join" and n.joinType().toString() == "LeftAnti"]
     assert [n.right().nodeName() for n in anti] == ["Aggregate"]
+
+def test_ranges_are_expanded_without_regrouping_their_cells(spark):
+    texts = ["B2:C4 C4", "C4 B2:C4", "A1:B2 B1:C3 b2 A1:B2", "A1", "D2 ? D2", None, "A1", "B3:A1 A2"]
+    df = spark.createDataFrame([(i // 2, x) for i, x in enumerate(texts)] + [(0, texts[0])], "id int, ref string")
+    from gridspark.sources.ooxml import place
+
+    for by in ("row", "col"):
+        want = {}
+        for i, text in enumerate(texts):
+            for part in (text or "?").split():
+                if part == "?":
+                    continue
+                (r1, c1), (r2, c2) = (place(p) for p in (part.split(":") * 2)[:2])
+                wide, high = c2 - c1 + 1, r2 - r1 + 1
+                for r in range(min(r1, r2), max(r1, r2) + 1):
+                    for c in range(min(c1, c2), max(c1, c2) + 1):
+                        at = (r - r1) * wide + c - c1 if by == "row" else (c - c1) * high + r - r1
+                        key = (i // 2, text, r, c)
+                        want[key] = min(want.get(key, at), at)
+        out = ranges.expand_ranges(df, "ref", by)
+        assert out.columns == ["id", "ref", "row", "col", "cell", "at"]
+        got = [((r["id"], r["ref"], r["row"], r["col"]), r["at"]) for r in out.collect()]
+        assert dict(got) == want and len(got) == len(want)
+        kinds = [n.nodeName() for n in nodes(out._jdf.queryExecution().optimizedPlan())]
+        assert "Aggregate" not in kinds[: len(kinds) - kinds[::-1].index("Generate")]
