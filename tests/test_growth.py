@@ -117,3 +117,20 @@ def test_ranges_are_expanded_without_regrouping_their_cells(spark):
         assert dict(got) == want and len(got) == len(want)
         kinds = [n.nodeName() for n in nodes(out._jdf.queryExecution().optimizedPlan())]
         assert "Aggregate" not in kinds[: len(kinds) - kinds[::-1].index("Generate")]
+
+def test_sheets_are_written_many_rows_at_once():
+    import io
+
+    from gridspark.sources import ooxml
+
+    held = io.BytesIO()
+    sheet, calls = ooxml.SheetWriter(held, "s"), []
+    write = sheet.out.write
+    sheet.out.write = lambda data: calls.append(len(data)) or write(data)
+    for i in range(1000):
+        sheet.append([i, None, f"t{i}"] if i % 7 else [None])
+    sheet.close()
+    assert len(calls) < 10
+    book = ooxml.Workbook(held)
+    got = [x[:4] for x in book.raw_cells(next(book.worksheets(None))[1], [])]
+    assert got == [x for i in range(1000) if i % 7 for x in ((i + 1, 1, "n", str(i)), (i + 1, 3, "inlineStr", f"t{i}"))]
