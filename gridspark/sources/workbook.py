@@ -164,6 +164,7 @@ def _cell_rows(book: str, wb, wanted: Wanted) -> Iterator[tuple]:
     low, high = wanted.least.get("row", 0), wanted.most.get("row")
     if "row" in wanted.allowed:
         low, high = max(low, min(wanted.allowed["row"], default=1)), min([*([high] if high is not None else []), max(wanted.allowed["row"], default=0)])
+    cols = wanted.allowed.get("col")
     for sheet, member in sheets:
         masters: dict[int, tuple[str, int, int]] = {}
         try:
@@ -174,7 +175,7 @@ def _cell_rows(book: str, wb, wanted: Wanted) -> Iterator[tuple]:
                     elif si in masters:
                         text, top, left = masters[si]
                         formula = formula_text.shift_formula(text, row - top, col - left)
-                if row >= low:
+                if row >= low and (cols is None or col in cols):
                     yield book, sheet, row, col, t, v, formula, si, style, classes[style] if style < len(classes) else "number", wb.epoch
         except Exception as e:  # noqa: BLE001 a damaged sheet is data, not a fault of the job
             yield book, sheet, None, None, "e", reason(e), None, None, None, None, None
@@ -230,7 +231,7 @@ class Files(InputPartition):
 
 
 class WorkbookReader(DataSourceReader):
-    """Options: ``path``, ``part`` (see ``PARTS``), ``books`` and ``sheets`` (one by line), ``min_row``, ``max_row``, ``push``.
+    """Options: ``path``, ``part`` (see ``PARTS``), ``books``, ``sheets`` and ``cols`` (one by line), ``min_row``, ``max_row``, ``push``.
 
     Unlike a filter, the options leave the rows of unreadable files in.
     """
@@ -244,6 +245,8 @@ class WorkbookReader(DataSourceReader):
         for name, key in (("book", "books"), ("sheet", "sheets")):
             if options.get(key):
                 self.asked.allowed[name] = set(options[key].split("\n"))
+        if options.get("cols"):
+            self.asked.allowed["col"] = {int(c) for c in options["cols"].split("\n")}
         if options.get("min_row"):
             self.asked.least["row"] = int(options["min_row"])
         if options.get("max_row"):
@@ -281,8 +284,14 @@ class WorkbookReader(DataSourceReader):
         checks = [(schema.get_field_index(c), c) for c in self.wanted.checks()]
         admits = self.wanted.admits
 
+        def column(values: tuple, kind):
+            # most columns say the same in every row of a batch
+            if values.count(values[0]) == len(values):
+                return pa.repeat(pa.scalar(values[0], kind), len(values))
+            return pa.array(values, kind)
+
         def batch(rows: list):
-            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            return pa.RecordBatch.from_arrays([column(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         rows: list[tuple] = []
         for uri in partition.uris:
@@ -322,16 +331,17 @@ def scan_part(spark: SparkSession, path: str, part: str, **options: str) -> Data
 
 
 def scan_raw(
-    spark: SparkSession, path: str, sheets: list[str] | None = None, max_row: int | None = None, min_row: int | None = None, books: list[str] | None = None
+    spark: SparkSession, path: str, sheets: list[str] | None = None, max_row: int | None = None, min_row: int | None = None, books: list[str] | None = None,
+    cols: list[int] | None = None,
 ) -> DataFrame:
-    """Stored cells of every workbook under ``path``; unwanted books, sheets and rows are never parsed."""
-    asked = {"sheets": sheets and "\n".join(sheets), "books": books and "\n".join(books), "min_row": min_row, "max_row": max_row}
+    """Stored cells of every workbook under ``path``; unwanted books, sheets and rows are never parsed, cells of other columns than ``cols`` not passed on."""
+    asked = {"cols": cols and "\n".join(map(str, cols)), "sheets": sheets and "\n".join(sheets), "books": books and "\n".join(books), "min_row": min_row, "max_row": max_row}
     return scan_part(spark, path, "cells", **{k: str(v) for k, v in asked.items() if v})
 
 
 def scan_workbooks(
     spark: SparkSession, path: str, data_only: bool = False, sheets: list[str] | None = None, max_row: int | None = None,
-    min_row: int | None = None, books: list[str] | None = None,
+    min_row: int | None = None, books: list[str] | None = None, cols: list[int] | None = None,
 ) -> DataFrame:
     """A folder of workbooks as typed cells, with cached values or with formulas in their place.
 
@@ -339,7 +349,7 @@ def scan_workbooks(
     join. A file that cannot be read gives one row without a sheet, its reason in ``err``; a sheet that breaks off gives
     the cells before the break and a row of its own without a place (``mark_torn``).
     """
-    typed = typing_ops.type_cells(scan_raw(spark, path, sheets, max_row, min_row, books), epoch=F.col("epoch"))
+    typed = typing_ops.type_cells(scan_raw(spark, path, sheets, max_row, min_row, books, cols), epoch=F.col("epoch"))
     kept = value_mode(typed, data_only)
     return kept.select(*CELLS)
 

@@ -37,7 +37,7 @@ def written(t) -> str:
 @query("a1_scan_workbooks", _BOOK_SQL + f"""SELECT book, sheet, "row"::INT AS "row", col::INT AS col, dtype, {TEXT} AS text FROM cells WHERE col < 5
     UNION ALL SELECT book, sheet, r, 6, 'n', {_WAIT} FROM src UNION ALL SELECT DISTINCT book, sheet, 1, 6, 's', 'waited' FROM src""")
 def _(t):
-    cells = W.scan_workbooks(t.spark, written(t))
+    cells = W.scan_workbooks(t.spark, written(t), cols=[1, 2, 3, 4, 6])
     return cells.filter("col <> 5 and col < 7").select("book", "sheet", "row", "col", "dtype", G.text_of().alias("text"))
 
 
@@ -59,7 +59,7 @@ def _(t):
     folder = written(t)
     out = None
     for mode, only in (("formula", False), ("value", True)):
-        cells = W.scan_workbooks(t.spark, folder, data_only=only).filter((F.col("col") == 5) & G.has_value())
+        cells = W.scan_workbooks(t.spark, folder, data_only=only, cols=[5]).filter((F.col("col") == 5) & G.has_value())
         part = cells.groupBy("book").agg(F.count(F.lit(1)).alias("n"), F.max("v_str").alias("top"), F.round(F.sum("v_num"), 2).alias("total")).withColumn("mode", F.lit(mode))
         out = part if out is None else out.unionByName(part)
     return out

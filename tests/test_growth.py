@@ -134,3 +134,18 @@ def test_sheets_are_written_many_rows_at_once():
     book = ooxml.Workbook(held)
     got = [x[:4] for x in book.raw_cells(next(book.worksheets(None))[1], [])]
     assert got == [x for i in range(1000) if i % 7 for x in ((i + 1, 1, "n", str(i)), (i + 1, 3, "inlineStr", f"t{i}"))]
+
+def test_scans_pass_on_the_wanted_columns_only(spark, tmp_path):
+    from gridspark.sources import ooxml, workbook
+
+    with open(tmp_path / "a.xlsx", "wb") as out:
+        sheet = ooxml.SheetWriter(out, "s")
+        sheet.append([1, "two", {"formula": "=A1*2", "value": 2}])
+        sheet.append([4, None, None, 5])
+        sheet.close()
+    (tmp_path / "broken.xlsx").write_bytes(b"no archive")
+    got = {(r["book"], r["row"], r["col"], r["v"]) for r in workbook.scan_raw(spark, str(tmp_path), cols=[2, 4]).collect()}
+    assert {x for x in got if x[0] == "a.xlsx"} == {("a.xlsx", 1, 2, "two"), ("a.xlsx", 2, 4, "5")}
+    assert [x[1:3] for x in got if x[0] == "broken.xlsx"] == [(None, None)]
+    typed = workbook.scan_workbooks(spark, str(tmp_path), cols=[3]).filter("book = 'a.xlsx'").collect()
+    assert [(r["col"], r["v_str"], r["dtype"]) for r in typed] == [(3, "=A1*2", "f")]
